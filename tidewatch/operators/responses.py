@@ -25,8 +25,14 @@ def parse_response_body(df: DataFrame, resp_col: str = "resp", out: str = "body"
 
 
 def explode_statuses(df: DataFrame, body_col: str = "body", keep=("device_id",)) -> DataFrame:
-    """One row per status element; ``inline`` drops responses with no list."""
-    return df.select(*keep, F.inline(F.col(f"{body_col}.deviceStatusList")))
+    """One row per status element.
+
+    ``inline_outer`` keeps a null-field row for a response without a list
+    (dropped later by the typed filter).  The non-outer ``inline`` would make
+    the optimizer infer a ``size(list) > 0`` filter and push it below the
+    projection, parsing every body's JSON twice.
+    """
+    return df.select(*keep, F.inline_outer(F.col(f"{body_col}.deviceStatusList")))
 
 
 def statuses_to_readings(df: DataFrame) -> DataFrame:
@@ -46,10 +52,14 @@ def statuses_to_readings(df: DataFrame) -> DataFrame:
 
 
 def decode_responses(df: DataFrame, resp_col: str = "resp", status_col: str = "status_code") -> DataFrame:
-    """Responses -> readings: status 200, body JSON, one row per status."""
+    """Responses -> readings: status 200, body JSON, one row per status.
+
+    A body that is missing or unreadable parses to null and yields no
+    reading (see :func:`response_quarantine` for those responses).
+    """
     ok = only_ok_responses(df, status_col)
     parsed = parse_response_body(ok, resp_col)
-    return statuses_to_readings(explode_statuses(parsed.where(F.col("body").isNotNull())))
+    return statuses_to_readings(explode_statuses(parsed))
 
 
 def response_quarantine(df: DataFrame, resp_col: str = "resp", status_col: str = "status_code") -> DataFrame:
