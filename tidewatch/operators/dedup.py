@@ -25,14 +25,24 @@ def drop_repeated_polls(df: DataFrame, cols: Cols = READING_COLS) -> DataFrame:
     holding a large share of the rows shuffles one row per task.
     """
     keys = [cols.device, cols.dataset, cols.ts_ms]
+    return pick_by(df, keys, cols.order, "min")
+
+
+def pick_by(df: DataFrame, keys, order: str, how: str = "min") -> DataFrame:
+    """Per key, the fields of the row with the smallest (or largest) ``order``.
+
+    One ``min_by``/``max_by`` per column rather than over a packed struct:
+    fixed-width buffers keep the plan a hash aggregate with map-side partial
+    aggregation (a struct buffer falls back to a sort-based aggregate).
+    ``order`` must identify a row within its key (or tied rows must be
+    copies), as a reading's sequence number does.
+    """
+    keys = list(keys)
+    pick = F.min_by if how == "min" else F.max_by
     rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in rest])
-    return (
-        df.groupBy(*keys)
-        .agg(F.min_by(packed, F.col(cols.order)).alias("_r"))
-        .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    aggs = [(F.min(order) if how == "min" else F.max(order)).alias(c) if c == order
+            else pick(F.col(c), F.col(order)).alias(c) for c in rest]
+    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
 def distinct_readings(df: DataFrame, cols: Cols = READING_COLS) -> DataFrame:

@@ -9,7 +9,8 @@ e.g. the hour of the timestamp), and the count runs in two steps:
 2. across blocks: a running sum of block sizes, computed on the small table
    of (key, block) counts, joined back by (key, block).
 
-Rows are shuffled once, by (key, block).  The block table has one row per
+Rows are shuffled once, by (key, block); the block sizes come from a
+map-side combined count.  The block table has one row per
 (key, block); its join is left to AQE, which broadcasts it only when the
 measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
 and otherwise shuffles it to the rows' existing partitioning.
@@ -35,11 +36,20 @@ def blocked_running_count(df: DataFrame, keys: Sequence[str], order: Sequence[st
     ``block`` must be non-decreasing along ``order`` within a key.
     """
     keys = list(keys)
-    rows = df.withColumn("_blk", block).repartition(*[F.col(k) for k in keys], F.col("_blk"))
-    local = rows.withColumn(
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    placed = df.where(not_null).withColumn("_blk", block).where(F.col("_blk").isNotNull())
+    # The window shuffles by (key, block) itself; an explicit repartition
+    # would add a second exchange for floating-point keys, which the window
+    # partitions on their NaN/zero-normalised form.
+    local = placed.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(*order))
     )
-    sizes = rows.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    # Block sizes need no order: counted from the unshuffled rows, so the
+    # count is combined map-side and only (key, block, partial count) rows
+    # are shuffled; the scan for it reads just the key and block columns.
+    sizes = placed.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (

@@ -35,10 +35,15 @@ def streak_counts(df: DataFrame, cols: Cols = READING_COLS, block_ms: int = 3_60
     Output: ``device_id, ts_ms, seq, value, start_ms, counts``.
     """
     dev, ts, seq, val = cols.device, cols.ts_ms, cols.order, cols.value
+    # Null keys cannot be placed in a run; filtering them here (rather than
+    # letting the join infer it on one side only) keeps both uses of ``rows``
+    # identical, so the shuffle below is computed once and reused.
     rows = (
         df.select(F.col(dev).alias("device_id"), F.col(ts).alias("ts_ms"), F.col(seq).alias("seq"),
                   F.col(val).alias("value"))
+        .where(F.col("device_id").isNotNull() & F.col("ts_ms").isNotNull() & F.col("value").isNotNull())
         .withColumn("_blk", time_block("ts_ms", block_ms))
+        .where(F.col("_blk").isNotNull())
         .repartition("device_id", "_blk")
     )
     in_block = Window.partitionBy("device_id", "_blk").orderBy("ts_ms", "seq")

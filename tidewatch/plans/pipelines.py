@@ -9,7 +9,7 @@ from tidewatch import config
 from tidewatch.config import EventProfile
 from tidewatch.functions.text import to_line
 from tidewatch.functions.timefmt import to_ts, ts_to_ms
-from tidewatch.operators import cleaning, histogram as hist_ops, serving, streaks, windows
+from tidewatch.operators import cleaning, dedup, histogram as hist_ops, serving, streaks, windows
 from tidewatch.sources.tables import load_table, readings
 
 
@@ -38,12 +38,7 @@ def dashboard(r: DataFrame, p: EventProfile) -> DataFrame:
 
 def latest_per_device(r: DataFrame) -> DataFrame:
     """What a keyed upsert sink holds at the end: the newest reading per device."""
-    packed = F.struct(*[F.col(c) for c in r.columns if c != "device_id"])
-    return (
-        r.groupBy("device_id")
-        .agg(F.max_by(packed, F.col("seq")).alias("_r"))
-        .select("device_id", "_r.*")
-    )
+    return dedup.pick_by(r, ["device_id"], "seq", "max")
 
 
 def event_lines(spark: SparkSession, sf_dir: str, with_seq: bool = False, with_ts: bool = False) -> DataFrame:
