@@ -56,12 +56,12 @@ def test_only_dataset_and_noise(spark):
 G4 = [(0, 1.0), (1, 2.0), (2, 3.0), (3, 3.0), (4, 4.0), (5, 5.0), (6, 6.0), (7, 2.0)]
 
 
-@pytest.mark.parametrize("block_ms", [1, 2, 3, 5, 1000])
-def test_g4_streaks_any_block_size(spark, block_ms):
+@pytest.mark.parametrize("slices", [1, 2, 3, 5, 16])
+def test_g4_streaks_any_slicing(spark, slices):
     rows = [("a", "temperature_data", t, v) for t, v in G4]
     # second device interleaved must not disturb the first
     rows += [("b", "temperature_data", t, 10.0 - v) for t, v in G4]
-    alerts = streaks.rising_streaks(readings_df(spark, rows), 3, block_ms=block_ms)
+    alerts = streaks.rising_streaks(readings_df(spark, rows), 3, slices=slices)
     got = sorted((r.device_id, r.start_ms, r.counts) for r in alerts.collect())
     assert [g for g in got if g[0] == "a"] == [("a", 0, 3), ("a", 3, 3), ("a", 3, 4)]
     table = sorted((r.device_id, r.start_ms, r.counts) for r in streaks.streak_table(alerts).collect()
@@ -74,23 +74,23 @@ def test_g4_streaks_any_block_size(spark, block_ms):
 @settings(max_examples=15, deadline=None)
 @given(
     data=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 40), st.integers(0, 5)), min_size=1, max_size=60),
-    block_ms=st.sampled_from([1, 3, 7, 1000]),
+    slices=st.sampled_from([1, 3, 7, 16]),
     limit=st.integers(1, 4),
 )
-def test_streaks_match_brute_force(spark, data, block_ms, limit):
+def test_streaks_match_brute_force(spark, data, slices, limit):
     rows = [(f"d{d}", "temperature_data", t, float(v), i) for i, (d, t, v) in enumerate(data)]
-    got = sorted(tuple(r) for r in streaks.rising_streaks(readings_df(spark, rows), limit, block_ms=block_ms)
+    got = sorted(tuple(r) for r in streaks.rising_streaks(readings_df(spark, rows), limit, slices=slices)
                  .select("device_id", "start_ms", "counts", "ts_ms").collect())
     want = brute_streaks([(d, t, s, v) for d, _, t, v, s in rows], limit)
     assert got == want
 
 
-@pytest.mark.parametrize("block_ms", [1, 4, 10_000])
-def test_histogram_changelog_matches_brute_force(spark, block_ms):
+@pytest.mark.parametrize("slices", [1, 4, 16])
+def test_histogram_changelog_matches_brute_force(spark, slices):
     rnd = random.Random(7)
     rows = [("d", "temperature_data", rnd.randint(0, 30), rnd.uniform(24, 37)) for _ in range(200)]
     df = readings_df(spark, rows)
-    got = sorted((r.seq, r.bin, r.cnt) for r in histogram.histogram_changelog(df, block_ms=block_ms).collect())
+    got = sorted((r.seq, r.bin, r.cnt) for r in histogram.histogram_changelog(df, slices=slices).collect())
     want = brute_changelog([(i, t, v) for i, (_, _, t, v) in enumerate(rows)], 25.5, 0.5, 20)
     assert got == want
     final = {r.bin: r.cnt for r in histogram.histogram(df).collect()}

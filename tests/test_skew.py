@@ -2,21 +2,27 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from helpers import brute_streaks
+from helpers import brute_changelog, brute_streaks
 from tidewatch.functions.timefmt import ms_to_ts
 from tidewatch.operators import histogram, streaks
 
 HOUR = 3_600_000
+SLICES = 24
 
 
-def _hot_readings(spark, n=6000, seed=5):
+def _hot_readings(spark, n=6000, seed=5, burst=False):
+    """A third of the rows belong to device "hot".  With ``burst`` all of its
+    rows share one timestamp, which no split by time can break up."""
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
-        dev = "hot" if i % 3 == 0 else f"d{rnd.randint(0, 199)}"
-        rows.append((dev, "temperature_data", rnd.randint(0, 48 * HOUR), round(rnd.uniform(20, 40), 1), i))
+        hot = i % 3 == 0
+        dev = "hot" if hot else f"d{rnd.randint(0, 199)}"
+        ts = 7 * HOUR if (burst and hot) else rnd.randint(0, 48 * HOUR)
+        rows.append((dev, "temperature_data", ts, round(rnd.uniform(20, 40), 1), i))
     df = spark.createDataFrame(rows, "device_id string, dataset_id string, ts_ms long, value double, seq long")
     return rows, df.withColumn("ts", ms_to_ts("ts_ms"))
 
@@ -33,11 +39,12 @@ def _with_static_plan(spark, fn):
             spark.conf.set(k, v)
 
 
-def test_hot_device_is_split_across_tasks(spark):
-    rows, df = _hot_readings(spark)
+@pytest.mark.parametrize("burst", [False, True])
+def test_hot_device_is_split_across_tasks(spark, burst):
+    rows, df = _hot_readings(spark, burst=burst)
 
     def shares():
-        out = streaks.streak_counts(df, block_ms=HOUR)
+        out = streaks.streak_counts(df, slices=SLICES)
         per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
         hot = out.where(F.col("device_id") == "hot").groupBy(F.spark_partition_id().alias("p")).count().collect()
         return [r["count"] for r in per_task], [r["count"] for r in hot]
@@ -48,20 +55,38 @@ def test_hot_device_is_split_across_tasks(spark):
     assert len(hot) >= 6                      # the hot device spans many tasks
     assert max(per_task) / total < 0.25       # no task holds the hot device's third
 
-    alerts = streaks.rising_streaks(df, 3, block_ms=HOUR)
+    alerts = streaks.rising_streaks(df, 3, slices=SLICES)
     got = sorted(tuple(r) for r in alerts.select("device_id", "start_ms", "counts", "ts_ms").collect())
     assert got == brute_streaks([(d, t, s, v) for d, _, t, v, s in rows], 3)
 
 
-def test_hot_bin_changelog_is_split(spark):
-    _, df = _hot_readings(spark)
+@pytest.mark.parametrize("burst", [False, True])
+def test_hot_bin_changelog_is_split(spark, burst):
+    rows, df = _hot_readings(spark, burst=burst)
     df = df.withColumn("value", F.lit(30.2))     # every reading in one bin
 
     def shares():
-        out = histogram.histogram_changelog(df, block_ms=HOUR)
+        out = histogram.histogram_changelog(df, slices=SLICES)
         return [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()], out
 
     per_task, out = _with_static_plan(spark, shares)
     assert len(per_task) >= 6 and max(per_task) / sum(per_task) < 0.3
-    cnts = sorted(r.cnt for r in out.collect())
-    assert cnts == list(range(1, df.count() + 1))
+    got = sorted((r.seq, r.bin, r.cnt) for r in out.collect())
+    assert got == brute_changelog([(s, t, 30.2) for _, _, t, _, s in rows], 25.5, 0.5, 20)
+
+
+def test_scan_refuses_mismatched_slicing(spark):
+    """Without exchange reuse the two passes sample their own slice bounds;
+    the scan must fail rather than return wrong counts."""
+    _, df = _hot_readings(spark)
+    keys = {"spark.sql.exchange.reuse": "false",
+            "spark.sql.execution.rangeExchange.sampleSizePerPartition": "1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        with pytest.raises(Exception, match="different range slices"):
+            streaks.streak_counts(df, slices=SLICES).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

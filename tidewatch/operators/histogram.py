@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch import config
 from tidewatch.config import READING_COLS, Cols
 from tidewatch.functions.bins import assign_bin
-from tidewatch.operators.scan import blocked_running_count, time_block
+from tidewatch.operators.scan import ordered_running_count
 
 
 def with_bin(df: DataFrame, start: float = config.BIN_START, step: float = config.BIN_STEP,
@@ -34,20 +34,18 @@ def histogram(df: DataFrame, start: float = config.BIN_START, step: float = conf
 
 def histogram_changelog(df: DataFrame, start: float = config.BIN_START, step: float = config.BIN_STEP,
                         count: int = config.BIN_COUNT, cols: Cols = READING_COLS,
-                        block_ms: int = 3_600_000) -> DataFrame:
+                        slices: int | None = None) -> DataFrame:
     """The stream of updated counts a running histogram emits, one per reading.
 
     For each reading, in (ts, order) order: its bin and the bin's count
-    including it.  With only ``count`` bins a plain per-bin window would put a
-    bin's whole history in one task, so the count runs per (bin, time block)
-    and adds the sizes of earlier blocks (see :mod:`tidewatch.operators.scan`).
+    including it.  There are only ``count`` bins, so a plain per-bin window
+    would put a bin's whole history in one task.  Instead the rows are
+    range-sliced on (bin, ts, order) and numbered within balanced slices
+    (see :mod:`tidewatch.operators.scan`); a hot bin spans many slices.
     """
     binned = (
         df.select(cols.device, cols.dataset, cols.ts_ms, cols.order,
                   assign_bin(cols.value, start, step, count).alias("bin"))
         .where(F.col("bin").isNotNull())
     )
-    return blocked_running_count(
-        binned, keys=["bin"], order=[cols.ts_ms, cols.order],
-        block=time_block(cols.ts_ms, block_ms), out="cnt",
-    )
+    return ordered_running_count(binned, "bin", cols.ts_ms, cols.order, out="cnt", slices=slices)

@@ -1,59 +1,293 @@
-"""Ordered running counts that do not funnel a hot key into one task.
+"""Ordered scans per key (running counts, run detection) that no hot key can funnel.
 
-A window ``partitionBy(key).orderBy(t)`` puts every row of a key into one
+A window ``partitionBy(key).orderBy(ts)`` puts every row of a key into one
 task; when one key holds a large share of the data that task is the whole
-job.  Here the order is cut into blocks (a coarse function of the order,
-e.g. the hour of the timestamp), and the count runs in two steps:
-
-1. within (key, block): ``row_number`` over the block's rows;
-2. across blocks: a running sum of block sizes, computed on the small table
-   of (key, block) counts, joined back by (key, block).
-
-Rows are shuffled once, by (key, block); the block sizes come from a
-map-side combined count.  The block table has one row per
-(key, block); its join is left to AQE, which broadcasts it only when the
-measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-and otherwise shuffles it to the rows' existing partitioning.
+job.  Cutting the order into *time* blocks helps only while a key's rows are
+spread over time: a burst, or many rows at one timestamp, still lands in one
+block.
+
+Here rows are range-partitioned on ``(key, ts, seq)``.  Spark samples the
+sort keys and picks slice bounds so that every slice holds about the same
+number of rows, splitting a hot key between consecutive slices at sampled
+``(ts, seq)`` points.  No slice holds much more than ``rows / slices``,
+whatever the key or time distribution.  Each slice is sorted and scanned once
+in order by a vectorised kernel; only a slice's *first* key can continue
+from earlier slices.  The work is two passes over the one shuffled input:
+
+1. **summary**: each slice reports its first and last key segment (size,
+   first and last value, the run at its end): at most two rows per slice;
+2. **carry**: a window over that table, partitioned by key and ordered by
+   slice, resolves per slice what its first key carries in: (run start,
+   previous value, run length).  The table has at most one row per slice, a
+   proven bound, so it joins back as a broadcast;
+3. **scan**: each slice is scanned again, starting from its carry.
+
+Both passes read the same exchange: they take whole rows (nothing to prune),
+so the plans match and Spark reuses the one shuffle.  The bounds come from
+that one shuffle dependency, and a retried or recomputed task reads the same
+slice.  If the two passes ever saw different slices (exchange reuse turned
+off), a slice's first row would not match the summary's fingerprint of it,
+and the scan fails instead of returning wrong counts.
+
+Arrow batches of a slice are scanned one after another with the state carried
+between them, so a slice is never held in memory whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidewatch.session import ship_package
+
+RISING = "rising"      # a run restarts at a new key or when the value does not rise
+COUNT = "count"        # a run restarts only at a new key: counts are positions within the key
+
+
+def slice_count(df: DataFrame, slices: int | None = None) -> int:
+    """``slices`` if given, else the session's shuffle partition count."""
+    if slices:
+        return int(slices)
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def not_null(cols: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
 
 
-def time_block(ts_ms_col: str, block_ms: int) -> Column:
-    """Block number of an epoch-ms time: floor(ts / block_ms)."""
-    return F.floor(F.col(ts_ms_col) / F.lit(block_ms)).cast("long")
+# ---------------------------------------------------------------------------
+# vectorised kernel (runs inside tasks)
+# ---------------------------------------------------------------------------
 
+def ge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a >= b`` with Spark SQL's NaN rule (NaN equals NaN and is largest)."""
+    return (a >= b) | np.isnan(a)
 
-def blocked_running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
-                          out: str = "running") -> DataFrame:
-    """Add ``out`` = 1-based position of each row within its key, in ``order``.
 
-    ``block`` must be non-decreasing along ``order`` within a key.
+def advance_runs(key: np.ndarray | None, ts_ms: np.ndarray, values: np.ndarray | None, state: tuple | None,
+                 rule: str = RISING):
+    """Apply the run rule to rows already in (key, ts, seq) order.
+
+    ``key`` holds the key per row (``None``: all rows share one key).
+    ``state`` is the run carried in, ``(key, start_ms, prev_value, count)``,
+    or ``None``.  A new key starts a run; under ``RISING`` so does a value
+    not above the previous one.  Returns per-row ``(start_ms, counts)`` and
+    the state after the last row.
     """
-    keys = list(keys)
-    not_null = F.lit(True)
-    for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    placed = df.where(not_null).withColumn("_blk", block).where(F.col("_blk").isNotNull())
-    # The window shuffles by (key, block) itself; an explicit repartition
-    # would add a second exchange for floating-point keys, which the window
-    # partitions on their NaN/zero-normalised form.
-    local = placed.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(*order))
+    n = len(ts_ms)
+    idx = np.arange(n)
+    restart = np.zeros(n, dtype=bool)
+    if rule == RISING:
+        restart[1:] = ge(values[:-1], values[1:])
+    if key is not None and n > 1:
+        restart[1:] |= key[1:] != key[:-1]
+    carried = state is not None and (key is None or state[0] == key[0])
+    restart[0] = not carried
+    if carried and rule == RISING:
+        restart[0] = bool(ge(np.array([state[2]], dtype="float64"), values[:1])[0])
+    last = np.maximum.accumulate(np.where(restart, idx, -1))
+    own = last >= 0
+    safe = np.where(own, last, 0)
+    c_start, c_cnt = (int(state[1]), int(state[3])) if carried else (0, 0)
+    counts = np.where(own, idx - safe + 1, c_cnt + idx + 1).astype("int64")
+    start = np.where(own, ts_ms[safe], c_start).astype("int64")
+    last_key = key[-1] if key is not None else (state[0] if state is not None else None)
+    last_v = float(values[-1]) if values is not None else 0.0
+    return start, counts, (last_key, int(start[-1]), last_v, int(counts[-1]))
+
+
+def fingerprint(key, ts: int, seq: int) -> int:
+    """Stable id of a row's (key, ts, seq), to check both passes saw one slicing."""
+    return zlib.crc32(f"{key!r}|{int(ts)}|{int(seq)}".encode())
+
+
+class _Cols:
+    def __init__(self, key: str, ts: str, seq: str, value: str | None):
+        self.key, self.ts, self.seq, self.value = key, ts, seq, value
+
+    def arrays(self, pdf: pd.DataFrame):
+        key = pdf[self.key].to_numpy(object)
+        ts = pdf[self.ts].to_numpy("int64")
+        val = pdf[self.value].to_numpy("float64") if self.value else None
+        return key, ts, val
+
+
+def _segment(key, ts, val, start, counts, a: int, b: int) -> dict:
+    return {"k": key[a], "n": b - a, "first_v": float(val[a]) if val is not None else 0.0,
+            "first_ts": int(ts[a]), "last_v": float(val[b - 1]) if val is not None else 0.0,
+            "last_start": int(start[b - 1]), "last_cnt": int(counts[b - 1])}
+
+
+def _summarize(c: _Cols, rule: str):
+    """Per slice: its first and last key segment (at most two rows).
+
+    Runs are computed as if nothing came before the slice, so ``last_cnt < n``
+    means the segment restarts a run after its first row.  Per batch only the
+    segment continuing from the previous batch and the first and last segments
+    opened are touched, so the Python work per batch is constant.
+    """
+    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state = None
+        slice_id = check = None
+        first = cur = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            key, ts, val = c.arrays(pdf)
+            if slice_id is None:
+                slice_id = int(pdf["_slice"].iloc[0])
+                check = fingerprint(key[0], ts[0], pdf[c.seq].iloc[0])
+            start, counts, state_after = advance_runs(key, ts, val, state, rule)
+            size = len(key)
+            new = np.empty(size, dtype=bool)
+            new[0] = cur is None or cur["k"] != key[0]
+            new[1:] = key[1:] != key[:-1]
+            opens = np.flatnonzero(new)
+            cont = int(opens[0]) if len(opens) else size
+            if cont > 0:                       # rows continuing the open segment
+                cur["n"] += cont
+                cur.update(last_v=float(val[cont - 1]) if val is not None else 0.0,
+                           last_start=int(start[cont - 1]), last_cnt=int(counts[cont - 1]))
+            if len(opens):
+                if cur is not None and first is None:
+                    first = cur
+                end = int(opens[1]) if len(opens) > 1 else size
+                cur = _segment(key, ts, val, start, counts, int(opens[0]), end)
+                if len(opens) > 1:
+                    if first is None:
+                        first = cur
+                    cur = _segment(key, ts, val, start, counts, int(opens[-1]), size)
+            state = state_after
+        if cur is None:
+            return
+        segs = [first, cur] if first is not None else [cur]
+        out = pd.DataFrame(segs)
+        out["_slice"] = slice_id
+        out["is_first"] = [True] + [False] * (len(segs) - 1)
+        out["chk"] = check
+        yield out[["_slice", "k", "is_first", "chk", "n", "first_v", "first_ts", "last_v",
+                   "last_start", "last_cnt"]]
+    return summarize
+
+
+def _carry_in(segments: DataFrame, rule: str) -> DataFrame:
+    """Per slice, the run its first key carries in from earlier slices.
+
+    A key's segments in consecutive slices are all present (a key spanning a
+    slice is both its first and last segment).  A segment *resets* when it is
+    the key's first, or (``RISING``) when it restarts after its first row or
+    the previous segment's last value is >= its first value.  Otherwise it
+    extends the run carried in, so the run at its end is anchored at the
+    latest resetting segment plus the rows since.  Output, one row per
+    non-empty slice: ``_slice, chk, in_start, in_prev, in_cnt`` (nulls when
+    nothing is carried).
+    """
+    w = Window.partitionBy("k").orderBy("_slice")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev_last = F.lag("last_v").over(w)
+    resets = prev_last.isNull()
+    if rule == RISING:
+        resets = resets | (F.col("last_cnt") < F.col("n")) | (prev_last >= F.col("first_v"))
+    ends = (
+        segments.withColumn("_resets", resets)
+        .withColumn("_cum_n", F.sum("n").over(upto))
+        .withColumn("_a_cnt", F.when(F.col("_resets"), F.col("last_cnt") - F.col("_cum_n")))
+        .withColumn("_a_start", F.when(F.col("_resets"), F.col("last_start")))
+        .withColumn("_end_cnt", F.last("_a_cnt", ignorenulls=True).over(upto) + F.col("_cum_n"))
+        .withColumn("_end_start", F.last("_a_start", ignorenulls=True).over(upto))
     )
-    # Block sizes need no order: counted from the unshuffled rows, so the
-    # count is combined map-side and only (key, block, partial count) rows
-    # are shuffled; the scan for it reads just the key and block columns.
-    sizes = placed.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        local.join(offsets, on=[*keys, "_blk"], how="inner")
-        .withColumn(out, (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop("_blk", "_local", "_offset")
+        ends.select(
+            "_slice", "is_first", "chk",
+            F.lag("_end_start").over(w).alias("in_start"),
+            F.lag("last_v").over(w).alias("in_prev"),
+            F.lag("_end_cnt").over(w).alias("in_cnt"),
+        )
+        .where(F.col("is_first"))
+        .drop("is_first")
     )
+
+
+def _scan(c: _Cols, rule: str, keep: list[str], start_col: str | None, count_col: str,
+          min_count: int | None):
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state = None
+        first = True
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            key, ts, val = c.arrays(pdf)
+            if first:
+                first = False
+                head = pdf.iloc[0]
+                if pd.isna(head["chk"]) or int(head["chk"]) != fingerprint(key[0], ts[0], head[c.seq]):
+                    raise RuntimeError(
+                        "ordered scan: the summary and scan passes saw different range slices; "
+                        "keep spark.sql.exchange.reuse enabled so both read one shuffle")
+                if pd.notna(head["in_cnt"]):
+                    state = (key[0], int(head["in_start"]), float(head["in_prev"]), int(head["in_cnt"]))
+            start, counts, state = advance_runs(key, ts, val, state, rule)
+            sel = slice(None) if min_count is None else counts >= min_count
+            out = pdf.loc[sel, keep] if min_count is not None else pdf[keep]
+            out = out.reset_index(drop=True)
+            if start_col:
+                out[start_col] = start[sel]
+            out[count_col] = counts[sel]
+            if len(out):
+                yield out
+    return scan
+
+
+def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None = None, rule: str = RISING,
+                 keep: Sequence[str] | None = None, start_col: str | None = "start_ms", count_col: str = "counts",
+                 slices: int | None = None, min_count: int | None = None) -> DataFrame:
+    """Run a per-key ordered rule over ``df`` without funnelling any key.
+
+    Rows with a null key, ``ts``, ``seq`` (or ``value`` for ``RISING``) are
+    skipped.  Output: the ``keep`` columns (default: all input columns) plus
+    ``start_col`` (start of the row's run, epoch ms) and ``count_col`` (its
+    length so far), only rows with ``count >= min_count`` when given.
+    """
+    needed = [key, ts, seq] + ([value] if rule == RISING else [])
+    keep = list(keep) if keep is not None else list(df.columns)
+    cols_in = list(dict.fromkeys(keep + needed + ([value] if value else [])))
+    c = _Cols(key, ts, seq, value if rule == RISING else None)
+    ship_package(df.sparkSession)
+
+    rows = df.select(*cols_in).where(not_null(needed))
+    n = slice_count(df, slices)
+    placed = rows.repartitionByRange(n, key, ts, seq).withColumn("_slice", F.spark_partition_id())
+    order = [key, ts, seq]
+
+    key_type = rows.schema[key].dataType
+    seg_schema = T.StructType([
+        T.StructField("_slice", T.IntegerType()), T.StructField("k", key_type),
+        T.StructField("is_first", T.BooleanType()), T.StructField("chk", T.LongType()),
+        T.StructField("n", T.LongType()), T.StructField("first_v", T.DoubleType()),
+        T.StructField("first_ts", T.LongType()), T.StructField("last_v", T.DoubleType()),
+        T.StructField("last_start", T.LongType()), T.StructField("last_cnt", T.LongType()),
+    ])
+    segments = placed.sortWithinPartitions(*order).mapInPandas(_summarize(c, rule), seg_schema)
+    carry = F.broadcast(_carry_in(segments, rule))           # one row per slice
+    seeded = placed.join(carry, on="_slice", how="left").sortWithinPartitions(*order)
+
+    fields = [rows.schema[k] for k in keep]
+    if start_col:
+        fields.append(T.StructField(start_col, T.LongType()))
+    fields.append(T.StructField(count_col, T.LongType()))
+    return seeded.mapInPandas(_scan(c, rule, keep, start_col, count_col, min_count), T.StructType(fields))
+
+
+def ordered_running_count(df: DataFrame, key: str, ts: str, seq: str, out: str = "running",
+                          slices: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based position of each row within its key, in (ts, seq) order."""
+    return ordered_scan(df, key, ts, seq, rule=COUNT, start_col=None, count_col=out, slices=slices)

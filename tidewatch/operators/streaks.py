@@ -5,114 +5,42 @@ device's first or when the previous value is >= it; otherwise it extends the
 run.  A run's count is its length so far (the first reading counts 1).
 Every reading whose count reaches ``limit`` emits (device, run start, count).
 
-Distributed form, without one task per device
----------------------------------------------
-The order is cut into time blocks.  One window pass over (device, block)
-finds, per row, its position in the block, whether it restarts a run
-*inside* the block (previous in-block value >= it), and the latest such
-restart so far.  The per-block summary (size, first/last value, last
-in-block restart) is aggregated from those rows on the same partitioning
-(no extra shuffle).  A window over the small block table then resolves what
-crosses block edges: whether a block's first row restarts (previous block's
-last value >= it), the row offset of the block, and the latest restart in
-earlier blocks.  Joining that back gives every row its run start and count
-with plain column arithmetic.  Rows are shuffled once, by (device, block).
+The scan is :func:`tidewatch.operators.scan.ordered_scan` with the rising
+rule.  Rows are range-sliced on (device, ts, seq), so a device holding a
+third of all rows is spread over a third of the slices.  Each slice is
+scanned in order by the vectorised kernel :func:`advance_runs`, which is also
+what the streaming operator applies to each micro-batch, and runs crossing
+slice edges are resolved on a table of at most one row per slice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import config
 from tidewatch.config import READING_COLS, Cols
-from tidewatch.operators.scan import time_block
+from tidewatch.operators.scan import RISING, advance_runs, ordered_scan  # noqa: F401  (advance_runs re-exported)
 
 
-def streak_counts(df: DataFrame, cols: Cols = READING_COLS, block_ms: int = 3_600_000) -> DataFrame:
-    """Every reading with its run start and count.
+def streak_counts(df: DataFrame, cols: Cols = READING_COLS, slices: int | None = None,
+                  min_count: int | None = None) -> DataFrame:
+    """Readings with their run start and count (only ``counts >= min_count`` if given).
 
     Output: ``device_id, ts_ms, seq, value, start_ms, counts``.
     """
-    dev, ts, seq, val = cols.device, cols.ts_ms, cols.order, cols.value
-    # Null keys cannot be placed in a run; filtering them here (rather than
-    # letting the join infer it on one side only) keeps both uses of ``rows``
-    # identical, so the shuffle below is computed once and reused.
-    rows = (
-        df.select(F.col(dev).alias("device_id"), F.col(ts).alias("ts_ms"), F.col(seq).alias("seq"),
-                  F.col(val).alias("value"))
-        .where(F.col("device_id").isNotNull() & F.col("ts_ms").isNotNull() & F.col("value").isNotNull())
-        .withColumn("_blk", time_block("ts_ms", block_ms))
-        .where(F.col("_blk").isNotNull())
-        .repartition("device_id", "_blk")
-    )
-    in_block = Window.partitionBy("device_id", "_blk").orderBy("ts_ms", "seq")
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = F.lag("value").over(in_block)
-    local = (
-        rows.withColumn("_pos", F.row_number().over(in_block) - 1)
-        .withColumn("_restart", prev.isNotNull() & (prev >= F.col("value")))
-        .withColumn("_last_pos", F.max(F.when(F.col("_restart"), F.col("_pos"))).over(so_far))
-        .withColumn("_last_ts", F.max(F.when(F.col("_restart"), F.col("ts_ms"))).over(so_far))
-    )
-
-    blocks = local.groupBy("device_id", "_blk").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max(F.when(F.col("_pos") == 0, F.col("value"))).alias("_first_v"),
-        F.max(F.when(F.col("_pos") == 0, F.col("ts_ms"))).alias("_first_ts"),
-        F.max_by("value", "_pos").alias("_last_v"),
-        F.max("_last_pos").alias("_blk_last_pos"),
-        F.max("_last_ts").alias("_blk_last_ts"),
-    )
-    by_block = Window.partitionBy("device_id").orderBy("_blk")
-    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    prev_last = F.lag("_last_v").over(by_block)
-    carry = (
-        blocks.withColumn("_first_restart", prev_last.isNull() | (prev_last >= F.col("_first_v")))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        # latest restart inside this block, as a device-wide position and time
-        .withColumn(
-            "_r_pos",
-            F.when(F.col("_blk_last_pos").isNotNull(), F.col("_offset") + F.col("_blk_last_pos"))
-            .when(F.col("_first_restart"), F.col("_offset")),
-        )
-        .withColumn(
-            "_r_ts",
-            F.when(F.col("_blk_last_pos").isNotNull(), F.col("_blk_last_ts"))
-            .when(F.col("_first_restart"), F.col("_first_ts")),
-        )
-        .withColumn("_carry_pos", F.last("_r_pos", ignorenulls=True).over(earlier))
-        .withColumn("_carry_ts", F.last("_r_ts", ignorenulls=True).over(earlier))
-        .select("device_id", "_blk", "_first_restart", "_first_ts", "_offset", "_carry_pos", "_carry_ts")
-    )
-
-    joined = local.join(carry, on=["device_id", "_blk"], how="inner")
-    own = F.col("_last_pos").isNotNull()
-    from_first = F.col("_first_restart")
-    start_ms = (
-        F.when(own, F.col("_last_ts"))
-        .when(from_first, F.col("_first_ts"))
-        .otherwise(F.col("_carry_ts"))
-    )
-    counts = (
-        F.when(own, F.col("_pos") - F.col("_last_pos") + 1)
-        .when(from_first, F.col("_pos") + 1)
-        .otherwise(F.col("_offset") + F.col("_pos") - F.col("_carry_pos") + 1)
-    )
-    return joined.select(
-        "device_id", "ts_ms", "seq", "value",
-        start_ms.cast("long").alias("start_ms"), counts.cast("long").alias("counts"),
+    rows = df.select(
+        F.col(cols.device).cast("string").alias("device_id"), F.col(cols.ts_ms).cast("long").alias("ts_ms"),
+        F.col(cols.order).cast("long").alias("seq"), F.col(cols.value).cast("double").alias("value"),
     )
+    return ordered_scan(rows, "device_id", "ts_ms", "seq", "value", rule=RISING, slices=slices,
+                        min_count=min_count)
 
 
 def rising_streaks(df: DataFrame, limit: int = config.STREAK_LIMIT, cols: Cols = READING_COLS,
-                   block_ms: int = 3_600_000) -> DataFrame:
+                   slices: int | None = None) -> DataFrame:
     """Alerts: ``device_id, start_ms, counts, ts_ms`` for readings with count >= limit."""
-    return (
-        streak_counts(df, cols, block_ms)
-        .where(F.col("counts") >= F.lit(limit))
-        .select("device_id", "start_ms", "counts", "ts_ms")
-    )
+    return streak_counts(df, cols, slices, min_count=limit).select("device_id", "start_ms", "counts", "ts_ms")
 
 
 def streak_table(alerts: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ class JobParams:
     streak_limit: int = config.STREAK_LIMIT
     noise: str = "none"            # none | gaussian | uniform
     delay: str = "0 seconds"       # watermark delay
-    block_ms: int = 3_600_000      # time block for the batch streak scan
+    slices: int | None = None      # range slices of the batch streak scan (default: shuffle partitions)
 
 
 # ---------------------------------------------------------------------------
@@ -64,7 +64,7 @@ def window_job(lines: DataFrame, p: JobParams = JobParams()) -> DataFrame:
 def streak_job(lines: DataFrame, p: JobParams = JobParams()) -> DataFrame:
     """J4: temperature readings -> noise -> rising-streak alerts."""
     temp = cleaning.add_noise(cleaning.only_dataset(readings_from_lines(lines, p), p.temperature), p.noise)
-    return streaks.rising_streaks(temp, p.streak_limit, block_ms=p.block_ms)
+    return streaks.rising_streaks(temp, p.streak_limit, slices=p.slices)
 
 
 def combined_job(lines: DataFrame, p: JobParams = JobParams()) -> dict[str, DataFrame]:

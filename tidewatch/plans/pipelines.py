@@ -24,9 +24,9 @@ def temperature_histogram(r: DataFrame, p: EventProfile, noise: str = "none") ->
 
 
 def temperature_streaks(r: DataFrame, p: EventProfile, noise: str = "none",
-                        block_ms: int = 3_600_000) -> DataFrame:
+                        slices: int | None = None) -> DataFrame:
     temp = cleaning.add_noise(cleaning.only_dataset(r, p.temperature), noise)
-    return streaks.rising_streaks(temp, p.streak_limit, block_ms=block_ms)
+    return streaks.rising_streaks(temp, p.streak_limit, slices=slices)
 
 
 def dashboard(r: DataFrame, p: EventProfile) -> DataFrame:

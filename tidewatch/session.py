@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +64,35 @@ def state_path(spark: SparkSession, *parts: str) -> str:
     """A folder under the shared checkpoint dir (streaming state, versions)."""
     base = ensure_checkpoint_dir(spark)
     return "/".join([base.rstrip("/"), *parts])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewatch`` importable in the executors' Python workers.
+
+    Operators that run Python on executors (``mapInPandas``,
+    ``applyInPandasWithState``) reference this package's functions, so the
+    workers must import it.  This does what ``--py-files`` does: zip the
+    package once per application and hand it to ``SparkContext.addPyFile``,
+    which distributes it to every executor.  Nothing happens when the
+    package was already shipped with ``--py-files``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    if "tidewatch" in (spark.conf.get("spark.submit.pyFiles", "") or ""):
+        _SHIPPED.add(app)
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tidewatch-pkg-"), "tidewatch.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)

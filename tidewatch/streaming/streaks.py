@@ -23,35 +23,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch import config, schemas
+from tidewatch.operators.streaks import advance_runs
+from tidewatch.session import ship_package
 
 OUTPUT_SCHEMA = "device_id string, start_ms bigint, counts bigint, ts_ms bigint"
 STATE_SCHEMA = schemas.STREAK_STATE
 
 
 def advance_streaks(ts_ms: np.ndarray, values: np.ndarray, state: tuple | None):
-    """Run the streak rule over rows already in order.
+    """Run the streak rule over one device's rows, already in order.
 
     ``state`` is (start_ms, prev, cnt) carried from earlier rows, or None.
-    Returns per-row (start_ms, counts) and the new state.
+    Returns per-row (start_ms, counts) and the new state.  The rule itself is
+    the batch operator's kernel, so batch and stream cannot disagree.
     """
-    n = len(values)
-    idx = np.arange(n)
-    prev = np.empty(n)
-    prev[1:] = values[:-1]
-    restart = np.empty(n, dtype=bool)
-    restart[1:] = prev[1:] >= values[1:]
-    restart[0] = state is None or state[1] >= values[0]
-    last = np.maximum.accumulate(np.where(restart, idx, -1))
-    own = last >= 0
-    safe = np.where(own, last, 0)
-    if state is None:
-        carry_start, carry_cnt = 0, 0
-    else:
-        carry_start, carry_cnt = int(state[0]), int(state[2])
-    counts = np.where(own, idx - safe + 1, carry_cnt + idx + 1).astype("int64")
-    start = np.where(own, ts_ms[safe], carry_start).astype("int64")
-    new_state = (int(start[-1]), float(values[-1]), int(counts[-1]))
-    return start, counts, new_state
+    carried = None if state is None else (None, *state)
+    start, counts, (_, s, prev, cnt) = advance_runs(None, ts_ms, values, carried)
+    return start, counts, (s, prev, cnt)
 
 
 def _streak_function(limit: int):
@@ -82,6 +70,7 @@ def stream_rising_streaks(readings: DataFrame, limit: int = config.STREAK_LIMIT,
     quarantined.  Output mode is append; state never times out, as the rule
     keeps the last value of a device indefinitely.
     """
+    ship_package(readings.sparkSession)
     slim = readings.select(readings[device_col].cast("string").alias("device_id"), "ts_ms", "seq", "value")
     return slim.groupBy("device_id").applyInPandasWithState(
         _streak_function(limit), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
