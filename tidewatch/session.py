@@ -7,6 +7,7 @@ where durable intermediate state lives (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import zipfile
@@ -69,15 +70,28 @@ def state_path(spark: SparkSession, *parts: str) -> str:
 _SHIPPED: set[str] = set()
 
 
+def _package_zip() -> bytes:
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    return buf.getvalue()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidewatch`` importable in the executors' Python workers.
 
     Operators that run Python on executors (``mapInPandas``,
     ``applyInPandasWithState``) reference this package's functions, so the
     workers must import it.  This does what ``--py-files`` does: zip the
-    package once per application and hand it to ``SparkContext.addPyFile``,
-    which distributes it to every executor.  Nothing happens when the
-    package was already shipped with ``--py-files``.
+    package once per application and hand it to ``SparkContext.addPyFile``.
+    On a cluster the zip is written under the shared ``spark.checkpoint.dir``
+    (through the Hadoop FileSystem API), never to a machine-local folder.
+    Nothing happens when the package was already shipped with ``--py-files``.
     """
     sc = spark.sparkContext
     app = sc.applicationId
@@ -86,13 +100,19 @@ def ship_package(spark: SparkSession) -> None:
     if "tidewatch" in (spark.conf.get("spark.submit.pyFiles", "") or ""):
         _SHIPPED.add(app)
         return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="tidewatch-pkg-"), "tidewatch.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    data = _package_zip()
+    if sc.master.startswith("local"):
+        out = os.path.join(tempfile.mkdtemp(prefix="tidewatch-pkg-"), "tidewatch.zip")
+        with open(out, "wb") as fh:
+            fh.write(data)
+    else:
+        out = state_path(spark, "_pkg", app, "tidewatch.zip")
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(out)
+        stream = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            stream.write(bytearray(data))
+        finally:
+            stream.close()
     sc.addPyFile(out)
     _SHIPPED.add(app)
