@@ -97,3 +97,23 @@ def test_kafka_gated(spark):
     shaped = outputs.kafka_frame(spark.createDataFrame([("a start",)], "value string"),
                                  topic_col=None, topic="t")
     assert shaped.columns == ["value", "topic"]
+
+
+def test_upsert_writes_only_the_batch_and_compacts(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "mor")
+    rows = {}
+    for b in range(5):
+        batch = [(k, b * 10 + k) for k in range(b, b + 3)]          # keys overlap between batches
+        upsert.upsert(spark, root, spark.createDataFrame(batch, "k int, v long"), b, ["k"])
+        rows.update(dict(batch))
+        # a write adds exactly one delta folder; earlier ones are untouched
+        assert sorted(os.listdir(os.path.join(root, "delta")))[-1] == f"batch={b}"
+        if b == 2:
+            assert upsert.compact(spark, root) == 2
+    got = {r.k: r.v for r in upsert.read_table(spark, root).collect()}
+    assert got == rows
+    # an uncommitted (failed) attempt is never read
+    spark.createDataFrame([(0, -1)], "k int, v long").write.parquet(os.path.join(root, "delta", "batch=9"))
+    assert {r.k: r.v for r in upsert.read_table(spark, root).collect()} == rows
+    plan = upsert.read_table(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan

@@ -39,6 +39,7 @@ class JobParams:
     noise: str = "none"            # none | gaussian | uniform
     delay: str = "0 seconds"       # watermark delay
     slices: int | None = None      # range slices of the batch streak scan (default: shuffle partitions)
+    compact_every: int = 100       # fold upsert-table deltas into a new base every N micro-batches
 
 
 # ---------------------------------------------------------------------------
@@ -100,7 +101,7 @@ def start_histogram_stream(readings: DataFrame, table_root: str, p: JobParams =
     """J2 streaming: running bin counts, upserted by bin each micro-batch."""
     temp = cleaning.add_noise(cleaning.only_dataset(readings, p.temperature), p.noise)
     counts = stream_histogram(temp, p.bin_start, p.bin_step, p.bin_count)
-    writers = [upsert_writer(table_root, ["bin"])]
+    writers = [upsert_writer(table_root, ["bin"], compact_every=p.compact_every)]
     if console:
         writers.append(console_writer())
     w = counts.writeStream.outputMode("update").foreachBatch(fan_out(writers)).option(
@@ -119,7 +120,10 @@ def start_window_stream(readings: DataFrame, table_root: str, p: JobParams = Job
     """
     r = cleaning.add_noise(readings, p.noise)
     ext = stream_sliding_extremes(r, p.window_size, p.window_slide)
-    sink = append_writer(table_root) if mode == "append" else upsert_writer(table_root, ["dataset_id", "win_start"])
+    if mode == "append":
+        sink = append_writer(table_root)
+    else:
+        sink = upsert_writer(table_root, ["dataset_id", "win_start"], compact_every=p.compact_every)
     w = ext.writeStream.outputMode(mode).foreachBatch(sink).option(
         "checkpointLocation", _checkpoint(readings.sparkSession, checkpoint_root, "windows"))
     return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
@@ -131,7 +135,7 @@ def start_streak_stream(readings: DataFrame, table_root: str, p: JobParams = Job
     temp = cleaning.add_noise(cleaning.only_dataset(readings, p.temperature), p.noise)
     alerts = stream_rising_streaks(temp, p.streak_limit).drop("ts_ms")
     w = alerts.writeStream.outputMode("append").foreachBatch(
-        upsert_writer(table_root, ["device_id", "start_ms"], order="counts")).option(
+        upsert_writer(table_root, ["device_id", "start_ms"], order="counts", compact_every=p.compact_every)).option(
         "checkpointLocation", _checkpoint(readings.sparkSession, checkpoint_root, "streaks"))
     return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 

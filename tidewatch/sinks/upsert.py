@@ -1,17 +1,27 @@
-"""Keyed upsert into a versioned parquet table, idempotent per batch id.
-
-Without a transactional table format, each applied batch writes a complete
-new version of the table to ``<root>/v=<batch_id>/`` and publishes it by
-writing ``<root>/_commits/<batch_id>`` last.  Readers take the newest
-committed version, so a failed write is never seen, and replaying a batch id
-that is already committed is a no-op (exactly-once with
-``foreachBatch``'s at-least-once replays).
-
-The merge itself is a Spark job: the batch is reduced to one row per key
-(``max_by`` over an ordering column, partial aggregation first), old rows
-whose key appears in the batch are removed with a left-anti join, and the
-two are unioned.  Files go through the Hadoop FileSystem API, so the root
-may be on any shared store the cluster can write.
+"""Keyed upsert sink, merge-on-read, idempotent per micro-batch id.
+
+Layout under ``root``:
+
+* ``delta/batch=<id>/``: one micro-batch, reduced to its newest row per key;
+* ``_commits/<id>``: written last, after the delta, to publish the batch;
+* ``base/v=<id>/`` + ``_bases/<id>``: an optional compacted table holding
+  every key as of batch ``<id>``.
+
+A write costs O(batch), not O(table): the batch's rows are reduced per key
+(partial aggregation first) and written to their own folder.  Replaying a
+committed batch id is a no-op, and replaying an uncommitted one overwrites
+its folder.  So ``foreachBatch``'s at-least-once replays apply exactly once.
+
+Reading resolves the newest row per key over the newest base and the
+committed deltas after it: a hash aggregate keyed by the table key, taking
+each column from its highest batch id (``max_by``; a key appears once per
+batch, so the batch id identifies its row).  Uncommitted folders are pruned
+by the partition filter.  :func:`compact` folds everything into a new base
+(``compact_every`` in :func:`upsert_writer` does it every N batches), so a
+read scans at most that many deltas besides the base.
+
+Files go through the Hadoop FileSystem API, so the root may be on any shared
+store the cluster can write.
 """
 
 from __future__ import annotations
@@ -21,6 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH = "batch"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -38,62 +50,141 @@ def _touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, f"{root.rstrip('/')}/_commits")
+def _markers(spark: SparkSession, folder: str) -> list[int]:
+    fs, p = _fs(spark, folder)
     if not fs.exists(p):
         return []
     return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
 
 
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Batch ids applied to the table, ascending."""
+    return _markers(spark, f"{root.rstrip('/')}/_commits")
+
+
 def latest_version(spark: SparkSession, root: str) -> int | None:
     v = committed_versions(spark, root)
     return v[-1] if v else None
 
 
-def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """Newest committed version, or ``None`` (or an empty frame of ``schema``)."""
-    v = latest_version(spark, root)
-    if v is None:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(f"{root.rstrip('/')}/v={v}")
-
-
 def newest_per_key(batch: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
-    """One row per key: the row with the largest ``order`` (any row if None)."""
+    """One row per key: the row with the largest ``order`` (any row if None).
+
+    The row is kept whole (``max_by`` over a struct), so ties on ``order``
+    cannot mix columns of different rows.
+    """
     keys = list(keys)
     rest = [c for c in batch.columns if c not in keys]
-    if order is None:
+    if order is None or not rest:
         return batch.dropDuplicates(keys)
     packed = F.struct(*[F.col(c) for c in rest])
     return batch.groupBy(*keys).agg(F.max_by(packed, F.col(order)).alias("_r")).select(
         *keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def merge(old: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
-    """Table after applying ``batch``: batch rows replace old rows by key."""
-    new = newest_per_key(batch, keys, order)
-    if old is None:
-        return new
-    kept = old.join(new.select(*keys), on=list(keys), how="left_anti")
-    return kept.unionByName(new.select(*old.columns))
+def _resolve(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Newest row per key by the ``batch`` column (unique within a key)."""
+    keys = list(keys)
+    rest = [c for c in columns if c not in keys]
+    if not rest:
+        return rows.select(*keys).distinct()
+    picks = [F.max_by(F.col(c), F.col(BATCH)).alias(c) for c in rest]
+    return rows.groupBy(*keys).agg(*picks).select(*columns)
+
+
+def _read_resolved(spark: SparkSession, root: str, keys: Sequence[str] | None, upto: int | None = None):
+    root = root.rstrip("/")
+    commits = [v for v in committed_versions(spark, root) if upto is None or v <= upto]
+    if not commits:
+        return None, None
+    top = commits[-1]
+    bases = [v for v in _markers(spark, f"{root}/_bases") if v <= top]
+    base_v = bases[-1] if bases else None
+    parts = []
+    if base_v is not None:
+        parts.append(spark.read.parquet(f"{root}/base/v={base_v}").withColumn(BATCH, F.lit(base_v).cast("long")))
+    newer = [v for v in commits if base_v is None or v > base_v]
+    if newer:
+        deltas = (
+            spark.read.option("basePath", f"{root}/delta").parquet(f"{root}/delta")
+            .withColumn(BATCH, F.col(BATCH).cast("long"))
+            .where(F.col(BATCH).isin(newer))          # partition pruning: committed, after the base
+        )
+        parts.append(deltas)
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    columns = [c for c in rows.columns if c != BATCH]
+    if keys is None:
+        keys = _keys(spark, root)
+    return _resolve(rows, keys, columns), top
+
+
+def _keys(spark: SparkSession, root: str) -> list[str]:
+    fs, p = _fs(spark, f"{root}/_keys")
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return [k for k in str(line).split(",") if k]
+
+
+def _write_keys(spark: SparkSession, root: str, keys: Sequence[str]) -> None:
+    path = f"{root}/_keys"
+    if _exists(spark, path):
+        return
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(",".join(keys).encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
+    """The table after every committed batch, or ``None`` (or an empty frame of ``schema``)."""
+    table, _ = _read_resolved(spark, root, None)
+    if table is None:
+        return spark.createDataFrame([], schema) if schema is not None else None
+    return table
 
 
 def upsert(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, keys: Sequence[str],
            order: str | None = None) -> bool:
-    """Apply ``batch`` as version ``batch_id``; returns False if already applied."""
+    """Apply ``batch`` as batch ``batch_id``; returns False if already applied."""
     root = root.rstrip("/")
     if _exists(spark, f"{root}/_commits/{batch_id}"):
         return False
-    prev = [v for v in committed_versions(spark, root) if v < batch_id]
-    old = spark.read.parquet(f"{root}/v={prev[-1]}") if prev else None
-    merged = merge(old, batch, keys, order)
-    merged.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
+    _write_keys(spark, root, keys)
+    newest_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{root}/delta/{BATCH}={int(batch_id)}")
     _touch(spark, f"{root}/_commits/{batch_id}")
     return True
 
 
-def upsert_writer(root: str, keys: Sequence[str], order: str | None = None):
-    """``foreachBatch`` function applying each micro-batch with :func:`upsert`."""
+def compact(spark: SparkSession, root: str) -> int | None:
+    """Write the resolved table as a new base; returns its version.
+
+    A full rewrite, so run it every N batches rather than per batch.  Deltas
+    up to the base stay on storage but are no longer read.
+    """
+    root = root.rstrip("/")
+    table, top = _read_resolved(spark, root, None)
+    if table is None or _exists(spark, f"{root}/_bases/{top}"):
+        return top
+    table.write.mode("overwrite").parquet(f"{root}/base/v={top}")
+    _touch(spark, f"{root}/_bases/{top}")
+    return top
+
+
+def upsert_writer(root: str, keys: Sequence[str], order: str | None = None, compact_every: int | None = None):
+    """``foreachBatch`` function applying each micro-batch with :func:`upsert`,
+    compacting after every ``compact_every``-th batch id when given."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.sparkSession, root, batch, batch_id, keys, order)
+        spark = batch.sparkSession
+        applied = upsert(spark, root, batch, batch_id, keys, order)
+        if applied and compact_every and (batch_id + 1) % compact_every == 0:
+            compact(spark, root)
     return write
