@@ -30,7 +30,9 @@ off), a slice's first row would not match the summary's fingerprint of it,
 and the scan fails instead of returning wrong counts.
 
 Arrow batches of a slice are scanned one after another with the state carried
-between them, so a slice is never held in memory whole.
+between them, so a slice is never held in memory whole.  The
+passes use ``mapInArrow``: keys stay Arrow arrays compared in C++, numbers are
+numpy views, and no per-row Python objects are made.
 """
 
 from __future__ import annotations
@@ -39,7 +41,8 @@ import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,24 +76,25 @@ def ge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a >= b) | np.isnan(a)
 
 
-def advance_runs(key: np.ndarray | None, ts_ms: np.ndarray, values: np.ndarray | None, state: tuple | None,
-                 rule: str = RISING):
+def advance_runs(new_key: np.ndarray | None, first_key, last_key, ts_ms: np.ndarray, values: np.ndarray | None,
+                 state: tuple | None, rule: str = RISING):
     """Apply the run rule to rows already in (key, ts, seq) order.
 
-    ``key`` holds the key per row (``None``: all rows share one key).
-    ``state`` is the run carried in, ``(key, start_ms, prev_value, count)``,
-    or ``None``.  A new key starts a run; under ``RISING`` so does a value
-    not above the previous one.  Returns per-row ``(start_ms, counts)`` and
-    the state after the last row.
+    ``new_key[i]`` is True where row ``i`` has another key than row ``i-1``
+    (``None``: all rows share one key); ``first_key``/``last_key`` are the
+    keys of the first and last row.  ``state`` is the run carried in,
+    ``(key, start_ms, prev_value, count)``, or ``None``.  A new key starts a
+    run; under ``RISING`` so does a value not above the previous one.
+    Returns per-row ``(start_ms, counts)`` and the state after the last row.
     """
     n = len(ts_ms)
     idx = np.arange(n)
     restart = np.zeros(n, dtype=bool)
     if rule == RISING:
         restart[1:] = ge(values[:-1], values[1:])
-    if key is not None and n > 1:
-        restart[1:] |= key[1:] != key[:-1]
-    carried = state is not None and (key is None or state[0] == key[0])
+    if new_key is not None and n > 1:
+        restart[1:] |= new_key[1:]
+    carried = state is not None and state[0] == first_key
     restart[0] = not carried
     if carried and rule == RISING:
         restart[0] = bool(ge(np.array([state[2]], dtype="float64"), values[:1])[0])
@@ -100,7 +104,6 @@ def advance_runs(key: np.ndarray | None, ts_ms: np.ndarray, values: np.ndarray |
     c_start, c_cnt = (int(state[1]), int(state[3])) if carried else (0, 0)
     counts = np.where(own, idx - safe + 1, c_cnt + idx + 1).astype("int64")
     start = np.where(own, ts_ms[safe], c_start).astype("int64")
-    last_key = key[-1] if key is not None else (state[0] if state is not None else None)
     last_v = float(values[-1]) if values is not None else 0.0
     return start, counts, (last_key, int(start[-1]), last_v, int(counts[-1]))
 
@@ -111,22 +114,33 @@ def fingerprint(key, ts: int, seq: int) -> int:
 
 
 class _Cols:
+    """Column access on Arrow record batches: keys stay Arrow (compared in
+    C++), numbers become numpy views."""
+
     def __init__(self, key: str, ts: str, seq: str, value: str | None):
         self.key, self.ts, self.seq, self.value = key, ts, seq, value
 
-    def arrays(self, pdf: pd.DataFrame):
-        key = pdf[self.key].to_numpy(object)
-        ts = pdf[self.ts].to_numpy("int64")
-        val = pdf[self.value].to_numpy("float64") if self.value else None
-        return key, ts, val
+    def read(self, batch: pa.RecordBatch):
+        keys = batch.column(self.key)
+        changed = np.empty(len(keys), dtype=bool)
+        changed[0] = True
+        if len(keys) > 1:
+            changed[1:] = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        ts = batch.column(self.ts).to_numpy(zero_copy_only=False).astype("int64", copy=False)
+        val = (batch.column(self.value).to_numpy(zero_copy_only=False).astype("float64", copy=False)
+               if self.value else None)
+        return keys, changed, ts, val
 
 
-def _segment(key, ts, val, start, counts, a: int, b: int) -> dict:
-    return {"k": key[a], "n": b - a, "first_v": float(val[a]) if val is not None else 0.0,
+def _segment(keys, ts, val, start, counts, a: int, b: int) -> dict:
+    return {"k": keys[a].as_py(), "n": b - a, "first_v": float(val[a]) if val is not None else 0.0,
             "first_ts": int(ts[a]), "last_v": float(val[b - 1]) if val is not None else 0.0,
             "last_start": int(start[b - 1]), "last_cnt": int(counts[b - 1])}
 
 
+SEG_FIELDS = ("_slice", "k", "is_first", "chk", "n", "first_v", "first_ts", "last_v", "last_start", "last_cnt")
+
+
 def _summarize(c: _Cols, rule: str):
     """Per slice: its first and last key segment (at most two rows).
 
@@ -135,22 +149,23 @@ def _summarize(c: _Cols, rule: str):
     segment continuing from the previous batch and the first and last segments
     opened are touched, so the Python work per batch is constant.
     """
-    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
-        slice_id = check = None
+        slice_id = check = key_type = None
         first = cur = None
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            key, ts, val = c.arrays(pdf)
+            keys, changed, ts, val = c.read(batch)
+            k0, k1 = keys[0].as_py(), keys[-1].as_py()
             if slice_id is None:
-                slice_id = int(pdf["_slice"].iloc[0])
-                check = fingerprint(key[0], ts[0], pdf[c.seq].iloc[0])
-            start, counts, state_after = advance_runs(key, ts, val, state, rule)
-            size = len(key)
-            new = np.empty(size, dtype=bool)
-            new[0] = cur is None or cur["k"] != key[0]
-            new[1:] = key[1:] != key[:-1]
+                slice_id = batch.column("_slice")[0].as_py()
+                check = fingerprint(k0, ts[0], batch.column(c.seq)[0].as_py())
+                key_type = keys.type
+            start, counts, state_after = advance_runs(changed, k0, k1, ts, val, state, rule)
+            size = batch.num_rows
+            new = changed
+            new[0] = cur is None or cur["k"] != k0
             opens = np.flatnonzero(new)
             cont = int(opens[0]) if len(opens) else size
             if cont > 0:                       # rows continuing the open segment
@@ -161,21 +176,23 @@ def _summarize(c: _Cols, rule: str):
                 if cur is not None and first is None:
                     first = cur
                 end = int(opens[1]) if len(opens) > 1 else size
-                cur = _segment(key, ts, val, start, counts, int(opens[0]), end)
+                cur = _segment(keys, ts, val, start, counts, int(opens[0]), end)
                 if len(opens) > 1:
                     if first is None:
                         first = cur
-                    cur = _segment(key, ts, val, start, counts, int(opens[-1]), size)
+                    cur = _segment(keys, ts, val, start, counts, int(opens[-1]), size)
             state = state_after
         if cur is None:
             return
         segs = [first, cur] if first is not None else [cur]
-        out = pd.DataFrame(segs)
-        out["_slice"] = slice_id
-        out["is_first"] = [True] + [False] * (len(segs) - 1)
-        out["chk"] = check
-        yield out[["_slice", "k", "is_first", "chk", "n", "first_v", "first_ts", "last_v",
-                   "last_start", "last_cnt"]]
+        cols = {f: [s.get(f) for s in segs] for f in SEG_FIELDS[4:]}
+        cols.update(_slice=[slice_id] * len(segs), k=[s["k"] for s in segs],
+                    is_first=[i == 0 for i in range(len(segs))], chk=[check] * len(segs))
+        schema = pa.schema([("_slice", pa.int32()), ("k", key_type), ("is_first", pa.bool_()),
+                            ("chk", pa.int64()), ("n", pa.int64()), ("first_v", pa.float64()),
+                            ("first_ts", pa.int64()), ("last_v", pa.float64()), ("last_start", pa.int64()),
+                            ("last_cnt", pa.int64())])
+        yield pa.RecordBatch.from_pydict({f: cols[f] for f in SEG_FIELDS}, schema=schema)
     return summarize
 
 
@@ -219,30 +236,36 @@ def _carry_in(segments: DataFrame, rule: str) -> DataFrame:
 
 def _scan(c: _Cols, rule: str, keep: list[str], start_col: str | None, count_col: str,
           min_count: int | None):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
         first = True
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            key, ts, val = c.arrays(pdf)
+            keys, changed, ts, val = c.read(batch)
+            k0, k1 = keys[0].as_py(), keys[-1].as_py()
             if first:
                 first = False
-                head = pdf.iloc[0]
-                if pd.isna(head["chk"]) or int(head["chk"]) != fingerprint(key[0], ts[0], head[c.seq]):
+                chk = batch.column("chk")[0].as_py()
+                if chk is None or chk != fingerprint(k0, ts[0], batch.column(c.seq)[0].as_py()):
                     raise RuntimeError(
                         "ordered scan: the summary and scan passes saw different range slices; "
                         "keep spark.sql.exchange.reuse enabled so both read one shuffle")
-                if pd.notna(head["in_cnt"]):
-                    state = (key[0], int(head["in_start"]), float(head["in_prev"]), int(head["in_cnt"]))
-            start, counts, state = advance_runs(key, ts, val, state, rule)
-            sel = slice(None) if min_count is None else counts >= min_count
-            out = pdf.loc[sel, keep] if min_count is not None else pdf[keep]
-            out = out.reset_index(drop=True)
+                if batch.column("in_cnt")[0].is_valid:
+                    state = (k0, batch.column("in_start")[0].as_py(), batch.column("in_prev")[0].as_py(),
+                             batch.column("in_cnt")[0].as_py())
+            start, counts, state = advance_runs(changed, k0, k1, ts, val, state, rule)
+            arrays = [batch.column(k) for k in keep]
+            names = list(keep)
             if start_col:
-                out[start_col] = start[sel]
-            out[count_col] = counts[sel]
-            if len(out):
+                arrays.append(pa.array(start, pa.int64()))
+                names.append(start_col)
+            arrays.append(pa.array(counts, pa.int64()))
+            names.append(count_col)
+            out = pa.RecordBatch.from_arrays(arrays, names=names)
+            if min_count is not None:
+                out = out.filter(pa.array(counts >= min_count))
+            if out.num_rows:
                 yield out
     return scan
 
@@ -276,7 +299,7 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
         T.StructField("first_ts", T.LongType()), T.StructField("last_v", T.DoubleType()),
         T.StructField("last_start", T.LongType()), T.StructField("last_cnt", T.LongType()),
     ])
-    segments = placed.sortWithinPartitions(*order).mapInPandas(_summarize(c, rule), seg_schema)
+    segments = placed.sortWithinPartitions(*order).mapInArrow(_summarize(c, rule), seg_schema)
     carry = F.broadcast(_carry_in(segments, rule))           # one row per slice
     seeded = placed.join(carry, on="_slice", how="left").sortWithinPartitions(*order)
 
@@ -284,7 +307,7 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
     if start_col:
         fields.append(T.StructField(start_col, T.LongType()))
     fields.append(T.StructField(count_col, T.LongType()))
-    return seeded.mapInPandas(_scan(c, rule, keep, start_col, count_col, min_count), T.StructType(fields))
+    return seeded.mapInArrow(_scan(c, rule, keep, start_col, count_col, min_count), T.StructType(fields))
 
 
 def ordered_running_count(df: DataFrame, key: str, ts: str, seq: str, out: str = "running",

@@ -38,7 +38,7 @@ def advance_streaks(ts_ms: np.ndarray, values: np.ndarray, state: tuple | None):
     the batch operator's kernel, so batch and stream cannot disagree.
     """
     carried = None if state is None else (None, *state)
-    start, counts, (_, s, prev, cnt) = advance_runs(None, ts_ms, values, carried)
+    start, counts, (_, s, prev, cnt) = advance_runs(None, None, None, ts_ms, values, carried)
     return start, counts, (s, prev, cnt)
 
 
