@@ -117,3 +117,12 @@ def test_upsert_writes_only_the_batch_and_compacts(spark, tmp_dir):
     assert {r.k: r.v for r in upsert.read_table(spark, root).collect()} == rows
     plan = upsert.read_table(spark, root)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+
+
+def test_upsert_writer_compacts_every_n(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "auto")
+    w = upsert.upsert_writer(root, ["k"], compact_every=2)
+    for b in range(3):
+        w(spark.createDataFrame([(b % 2, b)], "k int, v long"), b)
+    assert sorted(f for f in os.listdir(os.path.join(root, "_bases")) if f.isdigit()) == ["1"]
+    assert {r.k: r.v for r in upsert.read_table(spark, root).collect()} == {0: 2, 1: 1}

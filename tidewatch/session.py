@@ -90,10 +90,23 @@ def ship_package(spark: SparkSession) -> None:
     workers must import it.  This does what ``--py-files`` does: zip the
     package once per application and hand it to ``SparkContext.addPyFile``.
     On a cluster the zip is written under the shared ``spark.checkpoint.dir``
-    (through the Hadoop FileSystem API), never to a machine-local folder.
+    (through the Hadoop FileSystem API), never to a machine-local folder; a
+    Spark Connect client uploads it as a session artifact instead.
     Nothing happens when the package was already shipped with ``--py-files``.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect sessions have no SparkContext)
+        sc = None
+    if sc is None:
+        key = f"connect:{id(spark)}"
+        if key not in _SHIPPED:
+            out = os.path.join(tempfile.mkdtemp(prefix="tidewatch-pkg-"), "tidewatch.zip")
+            with open(out, "wb") as fh:
+                fh.write(_package_zip())
+            spark.addArtifacts(out, pyfile=True)      # uploaded through the Connect channel
+            _SHIPPED.add(key)
+        return
     app = sc.applicationId
     if app in _SHIPPED:
         return
