@@ -8,7 +8,7 @@ Every reading whose count reaches ``limit`` emits (device, run start, count).
 The scan is :func:`tidewatch.operators.scan.ordered_scan` with the rising
 rule.  Rows are range-sliced on (device, ts, seq), so a device holding a
 third of all rows is spread over a third of the slices.  Each slice is
-scanned in order by the vectorised kernel :func:`advance_runs`, which is also
+scanned in order by the vectorised kernel ``scan.advance_runs``, which is also
 what the streaming operator applies to each micro-batch, and runs crossing
 slice edges are resolved on a table of at most one row per slice.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import config
 from tidewatch.config import READING_COLS, Cols
-from tidewatch.operators.scan import RISING, advance_runs, ordered_scan  # noqa: F401  (advance_runs re-exported)
+from tidewatch.operators.scan import RISING, ordered_scan
 
 
 def streak_counts(df: DataFrame, cols: Cols = READING_COLS, slices: int | None = None,

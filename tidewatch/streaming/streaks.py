@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch import config, schemas
-from tidewatch.operators.streaks import advance_runs
+from tidewatch.operators.scan import advance_runs
 from tidewatch.session import ship_package
 
 OUTPUT_SCHEMA = "device_id string, start_ms bigint, counts bigint, ts_ms bigint"
