@@ -126,3 +126,24 @@ def test_upsert_writer_compacts_every_n(spark, tmp_dir):
         w(spark.createDataFrame([(b % 2, b)], "k int, v long"), b)
     assert sorted(f for f in os.listdir(os.path.join(root, "_bases")) if f.isdigit()) == ["1"]
     assert {r.k: r.v for r in upsert.read_table(spark, root).collect()} == {0: 2, 1: 1}
+
+
+def test_archive_splits_a_hot_hour(spark, tmp_dir):
+    """Processing-time folders put a whole batch in one hour; the write must
+    still be spread over several tasks (AQE splits the rebalanced partition)."""
+    root = os.path.join(tmp_dir, "hot")
+    # eight input splits, as a multi-file source has; AQE splits a hot reducer
+    # partition along map-task boundaries
+    lines = pipelines.event_lines(spark, SF_SMALL).repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        archive.write_archive(lines, root)                # processing time: one (day, hour)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    days = [d for d in os.listdir(root) if d.startswith("day=")]
+    hours = [os.path.join(root, d, h) for d in days for h in os.listdir(os.path.join(root, d))
+             if h.startswith("hour=")]
+    files = [f for h in hours for f in os.listdir(h) if f.startswith("part-")]
+    assert len(files) >= 4
+    assert archive.read_archive(spark, root).count() == lines.count()

@@ -24,11 +24,14 @@ def write_archive(lines: DataFrame, root: str, time_col: str | None = None, line
                   mode: str = "append") -> None:
     """Write lines under day/hour folders.
 
-    Rows are clustered by (day, hour) first so each task writes few files
-    instead of one per partition value it happens to hold.
+    Rows are clustered by (day, hour) so each task writes few files instead of
+    one per partition value it happens to hold.  The clustering is a
+    ``REBALANCE`` hint, not ``repartition``: with processing-time folders a
+    whole batch shares one hour, and AQE splits such an oversized (day, hour)
+    partition into advisory-size chunks, so no single task writes the hour.
     """
     arch = archive_columns(lines, time_col).select(line_col, "day", "hour")
-    (arch.repartition("day", "hour").write.mode(mode).partitionBy("day", "hour").text(root))
+    (arch.hint("rebalance", "day", "hour").write.mode(mode).partitionBy("day", "hour").text(root))
 
 
 def read_archive(spark, root: str, day: str | None = None, hour: str | None = None) -> DataFrame:
