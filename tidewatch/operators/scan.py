@@ -20,14 +20,16 @@ from earlier slices.  The work is two passes over the one shuffled input:
    slice, resolves per slice what its first key carries in: (run start,
    previous value, run length).  The table has at most one row per slice, a
    proven bound, so it joins back as a broadcast;
-3. **scan**: each slice is scanned again, starting from its carry.
+3. **scan**: each slice is scanned again as if nothing came before it; the
+   rows whose run began at the slice's first row (the *open* rows) are then
+   fixed up with the slice's carry by that broadcast join, in the JVM.
 
 Both passes read the same exchange: they take whole rows (nothing to prune),
 so the plans match and Spark reuses the one shuffle.  The bounds come from
 that one shuffle dependency, and a retried or recomputed task reads the same
 slice.  If the two passes ever saw different slices (exchange reuse turned
 off), a slice's first row would not match the summary's fingerprint of it,
-and the scan fails instead of returning wrong counts.
+and the fix-up raises an error instead of returning wrong counts.
 
 Arrow batches of a slice are scanned one after another with the state carried
 between them, so a slice is never held in memory whole.  The
@@ -205,8 +207,9 @@ def _carry_in(segments: DataFrame, rule: str) -> DataFrame:
     the previous segment's last value is >= its first value.  Otherwise it
     extends the run carried in, so the run at its end is anchored at the
     latest resetting segment plus the rows since.  Output, one row per
-    non-empty slice: ``_slice, chk, in_start, in_prev, in_cnt`` (nulls when
-    nothing is carried).
+    non-empty slice: ``_slice, chk, in_start, in_cnt, extends``, where
+    ``extends`` says the slice's first run continues the carried one (its
+    first value rises above the previous one).
     """
     w = Window.partitionBy("k").orderBy("_slice")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -222,49 +225,54 @@ def _carry_in(segments: DataFrame, rule: str) -> DataFrame:
         .withColumn("_end_cnt", F.last("_a_cnt", ignorenulls=True).over(upto) + F.col("_cum_n"))
         .withColumn("_end_start", F.last("_a_start", ignorenulls=True).over(upto))
     )
+    carried = F.lag("_end_cnt").over(w)
+    extends = carried.isNotNull()
+    if rule == RISING:
+        extends = extends & ~(prev_last >= F.col("first_v"))
     return (
         ends.select(
             "_slice", "is_first", "chk",
             F.lag("_end_start").over(w).alias("in_start"),
-            F.lag("last_v").over(w).alias("in_prev"),
-            F.lag("_end_cnt").over(w).alias("in_cnt"),
+            carried.alias("in_cnt"),
+            extends.alias("extends"),
         )
         .where(F.col("is_first"))
         .drop("is_first")
     )
 
 
-def _scan(c: _Cols, rule: str, keep: list[str], start_col: str | None, count_col: str,
-          min_count: int | None):
+def _scan(c: _Cols, rule: str, keep: list[str], start_col: str, count_col: str, min_count: int | None):
+    """Scan one sorted slice as if nothing came before it.
+
+    Rows whose run began at the slice's first row are *open*: a run carried
+    in from earlier slices may extend them, so they are always emitted (the
+    slice's first row is always open) and fixed up after the scan.  A row at
+    slice position ``g`` is open exactly when its local count is ``g + 1``.
+    Other rows are final and emitted when ``count >= min_count``.  Open rows
+    carry the fingerprint of the slice's first row for the slicing check.
+    """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
-        first = True
+        pos = 0
+        check = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             keys, changed, ts, val = c.read(batch)
             k0, k1 = keys[0].as_py(), keys[-1].as_py()
-            if first:
-                first = False
-                chk = batch.column("chk")[0].as_py()
-                if chk is None or chk != fingerprint(k0, ts[0], batch.column(c.seq)[0].as_py()):
-                    raise RuntimeError(
-                        "ordered scan: the summary and scan passes saw different range slices; "
-                        "keep spark.sql.exchange.reuse enabled so both read one shuffle")
-                if batch.column("in_cnt")[0].is_valid:
-                    state = (k0, batch.column("in_start")[0].as_py(), batch.column("in_prev")[0].as_py(),
-                             batch.column("in_cnt")[0].as_py())
+            if check is None:
+                check = fingerprint(k0, ts[0], batch.column(c.seq)[0].as_py())
             start, counts, state = advance_runs(changed, k0, k1, ts, val, state, rule)
-            arrays = [batch.column(k) for k in keep]
-            names = list(keep)
-            if start_col:
-                arrays.append(pa.array(start, pa.int64()))
-                names.append(start_col)
-            arrays.append(pa.array(counts, pa.int64()))
-            names.append(count_col)
-            out = pa.RecordBatch.from_arrays(arrays, names=names)
+            size = batch.num_rows
+            is_open = counts == np.arange(pos + 1, pos + size + 1)
+            pos += size
+            arrays = [batch.column(k) for k in keep] + [
+                pa.array(start, pa.int64()), pa.array(counts, pa.int64()), pa.array(is_open),
+                batch.column("_slice"), pa.array(np.where(is_open, check, 0), pa.int64(), mask=~is_open)]
+            out = pa.RecordBatch.from_arrays(arrays, names=list(keep) + [start_col, count_col, "_open", "_slice",
+                                                                        "_chk"])
             if min_count is not None:
-                out = out.filter(pa.array(counts >= min_count))
+                out = out.filter(pa.array((counts >= min_count) | is_open))
             if out.num_rows:
                 yield out
     return scan
@@ -299,15 +307,38 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
         T.StructField("first_ts", T.LongType()), T.StructField("last_v", T.DoubleType()),
         T.StructField("last_start", T.LongType()), T.StructField("last_cnt", T.LongType()),
     ])
-    segments = placed.sortWithinPartitions(*order).mapInArrow(_summarize(c, rule), seg_schema)
+    ordered = placed.sortWithinPartitions(*order)
+    segments = ordered.mapInArrow(_summarize(c, rule), seg_schema)
     carry = F.broadcast(_carry_in(segments, rule))           # one row per slice
-    seeded = placed.join(carry, on="_slice", how="left").sortWithinPartitions(*order)
 
-    fields = [rows.schema[k] for k in keep]
-    if start_col:
-        fields.append(T.StructField(start_col, T.LongType()))
-    fields.append(T.StructField(count_col, T.LongType()))
-    return seeded.mapInArrow(_scan(c, rule, keep, start_col, count_col, min_count), T.StructType(fields))
+    tmp_start, tmp_count = "_local_start", "_local_count"
+    scan_schema = T.StructType([rows.schema[k] for k in keep] + [
+        T.StructField(tmp_start, T.LongType()), T.StructField(tmp_count, T.LongType()),
+        T.StructField("_open", T.BooleanType()), T.StructField("_slice", T.IntegerType()),
+        T.StructField("_chk", T.LongType())])
+    local = ordered.mapInArrow(_scan(c, rule, keep, tmp_start, tmp_count, min_count), scan_schema)
+
+    # apply what each slice carries in to its open rows; a slice whose first row
+    # does not match the summary's fingerprint was sliced differently: fail
+    fixed = local.join(carry, on="_slice", how="left")
+    mismatch = F.col("_open") & ~F.col("_chk").eqNullSafe(F.col("chk"))
+    ext = F.col("_open") & F.coalesce(F.col("extends"), F.lit(False))
+    count_expr = (
+        F.when(mismatch, F.raise_error(F.lit(
+            "ordered scan: the summary and scan passes saw different range slices; "
+            "keep spark.sql.exchange.reuse enabled so both read one shuffle")))
+        .when(ext, F.col("in_cnt") + F.col(tmp_count))
+        .otherwise(F.col(tmp_count))
+        .cast("long")
+    )
+    out = fixed.select(
+        *keep,
+        F.when(ext, F.col("in_start")).otherwise(F.col(tmp_start)).alias(start_col or tmp_start),
+        count_expr.alias(count_col),
+    )
+    if min_count is not None:
+        out = out.where(F.col(count_col) >= F.lit(min_count))
+    return out if start_col else out.drop(tmp_start)
 
 
 def ordered_running_count(df: DataFrame, key: str, ts: str, seq: str, out: str = "running",
