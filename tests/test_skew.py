@@ -90,3 +90,29 @@ def test_scan_refuses_mismatched_slicing(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_run_spanning_many_slices(spark):
+    """One device rising for 1000 readings crosses every slice: each slice is
+    all open rows, and the carry must chain through all of them."""
+    rows = [("up", "temperature_data", t, float(t), t) for t in range(1000)]
+    rows += [(f"d{i}", "temperature_data", i, 1.0, 5000 + i) for i in range(50)]
+    df = spark.createDataFrame(rows, "device_id string, dataset_id string, ts_ms long, value double, seq long")
+    out = streaks.streak_counts(df.withColumn("ts", ms_to_ts("ts_ms")), slices=16)
+    got = {r.seq: (r.start_ms, r.counts) for r in out.where("device_id = 'up'").collect()}
+    assert got == {t: (0, t + 1) for t in range(1000)}
+
+
+def test_running_count_string_keys_any_slicing(spark):
+    from tidewatch.operators import scan
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", "hot", "hot", "hot"]), rnd.randint(0, 20), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, ts long, seq long")
+    want = {}
+    seen = {}
+    for k, t, s in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        seen[k] = seen.get(k, 0) + 1
+        want[s] = seen[k]
+    for slices in (1, 5, 23):
+        got = {r.seq: r.n for r in scan.ordered_running_count(df, "k", "ts", "seq", out="n", slices=slices).collect()}
+        assert got == want
