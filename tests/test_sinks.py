@@ -147,3 +147,18 @@ def test_archive_splits_a_hot_hour(spark, tmp_dir):
     files = [f for h in hours for f in os.listdir(h) if f.startswith("part-")]
     assert len(files) >= 4
     assert archive.read_archive(spark, root).count() == lines.count()
+
+
+def test_vacuum_keeps_one_generation(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "vac")
+    w = upsert.upsert_writer(root, ["k"], compact_every=2)
+    want = {}
+    for b in range(6):
+        batch = [(b % 3, b)]
+        w(spark.createDataFrame(batch, "k int, v long"), b)
+        want.update(dict(batch))
+    # bases at 1, 3, 5: deltas up to 3 and the base at 1 are gone
+    deltas = sorted(d for d in os.listdir(os.path.join(root, "delta")) if d.startswith("batch="))
+    assert deltas == ["batch=4", "batch=5"]
+    assert sorted(d for d in os.listdir(os.path.join(root, "base")) if d.startswith("v=")) == ["v=3", "v=5"]
+    assert {r.k: r.v for r in upsert.read_table(spark, root).collect()} == want

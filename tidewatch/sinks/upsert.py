@@ -18,7 +18,8 @@ each column from its highest batch id (``max_by``; a key appears once per
 batch, so the batch id identifies its row).  Uncommitted folders are pruned
 by the partition filter.  :func:`compact` folds everything into a new base
 (``compact_every`` in :func:`upsert_writer` does it every N batches), so a
-read scans at most that many deltas besides the base.
+read scans at most that many deltas besides the base, and :func:`vacuum`
+then removes the deltas and bases no reader can still need.
 
 Files go through the Hadoop FileSystem API, so the root may be on any shared
 store the cluster can write.
@@ -168,7 +169,8 @@ def compact(spark: SparkSession, root: str) -> int | None:
     """Write the resolved table as a new base; returns its version.
 
     A full rewrite, so run it every N batches rather than per batch.  Deltas
-    up to the base stay on storage but are no longer read.
+    up to the base are no longer read; :func:`vacuum` removes them one
+    generation later.
     """
     root = root.rstrip("/")
     table, top = _read_resolved(spark, root, None)
@@ -179,12 +181,44 @@ def compact(spark: SparkSession, root: str) -> int | None:
     return top
 
 
-def upsert_writer(root: str, keys: Sequence[str], order: str | None = None, compact_every: int | None = None):
+def vacuum(spark: SparkSession, root: str) -> list[str]:
+    """Delete storage no reader can still need; returns the removed folders.
+
+    One generation is kept as grace: with bases ``... < prev < newest``,
+    deltas up to ``prev`` and bases older than ``prev`` are removed.  A
+    reader that resolved against ``newest`` or ``prev`` still finds all its
+    files.  Commit markers stay (they are tiny and guard replays).
+    """
+    root = root.rstrip("/")
+    bases = _markers(spark, f"{root}/_bases")
+    if len(bases) < 2:
+        return []
+    cutoff = bases[-2]
+    removed = []
+    fs, delta = _fs(spark, f"{root}/delta")
+    if fs.exists(delta):
+        for st in fs.listStatus(delta):
+            name = st.getPath().getName()
+            if name.startswith(f"{BATCH}=") and name.split("=", 1)[1].isdigit() and int(name.split("=", 1)[1]) <= cutoff:
+                fs.delete(st.getPath(), True)
+                removed.append(f"delta/{name}")
+    for v in bases:
+        if v < cutoff:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/base/v={v}"), True)
+            removed.append(f"base/v={v}")
+    return removed
+
+
+def upsert_writer(root: str, keys: Sequence[str], order: str | None = None, compact_every: int | None = None,
+                  retain: bool = False):
     """``foreachBatch`` function applying each micro-batch with :func:`upsert`,
-    compacting after every ``compact_every``-th batch id when given."""
+    compacting after every ``compact_every``-th batch id when given, and
+    then (with ``retain=False``) vacuuming what the compaction superseded."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         applied = upsert(spark, root, batch, batch_id, keys, order)
         if applied and compact_every and (batch_id + 1) % compact_every == 0:
             compact(spark, root)
+            if not retain:
+                vacuum(spark, root)
     return write
