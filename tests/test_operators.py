@@ -180,3 +180,22 @@ def test_serving_queries(spark):
     assert '"tempinterval"' in payload and '"humiwinstart"' in payload
     side = serving.temp_humi_by_window(ext).collect()
     assert len(side) == ext.select("win_start").distinct().count()
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    data=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(-200_000, 200_000), st.integers(-5, 5)),
+                  min_size=1, max_size=40),
+    size_slide=st.sampled_from([(60, 10), (25, 10), (30, 30), (7, 3), (3600, 600)]),
+    ntz=st.booleans(),
+)
+def test_pane_windows_equal_direct_windows(spark, data, size_slide, ntz):
+    size, slide = (f"{size_slide[0]} seconds", f"{size_slide[1]} seconds")
+    rows = [("d", ds, t, float(v), i) for i, (ds, t, v) in enumerate(data)]
+    df = readings_df(spark, [(d, ds, t * 37, v) for d, ds, t, v, _ in rows])
+    if ntz:
+        df = df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    pane = windows.sliding_extremes(df, size, slide, panes=True)
+    direct = windows.sliding_extremes(df, size, slide, panes=False)
+    assert [(f.name, f.dataType) for f in pane.schema] == [(f.name, f.dataType) for f in direct.schema]
+    assert sorted(tuple(r) for r in pane.collect()) == sorted(tuple(r) for r in direct.collect())

@@ -1,34 +1,50 @@
 """Event-time sliding-window extremes per dataset.
 
-``F.window`` with a slide expands each reading into size/slide windows
-(one ``Expand`` projection each), then ``max``/``min``/``count`` aggregate
-partially before the shuffle and finally after it, so a hot dataset is
-combined map-side and only one partial row per (task, dataset, window)
-crosses the network.  Columns are pruned to (dataset, ts, value) before the
-expansion so the row blow-up carries three fields.
+``F.window`` with a slide would copy each reading into size/slide windows (an
+``Expand``) before aggregating.  For batch inputs the readings are instead
+aggregated once into panes, tumbling windows of gcd(size, slide), and only
+the small pane table is fanned out to windows.  ``max``/``min``/``count``
+aggregate partially before each shuffle, so a hot dataset is combined
+map-side.  Columns are pruned to (dataset, ts, value) at the scan.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch import config
 from tidewatch.config import READING_COLS, Cols
 
 
+_UNIT_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000,
+            "week": 604_800_000}
+
+
+def interval_ms(text: str) -> int | None:
+    """``"10 minutes"`` -> 600000; None for forms this parser does not know."""
+    parts = text.strip().lower().split()
+    if len(parts) != 2:
+        return None
+    num, unit = parts
+    unit = unit[:-1] if unit.endswith("s") else unit
+    if unit not in _UNIT_MS or not num.isdigit():
+        return None
+    return int(num) * _UNIT_MS[unit]
+
+
+def _long(v: int):
+    return F.lit(v).cast("long")
+
+
 def window_column(ts_col: str, size: str, slide: str | None):
     return F.window(F.col(ts_col), size, slide) if slide else F.window(F.col(ts_col), size)
 
 
-def sliding_extremes(df: DataFrame, size: str = config.WINDOW_SIZE, slide: str = config.WINDOW_SLIDE,
-                     cols: Cols = READING_COLS) -> DataFrame:
-    """Per (dataset, window): max, min and count of values.
-
-    Windows are epoch-aligned ``[start, end)``; the label of a result is its
-    grouping key.  Works on batch and on streams (add a watermark first for
-    append mode).
-    """
+def _direct_extremes(df: DataFrame, size: str, slide: str, cols: Cols) -> DataFrame:
     return (
         df.select(cols.dataset, cols.ts, cols.value)
         .groupBy(F.col(cols.dataset).alias("dataset_id"), window_column(cols.ts, size, slide).alias("w"))
@@ -46,6 +62,65 @@ def sliding_extremes(df: DataFrame, size: str = config.WINDOW_SIZE, slide: str =
     )
 
 
+def _pane_extremes(df: DataFrame, size_ms: int, slide_ms: int, cols: Cols) -> DataFrame:
+    """Sliding extremes through panes (tumbling windows of gcd(size, slide)).
+
+    Each reading is aggregated once, into its pane, instead of being copied
+    into every window that covers it.  The pane table (datasets x panes) is
+    then fanned out to the size/slide windows covering each pane and merged:
+    max of maxima, min of minima, sum of counts.  A pane lies inside a window
+    exactly when its start does, so the result equals the direct form.
+    Arithmetic is in integer microseconds.
+    """
+    g = math.gcd(size_ms, slide_ms) * 1000
+    size_us, slide_us = size_ms * 1000, slide_ms * 1000
+    per_pane = -(-size_ms // slide_ms)                    # windows a pane can belong to
+    ts_type = df.schema[cols.ts].dataType
+    us = F.unix_micros(F.col(cols.ts).cast("timestamp"))
+    panes = (
+        df.where(F.col(cols.ts).isNotNull())
+        .select(F.col(cols.dataset).alias("dataset_id"), (us - F.pmod(us, _long(g))).alias("_pane"),
+                F.col(cols.value).alias("_v"))
+        .groupBy("dataset_id", "_pane")
+        .agg(F.max("_v").alias("_max"), F.min("_v").alias("_min"), F.count(F.lit(1)).alias("_n"))
+    )
+    latest = F.col("_pane") - F.pmod(F.col("_pane"), _long(slide_us))
+    fanned = (
+        panes.select("*", F.explode(F.sequence(_long(0), _long(per_pane - 1))).alias("_j"))
+        .withColumn("_s", latest - F.col("_j") * _long(slide_us))
+        .where(F.col("_s") + _long(size_us) > F.col("_pane"))
+    )
+
+    def as_ts(c):
+        t = F.timestamp_micros(c)
+        return t.cast("timestamp_ntz") if isinstance(ts_type, T.TimestampNTZType) else t
+
+    return (
+        fanned.groupBy("dataset_id", "_s")
+        .agg(F.max("_max").alias("max_value"), F.min("_min").alias("min_value"), F.sum("_n").alias("n"))
+        .select("dataset_id", as_ts(F.col("_s")).alias("win_start"),
+                as_ts(F.col("_s") + _long(size_us)).alias("win_end"), "max_value", "min_value", "n")
+    )
+
+
+def sliding_extremes(df: DataFrame, size: str = config.WINDOW_SIZE, slide: str = config.WINDOW_SLIDE,
+                     cols: Cols = READING_COLS, panes: bool | None = None) -> DataFrame:
+    """Per (dataset, window): max, min and count of values.
+
+    Windows are epoch-aligned ``[start, end)``; the label of a result is its
+    grouping key.  Batch inputs go through panes (:func:`_pane_extremes`), so
+    a reading is aggregated once rather than once per covering window.
+    Streams use ``F.window`` directly, whose watermark handling a single
+    stateful aggregate keeps simple (add a watermark first for append mode).
+    """
+    size_ms, slide_ms = interval_ms(size), interval_ms(slide) if slide else interval_ms(size)
+    if panes is None:
+        panes = not df.isStreaming
+    if panes and size_ms and slide_ms:
+        return _pane_extremes(df, size_ms, slide_ms, cols)
+    return _direct_extremes(df, size, slide, cols)
+
+
 def salted_extremes(df: DataFrame, n_salts: int = 8, size: str = config.WINDOW_SIZE,
                     slide: str = config.WINDOW_SLIDE, cols: Cols = READING_COLS) -> DataFrame:
     """Two-phase form of :func:`sliding_extremes` spreading each key over salts.
