@@ -118,6 +118,8 @@ def test_salted_equals_unsalted(spark):
     rows = [("d", rnd.choice(["a", "b"]), rnd.randint(0, 600_000), rnd.uniform(-5, 5)) for _ in range(500)]
     df = readings_df(spark, rows)
     a = sorted(tuple(r) for r in windows.sliding_extremes(df).collect())
+    # independent of the pane code: the direct F.window form
+    assert sorted(tuple(r) for r in windows.sliding_extremes(df, panes=False).collect()) == a
     for n in (1, 3, 16):
         assert sorted(tuple(r) for r in windows.salted_extremes(df, n).collect()) == a
 

@@ -62,7 +62,7 @@ def _direct_extremes(df: DataFrame, size: str, slide: str, cols: Cols) -> DataFr
     )
 
 
-def _pane_extremes(df: DataFrame, size_ms: int, slide_ms: int, cols: Cols) -> DataFrame:
+def _pane_extremes(df: DataFrame, size_ms: int, slide_ms: int, cols: Cols, salt=None) -> DataFrame:
     """Sliding extremes through panes (tumbling windows of gcd(size, slide)).
 
     Each reading is aggregated once, into its pane, instead of being copied
@@ -70,18 +70,21 @@ def _pane_extremes(df: DataFrame, size_ms: int, slide_ms: int, cols: Cols) -> Da
     then fanned out to the size/slide windows covering each pane and merged:
     max of maxima, min of minima, sum of counts.  A pane lies inside a window
     exactly when its start does, so the result equals the direct form.
-    Arithmetic is in integer microseconds.
+    With ``salt`` the pane aggregate is also keyed by the salt, and the window
+    merge combines salts and panes in one step.  Arithmetic is in integer
+    microseconds.
     """
     g = math.gcd(size_ms, slide_ms) * 1000
     size_us, slide_us = size_ms * 1000, slide_ms * 1000
     per_pane = -(-size_ms // slide_ms)                    # windows a pane can belong to
     ts_type = df.schema[cols.ts].dataType
     us = F.unix_micros(F.col(cols.ts).cast("timestamp"))
+    salt_cols = [salt.alias("_salt")] if salt is not None else []
     panes = (
         df.where(F.col(cols.ts).isNotNull())
         .select(F.col(cols.dataset).alias("dataset_id"), (us - F.pmod(us, _long(g))).alias("_pane"),
-                F.col(cols.value).alias("_v"))
-        .groupBy("dataset_id", "_pane")
+                F.col(cols.value).alias("_v"), *salt_cols)
+        .groupBy(*(["_salt"] if salt is not None else []), "dataset_id", "_pane")
         .agg(F.max("_v").alias("_max"), F.min("_v").alias("_min"), F.count(F.lit(1)).alias("_n"))
     )
     latest = F.col("_pane") - F.pmod(F.col("_pane"), _long(slide_us))
@@ -126,13 +129,17 @@ def salted_extremes(df: DataFrame, n_salts: int = 8, size: str = config.WINDOW_S
     """Two-phase form of :func:`sliding_extremes` spreading each key over salts.
 
     Phase 1 groups by (salt, dataset, window), phase 2 merges by (dataset,
-    window): max of maxima, min of minima, sum of counts.  The salt is a hash
+    window): max of maxima, min of minima, sum of counts.  Batch inputs use
+    panes for phase 1 (salt, dataset, pane), as :func:`sliding_extremes` does.  The salt is a hash
     of the row's order column, not ``rand()``, so a retried task assigns the
     same salts.  Spark's partial aggregation already combines hot keys
     map-side; the explicit salt additionally splits a hot key's *final*
     aggregation over ``n_salts`` reducers.
     """
     salt = F.pmod(F.xxhash64(F.col(cols.order)), F.lit(n_salts))
+    size_ms, slide_ms = interval_ms(size), interval_ms(slide) if slide else interval_ms(size)
+    if not df.isStreaming and size_ms and slide_ms:
+        return _pane_extremes(df, size_ms, slide_ms, cols, salt=salt)
     phase1 = (
         df.select(cols.dataset, cols.ts, cols.value, salt.alias("_salt"))
         .groupBy("_salt", F.col(cols.dataset).alias("dataset_id"), window_column(cols.ts, size, slide).alias("w"))
