@@ -92,14 +92,21 @@ def test_scan_refuses_mismatched_slicing(spark):
             spark.conf.set(k, v)
 
 
-def test_run_spanning_many_slices(spark):
+@pytest.mark.parametrize("batch_rows", ["10000", "7"])
+def test_run_spanning_many_slices(spark, batch_rows):
     """One device rising for 1000 readings crosses every slice: each slice is
-    all open rows, and the carry must chain through all of them."""
+    all open rows, and the carry must chain through all of them (and through
+    every Arrow batch of a slice)."""
     rows = [("up", "temperature_data", t, float(t), t) for t in range(1000)]
     rows += [(f"d{i}", "temperature_data", i, 1.0, 5000 + i) for i in range(50)]
     df = spark.createDataFrame(rows, "device_id string, dataset_id string, ts_ms long, value double, seq long")
-    out = streaks.streak_counts(df.withColumn("ts", ms_to_ts("ts_ms")), slices=16)
-    got = {r.seq: (r.start_ms, r.counts) for r in out.where("device_id = 'up'").collect()}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        out = streaks.streak_counts(df.withColumn("ts", ms_to_ts("ts_ms")), slices=16)
+        got = {r.seq: (r.start_ms, r.counts) for r in out.where("device_id = 'up'").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert got == {t: (0, t + 1) for t in range(1000)}
 
 
@@ -116,3 +123,23 @@ def test_running_count_string_keys_any_slicing(spark):
     for slices in (1, 5, 23):
         got = {r.seq: r.n for r in scan.ordered_running_count(df, "k", "ts", "seq", out="n", slices=slices).collect()}
         assert got == want
+
+
+@pytest.mark.parametrize("slices", [1, 3, 8])
+def test_state_carries_across_arrow_batches(spark, slices):
+    """Tiny Arrow batches: a slice arrives in many batches, so segments and
+    runs must carry from batch to batch inside the slice."""
+    rows, df = _hot_readings(spark, n=900, seed=9)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for limit in (1, 2, 3):
+            got = sorted(tuple(r) for r in streaks.rising_streaks(df, limit, slices=slices)
+                         .select("device_id", "start_ms", "counts", "ts_ms").collect())
+            assert got == brute_streaks([(d, t, s, v) for d, _, t, v, s in rows], limit)
+        binned = df.withColumn("value", F.lit(25.0) + (F.col("seq") % 7) * 0.5)
+        got = sorted((r.seq, r.bin, r.cnt) for r in histogram.histogram_changelog(binned, slices=slices).collect())
+        want = brute_changelog([(s, t, 25.0 + (s % 7) * 0.5) for _, _, t, _, s in rows], 25.5, 0.5, 20)
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
