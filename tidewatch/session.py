@@ -85,7 +85,7 @@ def _package_zip() -> bytes:
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidewatch`` importable in the executors' Python workers.
 
-    Operators that run Python on executors (``mapInPandas``,
+    Operators that run Python on executors (``mapInArrow``,
     ``applyInPandasWithState``) reference this package's functions, so the
     workers must import it.  This does what ``--py-files`` does: zip the
     package once per application and hand it to ``SparkContext.addPyFile``.
