@@ -1,7 +1,11 @@
 import math
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from helpers import brute_bin
+
 from tidewatch.functions import (assign_bin, bin_edges, contains_any, contains_none, format_winstart,
                                  route_topic, substring_after, to_line)
 from tidewatch.functions.noise import hash_gaussian, hash_uniform
@@ -69,3 +73,17 @@ def test_hashed_noise_is_reproducible_and_distributed(spark):
     mean = sum(gs) / len(gs)
     sd = math.sqrt(sum((g - mean) ** 2 for g in gs) / len(gs))
     assert abs(mean) < 0.05 and abs(sd - 1.0) < 0.05
+
+
+@settings(max_examples=25, deadline=None)
+@given(
+    values=st.lists(st.one_of(st.floats(allow_nan=True, allow_infinity=True, width=64),
+                              st.integers(-40, 60).map(lambda i: 25.5 + i * 0.1),
+                              st.integers(-5, 25).map(lambda i: 25.5 + i * 0.5)), min_size=1, max_size=30),
+    params=st.sampled_from([(25.5, 0.5, 20), (10.0, 10.0, 20), (25.5, 0.1, 37), (-3.0, 0.3, 11), (0.0, 1e-3, 5)]),
+)
+def test_assign_bin_is_smallest_edge_at_or_above(spark, values, params):
+    start, step, count = params
+    df = spark.createDataFrame([(float(v),) for v in values], "value double")
+    got = [r.b for r in df.select(assign_bin("value", start, step, count).alias("b")).collect()]
+    assert got == [brute_bin(v, start, step, count) for v in values]
