@@ -139,7 +139,7 @@ def q_tag_headers(spark: SparkSession, sf: str) -> DataFrame:
     tagged = cleaning.tag_dataset_header(readings(spark, sf))
     return tagged.select(
         "seq", "device_id",
-        F.to_json(F.map_from_entries(F.transform("headers", lambda h: F.struct(h["key"], h["value"].cast("string")))))
+        F.to_json(F.map_from_arrays(F.col("headers.key"), F.col("headers.value").cast("array<string>")))
         .alias("headers"),
     )
 
