@@ -284,7 +284,7 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
     """Run a per-key ordered rule over ``df`` without funnelling any key.
 
     Rows with a null key, ``ts``, ``seq`` (or ``value`` for ``RISING``) are
-    skipped.  Output: the ``keep`` columns (default: all input columns) plus
+    skipped; a NaN key raises an error.  Output: the ``keep`` columns (default: all input columns) plus
     ``start_col`` (start of the row's run, epoch ms) and ``count_col`` (its
     length so far), only rows with ``count >= min_count`` when given.
     """
@@ -295,6 +295,10 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
     ship_package(df.sparkSession)
 
     rows = df.select(*cols_in).where(not_null(needed))
+    if isinstance(rows.schema[key].dataType, (T.FloatType, T.DoubleType)):
+        # Arrow compares NaN keys as unequal, Spark groups them: refuse rather than miscount
+        rows = rows.withColumn(key, F.when(F.isnan(key), F.raise_error(F.lit(
+            f"ordered scan: NaN in key column {key}"))).otherwise(F.col(key)))
     n = slice_count(df, slices)
     placed = rows.repartitionByRange(n, key, ts, seq).withColumn("_slice", F.spark_partition_id())
     order = [key, ts, seq]
