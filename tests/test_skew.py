@@ -143,3 +143,26 @@ def test_state_carries_across_arrow_batches(spark, slices):
         assert got == want
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_aqe_coalesced_slices(spark):
+    """Without a fixed slice count AQE may merge adjacent range partitions;
+    both passes must see the same merged slices."""
+    rows, df = _hot_readings(spark, n=6000, seed=13)
+    keys = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+            "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        out = streaks.streak_counts(df)
+        n_slices = out.groupBy(F.spark_partition_id()).count().count()
+        got = sorted(tuple(r) for r in streaks.rising_streaks(df, 2)
+                     .select("device_id", "start_ms", "counts", "ts_ms").collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert 1 < n_slices < 32
+    assert got == brute_streaks([(d, t, s, v) for d, _, t, v, s in rows], 2)

@@ -55,13 +55,6 @@ RISING = "rising"      # a run restarts at a new key or when the value does not
 COUNT = "count"        # a run restarts only at a new key: counts are positions within the key
 
 
-def slice_count(df: DataFrame, slices: int | None = None) -> int:
-    """``slices`` if given, else the session's shuffle partition count."""
-    if slices:
-        return int(slices)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def not_null(cols: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -299,8 +292,11 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
         # Arrow compares NaN keys as unequal, Spark groups them: refuse rather than miscount
         rows = rows.withColumn(key, F.when(F.isnan(key), F.raise_error(F.lit(
             f"ordered scan: NaN in key column {key}"))).otherwise(F.col(key)))
-    n = slice_count(df, slices)
-    placed = rows.repartitionByRange(n, key, ts, seq).withColumn("_slice", F.spark_partition_id())
+    # A fixed slice count is kept as is; otherwise AQE may coalesce adjacent
+    # range partitions up to the advisory size (slices stay contiguous ranges,
+    # and both passes read one shuffle stage, so they coalesce alike).
+    ranged = rows.repartitionByRange(int(slices), key, ts, seq) if slices else rows.repartitionByRange(key, ts, seq)
+    placed = ranged.withColumn("_slice", F.spark_partition_id())
     order = [key, ts, seq]
 
     key_type = rows.schema[key].dataType

@@ -38,7 +38,7 @@ class JobParams:
     streak_limit: int = config.STREAK_LIMIT
     noise: str = "none"            # none | gaussian | uniform
     delay: str = "0 seconds"       # watermark delay
-    slices: int | None = None      # range slices of the batch streak scan (default: shuffle partitions)
+    slices: int | None = None      # fixed range slices of the batch streak scan (default: AQE-sized)
     compact_every: int = 100       # fold upsert-table deltas into a new base every N micro-batches
 
 
