@@ -9,7 +9,7 @@ from tidewatch.operators import dedup, histogram, streaks, windows
 from tidewatch.plans import jobs
 from tidewatch.sinks.upsert import read_table
 from tidewatch.sources.tables import load_table, readings
-from tidewatch.streaming.operators import stream_drop_repeated_polls, stream_sliding_extremes
+from tidewatch.streaming.operators import stream_drop_repeated_polls, stream_salted_extremes, stream_sliding_extremes
 from tidewatch.streaming.readers import events_stream, line_readings_stream
 from tidewatch.streaming.streaks import advance_streaks, stream_rising_streaks
 
@@ -151,3 +151,14 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
         [(x.split(",")[0], x.split(",")[1], int(x.split(",")[2]), float(x.split(",")[3]), i)
          for i, x in enumerate(rows)], "device_id string, dataset_id string, ts_ms long, value double, seq long"))
     assert sorted(r.ts_ms for r in got.collect()) == sorted(r.ts_ms for r in batch.collect())
+
+
+def test_salted_stream_equals_plain_stream_in_append_mode(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "ev")
+    load_table(spark, SF_SMALL, "events").write.parquet(src)
+    r = events_stream(spark, src, delay="10 minutes")
+    run_to_memory(stream_sliding_extremes(r, EVENTS.window_size, EVENTS.window_slide), "plain_out")
+    run_to_memory(stream_salted_extremes(r, 4, EVENTS.window_size, EVENTS.window_slide), "salted_out")
+    plain = sorted(tuple(x) for x in spark.table("plain_out").collect())
+    salted = sorted(tuple(x) for x in spark.table("salted_out").collect())
+    assert plain and salted == plain

@@ -30,9 +30,12 @@ def stream_sliding_extremes(readings: DataFrame, size: str = config.WINDOW_SIZE,
 
 def stream_salted_extremes(readings: DataFrame, n_salts: int = 8, size: str = config.WINDOW_SIZE,
                            slide: str = config.WINDOW_SLIDE, cols: Cols = READING_COLS) -> DataFrame:
-    """Two-phase salted form; two stateful aggregates, so use ``update`` mode
-    into an upsert sink (chained stateful aggregates need Spark's multiple
-    stateful operator support)."""
+    """Two-phase salted form.  It chains two stateful aggregates, which Spark
+    accepts in ``append`` mode only (update and complete are rejected for a
+    possible late-row correctness issue), so windows are emitted once closed;
+    for running results use :func:`stream_sliding_extremes` in update mode.
+    Streaming aggregation already combines a hot dataset map-side, so the
+    salt matters only when one (dataset, window) overloads its reducer."""
     return windows.salted_extremes(readings, n_salts, size, slide, cols)
 
 
