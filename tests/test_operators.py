@@ -201,3 +201,11 @@ def test_pane_windows_equal_direct_windows(spark, data, size_slide, ntz):
     direct = windows.sliding_extremes(df, size, slide, panes=False)
     assert [(f.name, f.dataType) for f in pane.schema] == [(f.name, f.dataType) for f in direct.schema]
     assert sorted(tuple(r) for r in pane.collect()) == sorted(tuple(r) for r in direct.collect())
+
+
+def test_with_device_id_and_with_bin(spark):
+    df = spark.createDataFrame([("humidity_data", 30.1), ("humidity_data", None)], "dataset_id string, value double")
+    out = histogram.with_bin(cleaning.with_device_id(df, "dev-1")).collect()
+    assert [(r.device_id, r.bin) for r in out] == [("dev-1", 30.5), ("dev-1", None)]
+    from_col = cleaning.with_device_id(df, F.concat(F.lit("d-"), F.col("dataset_id"))).first()
+    assert from_col.device_id == "d-humidity_data"

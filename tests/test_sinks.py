@@ -162,3 +162,11 @@ def test_vacuum_keeps_one_generation(spark, tmp_dir):
     assert deltas == ["batch=4", "batch=5"]
     assert sorted(d for d in os.listdir(os.path.join(root, "base")) if d.startswith("v=")) == ["v=3", "v=5"]
     assert {r.k: r.v for r in upsert.read_table(spark, root).collect()} == want
+
+
+def test_latest_version_tracks_commits(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "lv")
+    assert upsert.latest_version(spark, root) is None
+    upsert.upsert(spark, root, spark.createDataFrame([(1, 1)], "k int, v int"), 4, ["k"])
+    upsert.upsert(spark, root, spark.createDataFrame([(1, 2)], "k int, v int"), 9, ["k"])
+    assert upsert.latest_version(spark, root) == 9
