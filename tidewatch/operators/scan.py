@@ -277,9 +277,11 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
     """Run a per-key ordered rule over ``df`` without funnelling any key.
 
     Rows with a null key, ``ts``, ``seq`` (or ``value`` for ``RISING``) are
-    skipped; a NaN key raises an error.  Output: the ``keep`` columns (default: all input columns) plus
-    ``start_col`` (start of the row's run, epoch ms) and ``count_col`` (its
-    length so far), only rows with ``count >= min_count`` when given.
+    skipped; a NaN key raises an error.  Output: the ``keep`` columns
+    (default: all input columns) plus ``start_col`` (start of the row's run,
+    epoch ms) and ``count_col`` (its length so far), only rows with
+    ``count >= min_count`` when given.  ``slices`` fixes the number of range
+    slices; by default AQE sizes them.
     """
     needed = [key, ts, seq] + ([value] if rule == RISING else [])
     keep = list(keep) if keep is not None else list(df.columns)
