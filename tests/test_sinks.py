@@ -93,7 +93,7 @@ def test_jdbc_round_trip_embedded_derby(spark, tmp_dir):
 def test_kafka_gated(spark):
     # The connector is not installed here; the reader is still configurable.
     assert kafka_available(spark) in (True, False)
-    assert kafka_reader(spark, "broker:9092", "tmpctwing") is not None
+    assert kafka_reader(spark, "broker:9092", "readings") is not None
     shaped = outputs.kafka_frame(spark.createDataFrame([("a start",)], "value string"),
                                  topic_col=None, topic="t")
     assert shaped.columns == ["value", "topic"]
