@@ -32,8 +32,11 @@ def temperature_streaks(r: DataFrame, p: EventProfile, noise: str = "none",
 def dashboard(r: DataFrame, p: EventProfile) -> DataFrame:
     hist = temperature_histogram(r, p)
     ext = extremes(r, p)
-    table = streaks.streak_table(temperature_streaks(r, p))
-    return serving.dashboard_snapshot(hist, ext, table, p.temperature, p.humidity, config.LATEST_WINDOWS)
+    # The newest streak is the top alert by (start desc, counts desc, device):
+    # the same row the (device, start) table's top gives, with no aggregate
+    # shuffle, since Spark takes a per-partition top-1 first.
+    alerts = temperature_streaks(r, p).select("device_id", "start_ms", "counts")
+    return serving.dashboard_snapshot(hist, ext, alerts, p.temperature, p.humidity, config.LATEST_WINDOWS)
 
 
 def latest_per_device(r: DataFrame) -> DataFrame:
