@@ -187,3 +187,14 @@ def test_tail_source_resumes_from_checkpoint(spark, tmp_dir):
         fh.write("dev-1,temperature_data,2,31.0\n")
     run()
     assert seen == ["dev-1,temperature_data,1,30.0", "dev-1,temperature_data,2,31.0"]
+
+
+def test_pane_stream_equals_plain_stream_in_append_mode(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "ev")
+    load_table(spark, SF_SMALL, "events").write.parquet(src)
+    r = events_stream(spark, src, delay="10 minutes")
+    run_to_memory(stream_sliding_extremes(r, EVENTS.window_size, EVENTS.window_slide), "direct_win")
+    run_to_memory(stream_sliding_extremes(r, EVENTS.window_size, EVENTS.window_slide, panes=True), "pane_win")
+    direct = sorted(tuple(x) for x in spark.table("direct_win").collect())
+    pane = sorted(tuple(x) for x in spark.table("pane_win").collect())
+    assert direct and pane == direct

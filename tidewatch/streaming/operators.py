@@ -14,7 +14,10 @@ and the watermark contract:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewatch import config
 from tidewatch.config import READING_COLS, Cols
@@ -23,9 +26,32 @@ from tidewatch.operators import windows
 
 
 def stream_sliding_extremes(readings: DataFrame, size: str = config.WINDOW_SIZE,
-                            slide: str = config.WINDOW_SLIDE, cols: Cols = READING_COLS) -> DataFrame:
-    """Watermarked readings -> window extremes (append or update mode)."""
-    return windows.sliding_extremes(readings, size, slide, cols)
+                            slide: str = config.WINDOW_SLIDE, cols: Cols = READING_COLS,
+                            panes: bool = False) -> DataFrame:
+    """Watermarked readings -> window extremes (append or update mode).
+
+    ``panes=True`` (append mode only) aggregates each reading once into its
+    pane, a tumbling window of gcd(size, slide), then builds the sliding
+    windows from the panes' event time (``window_time``).  It uses two chained
+    stateful aggregates in place of copying every reading into size/slide
+    windows.
+    """
+    if not panes:
+        return windows.sliding_extremes(readings, size, slide, cols, panes=False)
+    size_ms, slide_ms = windows.interval_ms(size), windows.interval_ms(slide)
+    if not (size_ms and slide_ms):
+        raise ValueError(f"pane windows need simple durations, got {size!r} / {slide!r}")
+    pane = f"{math.gcd(size_ms, slide_ms)} milliseconds"
+    per_pane = (
+        readings.groupBy(F.col(cols.dataset).alias("dataset_id"), F.window(cols.ts, pane).alias("_p"))
+        .agg(F.max(cols.value).alias("_max"), F.min(cols.value).alias("_min"), F.count(F.lit(1)).alias("_n"))
+    )
+    return (
+        per_pane.groupBy("dataset_id", F.window(F.window_time("_p"), size, slide).alias("w"))
+        .agg(F.max("_max").alias("max_value"), F.min("_min").alias("min_value"), F.sum("_n").alias("n"))
+        .select("dataset_id", F.col("w.start").alias("win_start"), F.col("w.end").alias("win_end"),
+                "max_value", "min_value", "n")
+    )
 
 
 def stream_salted_extremes(readings: DataFrame, n_salts: int = 8, size: str = config.WINDOW_SIZE,
