@@ -119,7 +119,8 @@ def start_window_stream(readings: DataFrame, table_root: str, p: JobParams = Job
     shows windows that are still open.
     """
     r = cleaning.add_noise(readings, p.noise)
-    ext = stream_sliding_extremes(r, p.window_size, p.window_slide)
+    # panes chain two stateful aggregates, which Spark allows in append mode only
+    ext = stream_sliding_extremes(r, p.window_size, p.window_slide, panes=(mode == "append"))
     if mode == "append":
         sink = append_writer(table_root)
     else:
