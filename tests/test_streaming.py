@@ -217,3 +217,22 @@ def test_window_job_append_mode_equals_batch_closed_windows(spark, tmp_dir):
         readings(spark, SF_SMALL), p.window_size, p.window_slide).select(*cols).collect()}
     assert got and len(set(got)) == len(got)
     assert all(batch[g[:2]] == g for g in got)
+
+
+def test_g5_late_rows_same_in_pane_form(spark, tmp_dir):
+    """The append-mode pane form keeps and drops the same late rows as F.window."""
+    def ln(ms, v):
+        return f"dev-1,humidity_data,{ms},{v}"
+    got = {}
+    for panes in (False, True):
+        src = os.path.join(tmp_dir, f"in{panes}")
+        write_line_files(src, [
+            [ln(0, 1), ln(61000, 2), ln(130000, 3)],
+            [ln(5000, 9), ln(125000, 4)],
+            [ln(5001, 9.5), ln(300000, 5)],
+        ])
+        r = line_readings_stream(spark, src, delay="0 seconds", max_files_per_trigger=1)
+        run_to_memory(stream_sliding_extremes(r, panes=panes), f"g5_{panes}")
+        got[panes] = sorted(tuple(x) for x in spark.table(f"g5_{panes}").collect())
+    assert got[True] == got[False]
+    assert 9.0 in {x[3] for x in got[True]} and 9.5 not in {x[3] for x in got[True]}
