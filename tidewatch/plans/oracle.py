@@ -124,6 +124,10 @@ WHERE nf >= 4 AND ts_ms IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)""
        epoch_us(ts) // 1000 AS ts_ms, value
 FROM events WHERE event_type NOT IN ('error', 'signup') AND value IS NOT NULL AND NOT isnan(value)""",
 
+    "response_quarantine": """SELECT CAST(user_id AS VARCHAR) AS device_id, 200 AS status_code,
+       'HTTP 200 timeout' AS resp
+FROM events WHERE event_type = 'signup'""",
+
     "histogram": f"WITH {HIST} SELECT bin, cnt FROM hist",
 
     "histogram_changelog": f"""WITH t AS (

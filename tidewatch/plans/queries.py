@@ -54,6 +54,12 @@ def q_decode_responses(spark: SparkSession, sf: str) -> DataFrame:
         "device_id", "dataset_id", "ts_ms", "value")
 
 
+def q_response_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """OK responses whose body is missing or unreadable (kept, not lost)."""
+    return responses.response_quarantine(pipelines.event_responses(spark, sf)).select(
+        "device_id", "status_code", "resp")
+
+
 def q_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.temperature_histogram(readings(spark, sf), P)
 
@@ -170,6 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "salted_extremes": q_salted_extremes,
     "parse_readings": q_parse_readings,
     "decode_responses": q_decode_responses,
+    "response_quarantine": q_response_quarantine,
     "histogram": q_histogram,
     "histogram_changelog": q_histogram_changelog,
     "rising_streaks": q_rising_streaks,
