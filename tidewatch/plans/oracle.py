@@ -124,6 +124,23 @@ WHERE nf >= 4 AND ts_ms IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)""
        epoch_us(ts) // 1000 AS ts_ms, value
 FROM events WHERE event_type NOT IN ('error', 'signup') AND value IS NOT NULL AND NOT isnan(value)""",
 
+    "quarantine_lines": """WITH l AS (
+  SELECT concat_ws(',', coalesce(CAST(user_id AS VARCHAR), 'null'), coalesce(event_type, 'null'),
+                   coalesce(CAST(epoch_us(ts) // 1000 AS VARCHAR), 'null'),
+                   CASE WHEN event_type = 'error' THEN 'n/a' ELSE coalesce(CAST(value AS VARCHAR), 'null') END)
+         AS line
+  FROM events
+), p AS (
+  SELECT line, string_split(line, ',') AS f FROM l
+), t AS (
+  SELECT line, len(f) AS nf, TRY_CAST(trim(f[3]) AS BIGINT) AS ts_ms, TRY_CAST(trim(f[4]) AS DOUBLE) AS v FROM p
+)
+SELECT line,
+       CASE WHEN nf < 4 THEN 'too few fields' WHEN ts_ms IS NULL THEN 'bad timestamp'
+            WHEN v IS NULL THEN 'bad value' ELSE 'NaN value' END AS reason
+FROM t
+WHERE nf < 4 OR ts_ms IS NULL OR v IS NULL OR isnan(v)""",
+
     "response_quarantine": """SELECT CAST(user_id AS VARCHAR) AS device_id, 200 AS status_code,
        'HTTP 200 timeout' AS resp
 FROM events WHERE event_type = 'signup'""",

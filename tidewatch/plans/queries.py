@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import EVENTS
 from tidewatch.functions.routing import route_topic as route_expr
-from tidewatch.functions.timefmt import format_winstart, ts_to_ms
+from tidewatch.functions.text import to_line
+from tidewatch.functions.timefmt import format_winstart, to_ts, ts_to_ms
 from tidewatch.operators import cleaning, dedup, histogram as hist_ops, responses, serving, streaks, windows
 from tidewatch.plans import pipelines
 from tidewatch.sinks.archive import archive_columns
-from tidewatch.sources.tables import readings
+from tidewatch.sources.tables import load_table, readings
 
 P = EVENTS
 
@@ -54,6 +55,15 @@ def q_decode_responses(spark: SparkSession, sf: str) -> DataFrame:
         "device_id", "dataset_id", "ts_ms", "value")
 
 
+def q_quarantine_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that are not readings, with the reason.  ``error`` events are sent
+    with an unreadable value (``n/a``), as a corrupted transmission would be."""
+    e = load_table(spark, sf, "events")
+    value = F.when(F.col("event_type") == F.lit("error"), F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    lines = e.select(to_line("user_id", "event_type", ts_to_ms(to_ts("ts")), value).alias("value"))
+    return cleaning.quarantine_lines(lines)
+
+
 def q_response_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """OK responses whose body is missing or unreadable (kept, not lost)."""
     return responses.response_quarantine(pipelines.event_responses(spark, sf)).select(
@@ -175,6 +185,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sliding_extremes": q_sliding_extremes,
     "salted_extremes": q_salted_extremes,
     "parse_readings": q_parse_readings,
+    "quarantine_lines": q_quarantine_lines,
     "decode_responses": q_decode_responses,
     "response_quarantine": q_response_quarantine,
     "histogram": q_histogram,
