@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidewatch.session import ship_package, state_path
 
@@ -147,3 +149,27 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = 8 << 20) -> Iterator[p
         end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + limit, side="right")) - 1)
         yield batch.slice(begin, end - begin)
         begin = end
+
+
+def map_texts(df: DataFrame, text_col: str, keep: list[str], make, fields: list, limit: int = 8 << 20) -> DataFrame:
+    """Run a batch function over whole texts, carrying columns along untouched.
+
+    ``make()`` is called once per task and returns a function from a list of
+    texts (null stays None) to one sequence per new field.  The carried columns
+    travel in a struct ``row``, so their names cannot clash with the new ones.
+    """
+    ready(df.sparkSession)
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([whole.schema["row"], *fields])
+    types = [to_arrow_type(f.dataType) for f in fields]
+    names = ["row"] + [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = make()
+        for batch in batches:
+            for part in slices(batch, "text", limit):
+                columns = apply(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0)] + [pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return whole.mapInArrow(run, schema)

@@ -4,9 +4,30 @@ production parameters, to its whole table and derives the digest columns."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewatch.llm.common import load
+from tidewatch.llm.common import fold, load
 from tidewatch.llm.exact_dedup import exact_duplicates
+from tidewatch.llm.language_id import fit_languages, with_language
+from tidewatch.llm.near_dedup import near_duplicates
+from tidewatch.llm.packing import pack
+from tidewatch.llm.secret_scan import fit_secrets, with_secrets
+from tidewatch.llm.toxicity import fit_toxicity, with_toxicity
+
+
+def tokenizer_path(name: str) -> str:
+    """The installed vocabulary file ``name`` (the same place on every machine)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labelled rows outside fold 0 of 5."""
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels, fold("doc_id", 5) != 0)
+    return with_toxicity(docs, model, ["doc_id"]).select(
+        "row.doc_id", (fold("row.doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +36,41 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of ``documents``: three-word shingles, similarity 0.85."""
+    return near_duplicates(load(spark, sf_dir, "documents"), words=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` packed into sequences of 1024 token ids."""
+    return pack(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: spans, and the digest of the masked text."""
+    docs = load(spark, sf_dir, "documents")
+    return with_secrets(docs, fit_secrets(docs), ["doc_id"]).select(
+        "row.doc_id", "n_candidates", F.size("secrets").alias("n_secrets"),
+        F.array_join(F.transform("secrets", lambda x: F.concat_ws("+", x["start"], x["length"])), ",").alias("spans"),
+        "redacted_sha256")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from rows outside fold 0 of 5."""
+    docs = load(spark, sf_dir, "documents")
+    model = fit_languages(docs, fold("doc_id", 5) != 0)
+    return with_language(docs, model, ["doc_id"]).select(
+        "row.doc_id", (fold("row.doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_near_dedup": op4_near_dedup,
+    "op6_packing": op6_packing,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_language_id": op9_language_id,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
