@@ -55,6 +55,12 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def row_keys(row_id: str, text: str) -> list[Column]:
+    """``key_a`` and ``key_b``: 128 bits of hash of a row's id and text, by which
+    an operator's decisions find their rows again."""
+    return [F.xxhash64(F.col(row_id), F.col(text)).alias("key_a"), F.xxhash64(F.lit(7), F.col(text), F.col(row_id)).alias("key_b")]
+
+
 def fold(column: Column | str, folds: int) -> Column:
     """crc32 of an id's text modulo ``folds`` (null ids count as empty text)."""
     text = F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(None)).cast("string")

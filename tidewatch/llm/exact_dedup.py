@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialise, ready, shuffle_partitions
+from tidewatch.llm.common import materialise, ready, row_keys, shuffle_partitions
 
 #: Bytes that equality ignores.
 IGNORED = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -38,38 +38,31 @@ BLOCK_BYTES = 4096
 _RANK_BITS = 40
 
 
-def row_key(row_id: object, text: bytes | None) -> bytes:
-    """128-bit key of a physical row's (id, text); equal rows share it."""
-    h = hashlib.blake2b(repr(row_id).encode(), digest_size=16)
-    h.update(b"\x00" if text is None else b"\x01" + text)
-    return h.digest()
-
-
 def _cut(block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
+            keys = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()))
             rows: list[tuple] = []
             size = 0
 
             def flush() -> pa.RecordBatch:
-                key, at, pos, n, points, sha, block = zip(*rows)
+                at, pos, n, points, sha, block = zip(*rows)
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(key, pa.binary()), ids.take(pa.array(at)), pa.array(pos, pa.int32()),
+                    [pa.array([keys[i][0] for i in at], pa.int64()), pa.array([keys[i][1] for i in at], pa.int64()),
+                     ids.take(pa.array(at)), pa.array(pos, pa.int32()),
                      pa.array(n, pa.int32()), pa.array(points, pa.int64()), pa.array(sha, pa.string()),
                      pa.array(block, pa.binary())],
-                    names=["row_key", "doc_id", "pos", "n_blocks", "n_points", "text_sha256", "block"])
+                    names=["key_a", "key_b", "doc_id", "pos", "n_blocks", "n_points", "text_sha256", "block"])
 
             for at in range(batch.num_rows):
                 text = texts[at].as_py()
-                raw = text.encode() if text is not None else None
-                body = (raw or b"").translate(None, IGNORED)
-                key = row_key(ids[at].as_py(), raw)
+                body = (text or "").encode().translate(None, IGNORED)
                 n = max(1, -(-len(body) // block_bytes))
                 sha = hashlib.sha256(body).hexdigest()
                 for pos in range(n):
                     block = body[pos * block_bytes:(pos + 1) * block_bytes]
-                    rows.append((key, at, pos, n, len(text or ""), sha if pos == 0 else None, block))
+                    rows.append((at, pos, n, len(text or ""), sha if pos == 0 else None, block))
                     size += len(block) + 100
                     if size > 8 << 20:
                         yield flush()
@@ -166,8 +159,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Groups of equal texts, one row per input row.
 
-    Columns: ``row_key`` (128-bit key of the row's id and text), ``doc_id``,
-    ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.  Texts are equal
+    Columns: ``key_a`` and ``key_b`` (hashes of the row's id and text), ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.  Texts are equal
     when identical without the bytes of ``IGNORED``; of equal texts the row
     with the most code points, then the smallest id (null last), stays.
 
@@ -179,45 +171,47 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     spark = ready(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    source = source.select("doc_id", "text", *row_keys("doc_id", "text"))
     id_type = source.schema["doc_id"].dataType
     cut_schema = T.StructType([
-        T.StructField("row_key", T.BinaryType()), T.StructField("doc_id", id_type), T.StructField("pos", T.IntegerType()),
+        T.StructField("key_a", T.LongType()), T.StructField("key_b", T.LongType()), T.StructField("doc_id", id_type),
+        T.StructField("pos", T.IntegerType()),
         T.StructField("n_blocks", T.IntegerType()), T.StructField("n_points", T.LongType()),
         T.StructField("text_sha256", T.StringType()), T.StructField("block", T.BinaryType())])
     blocks = source.mapInArrow(_cut(block_bytes), cut_schema)
-    named = name_by_sorting(spark, blocks, "block", ["row_key", "pos"], "blocks")
+    named = name_by_sorting(spark, blocks, "block", ["key_a", "pos"], "blocks")
 
     longest = named.agg(F.max("n_blocks")).first()[0] or 1
-    level = named.where("n_blocks > 1").select("row_key", "pos", F.col("n_blocks").alias("left_over"), "name")
+    level = named.where("n_blocks > 1").select("key_a", "key_b", "pos", F.col("n_blocks").alias("left_over"), "name")
     done = None
     while longest > 1:
         pairs = (
-            level.groupBy("row_key", F.shiftright("pos", 1).alias("pos"))
+            level.groupBy("key_a", "key_b", F.shiftright("pos", 1).alias("pos"))
             .agg(F.max("left_over").alias("left_over"),
                  F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("__l"),
                  F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))).alias("__r"))
-            .select("row_key", "pos", F.shiftright(F.col("left_over") + 1, 1).alias("left_over"),
+            .select("key_a", "key_b", "pos", F.shiftright(F.col("left_over") + 1, 1).alias("left_over"),
                     _as_block("__l", "__r").alias("block"))
         )
-        level = name_by_sorting(spark, pairs, "block", ["row_key", "pos"], "pairs")
-        ended = level.where("left_over = 1").select("row_key", F.col("name").alias("__top"))
+        level = name_by_sorting(spark, pairs, "block", ["key_a", "pos"], "pairs")
+        ended = level.where("left_over = 1").select("key_a", "key_b", F.col("name").alias("__top"))
         done = ended if done is None else done.unionByName(ended)
         level = level.where("left_over > 1")
         longest = (longest + 1) // 2
 
     rows = (
-        named.where("pos = 0").groupBy("row_key", "n_blocks", "n_points", "text_sha256", "name")
+        named.where("pos = 0").groupBy("key_a", "key_b", "n_blocks", "n_points", "text_sha256", "name")
         .agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     )
     if done is not None:
-        rows = rows.join(done, "row_key", "left").withColumn("name", F.coalesce("__top", "name")).drop("__top")
+        rows = rows.join(done, ["key_a", "key_b"], "left").withColumn("name", F.coalesce("__top", "name")).drop("__top")
     # n_blocks fixes the level at which a name was given, so (n_blocks, name) is the identity
     best = rows.groupBy("n_blocks", "name").agg(
-        F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"), "doc_id", "row_key")).alias("best"),
+        F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"), "doc_id", "key_a", "key_b")).alias("best"),
         F.sum("copies").alias("group_size"))
     return (
         rows.join(best, ["n_blocks", "name"])
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select("row_key", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-                ((F.col("row_key") == F.col("best.row_key")) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
+        .select("key_a", "key_b", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
+                ((F.col("key_a") == F.col("best.key_a")) & (F.col("key_b") == F.col("best.key_b")) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
     )

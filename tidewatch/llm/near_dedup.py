@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialise, mix, ready, slices, text_buffer, word_hashes, words_per_text
+from tidewatch.llm.common import materialise, mix, ready, row_keys, slices, text_buffer, word_hashes, words_per_text
 from tidewatch.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -279,9 +279,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = ready(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    keyed = source.select(
-        "doc_id", F.xxhash64(F.col("doc_id"), F.col("text")).alias("key_a"),
-        F.xxhash64(F.lit(7), F.col("text"), F.col("doc_id")).alias("key_b"), "text")
+    keyed = source.select("doc_id", *row_keys("doc_id", "text"), "text")
     schema = T.StructType([
         T.StructField("uid", T.LongType()), T.StructField("doc_id", source.schema["doc_id"].dataType),
         T.StructField("key_a", T.LongType()), T.StructField("key_b", T.LongType()),

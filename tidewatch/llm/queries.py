@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import fold, load
 from tidewatch.llm.exact_dedup import exact_duplicates
 from tidewatch.llm.language_id import fit_languages, with_language
+from tidewatch.llm.language_model import language_model_scores
 from tidewatch.llm.near_dedup import near_duplicates
 from tidewatch.llm.packing import pack
+from tidewatch.llm.piece_coding import with_pieces
 from tidewatch.llm.secret_scan import fit_secrets, with_secrets
 from tidewatch.llm.toxicity import fit_toxicity, with_toxicity
+from tidewatch.llm.vector_search import top_k
+from tidewatch.llm.warc_zip import read_packages, write_packages
 
 
 def tokenizer_path(name: str) -> str:
@@ -36,12 +40,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document, learned from rows outside fold 2 of 7."""
+    docs = load(spark, sf_dir, "documents")
+    return language_model_scores(docs, fold("doc_id", 7) != 2).select(
+        "doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of ``documents``: three-word shingles, similarity 0.85."""
     return near_duplicates(load(spark, sf_dir, "documents"), words=3, percent=85).select(
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, decoded again."""
+    return with_pieces(load(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), ["doc_id"], ids=False).select(
+        "row.doc_id", "n_pieces", "ids_crc32", "score", "round_trip")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` packed into sequences of 1024 token ids."""
     return pack(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -56,6 +73,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "redacted_sha256")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` written as WARC records in ZIP packages and read back by ranges."""
+    packages = write_packages(load(spark, sf_dir, "pages"))
+    return read_packages(spark, packages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from rows outside fold 0 of 5."""
     docs = load(spark, sf_dir, "documents")
@@ -64,13 +87,22 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", (fold("row.doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector against all others."""
+    return top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_lm_score": op3_lm_score,
     "op4_near_dedup": op4_near_dedup,
+    "op5_piece_coding": op5_piece_coding,
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
+    "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
+    "op10_vector_search": op10_vector_search,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -88,4 +120,37 @@ ORACLE_SQL = {
                d.doc_id = s.keep_id AS kept, sha256(d.body) AS text_sha256
         FROM d JOIN s USING (body)
     """,
+    "op8_warc": """
+        WITH p AS (
+          SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+        m AS (SELECT html, max(page_id) AS last FROM p GROUP BY html),
+        chunks AS (
+          SELECT page_id, k, CAST('0x' || substr(hex, 5 * k + 1, 5) AS INTEGER) AS v
+          FROM p, range(8) AS r(k)),
+        digits AS (
+          SELECT page_id, string_agg(
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 15) & 31) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 10) & 31) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 5) & 31) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v & 31) + 1, 1), '' ORDER BY k) AS payload_digest
+          FROM chunks GROUP BY page_id)
+        SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, d.payload_digest,
+               CASE WHEN p.page_id < m.last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN p.page_id < m.last THEN m.last END AS refers_to
+        FROM p JOIN m USING (html) JOIN digits d USING (page_id)
+    """,
+    "op10_vector_search": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id
+          WHERE q.vec_id % 20 = 0),
+        r AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+    """,
 }
