@@ -145,10 +145,8 @@ def test_state_carries_across_arrow_batches(spark, slices):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
-def test_aqe_coalesced_slices(spark):
-    """Without a fixed slice count AQE may merge adjacent range partitions;
-    both passes must see the same merged slices."""
-    rows, df = _hot_readings(spark, n=6000, seed=13)
+def _default_conf(spark):
+    """Adaptive settings as a user finds them, on data that they would merge."""
     keys = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24k",
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
@@ -156,13 +154,54 @@ def test_aqe_coalesced_slices(spark):
     old = {k: spark.conf.get(k) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
+    return old
+
+
+def test_scans_meet_in_a_union_at_default_slices(spark):
+    """Two scans in one union: adaptive execution must not resize the slices of
+    either pass (the count is explicit)."""
+    rows, df = _hot_readings(spark, n=6000, seed=13)
+    other_rows, other = _hot_readings(spark, n=5000, seed=14, burst=True)
+    old = _default_conf(spark)
     try:
-        out = streaks.streak_counts(df)
-        n_slices = out.groupBy(F.spark_partition_id()).count().count()
-        got = sorted(tuple(r) for r in streaks.rising_streaks(df, 2)
-                     .select("device_id", "start_ms", "counts", "ts_ms").collect())
+        cols = ["device_id", "start_ms", "counts", "ts_ms"]
+        both = streaks.rising_streaks(df, 2).select(*cols).unionByName(streaks.rising_streaks(other, 2).select(*cols))
+        got = sorted(tuple(r) for r in both.collect())
+        counted = histogram.histogram_changelog(df).select("seq", "bin", "cnt").unionByName(
+            histogram.histogram_changelog(other).select("seq", "bin", "cnt"))
+        logs = sorted((r.seq, r.bin, r.cnt) for r in counted.collect())
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    assert 1 < n_slices < 32
-    assert got == brute_streaks([(d, t, s, v) for d, _, t, v, s in rows], 2)
+
+    def plain(some):
+        return [(d, t, s, v) for d, _, t, v, s in some]
+    assert got == sorted(brute_streaks(plain(rows), 2) + brute_streaks(plain(other_rows), 2))
+    want = [brute_changelog([(s, t, v) for _, _, t, v, s in some], 25.5, 0.5, 20) for some in (rows, other_rows)]
+    assert logs == sorted(want[0] + want[1])
+
+
+def test_copies_of_one_tuple_are_split(spark):
+    """Half of the rows are copies of one (device, ts, seq): no slice holds them all."""
+    n = 6000
+    rows = [("hot", "temperature_data", 5, 30.0, 7) for _ in range(n // 2)]
+    rows += [(f"d{i % 50}", "temperature_data", i, float(i % 9), 10 + i) for i in range(n // 2)]
+    df = spark.createDataFrame(rows, "device_id string, dataset_id string, ts_ms long, value double, seq long")
+
+    def shares():
+        out = streaks.streak_counts(df, slices=SLICES)
+        return [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()], out
+
+    per_task, out = _with_static_plan(spark, shares)
+    assert sum(per_task) == n and max(per_task) < 3 * n / SLICES
+    got = sorted((r.device_id, r.start_ms, r.counts, r.ts_ms) for r in out.collect())
+    assert got == brute_streaks([(d, t, s, v) for d, _, t, v, s in rows], 1)
+
+
+def test_rows_without_a_place_in_the_order_are_returned(spark):
+    from tidewatch.operators.scan import unordered_rows
+    rows = [("a", 1, 1, 1.0), ("a", None, 2, 2.0), (None, 3, 3, 3.0), ("a", 4, 4, None), ("a", 5, None, 5.0)]
+    df = spark.createDataFrame(rows, "device_id string, ts_ms long, seq long, value double")
+    left = unordered_rows(df, "device_id", "ts_ms", "seq", "value")
+    assert left.count() == 4
+    assert streaks.streak_counts(df, slices=3).count() == 1

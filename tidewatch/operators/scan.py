@@ -6,11 +6,12 @@ job.  Cutting the order into *time* blocks helps only while a key's rows are
 spread over time: a burst, or many rows at one timestamp, still lands in one
 block.
 
-Here rows are range-partitioned on ``(key, ts, seq)``.  Spark samples the
-sort keys and picks slice bounds so that every slice holds about the same
-number of rows, splitting a hot key between consecutive slices at sampled
-``(ts, seq)`` points.  No slice holds much more than ``rows / slices``,
-whatever the key or time distribution.  Each slice is sorted and scanned once
+Here rows are range-partitioned on ``(key, ts, seq)`` and, last, a number of
+the row in its input.  Spark samples the sort keys and picks slice bounds so
+that every slice holds about the same number of rows, splitting a hot key
+between consecutive slices at sampled points; the row number splits copies of
+one ``(key, ts, seq)`` too.  No slice holds much more than ``rows / slices``,
+whatever the key or time distribution or the number of copies.  Each slice is sorted and scanned once
 in order by a vectorised kernel; only a slice's *first* key can continue
 from earlier slices.  The work is two passes over the one shuffled input:
 
@@ -25,7 +26,10 @@ from earlier slices.  The work is two passes over the one shuffled input:
    fixed up with the slice's carry by that broadcast join, in the JVM.
 
 Both passes read the same exchange: they take whole rows (nothing to prune),
-so the plans match and Spark reuses the one shuffle.  The bounds come from
+so the plans match and Spark reuses the one shuffle.  The number of slices is
+always explicit (default: ``spark.sql.shuffle.partitions``): a range shuffle of
+unstated size would be coalesced anew in every stage that reads it, and two
+scans in one union would then see different slices.  The bounds come from
 that one shuffle dependency, and a retried or recomputed task reads the same
 slice.  If the two passes ever saw different slices (exchange reuse turned
 off), a slice's first row would not match the summary's fingerprint of it,
@@ -55,6 +59,10 @@ RISING = "rising"      # a run restarts at a new key or when the value does not
 COUNT = "count"        # a run restarts only at a new key: counts are positions within the key
 
 
+#: Row number that tells copies of one (key, ts, seq) apart.
+_TIE = "_tie"
+
+
 def not_null(cols: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -62,6 +70,13 @@ def not_null(cols: Sequence[str]) -> Column:
     return cond
 
 
+def unordered_rows(df: DataFrame, key: str, ts: str, seq: str, value: str | None = None) -> DataFrame:
+    """The rows that :func:`ordered_scan` leaves out: their key, ``ts``, ``seq``
+    (or ``value``, where the rule reads it) is null, so they have no place in
+    the order.  Send them to a quarantine where they must not get lost."""
+    return df.where(~not_null([key, ts, seq] + ([value] if value else [])))
+
+
 # ---------------------------------------------------------------------------
 # vectorised kernel (runs inside tasks)
 # ---------------------------------------------------------------------------
@@ -276,12 +291,13 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
                  slices: int | None = None, min_count: int | None = None) -> DataFrame:
     """Run a per-key ordered rule over ``df`` without funnelling any key.
 
-    Rows with a null key, ``ts``, ``seq`` (or ``value`` for ``RISING``) are
-    skipped; a NaN key raises an error.  Output: the ``keep`` columns
+    Rows with a null key, ``ts``, ``seq`` (or ``value`` for ``RISING``) have no
+    place in the order and are left out (:func:`unordered_rows` returns them); a
+    NaN key raises an error.  Output: the ``keep`` columns
     (default: all input columns) plus ``start_col`` (start of the row's run,
     epoch ms) and ``count_col`` (its length so far), only rows with
-    ``count >= min_count`` when given.  ``slices`` fixes the number of range
-    slices; by default AQE sizes them.
+    ``count >= min_count`` when given.  ``slices`` is the number of range
+    slices (default: ``spark.sql.shuffle.partitions``).
     """
     needed = [key, ts, seq] + ([value] if rule == RISING else [])
     keep = list(keep) if keep is not None else list(df.columns)
@@ -294,12 +310,15 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
         # Arrow compares NaN keys as unequal, Spark groups them: refuse rather than miscount
         rows = rows.withColumn(key, F.when(F.isnan(key), F.raise_error(F.lit(
             f"ordered scan: NaN in key column {key}"))).otherwise(F.col(key)))
-    # A fixed slice count is kept as is; otherwise AQE may coalesce adjacent
-    # range partitions up to the advisory size (slices stay contiguous ranges,
-    # and both passes read one shuffle stage, so they coalesce alike).
-    ranged = rows.repartitionByRange(int(slices), key, ts, seq) if slices else rows.repartitionByRange(key, ts, seq)
-    placed = ranged.withColumn("_slice", F.spark_partition_id())
-    order = [key, ts, seq]
+    # An explicit count: adaptive execution would resize any other range shuffle
+    # once per stage that reads it, and the two passes may be in different stages.
+    n_slices = int(slices or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [key, ts, seq, _TIE]
+    placed = (
+        rows.withColumn(_TIE, F.monotonically_increasing_id())
+        .repartitionByRange(n_slices, *order)
+        .withColumn("_slice", F.spark_partition_id())
+    )
 
     key_type = rows.schema[key].dataType
     seg_schema = T.StructType([
@@ -327,8 +346,8 @@ def ordered_scan(df: DataFrame, key: str, ts: str, seq: str, value: str | None =
     ext = F.col("_open") & F.coalesce(F.col("extends"), F.lit(False))
     count_expr = (
         F.when(mismatch, F.raise_error(F.lit(
-            "ordered scan: the summary and scan passes saw different range slices; "
-            "keep spark.sql.exchange.reuse enabled so both read one shuffle")))
+            "ordered scan: the summary and scan passes saw different range slices; both must "
+            "read one shuffle (spark.sql.exchange.reuse enabled, input rows in a repeatable order)")))
         .when(ext, F.col("in_cnt") + F.col(tmp_count))
         .otherwise(F.col(tmp_count))
         .cast("long")
