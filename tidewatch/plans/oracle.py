@@ -120,9 +120,13 @@ typed AS (SELECT p[1] AS device_id, p[2] AS dataset_id, TRY_CAST(trim(p[3]) AS B
 SELECT device_id, dataset_id, ts_ms, value FROM typed
 WHERE nf >= 4 AND ts_ms IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)""",
 
-    "decode_responses": """SELECT CAST(user_id AS VARCHAR) AS device_id, event_type AS dataset_id,
-       epoch_us(ts) // 1000 AS ts_ms, value
-FROM events WHERE event_type NOT IN ('error', 'signup') AND value IS NOT NULL AND NOT isnan(value)""",
+    "decode_responses": """WITH e AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, event_type AS dataset_id, epoch_us(ts) // 1000 AS ts_ms, value,
+         event_id % 10 AS turn
+  FROM events WHERE event_type NOT IN ('error', 'signup') AND value IS NOT NULL AND NOT isnan(value))
+SELECT device_id, dataset_id, ts_ms, value FROM e WHERE turn NOT IN (1, 2, 3, 6)
+UNION ALL
+SELECT device_id, dataset_id, ts_ms + 1, value FROM e WHERE turn = 5""",
 
     "quarantine_lines": """WITH l AS (
   SELECT concat_ws(',', coalesce(CAST(user_id AS VARCHAR), 'null'), coalesce(event_type, 'null'),
@@ -141,9 +145,21 @@ SELECT line,
 FROM t
 WHERE nf < 4 OR ts_ms IS NULL OR v IS NULL OR isnan(v)""",
 
-    "response_quarantine": """SELECT CAST(user_id AS VARCHAR) AS device_id, 200 AS status_code,
-       'HTTP 200 timeout' AS resp
-FROM events WHERE event_type = 'signup'""",
+    "response_quarantine": """WITH e AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, event_type = 'signup' AS empty, event_id % 10 AS turn,
+         value, value IS NULL AS absent
+  FROM events WHERE event_type <> 'error'),
+q AS (
+  SELECT device_id, CAST(NULL AS INTEGER) AS position,
+         CASE WHEN empty THEN 'no body' WHEN turn = 1 THEN 'unreadable body' ELSE 'no status' END AS reason
+  FROM e WHERE empty OR turn IN (1, 2, 3)
+  UNION ALL
+  SELECT device_id, 1, CASE WHEN turn = 6 THEN 'bad timestamp' WHEN absent THEN 'bad value' ELSE 'NaN value' END
+  FROM e WHERE NOT empty AND (turn = 6 OR turn NOT IN (1, 2, 3) AND (absent OR isnan(value)))
+  UNION ALL
+  SELECT device_id, 2, CASE WHEN turn = 4 OR absent THEN 'bad value' ELSE 'NaN value' END
+  FROM e WHERE NOT empty AND (turn = 4 OR turn = 5 AND (absent OR isnan(value))))
+SELECT device_id, 200 AS status_code, position, reason FROM q""",
 
     "histogram": f"WITH {HIST} SELECT bin, cnt FROM hist",
 
@@ -162,13 +178,16 @@ FROM t""",
     "latest_streak": f"WITH {STREAKS} SELECT device_id, start_ms, starttime, counts FROM latest",
 
     "drop_repeated_polls": f"""WITH {READINGS},
-twice AS (SELECT * FROM r UNION ALL SELECT * FROM r)
+twice AS (
+  SELECT device_id, dataset_id, ts_ms, value, seq FROM r
+  UNION ALL
+  SELECT device_id, dataset_id, ts_ms, CASE WHEN seq % 3 = 0 THEN value + 0.5 ELSE value END, seq + 1000000000 FROM r)
 SELECT device_id, dataset_id, ts_ms, arg_min(value, seq) AS value, min(seq) AS seq
 FROM twice GROUP BY device_id, dataset_id, ts_ms""",
 
     "distinct_readings": f"""WITH {READINGS},
 twice AS (SELECT * FROM r UNION ALL SELECT * FROM r)
-SELECT DISTINCT ON (device_id, dataset_id, ts_ms) device_id, dataset_id, ts_ms, value, seq FROM twice""",
+SELECT DISTINCT device_id, dataset_id, ts_ms FROM twice""",
 
     "latest_windows": f"WITH {EXTREMES}, {TOP5} SELECT dataset_id, winstart, value, rn FROM top5",
 

@@ -19,7 +19,7 @@ from tidewatch.config import EVENTS
 from tidewatch.functions.routing import route_topic as route_expr
 from tidewatch.functions.text import to_line
 from tidewatch.functions.timefmt import format_winstart, to_ts, ts_to_ms
-from tidewatch.operators import cleaning, dedup, histogram as hist_ops, responses, serving, streaks, windows
+from tidewatch.operators import cleaning, dedup, histogram as hist_ops, responses, serving, windows
 from tidewatch.plans import pipelines
 from tidewatch.sinks.archive import archive_columns
 from tidewatch.sources.tables import load_table, readings
@@ -65,9 +65,11 @@ def q_quarantine_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_response_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    """OK responses whose body is missing or unreadable (kept, not lost)."""
+    """OK responses and statuses that are no readings, with the reason (kept, not lost).
+    A body may print its numbers in another engine's form, so the response's
+    own text stays out of the comparison."""
     return responses.response_quarantine(pipelines.event_responses(spark, sf)).select(
-        "device_id", "status_code", "resp")
+        "device_id", "status_code", "position", "reason")
 
 
 def q_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,12 +87,13 @@ def q_rising_streaks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_streak_upserts(spark: SparkSession, sf: str) -> DataFrame:
-    return streaks.streak_table(pipelines.temperature_streaks(readings(spark, sf), P))
+    return pipelines.streak_upserts(pipelines.temperature_streaks(readings(spark, sf), P))
 
 
 def q_latest_streak(spark: SparkSession, sf: str) -> DataFrame:
-    table = streaks.streak_table(pipelines.temperature_streaks(readings(spark, sf), P))
-    return serving.latest_streak(table)
+    # the newest streak is the top alert: no aggregate over all of them is needed
+    alerts = pipelines.temperature_streaks(readings(spark, sf), P).select("device_id", "start_ms", "counts")
+    return serving.latest_streak(alerts)
 
 
 def q_drop_repeated_polls(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,8 +102,8 @@ def q_drop_repeated_polls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_distinct_readings(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.distinct_readings(pipelines.polled_twice(spark, sf)).select(
-        "device_id", "dataset_id", "ts_ms", "value", "seq")
+    """Which copy is kept is not defined, so only the key is returned."""
+    return dedup.distinct_readings(pipelines.polled_twice(spark, sf)).select("device_id", "dataset_id", "ts_ms")
 
 
 def q_latest_windows(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,17 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One parsed reading.  ``seq`` orders readings of one key that share a
-# timestamp (arrival order where the source has one).
-READING = T.StructType([
-    T.StructField("device_id", T.StringType()),
-    T.StructField("dataset_id", T.StringType()),
-    T.StructField("ts_ms", T.LongType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("seq", T.LongType()),
-])
-
 # One element of a platform response's status list: every field is text.
 STATUS = T.StructType([
     T.StructField("value", T.StringType()),
@@ -29,19 +18,11 @@ RESPONSE_BODY = T.StructType([
     T.StructField("deviceStatusList", T.ArrayType(STATUS)),
 ])
 
-# Captured platform responses.
-RESPONSES = T.StructType([
-    T.StructField("device_id", T.StringType()),
-    T.StructField("status_code", T.IntegerType()),
-    T.StructField("resp", T.StringType()),
-])
+# The same with the text of a body that is not such an object.
+CORRUPT = "_corrupt"
+RESPONSE_BODY_OR_CORRUPT = T.StructType([*RESPONSE_BODY.fields, T.StructField(CORRUPT, T.StringType())])
 
 # Result tables.
-INTERVAL_COUNT = T.StructType([
-    T.StructField("bin", T.DoubleType()),
-    T.StructField("cnt", T.LongType()),
-])
-
 WINDOW_EXTREMES = T.StructType([
     T.StructField("dataset_id", T.StringType()),
     T.StructField("win_start", T.TimestampType()),
