@@ -2,7 +2,8 @@
 
 Each batch lands in its own ``batch=<id>`` partition, written with dynamic
 partition overwrite: replaying a batch id rewrites exactly that partition,
-so a restart after a failure cannot duplicate rows.
+so a restart after a failure cannot duplicate rows.  A query with another
+checkpoint, whose ids start anew, is refused (:mod:`.owner`).
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.sinks.owner import claim, query_id
+
 
 def append_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet") -> None:
     (
@@ -25,6 +28,7 @@ def append_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet
 def append_writer(root: str, fmt: str = "parquet"):
     """``foreachBatch`` function for :func:`append_batch`."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        claim(batch.sparkSession, root, query_id(batch))
         append_batch(batch, batch_id, root, fmt)
     return write
 

@@ -34,6 +34,14 @@ def write_archive(lines: DataFrame, root: str, time_col: str | None = None, line
     (arch.hint("rebalance", "day", "hour").write.mode(mode).partitionBy("day", "hour").text(root))
 
 
+def archive_writer(root: str, time_col: str | None = None, line_col: str = "value"):
+    """``foreachBatch`` function archiving each batch's lines.  A replayed batch
+    is written again: an archive keeps what was received."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_archive(batch, root, time_col, line_col)
+    return write
+
+
 def read_archive(spark, root: str, day: str | None = None, hour: str | None = None) -> DataFrame:
     """Read the archive back; day/hour stay text (no type inference), so
     filters on them prune folders."""

@@ -54,6 +54,15 @@ def write_kafka(df: DataFrame, servers: str, acks: str = "1", **options) -> None
     writer.save()
 
 
+def kafka_writer(servers: str, topic: str | None = None, write: Callable[..., None] = write_kafka, **shape):
+    """``foreachBatch`` function publishing each batch (``shape``: the column
+    arguments of :func:`kafka_frame`).  A replayed batch is published again, as
+    the broker has no batch ids."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(kafka_frame(batch, topic=topic, **shape), servers)
+    return run
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **properties) -> None:
     """Write through the JDBC source (driver jar supplied by the deployment)."""
     writer = df.write.format("jdbc").option("url", url).option("dbtable", table).mode(mode)

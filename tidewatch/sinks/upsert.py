@@ -2,27 +2,29 @@
 
 Layout under ``root``:
 
-* ``delta/batch=<id>/``: one micro-batch, reduced to its newest row per key;
+* ``delta/batch=<id>/``: one micro-batch, reduced to one row per key;
 * ``_commits/<id>``: written last, after the delta, to publish the batch;
 * ``base/v=<id>/`` + ``_bases/<id>``: an optional compacted table holding
-  every key as of batch ``<id>``.
+  every key as of batch ``<id>``;
+* ``_keys``: the key columns and, where rows of one key have one, the column
+  whose largest value wins; ``_owner``: the query that fills the table.
 
 A write costs O(batch), not O(table): the batch's rows are reduced per key
 (partial aggregation first) and written to their own folder.  Replaying a
 committed batch id is a no-op, and replaying an uncommitted one overwrites
 its folder.  So ``foreachBatch``'s at-least-once replays apply exactly once.
-
-Reading resolves the newest row per key over the newest base and the
-committed deltas after it: a hash aggregate keyed by the table key, taking
-each column from its highest batch id (``max_by``; a key appears once per
-batch, so the batch id identifies its row).  Uncommitted folders are pruned
-by the partition filter.  :func:`compact` folds everything into a new base
-(``compact_every`` in :func:`upsert_writer` does it every N batches), so a
-read scans at most that many deltas besides the base, and :func:`vacuum`
-then removes the deltas and bases no reader can still need.
-
-Files go through the Hadoop FileSystem API, so the root may be on any shared
-store the cluster can write.
+Batches of a query with another checkpoint are refused (:mod:`.owner`).
+
+Reading resolves each key over the newest base and the committed deltas after
+it: the row with the largest order column, else (and among equals) the newest
+batch.  :func:`compact` folds everything into a new base; it is a job of its
+own, run now and then beside the stream, never inside it.  It also removes what
+no reader can need any more, commit markers included: a batch id up to the base
+is known to be committed, so the markers listed are those since the base before
+the last.
+
+A platform with a transactional table format has all of this; the sink is the
+least that keeps streams exactly-once without one.
 """
 
 from __future__ import annotations
@@ -32,34 +34,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH = "batch"
-
+from tidewatch.sinks.owner import claim, hadoop_fs, query_id, read_text, write_text
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+BATCH = "batch"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
-def _touch(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.create(p, True).close()
-
-
 def _markers(spark: SparkSession, folder: str) -> list[int]:
-    fs, p = _fs(spark, folder)
+    fs, p = hadoop_fs(spark, folder)
     if not fs.exists(p):
         return []
     return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids applied to the table, ascending."""
+    """Batch ids applied to the table and still listed, ascending."""
     return _markers(spark, f"{root.rstrip('/')}/_commits")
 
 
@@ -83,23 +76,29 @@ def newest_per_key(batch: DataFrame, keys: Sequence[str], order: str | None) ->
         *keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def _resolve(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Newest row per key by the ``batch`` column (unique within a key)."""
+def resolve(rows: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key of rows that hold at most one row per key and ``batch``:
+    the largest ``order`` wins, then the newest batch.  Drops ``batch``."""
     keys = list(keys)
+    columns = [c for c in rows.columns if c != BATCH]
     rest = [c for c in columns if c not in keys]
     if not rest:
         return rows.select(*keys).distinct()
-    picks = [F.max_by(F.col(c), F.col(BATCH)).alias(c) for c in rest]
-    return rows.groupBy(*keys).agg(*picks).select(*columns)
+    rank = F.struct(F.col(order), F.col(BATCH)) if order else F.col(BATCH)
+    return rows.groupBy(*keys).agg(*[F.max_by(F.col(c), rank).alias(c) for c in rest]).select(*columns)
+
+
+def _stored_keys(spark: SparkSession, root: str) -> tuple[list[str], str | None]:
+    lines = (read_text(spark, f"{root}/_keys") or "").split("\n")
+    return [k for k in lines[0].split(",") if k], (lines[1] if len(lines) > 1 and lines[1] else None)
 
 
-def _read_resolved(spark: SparkSession, root: str, keys: Sequence[str] | None, upto: int | None = None):
+def _read_resolved(spark: SparkSession, root: str, upto: int | None = None):
     root = root.rstrip("/")
     commits = [v for v in committed_versions(spark, root) if upto is None or v <= upto]
-    if not commits:
+    bases = [v for v in _markers(spark, f"{root}/_bases") if upto is None or v <= upto]
+    if not commits and not bases:
         return None, None
-    top = commits[-1]
-    bases = [v for v in _markers(spark, f"{root}/_bases") if v <= top]
     base_v = bases[-1] if bases else None
     parts = []
     if base_v is not None:
@@ -115,110 +114,79 @@ def _read_resolved(spark: SparkSession, root: str, keys: Sequence[str] | None, u
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p, allowMissingColumns=True)
-    columns = [c for c in rows.columns if c != BATCH]
-    if keys is None:
-        keys = _keys(spark, root)
-    return _resolve(rows, keys, columns), top
-
-
-def _keys(spark: SparkSession, root: str) -> list[str]:
-    fs, p = _fs(spark, f"{root}/_keys")
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return [k for k in str(line).split(",") if k]
-
-
-def _write_keys(spark: SparkSession, root: str, keys: Sequence[str]) -> None:
-    path = f"{root}/_keys"
-    if _exists(spark, path):
-        return
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(",".join(keys).encode("utf-8")))
-    finally:
-        out.close()
+    keys, order = _stored_keys(spark, root)
+    return resolve(rows, keys, order), max(commits[-1] if commits else -1, base_v if base_v is not None else -1)
 
 
-def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """The table after every committed batch, or ``None`` (or an empty frame of ``schema``)."""
-    table, _ = _read_resolved(spark, root, None)
+def read_table(spark: SparkSession, root: str, schema=None, upto: int | None = None) -> DataFrame | None:
+    """The table after every committed batch (up to id ``upto``), or ``None`` (or
+    an empty frame of ``schema``)."""
+    table, _ = _read_resolved(spark, root, upto)
     if table is None:
         return spark.createDataFrame([], schema) if schema is not None else None
     return table
 
 
+def applied(spark: SparkSession, root: str, batch_id: int) -> bool:
+    root = root.rstrip("/")
+    if _exists(spark, f"{root}/_commits/{batch_id}"):
+        return True
+    bases = _markers(spark, f"{root}/_bases")
+    return bool(bases) and batch_id <= bases[-1]
+
+
 def upsert(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, keys: Sequence[str],
-           order: str | None = None) -> bool:
+           order: str | None = None, owner: str | None = None) -> bool:
     """Apply ``batch`` as batch ``batch_id``; returns False if already applied."""
     root = root.rstrip("/")
-    if _exists(spark, f"{root}/_commits/{batch_id}"):
+    claim(spark, root, owner)
+    if applied(spark, root, batch_id):
         return False
-    _write_keys(spark, root, keys)
+    if not _exists(spark, f"{root}/_keys"):
+        write_text(spark, f"{root}/_keys", ",".join(keys) + "\n" + (order or ""))
     newest_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{root}/delta/{BATCH}={int(batch_id)}")
-    _touch(spark, f"{root}/_commits/{batch_id}")
+    write_text(spark, f"{root}/_commits/{batch_id}", "")
     return True
 
 
 def compact(spark: SparkSession, root: str) -> int | None:
-    """Write the resolved table as a new base; returns its version.
-
-    A full rewrite, so run it every N batches rather than per batch.  Deltas
-    up to the base are no longer read; :func:`vacuum` removes them one
-    generation later.
-    """
+    """Write the resolved table as a new base, remove what it supersedes, and
+    return its version.  A full rewrite: a maintenance job beside the stream."""
     root = root.rstrip("/")
-    table, top = _read_resolved(spark, root, None)
+    table, top = _read_resolved(spark, root)
     if table is None or _exists(spark, f"{root}/_bases/{top}"):
         return top
     table.write.mode("overwrite").parquet(f"{root}/base/v={top}")
-    _touch(spark, f"{root}/_bases/{top}")
+    write_text(spark, f"{root}/_bases/{top}", "")
+    _remove_superseded(spark, root)
     return top
 
 
-def vacuum(spark: SparkSession, root: str) -> list[str]:
-    """Delete storage no reader can still need; returns the removed folders.
-
-    One generation is kept as grace: with bases ``... < prev < newest``,
-    deltas up to ``prev`` and bases older than ``prev`` are removed.  A
-    reader that resolved against ``newest`` or ``prev`` still finds all its
-    files.  Commit markers stay (they are tiny and guard replays).
-    """
-    root = root.rstrip("/")
+def _remove_superseded(spark: SparkSession, root: str) -> None:
+    """With bases ``... < prev < newest``, remove deltas and commit markers up to
+    ``prev`` and the bases before it: a reader that resolved against either of
+    the two still finds its files."""
     bases = _markers(spark, f"{root}/_bases")
     if len(bases) < 2:
-        return []
+        return
     cutoff = bases[-2]
-    removed = []
-    fs, delta = _fs(spark, f"{root}/delta")
-    if fs.exists(delta):
-        for st in fs.listStatus(delta):
-            name = st.getPath().getName()
-            if name.startswith(f"{BATCH}=") and name.split("=", 1)[1].isdigit() and int(name.split("=", 1)[1]) <= cutoff:
+    for folder, prefix in (("delta", f"{BATCH}="), ("_commits", "")):
+        fs, p = hadoop_fs(spark, f"{root}/{folder}")
+        if not fs.exists(p):
+            continue
+        for st in fs.listStatus(p):
+            name = st.getPath().getName().removeprefix(prefix)
+            if name.isdigit() and int(name) <= cutoff:
                 fs.delete(st.getPath(), True)
-                removed.append(f"delta/{name}")
     for v in bases:
         if v < cutoff:
-            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/base/v={v}"), True)
-            removed.append(f"base/v={v}")
-    return removed
+            for path in (f"{root}/base/v={v}", f"{root}/_bases/{v}"):
+                fs, p = hadoop_fs(spark, path)
+                fs.delete(p, True)
 
 
-def upsert_writer(root: str, keys: Sequence[str], order: str | None = None, compact_every: int | None = None,
-                  retain: bool = False):
-    """``foreachBatch`` function applying each micro-batch with :func:`upsert`,
-    compacting after every ``compact_every``-th batch id when given, and
-    then (with ``retain=False``) vacuuming what the compaction superseded."""
+def upsert_writer(root: str, keys: Sequence[str], order: str | None = None):
+    """``foreachBatch`` function applying each micro-batch with :func:`upsert`."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        applied = upsert(spark, root, batch, batch_id, keys, order)
-        if applied and compact_every and (batch_id + 1) % compact_every == 0:
-            compact(spark, root)
-            if not retain:
-                vacuum(spark, root)
+        upsert(batch.sparkSession, root, batch, batch_id, keys, order, query_id(batch))
     return write
