@@ -36,8 +36,9 @@ def hash_gaussian(*key_cols, salt: str = "g") -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
 
 
-def noise(kind: str, key_cols=(), seed: int | None = None, mode: str = "hashed") -> Column:
-    """Noise column of ``kind`` in {none, gaussian, uniform}."""
+def noise(kind: str, key_cols=(), seed: int | None = None, mode: str = "hashed", salt: str | None = None) -> Column:
+    """Noise column of ``kind`` in {none, gaussian, uniform}; hashed draws with
+    different salts are independent."""
     if kind == "none":
         return F.lit(0.0)
     if mode == "seeded":
@@ -45,7 +46,7 @@ def noise(kind: str, key_cols=(), seed: int | None = None, mode: str = "hashed")
     if not key_cols:
         raise ValueError("hashed noise needs row-identifying key columns")
     if kind == "gaussian":
-        return hash_gaussian(*key_cols)
+        return hash_gaussian(*key_cols, salt=salt or "g")
     if kind == "uniform":
-        return hash_uniform(*key_cols)
+        return hash_uniform(*key_cols, salt=salt or "u")
     raise ValueError(f"unknown noise kind {kind!r}")

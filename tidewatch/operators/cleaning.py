@@ -35,14 +35,14 @@ def keep_lines_containing(df: DataFrame, markers: Iterable[str] = config.ALLOW_M
 
 def _parsed(df: DataFrame, col: str, seq: Column | None) -> DataFrame:
     parts = F.split(F.col(col), ",")
-    ts_ms = F.expr("try_cast(trim(element_at(_p, 3)) AS BIGINT)")
-    value = F.expr("try_cast(trim(element_at(_p, 4)) AS DOUBLE)")
+    ts_ms = F.expr("try_cast(trim(try_element_at(_p, 3)) AS BIGINT)")
+    value = F.expr("try_cast(trim(try_element_at(_p, 4)) AS DOUBLE)")
     return (
         df.withColumn("_p", parts)
         .select(
             F.col(col).alias("line"),
-            F.element_at("_p", 1).alias("device_id"),
-            F.element_at("_p", 2).alias("dataset_id"),
+            F.try_element_at("_p", F.lit(1)).alias("device_id"),
+            F.try_element_at("_p", F.lit(2)).alias("dataset_id"),
             ts_ms.alias("ts_ms"),
             value.alias("value"),
             (seq if seq is not None else F.xxhash64(F.col(col))).alias("seq"),
@@ -71,23 +71,53 @@ def parse_readings(df: DataFrame, col: str = "value", seq: Column | None = None)
     ``seq`` orders readings of one key that share a timestamp.  Lines carry
     no arrival number, so it defaults to a hash of the line text: the same
     on retries, in batch and in streams (where row numbering is not
-    available).  Such ties are repeated polls in practice, whose order does
-    not change any result.
+    available).  Copies of one line tie exactly, and their order changes
+    nothing.  Two lines of one device and timestamp with different values are
+    ordered by that hash, which need not be their arrival order: a limit for
+    streaks over such input.  Where the source numbers its records (a Kafka
+    offset, a file's line number), pass that as ``seq``.
     """
     p = _parsed(df, col, seq)
     return p.where(_good(p)).select("device_id", "dataset_id", "ts_ms", "value", "ts", "seq")
 
 
-def quarantine_lines(df: DataFrame, col: str = "value", seq: Column | None = None) -> DataFrame:
-    """The lines :func:`parse_readings` rejects, with the reason."""
-    p = _parsed(df, col, seq)
-    reason = (
-        F.when(F.col("_nfields") < 4, F.lit("too few fields"))
+def _reason() -> Column:
+    return (
+        F.when(F.col("line").isNull(), F.lit("no text"))
+        .when(F.col("_nfields") < 4, F.lit("too few fields"))
         .when(F.col("ts_ms").isNull(), F.lit("bad timestamp"))
         .when(F.col("value").isNull(), F.lit("bad value"))
         .otherwise(F.lit("NaN value"))
     )
-    return p.where(~_good(p) | F.col("line").isNull()).select("line", reason.alias("reason"))
+
+
+def quarantine_lines(df: DataFrame, col: str = "value", seq: Column | None = None) -> DataFrame:
+    """The lines :func:`parse_readings` rejects, with the reason (without the
+    deny- and allow-list; :func:`job_quarantine` applies them)."""
+    p = _parsed(df, col, seq)
+    return p.where(~_good(p) | F.col("line").isNull()).select("line", _reason().alias("reason"))
+
+
+def classify_lines(df: DataFrame, deny=config.DENY_MARKERS, allow=config.ALLOW_MARKERS, col: str = "value") -> DataFrame:
+    """Every line with its ``outcome``: ``filtered`` (the deny- or allow-list
+    leaves it out: housekeeping frames, other datasets), ``reading``, or why it
+    is no reading.  Lines in = readings + filtered + quarantined."""
+    parsed = _parsed(df, col, None)
+    passed = contains_none("line", list(deny)) & contains_any("line", list(allow))
+    outcome = (
+        F.when(F.col("line").isNull(), F.lit("no text"))
+        .when(~passed, F.lit("filtered"))
+        .when(_good(parsed), F.lit("reading"))
+        .otherwise(_reason())
+    )
+    return parsed.select("line", outcome.alias("outcome"))
+
+
+def job_quarantine(df: DataFrame, deny=config.DENY_MARKERS, allow=config.ALLOW_MARKERS, col: str = "value") -> DataFrame:
+    """The lines that pass the deny- and allow-list (or are null) and are no
+    readings, with the reason: what a job must not lose."""
+    return classify_lines(df, deny, allow, col).where(~F.col("outcome").isin("reading", "filtered")).select(
+        "line", F.col("outcome").alias("reason"))
 
 
 def lines_to_readings(df: DataFrame, deny=config.DENY_MARKERS, allow=config.ALLOW_MARKERS,
@@ -104,16 +134,17 @@ def only_dataset(df: DataFrame, dataset: str, cols: Cols = READING_COLS) -> Data
 
 
 def add_noise(df: DataFrame, kind: str = "gaussian", cols: Cols = READING_COLS,
-              mode: str = "hashed", seed: int | None = None) -> DataFrame:
+              mode: str = "hashed", seed: int | None = None, salt: str | None = None) -> DataFrame:
     """value += noise.  ``kind`` in {none, gaussian, uniform}.
 
     The hashed form keys the draw on (device, dataset, order), so a retried
-    task or a replayed batch reproduces the same values.
+    task or a replayed batch reproduces the same values.  Branches that must
+    draw separately pass different ``salt`` values.
     """
     if kind == "none":
         return df
     key = (cols.device, cols.dataset, cols.order)
-    return df.withColumn(cols.value, F.col(cols.value) + noise(kind, key, seed=seed, mode=mode))
+    return df.withColumn(cols.value, F.col(cols.value) + noise(kind, key, seed=seed, mode=mode, salt=salt))
 
 
 def with_device_id(df: DataFrame, device_id, col: str = "device_id") -> DataFrame:

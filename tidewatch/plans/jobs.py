@@ -9,7 +9,7 @@ resume exactly-once with the idempotent sinks.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -18,11 +18,12 @@ from tidewatch import config
 from tidewatch.operators import cleaning, histogram as hist_ops, responses, streaks, windows
 from tidewatch.session import state_path
 from tidewatch.sinks.append import append_writer
-from tidewatch.sinks.outputs import console_writer, fan_out, write_lines
+from tidewatch.sinks.archive import archive_writer
+from tidewatch.sinks.outputs import console_writer, fan_out, kafka_writer, write_lines
 from tidewatch.sinks.upsert import upsert_writer
 from tidewatch.streaming.operators import stream_histogram, stream_sliding_extremes
 from tidewatch.streaming.readers import with_event_time
-from tidewatch.streaming.streaks import stream_rising_streaks
+from tidewatch.streaming.streaks import streak_writer, stream_rising_streaks
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,16 @@ class JobParams:
     window_size: str = config.WINDOW_SIZE
     window_slide: str = config.WINDOW_SLIDE
     streak_limit: int = config.STREAK_LIMIT
-    noise: str = "none"            # none | gaussian | uniform
+    # noise of each analysis: none | gaussian | uniform; each draws for itself
+    noise_histogram: str = "none"
+    noise_windows: str = "none"
+    noise_streaks: str = "none"
     delay: str = "0 seconds"       # watermark delay
-    slices: int | None = None      # fixed range slices of the batch streak scan (default: AQE-sized)
-    compact_every: int = 100       # fold upsert-table deltas into a new base every N micro-batches
+    slices: int | None = None      # fixed range slices of the batch streak scan (default: the shuffle partitions)
+
+    def noisy(self) -> "JobParams":
+        """The same with noise: Gaussian in the histogram, uniform in the others."""
+        return replace(self, noise_histogram="gaussian", noise_windows="uniform", noise_streaks="uniform")
 
 
 # ---------------------------------------------------------------------------
@@ -50,40 +57,66 @@ def readings_from_lines(lines: DataFrame, p: JobParams = JobParams()) -> DataFra
     return cleaning.lines_to_readings(lines, p.deny, p.allow)
 
 
+def histogram_input(readings: DataFrame, p: JobParams) -> DataFrame:
+    return cleaning.add_noise(cleaning.only_dataset(readings, p.temperature), p.noise_histogram, salt="histogram")
+
+
+def window_input(readings: DataFrame, p: JobParams) -> DataFrame:
+    return cleaning.add_noise(readings, p.noise_windows, salt="windows")
+
+
+def streak_input(readings: DataFrame, p: JobParams) -> DataFrame:
+    return cleaning.add_noise(cleaning.only_dataset(readings, p.temperature), p.noise_streaks, salt="streaks")
+
+
 def histogram_job(lines: DataFrame, p: JobParams = JobParams()) -> DataFrame:
     """J2: temperature readings -> noise -> bins -> counts per bin."""
-    temp = cleaning.add_noise(cleaning.only_dataset(readings_from_lines(lines, p), p.temperature), p.noise)
-    return hist_ops.histogram(temp, p.bin_start, p.bin_step, p.bin_count)
+    return hist_ops.histogram(histogram_input(readings_from_lines(lines, p), p), p.bin_start, p.bin_step, p.bin_count)
 
 
 def window_job(lines: DataFrame, p: JobParams = JobParams()) -> DataFrame:
     """J3: all readings -> noise -> sliding-window extremes per dataset."""
-    r = cleaning.add_noise(readings_from_lines(lines, p), p.noise)
-    return windows.sliding_extremes(r, p.window_size, p.window_slide)
+    return windows.sliding_extremes(window_input(readings_from_lines(lines, p), p), p.window_size, p.window_slide)
 
 
 def streak_job(lines: DataFrame, p: JobParams = JobParams()) -> DataFrame:
     """J4: temperature readings -> noise -> rising-streak alerts."""
-    temp = cleaning.add_noise(cleaning.only_dataset(readings_from_lines(lines, p), p.temperature), p.noise)
-    return streaks.rising_streaks(temp, p.streak_limit, slices=p.slices)
+    return streaks.rising_streaks(streak_input(readings_from_lines(lines, p), p), p.streak_limit, slices=p.slices)
+
+
+def quarantine_job(lines: DataFrame, p: JobParams = JobParams()) -> DataFrame:
+    """What the other jobs cannot read: lines that pass their filters and are no
+    readings, with the reason.  Every job has it beside its result."""
+    return cleaning.job_quarantine(lines, p.deny, p.allow)
 
 
 def combined_job(lines: DataFrame, p: JobParams = JobParams()) -> dict[str, DataFrame]:
-    """J1: one parsed input, three analyses.
+    """J1: one parsed input, three analyses, and the lines that none could read.
 
     The three plans share the parse; each is a separate action, so Catalyst
     prunes columns per branch (the histogram reads only values).  Persist
     ``lines`` beforehand only when re-reading the source costs more than
     holding it.
     """
-    return {"histogram": histogram_job(lines, p), "windows": window_job(lines, p), "streaks": streak_job(lines, p)}
-
-
-def decode_to_lines_job(resp: DataFrame, out_path: str | None = None) -> DataFrame:
-    """J5: captured responses -> readings -> wire lines (written if a path is given)."""
-    r = responses.decode_responses(resp)
-    if out_path:
-        write_lines(r, out_path)
+    return {"histogram": histogram_job(lines, p), "windows": window_job(lines, p), "streaks": streak_job(lines, p),
+            "quarantine": quarantine_job(lines, p)}
+
+
+def decode_to_lines_job(resp: DataFrame, out_path: str | None = None, quarantine_path: str | None = None) -> DataFrame:
+    """J5: captured responses -> readings -> wire lines (written if a path is
+    given), and what is no reading to ``quarantine_path`` (Parquet)."""
+    classified = responses.classify_responses(resp)
+    r = responses.readings_of(classified)
+    if out_path and quarantine_path:
+        classified = classified.persist()       # one parse for both outputs
+    try:
+        if out_path:
+            write_lines(responses.readings_of(classified), out_path)
+        if quarantine_path:
+            responses.quarantine_of(classified).write.mode("append").parquet(quarantine_path)
+    finally:
+        if out_path and quarantine_path:
+            classified.unpersist()
     return r
 
 
@@ -95,62 +128,89 @@ def _checkpoint(spark: SparkSession, root: str | None, name: str) -> str:
     return f"{root.rstrip('/')}/{name}" if root else state_path(spark, "streams", name)
 
 
+def _start(result: DataFrame, name: str, mode: str, writers: list, console: bool, checkpoint_root: str | None,
+           trigger: dict | None) -> StreamingQuery:
+    """Start one query: ``writers`` (and the console) get every micro-batch."""
+    writers = writers + ([console_writer()] if console else [])
+    sink = writers[0] if len(writers) == 1 else fan_out(writers)
+    w = result.writeStream.outputMode(mode).foreachBatch(sink).option(
+        "checkpointLocation", _checkpoint(result.sparkSession, checkpoint_root, name))
+    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+
+
 def start_histogram_stream(readings: DataFrame, table_root: str, p: JobParams = JobParams(),
                            checkpoint_root: str | None = None, trigger: dict | None = None,
                            console: bool = False) -> StreamingQuery:
     """J2 streaming: running bin counts, upserted by bin each micro-batch."""
-    temp = cleaning.add_noise(cleaning.only_dataset(readings, p.temperature), p.noise)
-    counts = stream_histogram(temp, p.bin_start, p.bin_step, p.bin_count)
-    writers = [upsert_writer(table_root, ["bin"], compact_every=p.compact_every)]
-    if console:
-        writers.append(console_writer())
-    w = counts.writeStream.outputMode("update").foreachBatch(fan_out(writers)).option(
-        "checkpointLocation", _checkpoint(readings.sparkSession, checkpoint_root, "histogram"))
-    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+    counts = stream_histogram(histogram_input(readings, p), p.bin_start, p.bin_step, p.bin_count)
+    return _start(counts, "histogram", "update", [upsert_writer(table_root, ["bin"])], console, checkpoint_root, trigger)
 
 
 def start_window_stream(readings: DataFrame, table_root: str, p: JobParams = JobParams(),
                         checkpoint_root: str | None = None, trigger: dict | None = None,
-                        mode: str = "append") -> StreamingQuery:
+                        mode: str = "append", console: bool = False) -> StreamingQuery:
     """J3 streaming: window extremes.
 
     ``append`` writes each closed window once (idempotent by batch id);
     ``update`` upserts changing windows by (dataset, win_start) and so also
     shows windows that are still open.
     """
-    r = cleaning.add_noise(readings, p.noise)
     # panes chain two stateful aggregates, which Spark allows in append mode only
-    ext = stream_sliding_extremes(r, p.window_size, p.window_slide, panes=(mode == "append"))
-    if mode == "append":
-        sink = append_writer(table_root)
-    else:
-        sink = upsert_writer(table_root, ["dataset_id", "win_start"], compact_every=p.compact_every)
-    w = ext.writeStream.outputMode(mode).foreachBatch(sink).option(
-        "checkpointLocation", _checkpoint(readings.sparkSession, checkpoint_root, "windows"))
-    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+    ext = stream_sliding_extremes(window_input(readings, p), p.window_size, p.window_slide, panes=(mode == "append"))
+    sink = append_writer(table_root) if mode == "append" else upsert_writer(table_root, ["dataset_id", "win_start"])
+    return _start(ext, "windows", mode, [sink], console, checkpoint_root, trigger)
 
 
 def start_streak_stream(readings: DataFrame, table_root: str, p: JobParams = JobParams(),
-                        checkpoint_root: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """J4 streaming: keyed-state streak alerts, replaced by (device, start)."""
-    temp = cleaning.add_noise(cleaning.only_dataset(readings, p.temperature), p.noise)
-    alerts = stream_rising_streaks(temp, p.streak_limit).drop("ts_ms")
-    w = alerts.writeStream.outputMode("append").foreachBatch(
-        upsert_writer(table_root, ["device_id", "start_ms"], order="counts", compact_every=p.compact_every)).option(
-        "checkpointLocation", _checkpoint(readings.sparkSession, checkpoint_root, "streaks"))
-    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+                        checkpoint_root: str | None = None, trigger: dict | None = None,
+                        console: bool = False, keyed_state: bool = False) -> StreamingQuery:
+    """J4 streaming: streak alerts, replaced by (device, start), the highest count
+    staying.
+
+    Each micro-batch runs through the range-sliced scan, so a hot device is
+    spread over tasks; its state table lies beside the result table.
+    ``keyed_state=True`` uses the keyed state operator instead (one task per
+    device and batch, no state table).
+    """
+    temp = streak_input(readings, p)
+    upserts = upsert_writer(table_root, ["device_id", "start_ms"], order="counts")
+    writers = [lambda batch, batch_id: upserts(batch.drop("ts_ms"), batch_id)] + ([console_writer()] if console else [])
+    sink = writers[0] if len(writers) == 1 else fan_out(writers)
+    if keyed_state:
+        return _start(stream_rising_streaks(temp, p.streak_limit), "streaks", "append", [sink], False, checkpoint_root, trigger)
+    scan = streak_writer(f"{table_root.rstrip('/')}-state", sink, p.streak_limit, p.slices)
+    return _start(temp, "streaks", "append", [scan], False, checkpoint_root, trigger)
+
+
+def start_quarantine_stream(lines: DataFrame, root: str, p: JobParams = JobParams(), checkpoint_root: str | None = None,
+                            trigger: dict | None = None, console: bool = False) -> StreamingQuery:
+    """The lines that the analyses of the same stream cannot read, with the
+    reason, appended once each."""
+    return _start(quarantine_job(lines, p), "quarantine", "append", [append_writer(root)], console, checkpoint_root, trigger)
+
+
+def start_publish_stream(lines: DataFrame, servers: str, topic: str, archive_root: str, checkpoint_root: str | None = None,
+                         trigger: dict | None = None, publish=kafka_writer) -> StreamingQuery:
+    """K7: every micro-batch of lines both to a topic and to the day/hour archive."""
+    return _start(lines, "publish", "append", [publish(servers, topic), archive_writer(archive_root)], False, checkpoint_root, trigger)
 
 
 def start_combined_stream(readings: DataFrame, roots: dict[str, str], p: JobParams = JobParams(),
-                          checkpoint_root: str | None = None, trigger: dict | None = None) -> list[StreamingQuery]:
+                          checkpoint_root: str | None = None, trigger: dict | None = None, console: bool = False,
+                          lines: DataFrame | None = None) -> list[StreamingQuery]:
     """J1 streaming: the three analyses as three queries over one source
     definition (each keeps its own offsets and state); wait on them with
-    ``spark.streams.awaitAnyTermination()``."""
-    return [
-        start_histogram_stream(readings, roots["histogram"], p, checkpoint_root, trigger),
-        start_window_stream(readings, roots["windows"], p, checkpoint_root, trigger),
-        start_streak_stream(readings, roots["streaks"], p, checkpoint_root, trigger),
+    ``spark.streams.awaitAnyTermination()``.  With the stream of ``lines`` that
+    the readings come from, and a ``quarantine`` root, a fourth keeps those that
+    are no readings."""
+    queries = [
+        start_histogram_stream(readings, roots["histogram"], p, checkpoint_root, trigger, console),
+        start_window_stream(readings, roots["windows"], p, checkpoint_root, trigger, console=console),
+        start_streak_stream(readings, roots["streaks"], p, checkpoint_root, trigger, console),
     ]
+    if lines is not None and "quarantine" in roots:
+        queries.append(start_quarantine_stream(lines, roots["quarantine"], p, checkpoint_root, trigger, console))
+    return queries
 
 
 def watermarked(readings: DataFrame, p: JobParams = JobParams()) -> DataFrame:

@@ -9,7 +9,8 @@ from tidewatch import config
 from tidewatch.config import EventProfile
 from tidewatch.functions.text import to_line
 from tidewatch.functions.timefmt import to_ts, ts_to_ms
-from tidewatch.operators import cleaning, dedup, histogram as hist_ops, serving, streaks, windows
+from tidewatch.operators import cleaning, histogram as hist_ops, serving, streaks, windows
+from tidewatch.sinks.upsert import BATCH, newest_per_key, resolve
 from tidewatch.sources.tables import load_table, readings
 
 
@@ -39,9 +40,27 @@ def dashboard(r: DataFrame, p: EventProfile) -> DataFrame:
     return serving.dashboard_snapshot(hist, ext, alerts, p.temperature, p.humidity, config.LATEST_WINDOWS)
 
 
+def dashboard_of_tables(hist: DataFrame, ext: DataFrame, streak_table: DataFrame, p: EventProfile) -> DataFrame:
+    """The same payload from maintained result tables (the sinks' bins, windows
+    and streaks), which is what a page that refreshes every few seconds reads;
+    :func:`dashboard` computes it from all readings."""
+    return serving.dashboard_snapshot(hist, ext, streak_table, p.temperature, p.humidity, config.LATEST_WINDOWS)
+
+
 def latest_per_device(r: DataFrame) -> DataFrame:
-    """What a keyed upsert sink holds at the end: the newest reading per device."""
-    return dedup.pick_by(r, ["device_id"], "seq", "max")
+    """What a keyed upsert sink holds at the end: the newest reading per device.
+
+    Arrival numbers are cut into micro-batches; each is reduced and then resolved
+    as the sink does it."""
+    batches = r.withColumn(BATCH, F.floor(F.col("seq") / 1000).cast("long"))
+    return resolve(newest_per_key(batches, ["device_id", BATCH], "seq"), ["device_id"])
+
+
+def streak_upserts(alerts: DataFrame) -> DataFrame:
+    """What the streak sink holds after all alerts, in micro-batches of a day:
+    reduced and resolved as the sink does it."""
+    batches = alerts.select("device_id", "start_ms", "counts", F.floor(F.col("ts_ms") / 86_400_000).cast("long").alias(BATCH))
+    return resolve(newest_per_key(batches, ["device_id", "start_ms", BATCH], "counts"), ["device_id", "start_ms"], "counts")
 
 
 def event_lines(spark: SparkSession, sf_dir: str, with_seq: bool = False, with_ts: bool = False) -> DataFrame:
@@ -57,30 +76,40 @@ def event_lines(spark: SparkSession, sf_dir: str, with_seq: bool = False, with_t
 
 
 def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured platform responses, one per event.
+    """Captured platform responses, one per event, with the faults a platform shows.
 
-    ``error`` events come back with status 500 and ``signup`` events with a
-    200 whose text lacks a body (both must yield no reading); the rest carry
-    the reading as a one-element status list, every field as text.
+    ``error`` events come back with status 500 and ``signup`` events with a 200
+    without a body.  Of the others, by event number modulo 10: 1 has a body cut
+    short, 2 an empty status list, 3 no list, 4 a second status with an
+    unreadable value, 5 a second good status (one ms later), 6 an unreadable
+    timestamp; the rest carry one status.  Every field is text.
     """
     e = load_table(spark, sf_dir, "events")
-    status = F.struct(
-        F.col("value").cast("string").alias("value"),
-        ts_to_ms(to_ts("ts")).cast("string").alias("timestamp"),
-        F.col("event_type").alias("datasetId"),
-    )
-    body = F.to_json(F.struct(F.lit("0").alias("code"), F.lit("ok").alias("desc"),
-                              F.array(status).alias("deviceStatusList")))
+    ms = ts_to_ms(to_ts("ts"))
+    turn = F.col("event_id") % 10
+
+    def status(value, stamp):
+        return F.struct(value.alias("value"), stamp.alias("timestamp"), F.col("event_type").alias("datasetId"))
+
+    text = F.col("value").cast("string")
+    one = status(text, F.when(turn == 6, F.lit("soon")).otherwise(ms.cast("string")))
+    second = status(F.when(turn == 4, F.lit("n/a")).otherwise(text), (ms + 1).cast("string"))
+    statuses = F.when(turn.isin(4, 5), F.array(one, second)).when(
+        turn == 2, F.slice(F.array(one), 1, 0)).when(turn != 3, F.array(one))
+    body = F.to_json(F.struct(F.lit("0").alias("code"), F.lit("ok").alias("desc"), statuses.alias("deviceStatusList")))
+    body = F.when(turn == 1, F.lit("{\"code\":\"0\",\"deviceStatus")).otherwise(body)
     code = F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200))
-    text = (
+    resp = (
         F.when(F.col("event_type") == "signup", F.concat(F.lit("HTTP "), code.cast("string"), F.lit(" timeout")))
         .otherwise(F.concat(F.lit("HTTP "), code.cast("string"), F.lit(" body="), body))
     )
-    return e.select(F.col("user_id").cast("string").alias("device_id"), code.alias("status_code"),
-                    text.alias("resp"))
+    return e.select("event_id", F.col("user_id").cast("string").alias("device_id"), code.alias("status_code"), resp.alias("resp"))
 
 
 def polled_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every reading served twice, as a polling collector records it."""
+    """Every reading served twice, as a polling collector records it: the second
+    copy arrives later and, on every third reading, was corrected by half a unit."""
     r = readings(spark, sf_dir)
-    return r.unionByName(r)
+    value = F.when(F.col("seq") % 3 == 0, F.col("value") + 0.5).otherwise(F.col("value"))
+    later = F.col("seq") + 1_000_000_000
+    return r.unionByName(r.withColumn("value", value).withColumn("seq", later))

@@ -16,14 +16,12 @@ def text_source(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                latest_first: bool = False) -> DataFrame:
-    """Unbounded source over a directory of rolled line files."""
+def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Unbounded source over a directory of rolled line files, oldest first: a
+    watermark would drop older files' rows as late if newer ones came before."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if latest_first:
-        reader = reader.option("latestFirst", "true")
     return reader.load(path)
 
 

@@ -30,19 +30,26 @@ def kafka_reader(spark: SparkSession, servers: str, topic: str, starting_offsets
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
+        .option("includeHeaders", "true")
     )
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader
 
 
+def kafka_records(df: DataFrame) -> DataFrame:
+    """The source's rows as ``value string`` lines with topic, partition, offset
+    (arrival order within a partition), time and, where read, headers."""
+    headers = [F.col("headers")] if "headers" in df.columns else []
+    return df.select(
+        F.col("value").cast("string").alias("value"),
+        F.col("topic"), F.col("partition"), F.col("offset"), F.col("timestamp").alias("kafka_ts"), *headers,
+    )
+
+
 def kafka_source(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
                  stream: bool = True, **options) -> DataFrame:
     """Records of ``topic`` as ``value string`` lines (plus Kafka metadata)."""
     if not kafka_available(spark):
         raise RuntimeError("Kafka source not on the classpath; add spark-sql-kafka to the job")
-    df = kafka_reader(spark, servers, topic, starting_offsets, stream, **options).load()
-    return df.select(
-        F.col("value").cast("string").alias("value"),
-        F.col("topic"), F.col("partition"), F.col("offset"), F.col("timestamp").alias("kafka_ts"),
-    )
+    return kafka_records(kafka_reader(spark, servers, topic, starting_offsets, stream, **options).load())

@@ -11,6 +11,11 @@ are bounded by the trigger size (``maxFilesPerTrigger`` /
 
 Event-time order holds within a batch; across batches rows are taken in
 batch order, as an ascending source delivers them.
+
+That operator puts a device's rows of one micro-batch into one task.  Where a
+device may hold a large share of a batch, :func:`streak_writer` runs each
+micro-batch through the range-sliced scan of the batch operator instead, and
+carries the devices' states in an upsert table.
 """
 
 from __future__ import annotations
@@ -20,10 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch import config, schemas
-from tidewatch.operators.scan import advance_runs
+from tidewatch.operators.scan import advance_runs, not_null
+from tidewatch.operators.streaks import streak_counts
+from tidewatch.sinks.owner import query_id
+from tidewatch.sinks.upsert import read_table, upsert
 from tidewatch.session import ship_package
 
 OUTPUT_SCHEMA = "device_id string, start_ms bigint, counts bigint, ts_ms bigint"
@@ -71,6 +80,61 @@ def stream_rising_streaks(readings: DataFrame, limit: int = config.STREAK_LIMIT,
     keeps the last value of a device indefinitely.
     """
     ship_package(readings.sparkSession)
-    slim = readings.select(readings[device_col].cast("string").alias("device_id"), "ts_ms", "seq", "value")
+    slim = readings.select(readings[device_col].cast("string").alias("device_id"), "ts_ms", "seq", "value").where(
+        not_null(["device_id", "ts_ms", "seq", "value"]))      # as in the batch scan
     return slim.groupBy("device_id").applyInPandasWithState(
         _streak_function(limit), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+_BEFORE = -(1 << 62)        # stands before every timestamp: the row that carries a device's state in
+STATE_COLS = "device_id string, start_ms bigint, prev double, cnt bigint"
+
+
+def advance_batch(batch: DataFrame, state: DataFrame | None, slices: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """One micro-batch through the range-sliced scan.
+
+    A device's state enters as a row before its first one; rows of the run that
+    starts there continue the carried run.  Returns the batch's rows with run
+    start and count, and the new state of its devices.
+    """
+    rows = batch.select(F.col("device_id").cast("string").alias("device_id"), "ts_ms", "seq", "value").where(
+        not_null(["device_id", "ts_ms", "seq", "value"]))
+    if state is None:
+        counted = streak_counts(rows, slices=slices)
+    else:
+        present = state.join(rows.select("device_id").distinct(), "device_id", "left_semi")
+        first = present.select("device_id", F.lit(_BEFORE).alias("ts_ms"), F.lit(_BEFORE).alias("seq"), F.col("prev").alias("value"))
+        carried = present.select("device_id", F.col("start_ms").alias("_start"), F.col("cnt").alias("_cnt"))
+        goes_on = F.col("start_ms") == _BEFORE
+        counted = (
+            streak_counts(rows.unionByName(first), slices=slices).where(F.col("ts_ms") > _BEFORE)
+            .join(carried, "device_id", "left")
+            .withColumn("counts", F.when(goes_on, F.col("counts") - 1 + F.col("_cnt")).otherwise(F.col("counts")))
+            .withColumn("start_ms", F.when(goes_on, F.col("_start")).otherwise(F.col("start_ms")))
+            .drop("_start", "_cnt")
+        )
+    # every copy of a device's last reading restarts the run, so the shortest count is that of the last copy
+    end = F.struct("ts_ms", "seq", -F.col("counts"))
+    after = counted.groupBy("device_id").agg(
+        F.max_by("start_ms", end).alias("start_ms"), F.max_by("value", end).alias("prev"), F.max_by("counts", end).alias("cnt"))
+    return counted, after
+
+
+def streak_writer(state_root: str, sink, limit: int = config.STREAK_LIMIT, slices: int | None = None):
+    """``foreachBatch`` function: alerts of each micro-batch to ``sink`` (itself a
+    ``foreachBatch`` function), states to the upsert table at ``state_root``.
+
+    The state is committed after the sink; a replayed batch reads the state as of
+    the batch before it, so it makes the same alerts again.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = read_table(spark, state_root, upto=batch_id - 1)
+        counted, after = advance_batch(batch, state, slices)
+        counted = counted.persist()
+        try:
+            sink(counted.where(F.col("counts") >= limit).select("device_id", "start_ms", "counts", "ts_ms"), batch_id)
+            upsert(spark, state_root, after, batch_id, ["device_id"], owner=query_id(batch))
+        finally:
+            counted.unpersist()
+    return write
