@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -28,6 +28,9 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Mask of white space and ASCII punctuation.
+PUNCTUATION = _SPACE.copy()
+PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
@@ -67,6 +70,17 @@ def fold(column: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % folds
 
 
+def lowest_per_group(rows: DataFrame, group: str, order: list[str], n: int, salts: int = 64) -> DataFrame:
+    """The ``n`` rows of lowest ``order`` in each group, first within salts of a
+    group, so that a hot one is not ranked in a single task."""
+    salted = Window.partitionBy(group, "__salt").orderBy(*order)
+    final = Window.partitionBy(group).orderBy(*order)
+    few = rows.withColumn("__salt", F.pmod(F.xxhash64(F.lit(11), *order), F.lit(salts)))
+    for window in (salted, final):
+        few = few.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= n).drop("__n")
+    return few.drop("__salt")
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column; null texts are empty."""
     if column.null_count:
@@ -104,17 +118,18 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash every word of the joined texts.
 
     Returns (64-bit hash, start byte, end byte) of the words in order.  Texts
-    end words: ``offsets`` are the text boundaries.  The hash is a polynomial
+    end words: ``offsets`` are the text boundaries, ``breaks`` the byte values
+    (as a mask) between words.  The hash is a polynomial
     over the bytes, read off prefix sums modulo 2**64, and mixed.
     """
     if len(data) == 0:
         empty = np.empty(0, np.int64)
         return np.empty(0, np.uint64), empty, empty
-    solid = ~_SPACE[data]
+    solid = ~breaks[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     last = solid.copy()

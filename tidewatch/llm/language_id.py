@@ -18,11 +18,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import map_texts
+from tidewatch.llm.common import lowest_per_group, map_texts
 
 #: Slots of each n-gram order, from single bytes up.
 SLOTS = (256, 2048, 4096, 4096)
@@ -108,8 +108,7 @@ def fit_languages(docs: DataFrame, training: Column | None = None, id_col: str =
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= sample_chars))
-    first = Window.partitionBy("lang").orderBy("h")
-    keys = rows.select("lang", "h").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("lang", "h")
+    keys = lowest_per_group(rows.select("lang", "h"), "lang", ["h"], per_language)
     # at most per_language keys a language
     sample = rows.join(F.broadcast(keys.distinct()), ["lang", "h"]).dropDuplicates(["lang", "h"]).orderBy("h", "lang").collect()
     return fit([r["text"] for r in sample], [r["lang"] for r in sample])

@@ -19,25 +19,31 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import map_texts, mix, text_buffer, word_hashes, words_per_text
-
-PER_LABEL, SAMPLE_CHARS = 4000, 20_000
-DISCOUNT = 0.75
-#: Bigrams seen less often (in both classes together) are left to the backoff.
-LEAST_BIGRAM = 2
+from tidewatch.llm.common import PUNCTUATION, lowest_per_group, map_texts, mix, text_buffer, word_hashes, words_per_text
+
+PER_LABEL, SAMPLE_CHARS = 3000, 20_000
+#: Counts taken from a class's expressions for its backoff, and from continuation
+#: counts for unknown words.
+DISCOUNT, KN_DISCOUNT = 0.75, 0.75
+#: Expressions in fewer texts than these shares of the rarer label's texts (and
+#: ``LEAST_TEXTS``) are rare; the curve's texts choose among the shares.
+RARE_SHARES, LEAST_TEXTS = (0.005, 0.01, 0.02, 0.04, 0.08), 3
+#: Log ratio from which a word speaks strongly.
+STRONG = 3.5
 #: Share of the sample kept from the counts for the logistic curve: one in so many.
 CURVE_SHARE = 4
 _START = np.uint64(0x5851F42D4C957F2D)
 
 
 def hashed_texts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts and each text's bounds."""
+    """Hashes of all texts' words (between white space and punctuation) and each
+    text's bounds."""
     data, offsets = text_buffer(pa.array([t or "" for t in texts], pa.large_string()))
-    words, starts, _ = word_hashes(data, offsets)
+    words, starts, _ = word_hashes(data, offsets, breaks=PUNCTUATION)
     return words, words_per_text(starts, offsets)
 
 
@@ -71,8 +77,9 @@ class ToxicityModel:
     scale: np.ndarray           # means and deviations of the comparisons
 
     def comparisons(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Per text: log-likelihood difference per word and per square root of
-        the number of words, and the share of words that speak for each class."""
+        """Per text: the log-likelihood difference of the two classes per word and
+        per square root of the number of words, the same of the words alone that
+        speak strongly for toxicity, and the logarithm of their sum."""
         before = _contexts(words, bounds)
         at, ahead = _find(self.words, words), _find(self.words, before)
         pair = np.full(len(words), len(self.pairs))
@@ -83,54 +90,84 @@ class ToxicityModel:
         n = np.diff(bounds)
         sums = np.concatenate([[0.0], np.cumsum(ratio)])
         total = sums[bounds[1:]] - sums[bounds[:-1]]
-        strong = np.concatenate([[0.0], np.cumsum(np.where(ratio > 2, ratio, 0))])
+        strong = np.concatenate([[0.0], np.cumsum(np.where(ratio > STRONG, ratio, 0))])
         high = strong[bounds[1:]] - strong[bounds[:-1]]
         size = np.maximum(n, 1)
-        return np.stack([total / size, total / np.sqrt(size), high / size, high / np.sqrt(size)], axis=1)
+        return np.stack([total / size, total / np.sqrt(size), high / size, high / np.sqrt(size), np.log1p(high)], axis=1)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         x = (self.comparisons(*hashed_texts(texts)) - self.scale[0]) / self.scale[1]
         return 1 / (1 + np.exp(-np.clip(self.curve[0] + x @ self.curve[1:], -30, 30)))
 
 
-def _count(words: np.ndarray, bounds: np.ndarray, label: np.ndarray) -> ToxicityModel:
-    """Kneser-Ney tables of the texts, ``label`` giving each one's class."""
-    of_word = np.repeat(label, np.diff(bounds))
-    before = _contexts(words, bounds)
-    vocabulary = np.unique(words)
-    contexts = np.searchsorted(vocabulary, before)
-    contexts = np.where((before == _START), len(vocabulary), contexts)
-    ids = np.searchsorted(vocabulary, words)
-    size = len(vocabulary)
-    unigram, backoff = np.empty((size + 1, 2)), np.ones((size + 1, 2))
-    key = contexts * size + ids
-    kinds, inverse = np.unique(key, return_inverse=True)
-    counts = np.stack([np.bincount(inverse, weights=of_word == y, minlength=len(kinds)) for y in (0, 1)], axis=1)
-    left, right = kinds // size, kinds % size
-    # shared backoff: in how many distinct contexts either class has the word
-    ahead = np.bincount(right, minlength=size).astype(float)
-    uniform = 1.0 / (size + 1)
-    shared = np.append(np.maximum(ahead - DISCOUNT, 0), 0) / ahead.sum() + DISCOUNT * (ahead > 0).sum() / ahead.sum() * uniform
-    bigram = np.zeros((len(kinds) + 1, 2))
-    for y in (0, 1):
-        seen = counts[:, y] > 0
-        own = np.bincount(right[seen], minlength=size).astype(float)
-        total = max(own.sum(), 1.0)
-        unigram[:, y] = np.append(np.maximum(own - DISCOUNT, 0), 0) / total + max(DISCOUNT * (own > 0).sum() / total, 1e-9) * shared
-        kept = counts.sum(axis=1) >= LEAST_BIGRAM
-        whole = np.bincount(left, weights=counts[:, y], minlength=size + 1)
-        mass = np.where(kept & seen, np.maximum(counts[:, y] - DISCOUNT, 0), 0) / np.maximum(whole[left], 1)
-        bigram[:-1, y] = mass
-        backoff[:, y] = 1 - np.bincount(left, weights=mass, minlength=size + 1)
-    kept = np.flatnonzero(counts.sum(axis=1) >= LEAST_BIGRAM)
-    names = np.append(vocabulary, _START)
-    pairs = _pair(names[left[kept]], vocabulary[right[kept]])
-    order = np.argsort(pairs)
-    # the start of a text is a context like a word, and never a word itself
-    table = np.argsort(names)
-    first = np.append(unigram[:-1], unigram[-1:], axis=0)[table]
-    return ToxicityModel(names[table], np.append(first, unigram[-1:], axis=0), np.append(backoff[table], np.ones((1, 2)), axis=0),
-                         pairs[order], np.append(bigram[kept][order], np.zeros((1, 2)), axis=0), np.zeros(5), np.array([np.zeros(4), np.ones(4)]))
+def _in_texts(keys: np.ndarray, of_text: np.ndarray, n: int) -> np.ndarray:
+    """In how many texts each of the keys 0..n-1 occurs."""
+    order = np.lexsort((of_text, keys))
+    k, t = keys[order], of_text[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (t[1:] != t[:-1])
+    return np.bincount(k[new], minlength=n)
+
+
+class _Counts:
+    """Counts of the sample's words and bigrams, by class and by text."""
+
+    def __init__(self, words: np.ndarray, bounds: np.ndarray, label: np.ndarray):
+        of_text = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(bounds))
+        mine = label[of_text] == 1
+        self.vocabulary, ids = np.unique(words, return_inverse=True)
+        ids = ids.astype(np.int32)
+        size = len(self.vocabulary)
+        # the start of a text is a context like a word, and never a word itself
+        contexts = np.empty_like(ids)
+        contexts[1:] = ids[:-1]
+        contexts[bounds[:-1][np.diff(bounds) > 0]] = size
+        kinds, pair_of = np.unique(contexts.astype(np.int64) * size + ids, return_inverse=True)
+        pair_of = pair_of.astype(np.int32)
+        self.left, self.right = (kinds // size).astype(np.int32), (kinds % size).astype(np.int32)
+        self.texts, self.pair_texts = _in_texts(ids, of_text, size), _in_texts(pair_of, of_text, len(kinds))
+        self.tokens = np.bincount(ids, minlength=size)
+        self.by_class = [np.bincount(ids[side], minlength=size) for side in (~mine, mine)]
+        self.pairs_by_class = [np.bincount(pair_of[side], minlength=len(kinds)) for side in (~mine, mine)]
+        self.before_by_class = [np.bincount(contexts[side], minlength=size + 1) for side in (~mine, mine)]
+
+    def model(self, least: int) -> ToxicityModel:
+        """Kneser-Ney tables; expressions in fewer than ``least`` texts are rare
+        and stand in the shared backoff only."""
+        size = len(self.vocabulary)
+        # continuation counts that the classes share: in how many distinct contexts a word stands
+        ahead = np.bincount(self.right, minlength=size).astype(float)
+        frequent = self.texts >= least
+        rare_mass = (1.0 + self.tokens[~frequent].sum()) / (self.tokens.sum() + 2.0)
+        rare = np.append(np.where(frequent, 0, np.maximum(ahead - KN_DISCOUNT, 0)), 1.0)       # the last is of unknown words
+        rare[-1] = max((~frequent).sum() * KN_DISCOUNT, 1.0)                                     # what the discounts leave
+        rare *= rare_mass / rare.sum()
+        shared = np.where(frequent, ahead, 0) / max(1.0, ahead[frequent].sum())
+        kept = np.flatnonzero((self.pair_texts >= least) & frequent[self.right])
+        left, right = self.left[kept], self.right[kept]
+        unigram, backoff = np.empty((size + 1, 2)), np.ones((size + 1, 2))
+        bigram = np.zeros((len(kept) + 1, 2))
+        for y in (0, 1):
+            own = np.where(frequent, self.by_class[y], 0).astype(float)
+            first = np.maximum(own - DISCOUNT, 0) / max(1.0, own.sum())
+            left_over = 1 - first.sum() if frequent.any() else 0.0
+            unigram[:, y] = np.append((1 - rare_mass) * (first + left_over * shared), 0) + rare
+            bigram[:-1, y] = np.maximum(self.pairs_by_class[y][kept] - DISCOUNT, 0) / np.maximum(self.before_by_class[y][left], 1)
+            backoff[:, y] = 1 - np.bincount(left, weights=bigram[:-1, y], minlength=size + 1)
+        if not frequent.any():
+            unigram /= unigram.sum(axis=0)
+        # rare words are as good as unknown: only their shared probability differs, which says nothing of a class
+        listed = np.flatnonzero(np.append(frequent, True))
+        names = np.append(self.vocabulary, _START)
+        hashed = _pair(names[left], self.vocabulary[right])
+        order = np.argsort(hashed)
+        table = listed[np.argsort(names[listed])]
+        by_name = np.append(unigram[:-1], unigram[-1:], axis=0)
+        known = np.isin(left, listed)
+        order = order[known[order]]
+        return ToxicityModel(names[table], np.append(by_name[table], unigram[-1:], axis=0),
+                             np.append(backoff[table], np.ones((1, 2)), axis=0), hashed[order],
+                             np.append(bigram[:-1][order], np.zeros((1, 2)), axis=0), np.zeros(6), np.array([np.zeros(5), np.ones(5)]))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 30) -> np.ndarray:
@@ -157,16 +194,26 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float] | None
     curve = turn % CURVE_SHARE == CURVE_SHARE - 1
     if not (curve & (y == 0)).any() or not (curve & (y == 1)).any():
         curve = np.zeros(len(y), bool)
-    words, bounds = hashed_texts([t for t, c in zip(texts, curve) if not c])
-    if not len(words):
+    counts = _Counts(*hashed_texts([t for t, c in zip(texts, curve) if not c]), y[~curve])
+    if not len(counts.vocabulary):
         return None
-    model = _count(words, bounds, y[~curve])
     used = curve if curve.any() else ~curve
-    x = model.comparisons(*hashed_texts([t for t, c in zip(texts, used) if c]))
-    model.scale = np.array([x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)])
-    model.curve = _logistic((x - model.scale[0]) / model.scale[1], y[used].astype(float))
+    probe = hashed_texts([t for t, c in zip(texts, used) if c])
+    target = y[used].astype(float)
+    best = None
+    for least in sorted({max(LEAST_TEXTS, round(share * np.bincount(y[~curve], minlength=2).min())) for share in RARE_SHARES}):
+        model = counts.model(least)
+        x = model.comparisons(*probe)
+        model.scale = np.array([x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)])
+        x = (x - model.scale[0]) / model.scale[1]
+        model.curve = _logistic(x, target)
+        p = 1 / (1 + np.exp(-np.clip(model.curve[0] + x @ model.curve[1:], -30, 30)))
+        loss = -np.mean(np.where(target == 1, np.log(p), np.log(1 - p)))
+        if best is None or loss < best[0]:
+            best = (loss, model)
+    model = best[1]
     if shares:
-        model.curve[0] += np.log(shares[1] / shares[0]) - np.log((y[used] == 1).sum() / (y[used] == 0).sum())
+        model.curve[0] += np.log(shares[1] / shares[0]) - np.log(target.sum() / (len(target) - target.sum()))
     return model
 
 
@@ -179,8 +226,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column | None = N
     known = labels if training is None else labels.where(training)
     known = known.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"))
     known = known.where("__id IS NOT NULL AND __y IN (0, 1)").groupBy("__id").agg(F.max("__y").alias("__y"))
-    first = Window.partitionBy("__y").orderBy(F.xxhash64("__id"), "__id")
-    keys = known.withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= per_label).select("__id", "__y")
+    keys = lowest_per_group(known.withColumn("__h", F.xxhash64("__id")), "__y", ["__h", "__id"], per_label).select("__id", "__y")
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__t")).where(F.length("__t") <= sample_chars)
     # at most per_label keys a label
     rows = texts.join(F.broadcast(keys), "__id").orderBy(F.xxhash64("__id"), "__id", "__t").collect()

@@ -201,7 +201,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
 
     Defined cases: rows without an id, with a null vector, or with null or
     non-finite components take no part; repeated ids count once (the lowest of
-    their vectors); a query's own id is never its result; vectors of different
+    their vectors, compared as bytes); a query's own id is never its result; vectors of different
     dimension do not meet; fewer than ``k`` others give all of them; an empty
     table gives an empty result; other columns are ignored.
     """
