@@ -1,0 +1,205 @@
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from fixtures import awkward, docs_frame, with_clashes, words
+from pyspark.sql import functions as F
+
+from conftest import SF_ORACLE
+from tidewatch.llm import language_id, language_model, queries, toxicity
+from tidewatch.llm.common import fold, text_buffer, word_hashes
+
+
+def test_word_hashes_follow_the_word_rule():
+    texts = ["Ab  cd\tEF\x0bgh", "", " ", "tail", "head x" * 3, "É é z ab"]
+    data, offsets = text_buffer(pa.array(texts))
+    h, starts, ends = word_hashes(data, offsets)
+    want = [w for t in texts for w in t.encode().lower().split()]
+    assert [bytes(data[s:e]).lower() for s, e in zip(starts, ends)] == want
+    assert len(set(want)) == len(set(h.tolist()))
+    assert len({(w, x) for w, x in zip(want, h.tolist())}) == len(set(want))
+
+
+def test_word_hashes_over_window_edges(monkeypatch):
+    from tidewatch.llm import common
+    rnd = random.Random(1)
+    texts = [" ".join(words(rnd, 400)) for _ in range(5)] + ["y" * 5000]
+    data, offsets = text_buffer(pa.array(texts))
+    whole = word_hashes(data, offsets)[0]
+    monkeypatch.setattr(common, "WINDOW_BYTES", 64)
+    assert (word_hashes(data, offsets)[0] == whole).all()
+
+
+# -- language identification --------------------------------------------------
+
+def test_kernel_equals_its_definition():
+    a, b = b"abcab", b"bcabd"
+    want = 0
+    for n in range(1, 5):
+        x, y = ({t[i:i + n] for i in range(len(t) - n + 1)} for t in (a, b))
+        want += len(x & y) / math.sqrt(len(x) * len(y)) / 4
+    rows = language_id.presence([a, b])
+    assert abs(float(rows[0] @ rows[1]) - want) < 1e-6
+    assert abs(float(rows[0] @ rows[0]) - 1) < 1e-6
+
+
+def test_language_held_out_accuracy(spark):
+    got = queries.op9_language_id(spark, SF_ORACLE).join(spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    held = got.where("held_out")
+    assert held.where("lang_pred = lang").count() / held.count() > 0.97
+    assert got.where("score < 0 OR score > 1").count() == 0
+
+
+def test_language_awkward_rows(spark):
+    rnd = random.Random(1)
+    en = [(1000 + i, " ".join(words(rnd, 30, "abcde"))) for i in range(30)]
+    fr = [(2000 + i, " ".join(words(rnd, 30, "vwxyz"))) for i in range(30)]
+    docs = with_clashes(docs_frame(spark, en + fr, ["en"] * 30 + ["fr"] * 30))
+    model = language_id.fit_languages(docs, fold("doc_id", 5) != 0)
+    odd = with_clashes(docs_frame(spark, awkward()))
+    got = language_id.with_language(odd, model, odd.columns).select("row.*", F.col("lang_pred").alias("p"), F.col("score").alias("s")).collect()
+    assert len(got) == len(awkward())
+    for r in got:
+        letters = any(c.isalpha() for c in r.text or "")
+        assert (r.p == "und") == (not letters) and (letters or r.s == 0)
+    # nothing to learn from
+    blank = language_id.fit_languages(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert blank is None
+    assert {r.lang_pred for r in language_id.with_language(docs, blank, ["doc_id"]).collect()} == {"und"}
+    assert language_id.fit_languages(docs_frame(spark, [])) is None
+
+
+# -- toxicity -----------------------------------------------------------------
+
+def test_kneser_ney_sums_to_one():
+    rnd = random.Random(4)
+    texts = [" ".join(words(rnd, 30, "ab")) for _ in range(40)]
+    counts = toxicity._Counts(*toxicity.hashed_texts(texts), np.arange(40) % 2)
+    for least in (1, 4, 9):
+        model = counts.model(least)
+        listed = np.array([w for w in model.words.tolist() if w != int(toxicity._START)], np.uint64)
+        at = np.searchsorted(model.words, listed)
+        rare = 1 - model.unigram[at].sum(axis=0)              # of all rare and unknown words together
+        assert 0 < rare[0] < 1 and abs(rare[0] - rare[1]) < 1e-9
+        for before in list(listed[:5]) + [toxicity._START]:
+            ctx = np.searchsorted(model.words, before)
+            pair = toxicity._find(model.pairs, toxicity._pair(np.full(len(listed), before), listed))
+            p = model.bigram[pair] + model.backoff[ctx] * model.unigram[at]
+            assert (p > 0).all() and np.allclose(p.sum(axis=0) + model.backoff[ctx] * rare, 1, atol=1e-9)
+
+
+def test_toxic_words_are_learned_and_clean_text_left_alone(spark):
+    rnd = random.Random(6)
+    bad = ["zorgo", "blikk", "trask"]
+    rows, marks = [], []
+    for i in range(600):
+        w = words(rnd, rnd.randint(20, 200), "aeioumnst")
+        toxic = i % 6 == 0
+        if toxic:
+            for _ in range(max(2, len(w) // 20)):
+                w[rnd.randrange(len(w))] = rnd.choice(bad)
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(toxic)))
+    docs = with_clashes(docs_frame(spark, rows))
+    labels = spark.createDataFrame(marks + [(None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels, fold("doc_id", 5) != 0)
+    got = {r.doc_id: r for r in toxicity.with_toxicity(docs, model, ["doc_id"]).select("row.doc_id", "score", "predicted").collect()}
+    held = [i for i, _ in marks if got and __import__("zlib").crc32(str(i).encode()) % 5 == 0]
+    right = sum(got[i].predicted == dict(marks)[i] for i in held) / len(held)
+    assert right > 0.97
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_toxicity_awkward_rows(spark):
+    docs = docs_frame(spark, awkward())
+    nothing = toxicity.fit_toxicity(docs, spark.createDataFrame([(4, 1)], "doc_id long, toxic int"))
+    assert nothing is None
+    assert {r.score for r in toxicity.with_toxicity(docs, nothing, ["doc_id"]).collect()} == {0.0}
+    model = toxicity.fit(["good fine day", "bad evil night"] * 8, [0, 1] * 8)
+    got = toxicity.with_toxicity(with_clashes(docs), model, ["doc_id"]).collect()
+    assert len(got) == len(awkward()) and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.with_toxicity(docs_frame(spark, []), model, ["doc_id"]).count() == 0
+
+
+# -- language model -----------------------------------------------------------
+
+def brute_base(rows, training):
+    counts, n = {}, 0
+    end = object()
+    for i, t in rows:
+        if training(i):
+            for w in (t or "").encode().lower().split() + [end]:
+                counts[w] = counts.get(w, 0) + 1
+                n += 1
+    out = []
+    for i, t in rows:
+        tokens = (t or "").encode().lower().split() + [end]
+        c = [counts.get(w, 0) for w in tokens]
+        out.append((i, len(tokens), sum(x > 0 for x in c), n, round(sum(math.log10((x + 1) / (n + len(counts) + 1)) for x in c), 6)))
+    return sorted(out, key=repr)
+
+
+def test_base_scores_equal_brute_force(spark):
+    rnd = random.Random(8)
+    rows = awkward() + [(100 + i, " ".join(words(rnd, rnd.randint(1, 60), "abc"))) for i in range(80)]
+    crc = __import__("zlib").crc32
+    got = language_model.language_model_scores(with_clashes(docs_frame(spark, rows)), fold("doc_id", 7) != 2).collect()
+    want = brute_base(rows, lambda i: crc(("" if i is None else str(i)).encode()) % 7 != 2)
+    assert sorted([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got], key=repr) == want
+    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+
+
+def test_model_is_a_distribution_and_beats_the_base(spark):
+    """Class and word probabilities sum to one, and a text that follows a pattern
+    is likelier than under unigrams."""
+    rnd = random.Random(9)
+    chains = [["red", "green", "blue", "grey"], ["un", "deux", "trois", "quatre"]]
+    rows = []
+    for i in range(300):
+        chain = chains[i % 2]
+        at = rnd.randrange(4)
+        rows.append((i, " ".join(chain[(at + k) % 4] for k in range(rnd.randint(5, 40)))))
+    docs = docs_frame(spark, rows)
+    model, counts = language_model.fit_language_model(docs, fold("doc_id", 7) != 2)
+    slots = np.random.default_rng(1).integers(0, language_model.SLOTS, (50, language_model.FEATURES))
+    every = [language_model.class_scores(model.weights, model.bias, slots, np.full(50, k)) for k in range(language_model.CLASSES)]
+    assert np.allclose(np.exp(every).sum(axis=0), 1, atol=1e-4)
+    inside = {}
+    for r in counts.collect():
+        inside[r.word] = r.n
+    assert sum(inside.values()) + model.ends == model.tokens and len(inside) + 1 == model.kinds
+    got = language_model.language_model_scores(docs, fold("doc_id", 7) != 2)
+    held = got.where(fold("doc_id", 7) == 2).agg(F.sum("score"), F.sum("base_score")).first()
+    assert held[0] > 0.6 * held[1]                       # log probabilities: nearer to 0
+
+
+def test_contexts_end_at_a_text(spark):
+    """A token's features do not depend on the texts before its own, and a picked
+    share of the tokens has the features that all of them have."""
+    rnd = random.Random(3)
+    texts = [" ".join(words(rnd, rnd.randint(0, 9), "ab")) for _ in range(30)]
+    h = np.unique(word_hashes(*text_buffer(pa.array(texts)))[0])[:50]
+    frequent = language_model.Vocabulary(h)
+    assert (frequent.rank(h) == np.arange(len(h))).all() and (frequent.rank(h + np.uint64(1)) == language_model.CONTEXT_WORDS).all()
+    whole = language_model.read_tokens(*text_buffer(pa.array(texts)), frequent)
+    alone = [language_model.read_tokens(*text_buffer(pa.array([t])), frequent) for t in texts]
+    assert (whole[3] == np.concatenate([a[3] for a in alone])).all() and (whole[2] == np.concatenate([a[2] for a in alone])).all()
+    part = language_model.read_tokens(*text_buffer(pa.array(texts)), frequent, (3, 8))
+    assert (part[3] == whole[3][3::8]).all() and (part[2] == whole[2][3::8]).all()
+
+
+def test_language_model_without_training_rows(spark):
+    docs = docs_frame(spark, awkward())
+    got = language_model.language_model_scores(docs, F.lit(False)).collect()
+    assert len(got) == len(awkward())
+    assert {(r.n_known, r.train_tokens, round(r.base_score, 9)) for r in got} == {(0, 0, 0.0)}
+    assert language_model.language_model_scores(docs_frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+def test_one_label_or_language_alone(order):
+    assert toxicity.fit(["a b", "c d"], [1, 1]) is None
+    model = language_id.fit(["a b c", "d e f"], ["xx", "xx"])
+    assert model.languages == ["xx"] and model.scores([b"abc"]).shape == (1, 1)

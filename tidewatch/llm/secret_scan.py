@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import map_texts
+from tidewatch.llm.common import lowest_per_group, map_texts
 from tidewatch.llm.forest import Forest, train_forest
 
 LEAST = 16
@@ -193,7 +193,10 @@ def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Train the forest; words and dictionary come from the ``SAMPLE_DOCS``
     documents of lowest hash with at most ``SAMPLE_CHARS`` characters."""
     rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.col(text_col).cast("string").alias("text"))
-    sample = rows.where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).orderBy("h", "text").limit(SAMPLE_DOCS).collect()
+    rows = rows.where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+    keys = lowest_per_group(rows.select("h", F.lit(0).alias("all")), "all", ["h"], SAMPLE_DOCS).select("h").distinct()
+    # at most SAMPLE_DOCS keys
+    sample = rows.join(F.broadcast(keys), "h").dropDuplicates(["h"]).orderBy("h").collect()
     counts: Counter = Counter()
     for r in sample:
         counts.update(w.lower() for w in _WORD.findall(r["text"]))
