@@ -1,11 +1,12 @@
 """Secrets in texts: a pattern proposes candidates, a random forest keeps the
 true ones.
 
-Candidates are runs of at least ``LEAST`` key characters with a digit, values
-assigned to a name that speaks of credentials, and private-key blocks.  The
-forest sees length, character classes and their transitions, how much of the
-candidate is covered by dictionary words, the path around it and the words
-before it, and removes digests, identifiers, numbers, file names and the like.
+Candidates are runs of at least ``LEAST`` key characters with a digit or a
+known prefix, values assigned to a name that speaks of credentials, and
+private-key blocks.  The forest sees length, character classes and their
+transitions, how much of the candidate is covered by dictionary words, the path
+around it and the words before it, and removes digests, identifiers, numbers,
+file names and the like.
 
 It is trained from labelled findings (value, text before, text after, label).
 ``labelled_findings`` makes such findings by rule, from a fixed seed, with the
@@ -62,7 +63,7 @@ def candidates(text: str) -> list[tuple[int, int]]:
     if _NAMED.search(text):
         spans += [m.span(1) for m in _ASSIGNED.finditer(text)]
     for m in _RUN.finditer(text):
-        if _DIGIT.search(m.group()):
+        if _DIGIT.search(m.group()) or m.group().startswith(PREFIXES):
             spans.append(m.span())
     out: list[tuple[int, int]] = []
     for s, e in sorted(spans, key=lambda p: (p[0], -p[1])):
