@@ -108,6 +108,13 @@ def test_pipeline_on_nothing(spark, tmp_dir):
         assert docs.count() == 0
 
 
+def test_language_stage_without_labels_keeps_texts_with_letters(spark):
+    from pyspark.sql import functions as F
+    docs = docs_frame(spark, awkward()).withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.language_stage(spark, docs, SF_SMALL)
+    assert got.count() == sum(any(c.isalpha() for c in t or "") for _, t in awkward())
+
+
 def test_pipeline_against_a_plain_version(spark):
     """On the small table: what each stage must have kept, found in plain Python."""
     from collections import defaultdict

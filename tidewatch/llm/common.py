@@ -161,36 +161,48 @@ def words_per_text(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.searchsorted(starts, offsets)
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that a piece holds about ``limit`` bytes of text (one
-    longer text is a piece of its own)."""
-    _, offsets = text_buffer(batch.column(batch.schema.names.index(text)))
+def cuts(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold about ``limit`` bytes of text (one longer text is
+    a range of its own)."""
+    _, offsets = text_buffer(texts)
     begin = 0
-    while begin < batch.num_rows:
+    while begin < len(texts):
         end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + limit, side="right")) - 1)
-        yield batch.slice(begin, end - begin)
+        yield begin, end
         begin = end
 
 
-def map_texts(df: DataFrame, text_col: str, keep: list[str], make, fields: list, limit: int = 8 << 20) -> DataFrame:
+def slices(batch: pa.RecordBatch, text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``limit`` bytes of text."""
+    for begin, end in cuts(batch.column(batch.schema.names.index(text)), limit):
+        yield batch.slice(begin, end - begin)
+
+
+def map_texts(df: DataFrame, text_col: str, keep: list[str], make, fields: list, limit: int = 4 << 20) -> DataFrame:
     """Run a batch function over whole texts, carrying columns along untouched.
 
     ``make()`` is called once per task and returns a function from a list of
     texts (null stays None) to one sequence per new field.  The carried columns
-    travel in a struct ``row``, so their names cannot clash with the new ones.
+    travel in a struct ``row``, so their names cannot clash with the new ones;
+    a carried text travels once.
     """
     ready(df.sparkSession)
-    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    carried = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    inside = text_col in keep and df.schema[text_col].dataType == T.StringType()
+    whole = df.select(carried) if inside else df.select(carried, F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([whole.schema["row"], *fields])
     types = [to_arrow_type(f.dataType) for f in fields]
     names = ["row"] + [f.name for f in fields]
+    at = keep.index(text_col) if inside else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         for batch in batches:
-            for part in slices(batch, "text", limit):
-                columns = apply(part.column(1).to_pylist())
+            rows = batch.column(0)
+            texts = rows.flatten()[at] if inside else batch.column(1)
+            for begin, end in cuts(texts, limit):
+                columns = apply(texts.slice(begin, end - begin).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0)] + [pa.array(c, t) for c, t in zip(columns, types)], names=names)
+                    [rows.slice(begin, end - begin)] + [pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     return whole.mapInArrow(run, schema)

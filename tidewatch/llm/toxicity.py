@@ -252,5 +252,4 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel | None, keep: list[str],
             return scores, (scores >= 0.5).astype(np.int32)
         return apply
 
-    return map_texts(docs, text_col, keep, make, [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())],
-                     limit=4 << 20)
+    return map_texts(docs, text_col, keep, make, [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
