@@ -29,8 +29,12 @@ from tidewatch.session import state_path
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: null texts and texts without a letter."""
-    return with_language(docs, fit_languages(docs), docs.columns).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    """Drop documents without a language: null texts and texts without a letter
+    (all that can be told where no row has a ``lang`` to learn from)."""
+    model = fit_languages(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return with_language(docs, model, docs.columns).where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
 
 def _stay(docs: DataFrame, kept: DataFrame) -> DataFrame:
