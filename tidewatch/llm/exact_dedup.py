@@ -206,12 +206,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if done is not None:
         rows = rows.join(done, ["key_a", "key_b"], "left").withColumn("name", F.coalesce("__top", "name")).drop("__top")
     # n_blocks fixes the level at which a name was given, so (n_blocks, name) is the identity
-    best = rows.groupBy("n_blocks", "name").agg(
-        F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"), "doc_id", "key_a", "key_b")).alias("best"),
-        F.sum("copies").alias("group_size"))
+    rows = materialise(spark, rows, "named-rows")
+    mine = F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"), "doc_id", "key_a", "key_b")
+    best = rows.groupBy("n_blocks", "name").agg(F.min(mine).alias("best"), F.sum("copies").alias("size"), F.count(F.lit(1)).alias("n"))
+    # groups of several rows only, as a table of its own: the join back to a hot group's rows can then be split
+    best = materialise(spark, best.where("n > 1").drop("n"), "groups")
     return (
-        rows.join(best, ["n_blocks", "name"])
+        rows.join(best, ["n_blocks", "name"], "left")
+        .withColumn("best", F.coalesce("best", mine))
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select("key_a", "key_b", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
+        .select("key_a", "key_b", "doc_id", F.col("best.doc_id").alias("keep_id"), F.coalesce("size", "copies").alias("group_size"),
                 ((F.col("key_a") == F.col("best.key_a")) & (F.col("key_b") == F.col("best.key_b")) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
     )
