@@ -305,10 +305,12 @@ def write_packages(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     keyed = rows.select("*", F.sha2("html", 256).alias("key"))
     # ids and digests only: the payloads pass one shuffle, by page
     light = keyed.select("page_id", "key", F.sha1("html").alias("sha1"), F.octet_length("html").alias("payload_bytes"))
-    last = light.groupBy("key").agg(F.max("page_id").alias("last"))
-    revisit = F.col("page_id").isNotNull() & (F.col("payload_bytes") >= least_bytes) & (F.col("page_id") < F.col("last"))
+    # payloads of several pages, as a table of its own: the join back to a hot payload's pages can then be split
+    last = light.groupBy("key").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    last = materialise(spark, last.where("n > 1").drop("n"), "payloads")
+    revisit = F.col("page_id").isNotNull() & (F.col("payload_bytes") >= least_bytes) & (F.col("page_id") < F.coalesce("last", "page_id"))
     told = (
-        light.join(last, "key")
+        light.join(last, "key", "left")
         .select("page_id", "key", "sha1", "payload_bytes", F.when(revisit, F.col("last")).alias("refers_to"))
         .groupBy("page_id", "key").agg(F.min("sha1").alias("sha1"), F.max("payload_bytes").cast("long").alias("payload_bytes"), F.max("refers_to").alias("refers_to"))
     )
