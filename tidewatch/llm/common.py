@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tidewatch.session import ship_package, state_path
 
 #: Bytes of text hashed at a time: bounds the working arrays, not the text.
-WINDOW_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 17
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -31,8 +31,10 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Mask of white space and ASCII punctuation.
 PUNCTUATION = _SPACE.copy()
 PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+#: A byte's digit in the polynomial: its value plus one, with A-Z as a-z.
+_PLAIN = np.arange(1, 257, dtype=np.uint64)
+_LOWER = _PLAIN.copy()
+_LOWER[65:91] += np.uint64(32)
 _powers = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
 
@@ -144,12 +146,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, break
     while i < len(starts):
         begin = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, begin + WINDOW_BYTES, side="right")))
-        chunk = data[begin:ends[j - 1]]
-        if lower:
-            chunk = _LOWER[chunk]
-        up, down = _power_tables(len(chunk) + 1)
-        sums = np.zeros(len(chunk) + 1, np.uint64)
-        np.cumsum((chunk.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+        digits = (_LOWER if lower else _PLAIN)[data[begin:ends[j - 1]]]
+        up, down = _power_tables(len(digits) + 1)
+        digits *= up[:-1]
+        sums = np.zeros(len(digits) + 1, np.uint64)
+        np.cumsum(digits, out=sums[1:])
         s, e = starts[i:j] - begin, ends[i:j] - begin
         out[i:j] = (sums[e] - sums[s]) * down[s]
         i = j
