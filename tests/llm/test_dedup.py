@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.components import connected_components
 from tidewatch.llm.exact_dedup import exact_duplicates
-from tidewatch.llm.near_dedup import near_duplicates, sketch_limit
+from tidewatch.llm.near_dedup import bands_for, near_duplicates, sketch_limit
 
 
 def plain(text):
@@ -149,7 +149,14 @@ def test_components_of_chains_and_stars(spark):
 
 
 def test_sketch_limit_is_far_from_the_threshold():
-    assert 60 < sketch_limit(85) < sketch_limit(80) < 140
+    assert 60 < sketch_limit(85) < sketch_limit(80) < 200
+
+
+def test_bands_miss_hardly_any_pair_at_the_threshold():
+    for percent in (65, 70, 80, 85, 95, 100):
+        rows, bands = bands_for(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 1e-6 and rows * bands <= 200
+    assert bands_for(85) == (5, 24) and bands_for(80) == (5, 35)
 
 
 def test_hot_groups_are_spread(spark):

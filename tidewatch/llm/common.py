@@ -54,6 +54,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def dealt_anew(df: DataFrame) -> DataFrame:
+    """``df`` (an aggregate) shuffled by row, for a join back to what it sums up.
+    The join then has shuffles of its own on both sides, and adaptive execution
+    can split those of a hot key; joined in the aggregate's own partitions, a hot
+    key's rows would stay in one task."""
+    return df.repartition(shuffle_partitions(df.sparkSession))
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """Make this package importable in the Python workers."""
     ship_package(spark)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialise, ready, row_keys, shuffle_partitions
+from tidewatch.llm.common import dealt_anew, materialise, ready, row_keys, shuffle_partitions
 
 #: Bytes that equality ignores.
 IGNORED = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -209,8 +209,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = materialise(spark, rows, "named-rows")
     mine = F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"), "doc_id", "key_a", "key_b")
     best = rows.groupBy("n_blocks", "name").agg(F.min(mine).alias("best"), F.sum("copies").alias("size"), F.count(F.lit(1)).alias("n"))
-    # groups of several rows only, as a table of its own: the join back to a hot group's rows can then be split
-    best = materialise(spark, best.where("n > 1").drop("n"), "groups")
+    best = dealt_anew(best.where("n > 1").drop("n"))            # groups of several rows only
     return (
         rows.join(best, ["n_blocks", "name"], "left")
         .withColumn("best", F.coalesce("best", mine))

@@ -1,8 +1,8 @@
 """Near duplicates: MinHash bands propose pairs, odd sketches estimate them, and
 whole shingle sets confirm them.
 
-1. Each text becomes the set of its distinct word shingles.  ``BANDS * ROWS``
-   MinHash samples of the set give the band keys, and the same samples folded
+1. Each text becomes the set of its distinct word shingles.  MinHash samples of
+   the set give the band keys, and the same samples folded
    into a parity bitmap (flip the bit that (sample number, sample) hashes to)
    give its odd sketch.  The XOR of two odd sketches is the odd sketch of the
    samples in which they differ, so its population count estimates a high
@@ -19,9 +19,9 @@ whole shingle sets confirm them.
    of its links, so no group is ever expanded into all its pairs.
 
 Every pair of classes that shares a bucket and passes the sketch is thus
-confirmed or lies within one component already.  At similarity 0.85 a pair
-shares no bucket with probability (1 - 0.85**5)**24 < 1e-6, and the sketch
-rejects it beyond six standard deviations.
+confirmed or lies within one component already.  Bands are as many as it takes
+for a pair at the threshold to share no bucket with probability ``MISSED`` at
+most, and the sketch rejects it beyond six standard deviations.
 """
 
 from __future__ import annotations
@@ -37,32 +37,47 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialise, mix, ready, row_keys, slices, text_buffer, word_hashes, words_per_text
+from tidewatch.llm.common import dealt_anew, materialise, mix, ready, row_keys, slices, text_buffer, word_hashes, words_per_text
 from tidewatch.llm.components import connected_components
 
 SHINGLE_WORDS = 5
 PERCENT = 80
-ROWS, BANDS = 5, 24
-SAMPLES = ROWS * BANDS
+#: Probability that a pair at the threshold shares no band, and bands at most.
+MISSED, MOST_BANDS = 1e-6, 40
+_MOST_ROWS = 5
 SKETCH_BITS = 1024
 _SKETCH_LONGS = SKETCH_BITS // 64
 #: Bounds of one exact block: classes and shingles of either side.
 BLOCK_CLASSES, BLOCK_SHINGLES = 400, 400_000
 
 _rng = np.random.default_rng(20_240_517)
-_MULTIPLY = (_rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
-_ADD = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
-_SALT = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
+_ALL = MOST_BANDS * _MOST_ROWS
+_MULTIPLY = (_rng.integers(0, 1 << 32, _ALL, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
+_ADD = _rng.integers(0, 1 << 32, _ALL, dtype=np.uint32)
+_SALT = _rng.integers(0, 1 << 63, _ALL, dtype=np.uint64)
+
+
+def bands_for(percent: int) -> tuple[int, int]:
+    """(rows, bands): the longest bands that miss a pair at the threshold with
+    probability ``MISSED`` at most."""
+    for rows in range(_MOST_ROWS, 0, -1):
+        share = (percent / 100) ** rows
+        bands = 1 if share >= 1 else max(1, int(np.ceil(np.log(MISSED) / np.log(1 - share))))
+        if bands <= MOST_BANDS:
+            return rows, bands
+    raise ValueError(f"{percent} % is too low a similarity for {MOST_BANDS} bands")
 
 
 def sketch_limit(percent: int) -> int:
     """Largest XOR population count that a pair at the similarity may show: the
     expectation at that similarity plus six standard deviations."""
     j = percent / 100
-    differing = 2 * SAMPLES * (1 - j)
+    rows, bands = bands_for(percent)
+    samples = rows * bands
+    differing = 2 * samples * (1 - j)
     mean = SKETCH_BITS / 2 * (1 - np.exp(-2 * differing / SKETCH_BITS))
     slope = np.exp(-2 * differing / SKETCH_BITS)
-    spread = np.sqrt((slope * 2) ** 2 * SAMPLES * j * (1 - j) + mean)
+    spread = np.sqrt((slope * 2) ** 2 * samples * j * (1 - j) + mean)
     return int(np.ceil(mean + 6 * spread))
 
 
@@ -98,17 +113,17 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.n
     return joined, np.concatenate([[0], np.cumsum(sizes)])
 
 
-def minhash_samples(sets: np.ndarray, bounds: np.ndarray, window: int = 1 << 17) -> np.ndarray:
-    """MinHash samples (sets x SAMPLES) of non-empty sets, joined with ``bounds``."""
+def minhash_samples(sets: np.ndarray, bounds: np.ndarray, samples: int, window: int = 1 << 17) -> np.ndarray:
+    """MinHash samples (sets x samples) of non-empty sets, joined with ``bounds``."""
     folded = (sets >> np.uint64(32)).astype(np.uint32) ^ sets.astype(np.uint32)
     n = len(bounds) - 1
-    out = np.full((n, SAMPLES), 0xFFFFFFFF, np.uint32)
+    out = np.full((n, samples), 0xFFFFFFFF, np.uint32)
     t = 0
     while t < n:
         u = max(t + 1, int(np.searchsorted(bounds, bounds[t] + window, side="right")) - 1)
         part = folded[bounds[t]:bounds[u]]
         at = bounds[t:u] - bounds[t]
-        for s in range(SAMPLES):
+        for s in range(samples):
             out[t:u, s] = np.minimum.reduceat(part * _MULTIPLY[s] + _ADD[s], at)
         t = u
     return out
@@ -120,20 +135,21 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     out = np.zeros((n, _SKETCH_LONGS), np.uint64)
     for t in range(0, n, 2048):
         part = samples[t:t + 2048]
-        bit = (mix(part.astype(np.uint64) + _SALT) % np.uint64(SKETCH_BITS)).astype(np.int64)
+        bit = (mix(part.astype(np.uint64) + _SALT[:samples.shape[1]]) % np.uint64(SKETCH_BITS)).astype(np.int64)
         flat = (bit + np.arange(len(part))[:, None] * SKETCH_BITS).ravel()
         odd = (np.bincount(flat, minlength=len(part) * SKETCH_BITS) & 1).astype(np.uint8)
         out[t:t + 2048] = np.packbits(odd.reshape(len(part), SKETCH_BITS), axis=1).view(np.uint64)
     return out
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band; the band number is part of it."""
-    out = np.empty((len(samples), BANDS), np.uint64)
-    for b in range(BANDS):
+def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` samples; the band number is part of it."""
+    bands = samples.shape[1] // rows
+    out = np.empty((len(samples), bands), np.uint64)
+    for b in range(bands):
         h = np.full(len(samples), b + 1, np.uint64)
-        for r in range(ROWS):
-            h = mix(h * np.uint64(0x9FB21C651E98DF25) + samples[:, b * ROWS + r])
+        for r in range(rows):
+            h = mix(h * np.uint64(0x9FB21C651E98DF25) + samples[:, b * rows + r])
         out[:, b] = h
     return out
 
@@ -146,7 +162,9 @@ def _lists(values: np.ndarray, valid: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array(~valid))
 
 
-def _signatures(size: int):
+def _signatures(size: int, percent: int):
+    rows, bands = bands_for(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row = TaskContext.get().partitionId(), 0
         for whole in batches:
@@ -155,9 +173,9 @@ def _signatures(size: int):
                 sets, bounds = shingle_sets(data, offsets, size)
                 sizes = np.diff(bounds)
                 some = sizes > 0
-                samples = np.zeros((len(sizes), SAMPLES), np.uint32)
+                samples = np.zeros((len(sizes), rows * bands), np.uint32)
                 if some.any():
-                    samples[some] = minhash_samples(sets, np.concatenate([[0], bounds[1:][some]]))
+                    samples[some] = minhash_samples(sets, np.concatenate([[0], bounds[1:][some]]), rows * bands)
                 digests = [hashlib.blake2b(sets[bounds[t]:bounds[t + 1]].tobytes(), digest_size=16).digest()
                            if sizes[t] else None for t in range(len(sizes))]
                 uid = (part << 40) + row + np.arange(len(sizes), dtype=np.int64)
@@ -165,7 +183,7 @@ def _signatures(size: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(uid, pa.int64()), batch.column(0), batch.column(1), batch.column(2),
                      pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                     _lists(band_keys(samples), some), _lists(odd_sketches(samples), some)],
+                     _lists(band_keys(samples, rows), some), _lists(odd_sketches(samples), some)],
                     names=["uid", "doc_id", "key_a", "key_b", "n_shingles", "set_hash", "bands", "sketch"])
     return run
 
@@ -285,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         T.StructField("key_a", T.LongType()), T.StructField("key_b", T.LongType()),
         T.StructField("n_shingles", T.LongType()), T.StructField("set_hash", T.BinaryType()),
         T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))])
-    signed = materialise(spark, keyed.mapInArrow(_signatures(words), schema), "signatures")
+    signed = materialise(spark, keyed.mapInArrow(_signatures(words, percent), schema), "signatures")
 
     classes = signed.where("n_shingles > 0").groupBy("set_hash").agg(F.min("uid").alias("node"))
     # one row per class, with the row it comes from
@@ -300,8 +318,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         signed.select("uid", "doc_id", "key_a", "key_b", "n_shingles", "set_hash")
         .join(of_class, "set_hash", "left").withColumn("comp", F.coalesce("comp", "uid"))
     )
-    best = placed.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "uid")).alias("best"))
-    return placed.join(best, "comp").select(
+    placed = materialise(spark, placed, "placed")
+    mine = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "uid")
+    best = placed.groupBy("comp").agg(F.min(mine).alias("best"), F.count(F.lit(1)).alias("n"))
+    return placed.join(dealt_anew(best.where("n > 1").drop("n")), "comp", "left").withColumn("best", F.coalesce("best", mine)).select(
         "uid", "key_a", "key_b", "doc_id", "n_shingles", F.col("best.doc_id").alias("component_id"),
         (F.col("uid") == F.col("best.uid")).alias("kept"))
 
@@ -318,7 +338,7 @@ def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int
     """Links between classes that join every component (not all links)."""
     banded = members.select("node", F.explode("bands").alias("bucket"))
     centres = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    bucketed = materialise(spark, banded.join(centres, "bucket"), "buckets")
+    bucketed = materialise(spark, banded.join(dealt_anew(centres), "bucket"), "buckets")
 
     # each class with its most promising low or high neighbour
     stars = (
@@ -353,7 +373,7 @@ def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int
         .select("bucket", "node", "comp", (F.col("comp") != F.col("low_comp")).alias("apart"))
     )
     labelled = materialise(spark, labelled, "labelled")
-    open_buckets = labelled.where("apart").select("bucket").distinct()
+    open_buckets = dealt_anew(labelled.where("apart").select("bucket").distinct())
     described = (
         labelled.join(open_buckets, "bucket", "left_semi")
         .join(members.select("node", "n_shingles", "sketch"), "node")
@@ -378,7 +398,7 @@ def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int
         return side.groupBy("bucket").agg(F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias(name))
 
-    counts = parts(lefts, "n_left").join(parts(rights, "n_right"), "bucket")
+    counts = dealt_anew(parts(lefts, "n_left").join(parts(rights, "n_right"), "bucket"))
 
     def dealt(side: DataFrame, own: str, other: str, is_left: bool) -> DataFrame:
         one = F.pmod(F.xxhash64("node"), F.col(own)).cast("int")

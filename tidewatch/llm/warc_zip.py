@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import materialise, ready, shuffle_partitions, slices
+from tidewatch.llm.common import dealt_anew, materialise, ready, shuffle_partitions, slices
 from tidewatch.session import state_path
 
 #: Bytes of records in a member, and of members in a package, before the next one.
@@ -305,9 +305,8 @@ def write_packages(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     keyed = rows.select("*", F.sha2("html", 256).alias("key"))
     # ids and digests only: the payloads pass one shuffle, by page
     light = keyed.select("page_id", "key", F.sha1("html").alias("sha1"), F.octet_length("html").alias("payload_bytes"))
-    # payloads of several pages, as a table of its own: the join back to a hot payload's pages can then be split
     last = light.groupBy("key").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
-    last = materialise(spark, last.where("n > 1").drop("n"), "payloads")
+    last = dealt_anew(last.where("n > 1").drop("n"))             # payloads of several pages only
     revisit = F.col("page_id").isNotNull() & (F.col("payload_bytes") >= least_bytes) & (F.col("page_id") < F.coalesce("last", "page_id"))
     told = (
         light.join(last, "key", "left")
