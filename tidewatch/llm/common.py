@@ -80,12 +80,13 @@ def fold(column: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % folds
 
 
-def lowest_per_group(rows: DataFrame, group: str, order: list[str], n: int, salts: int = 64) -> DataFrame:
-    """The ``n`` rows of lowest ``order`` in each group, first within salts of a
-    group, so that a hot one is not ranked in a single task."""
+def lowest_per_group(rows: DataFrame, group: str, order: list[str], n: int, salts: int = 16) -> DataFrame:
+    """The ``n`` rows of lowest ``order`` in each group: first within each input
+    partition (Spark limits a rank before it shuffles), then within salts of
+    them, so that a hot group is not ranked in a single task."""
     salted = Window.partitionBy(group, "__salt").orderBy(*order)
     final = Window.partitionBy(group).orderBy(*order)
-    few = rows.withColumn("__salt", F.pmod(F.xxhash64(F.lit(11), *order), F.lit(salts)))
+    few = rows.withColumn("__salt", F.spark_partition_id() % salts)
     for window in (salted, final):
         few = few.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= n).drop("__n")
     return few.drop("__salt")
