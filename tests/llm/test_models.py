@@ -175,6 +175,27 @@ def test_model_is_a_distribution_and_beats_the_base(spark):
     assert held[0] > 0.6 * held[1]                       # log probabilities: nearer to 0
 
 
+def test_every_training_token_is_stepped_on_once(spark, monkeypatch):
+    """Also where copies of one text are most of the rows: each round gets its share of them."""
+    rnd = random.Random(12)
+    rows = awkward() + [(100 + i, "the hot text " * 20) for i in range(60)] + [(200 + i, " ".join(words(rnd, rnd.randint(1, 60)))) for i in range(30)]
+    rounds, summed = [], language_model.summed
+
+    def spied(table, width, parts):
+        out = summed(table, width, parts)
+        if width == language_model.CLASSES + 1:
+            rounds.append(out[:, -1].sum() / language_model.FEATURES)
+        return out
+
+    monkeypatch.setattr(language_model, "summed", spied)
+    docs = docs_frame(spark, rows).repartition(3)
+    model, _ = language_model.fit_language_model(docs, fold("doc_id", 7) != 2)
+    assert len(rounds) == language_model.ROUNDS and sum(rounds) == model.tokens
+    rounds.clear()
+    hot, _ = language_model.fit_language_model(docs.where("doc_id BETWEEN 100 AND 159"))
+    assert sum(rounds) == hot.tokens and min(rounds) > 0.2 * hot.tokens
+
+
 def test_contexts_end_at_a_text(spark):
     """A token's features do not depend on the texts before its own, and a picked
     share of the tokens has the features that all of them have."""
