@@ -10,8 +10,13 @@ file names and the like.
 
 It is trained from labelled findings (value, text before, text after, label).
 ``labelled_findings`` makes such findings by rule, from a fixed seed, with the
-neighbouring words and the dictionary taken from a bounded sample of the corpus;
-a user's own findings can be passed instead or in addition.
+corpus's ``COMMON_WORDS`` commonest words; a user's own findings can be passed
+in addition.
+
+The dictionary is every word that occurs, outside of candidates, in at least
+``LEAST_DOCS`` documents.  It is counted over all whole texts, grows with the
+corpus, and stays a table: documents are dealt into chunks by hash, each chunk
+asks for the words of its candidates by a join, and is scanned with those.
 """
 
 from __future__ import annotations
@@ -20,21 +25,28 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidewatch.llm.common import lowest_per_group, map_texts
+from tidewatch.llm.common import cuts, lowest_per_group, map_texts, materialise, ready
 from tidewatch.llm.forest import Forest, train_forest
 
 LEAST = 16
 THRESHOLD = 0.5
 MASK = "[secret]"
-#: Bounds of the corpus sample (documents, characters each) and of the dictionary.
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_WORDS = 400, 20_000, 20_000
+#: Documents that a dictionary word occurs in, at least.
+LEAST_DOCS = 3
+#: Words that labelled findings are made of.
+COMMON_WORDS = 2000
+#: Bytes of text in a chunk, and in a slice of it, about.
+CHUNK_BYTES, _SLICE_BYTES = 8 << 20, 4 << 20
 #: Characters of context that features look at.
 CONTEXT = 48
 
@@ -51,6 +63,7 @@ _ASSIGNED = re.compile(r"(?i)(?:%s)[\"']?[ \t]*[:=][ \t]*[\"']?([^\s\"',;]{6,})"
 _NAMED = re.compile(r"(?i)%s" % _NAMES)
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.{0,20000}?-----END [A-Z ]{0,40}PRIVATE KEY-----", re.S)
 _WORD = re.compile(r"[^\W\d_]+")
+_PARTS = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 _DIGIT = re.compile(r"\d")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 
@@ -73,6 +86,11 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _parts(value: str) -> list[str]:
+    """The runs of letters in a candidate, lower-cased."""
+    return [w.lower() for w in _PARTS.split(value) if w]
+
+
 def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
@@ -85,7 +103,7 @@ def features(value: str, before: str, after: str, dictionary: frozenset[str]) ->
     changes = sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, len(kinds) - 1)
     counts = Counter(value[:512])
     entropy = -sum(c / len(kinds) * math.log2(c / len(kinds)) for c in counts.values())
-    letters = [w.lower() for w in re.split(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])", value) if w]
+    letters = _parts(value)
     known = sum(len(w) for w in letters if len(w) > 2 and w in dictionary) / n
     longest = max((len(w) for w in letters), default=0)
     vowels = sum(c in "aeiouAEIOU" for c in value) / max(1, sum(c.isalpha() for c in value))
@@ -108,8 +126,12 @@ def features(value: str, before: str, after: str, dictionary: frozenset[str]) ->
 
 @dataclass
 class SecretModel:
+    """``dictionary`` are the words of names and findings; ``words`` is the table
+    (``word``) of all others, if there is one."""
+
     forest: Forest
     dictionary: frozenset[str]
+    words: DataFrame | None = None
 
     def scores(self, found: list[tuple[str, str, str]]) -> np.ndarray:
         if not found:
@@ -189,21 +211,47 @@ def fit_model(findings: list[tuple[str, str, str, int]], dictionary: frozenset[s
     return SecretModel(train_forest(x, np.array([f[3] for f in findings], np.float64)), dictionary)
 
 
+def ordinary_words(text: str) -> set[str]:
+    """Words of a text that are in no candidate: lower case, three letters or
+    more, and of ASCII letters, as only such are looked up."""
+    out, at = set(), 0
+    for s, e in [*candidates(text), (len(text), len(text))]:
+        out.update(_WORD.findall(text, at, s))
+        at = e
+    return {w.lower() for w in out if len(w) > 2 and w.isascii()}
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin, end in cuts(batch.column(0), _SLICE_BYTES):
+            counts: Counter = Counter()
+            for text in batch.column(0).slice(begin, end - begin).to_pylist():
+                counts.update(ordinary_words(text))
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word`` and ``n``, the documents it occurs in outside of candidates, over
+    all whole texts."""
+    spark = ready(docs.sparkSession)
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
+    return materialise(spark, texts.mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "dictionary")
+
+
 def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 findings: list[tuple[str, str, str, int]] | None = None) -> SecretModel:
-    """Train the forest; words and dictionary come from the ``SAMPLE_DOCS``
-    documents of lowest hash with at most ``SAMPLE_CHARS`` characters."""
-    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    keys = lowest_per_group(rows.select("h", F.lit(0).alias("all")), "all", ["h"], SAMPLE_DOCS).select("h").distinct()
-    # at most SAMPLE_DOCS keys
-    sample = rows.join(F.broadcast(keys), "h").dropDuplicates(["h"]).orderBy("h").collect()
-    counts: Counter = Counter()
-    for r in sample:
-        counts.update(w.lower() for w in _WORD.findall(r["text"]))
-    common = sorted((w for w in counts if len(w) > 2), key=lambda w: (-counts[w], w))[:DICTIONARY_WORDS]
-    known = frozenset(common) | frozenset(w for name in CREDENTIAL_WORDS + OTHER_WORDS for w in re.split(r"[^a-z]+", name))
-    return fit_model((findings or []) + labelled_findings(common[:2000]), known)
+    """Train the forest; the dictionary comes from all documents, the words of
+    labelled findings are its commonest."""
+    counts = word_counts(docs, text_col)
+    first = lowest_per_group(counts.select("word", (-F.col("n")).alias("down"), F.lit(0).alias("all")), "all", ["down", "word"], COMMON_WORDS)
+    common = [r["word"] for r in first.orderBy("down", "word").collect()]                # COMMON_WORDS rows
+    words = counts.where(F.col("n") >= LEAST_DOCS).select("word")
+    labelled = (findings or []) + labelled_findings(common)
+    asked = docs.sparkSession.createDataFrame([(w,) for w in sorted({w for f in labelled for w in _parts(f[0])})], "word string")
+    known = {r["word"] for r in words.join(F.broadcast(asked), "word", "left_semi").collect()}      # words of the findings
+    known.update(w for name in CREDENTIAL_WORDS + OTHER_WORDS for w in re.split(r"[^a-z]+", name))
+    model = fit_model(labelled, frozenset(known))
+    return SecretModel(model.forest, model.dictionary, words)
 
 
 def scan(text: str | None, model: SecretModel, threshold: float = THRESHOLD) -> tuple[int, list[tuple[int, int, float]]]:
@@ -223,6 +271,46 @@ def redact(text: str, spans: list[tuple[int, int, float]], mask: str = MASK) ->
     return "".join(out) + text[at:]
 
 
+def _scan_all(texts: list[str | None], model: SecretModel, threshold: float) -> tuple[list, list, list, list]:
+    """Columns of ``with_secrets`` for texts."""
+    found = [scan(t, model, threshold) for t in texts]
+    clean = [redact(t, spans) if spans else None for t, (_, spans) in zip(texts, found)]
+    return ([n for n, _ in found],
+            [[{"start": s, "length": e - s, "score": v} for s, e, v in spans] for _, spans in found],
+            clean,
+            [hashlib.sha256(c.encode()).hexdigest() if c is not None else None for c in clean])
+
+
+def _asked_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of the candidates of each chunk."""
+    for batch in batches:
+        for begin, end in cuts(batch.column(1), _SLICE_BYTES):
+            part = batch.slice(begin, end - begin)
+            asked = {(c, w) for c, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+                     for s, e in candidates(t) for w in _parts(t[s:e]) if len(w) > 2}
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in asked], pa.int64()), pa.array([w for _, w in asked], pa.string())], names=["chunk", "word"])
+
+
+def _scan_chunk(shared, threshold: float, at: int | None, types: list[pa.DataType], names: list[str]):
+    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+        model = SecretModel(shared.value.forest, shared.value.dictionary | frozenset(words["word"].to_pylist()))
+        out = []
+        for batch in docs.select(["row"] + ["text"] * (at is None)).to_batches():
+            rows = batch.column(0)
+            texts = rows.flatten()[at] if at is not None else batch.column(1)
+            for begin, end in cuts(texts, _SLICE_BYTES):
+                columns = _scan_all(texts.slice(begin, end - begin).to_pylist(), model, threshold)
+                out.append(pa.RecordBatch.from_arrays(
+                    [rows.slice(begin, end - begin)] + [pa.array(c, t) for c, t in zip(columns, types)], names=names))
+        schema = pa.schema([pa.field("row", docs.schema.field("row").type), *map(pa.field, names[1:], types)])
+        return pa.Table.from_batches([b.cast(schema) for b in out], schema)
+    return run
+
+
+def _hashable(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.MapType, T.ArrayType, T.StructType)) and kind.typeName() != "variant"
+
+
 def with_secrets(docs: DataFrame, model: SecretModel, keep: list[str], text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``row`` (the columns in ``keep``), ``n_candidates``, ``secrets`` (array of
     start, length in code points and score), ``redacted`` (the text with secrets
@@ -231,19 +319,23 @@ def with_secrets(docs: DataFrame, model: SecretModel, keep: list[str], text_col:
     Defined cases: null and empty texts have no candidates; every other row is
     returned once, whatever its id; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)      # bounded by trees, depth and DICTIONARY_WORDS
-
-    def make():
-        def apply(texts: list[str | None]):
-            found = [scan(t, shared.value, threshold) for t in texts]
-            clean = [redact(t, spans) if spans else None for t, (_, spans) in zip(texts, found)]
-            return ([n for n, _ in found],
-                    [[{"start": s, "length": e - s, "score": v} for s, e, v in spans] for _, spans in found],
-                    clean,
-                    [hashlib.sha256(c.encode()).hexdigest() if c is not None else None for c in clean])
-        return apply
-
+    spark = ready(docs.sparkSession)
+    shared = spark.sparkContext.broadcast(SecretModel(model.forest, model.dictionary))      # bounded by trees, depth and findings
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("score", T.DoubleType())])
-    return map_texts(docs, text_col, keep, make, [
-        T.StructField("n_candidates", T.IntegerType()), T.StructField("secrets", T.ArrayType(span)),
-        T.StructField("redacted", T.StringType()), T.StructField("redacted_sha256", T.StringType())])
+    fields = [T.StructField("n_candidates", T.IntegerType()), T.StructField("secrets", T.ArrayType(span)),
+              T.StructField("redacted", T.StringType()), T.StructField("redacted_sha256", T.StringType())]
+    if model.words is None:
+        return map_texts(docs, text_col, keep, lambda: lambda texts: _scan_all(texts, shared.value, threshold), fields)
+    text = F.col(text_col).cast("string")
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    chunks = max(1, -(-size // CHUNK_BYTES))
+    # the text is carried beside the columns to keep, unless it is one of them
+    inside = text_col in keep and docs.schema[text_col].dataType == T.StringType()
+    chunk = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if _hashable(docs.schema[c].dataType)], text), F.lit(chunks))
+    carried = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    dealt = docs.select(chunk.alias("chunk"), carried, *([] if inside else [text.alias("text")]))
+    asked = docs.select(chunk.alias("chunk"), text.alias("text")).where(F.col("text").isNotNull()).mapInArrow(_asked_words, "chunk long, word string").distinct()
+    answered = asked.join(model.words, "word").select("chunk", "word")
+    schema = T.StructType([dealt.schema["row"], *fields])
+    return dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
+        _scan_chunk(shared, threshold, keep.index(text_col) if inside else None, [to_arrow_type(f.dataType) for f in fields], schema.names), schema)
