@@ -53,6 +53,18 @@ def test_scan(model, text, secrets):
         assert all(s not in clean for s in secrets) and clean.count(secret_scan.MASK) == len(secrets)
 
 
+def test_names_are_found_in_any_case():
+    import re
+    pattern = re.compile("(?i)" + secret_scan._NAMES)
+    odd = {"s": "sS\u017f", "i": "iI\u0130\u0131", "k": "kK\u212a"}
+    rnd = random.Random(7)
+    for name in secret_scan.CREDENTIAL_WORDS:
+        for _ in range(30):
+            text = "é " + "".join(rnd.choice(odd.get(c, c + c.upper())) for c in name) + ' = "b7db7aa4a5fcc78305"'
+            assert pattern.search(text) and secret_scan._named(text) and secret_scan.candidates(text)
+    assert not secret_scan._named("no such name é") and not secret_scan._named("")
+
+
 def test_scan_table(spark, model):
     docs = with_clashes(docs_frame(spark, awkward() + [(50, "password=b7db7aa4a5fcc78305 x")]))
     got = secret_scan.with_secrets(docs, model, ["doc_id"]).collect()

@@ -60,7 +60,8 @@ PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk_live_", "sk-", "xoxb-", "xoxp-",
 _NAMES = "|".join(re.escape(w) for w in CREDENTIAL_WORDS)
 _RUN = re.compile(r"[A-Za-z0-9+/_\-]{%d,}={0,2}" % LEAST)
 _ASSIGNED = re.compile(r"(?i)(?:%s)[\"']?[ \t]*[:=][ \t]*[\"']?([^\s\"',;]{6,})" % _NAMES)
-_NAMED = re.compile(r"(?i)%s" % _NAMES)
+#: Names that no other name is part of.
+_SHORTEST = [w for w in CREDENTIAL_WORDS if not any(v != w and v in w for v in CREDENTIAL_WORDS)]
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.{0,20000}?-----END [A-Z ]{0,40}PRIVATE KEY-----", re.S)
 _WORD = re.compile(r"[^\W\d_]+")
 _PARTS = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
@@ -68,12 +69,21 @@ _DIGIT = re.compile(r"\d")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 
 
+def _named(text: str) -> bool:
+    """Whether a text may name a credential, in any case that ``_ASSIGNED`` takes
+    for it: by substrings, many times faster than by the pattern."""
+    low = text.lower()
+    if not low.isascii():
+        low = low.replace("\u017f", "s").replace("\u0131", "i").replace("i\u0307", "i")
+    return any(w in low for w in _SHORTEST)
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans (start, end) of candidates, in order, without overlaps."""
     spans = []
     if "PRIVATE KEY" in text:
         spans += [m.span() for m in _BLOCK.finditer(text)]
-    if _NAMED.search(text):
+    if _named(text):
         spans += [m.span(1) for m in _ASSIGNED.finditer(text)]
     for m in _RUN.finditer(text):
         if _DIGIT.search(m.group()) or m.group().startswith(PREFIXES):
