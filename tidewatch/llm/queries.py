@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import fold, load
 from tidewatch.llm.exact_dedup import exact_duplicates
+from tidewatch.llm.hard_negatives import hard_negatives
+from tidewatch.llm.histogram_shards import shard_by_bytes
 from tidewatch.llm.language_id import fit_languages, with_language
 from tidewatch.llm.language_model import language_model_scores
 from tidewatch.llm.near_dedup import near_duplicates
 from tidewatch.llm.packing import pack
+from tidewatch.llm.periodic_runs import with_runs
 from tidewatch.llm.piece_coding import with_pieces
 from tidewatch.llm.secret_scan import fit_secrets, with_secrets
 from tidewatch.llm.toxicity import fit_toxicity, with_toxicity
@@ -92,6 +95,48 @@ def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` in 24 shards of near equal bytes."""
+    docs = load(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    return shard_by_bytes(docs, ["doc_id", "text_crc32"], 24).select(
+        "row.doc_id", "size", "row.text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector, for its five best positives."""
+    vectors = load(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives(moved, F.col("id") % 100 == 0)
+
+
+def stretched(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where the words of a tenth of the documents (by the
+    crc32 of their id) repeat with a period, as the contract of op13 has it."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    g = F.floor(F.col("h") / 10)
+    begin = g % F.nullif(F.size("words"), F.lit(0))
+    period = 1 + F.floor((F.size("words") - F.col("a")) / (3 + g % 8))
+    moved = F.transform("words", lambda w, i: F.when(
+        i >= F.col("a"), F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))).otherwise(w))
+    return (
+        docs.select("doc_id", "text", h.alias("h"))
+        .withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("a", begin).withColumn("p", period)
+        .select("doc_id", F.when(F.size("words") > 0, F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of exponent 4 or more in every document, and what is left without their repeats."""
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return with_runs(stretched(load(spark, sf_dir, "documents")), ["doc_id"]).select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.floor(F.lit(1000) * F.col("strongest.length") / F.col("strongest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -103,6 +148,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_vector_search": op10_vector_search,
+    "op11_sharding": op11_sharding,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -153,4 +201,27 @@ ORACLE_SQL = {
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+          SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT a.n AS anchor, a.vec_id AS anchor_id, a.label = c.label AS same, c.n, c.vec_id,
+                 CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+          FROM v a JOIN v c ON a.n <> c.n
+          WHERE a.vec_id % 100 = 0),
+        p AS (
+          SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place
+          FROM s WHERE same QUALIFY place <= 5),
+        r AS (
+          SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+          FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same
+          WHERE 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM r WHERE rank <= 10
+    """,
 }
