@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pytest
 
 from conftest import SF_SMALL
 from tidewatch.config import EVENTS
@@ -51,3 +52,10 @@ def test_empty_input(spark):
     df = readings(spark, SF_SMALL).where("1 = 0")
     assert streaks.streak_counts(df).count() == 0
     assert scan.ordered_running_count(df, "device_id", "ts_ms", "seq").count() == 0
+
+
+@pytest.mark.parametrize("name", ["upsert_final_state", "streak_upserts"])
+def test_upserts_rank_within_tasks_first(spark, name):
+    """The keyed pick limits every key to one row before the shuffle, and sorts no aggregate."""
+    plan = _final_plan(queries.QUERIES[name](spark, SF_SMALL))
+    assert "WindowGroupLimit" in plan and "SortAggregate" not in plan

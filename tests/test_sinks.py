@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidewatch.plans import jobs, pipelines
-from tidewatch.sinks import append, archive, outputs, upsert
+from tidewatch.sinks import append, archive, outputs, upsert, versions
 from tidewatch.sources.files import text_source
 from tidewatch.sources.kafka import kafka_available, kafka_reader
 from tidewatch.sources.tables import readings, result_table
@@ -13,15 +13,19 @@ from tidewatch.sources.tables import readings, result_table
 
 def test_g7_upsert_replay_is_noop(spark, tmp_dir):
     root = os.path.join(tmp_dir, "hist")
+    assert upsert.read_table(spark, root) is None
+    assert upsert.read_table(spark, root, "bin double, cnt long").count() == 0
     b1 = spark.createDataFrame([(25.5, 1), (26.0, 2)], "bin double, cnt long")
     b2 = spark.createDataFrame([(26.0, 5), (26.5, 1)], "bin double, cnt long")
-    assert upsert.upsert(spark, root, b1, 0, ["bin"])
-    assert upsert.upsert(spark, root, b2, 1, ["bin"])
+    upsert.upsert(spark, root, b1, 0, ["bin"])
+    upsert.upsert(spark, root, b2, 1, ["bin"])
     want = {25.5: 1, 26.0: 5, 26.5: 1}
     assert {r.bin: r.cnt for r in upsert.read_table(spark, root).collect()} == want
-    assert not upsert.upsert(spark, root, b2, 1, ["bin"])   # replay: no-op
+    upsert.upsert(spark, root, b2, 1, ["bin"])              # replay: the same partition again
+    upsert.upsert(spark, root, b1, 0, ["bin"])
     assert {r.bin: r.cnt for r in upsert.read_table(spark, root).collect()} == want
-    assert upsert.committed_versions(spark, root) == [0, 1]
+    assert {r.bin: r.cnt for r in upsert.read_table(spark, root, upto=0).collect()} == {25.5: 1, 26.0: 2}
+    assert spark.read.parquet(root).count() == 4            # an ordinary Parquet table
 
 
 def test_upsert_keeps_newest_in_batch(spark, tmp_dir):
@@ -98,24 +102,27 @@ def test_kafka_needs_its_connector(spark):
             kafka_source(spark, "broker:9092", "readings")
 
 
-def test_upsert_writes_only_the_batch_and_compacts(spark, tmp_dir):
+def test_upsert_writes_only_the_batch(spark, tmp_dir):
     root = os.path.join(tmp_dir, "mor")
     rows = {}
     for b in range(5):
         batch = [(k, b * 10 + k) for k in range(b, b + 3)]          # keys overlap between batches
         upsert.upsert(spark, root, spark.createDataFrame(batch, "k int, v long"), b, ["k"])
         rows.update(dict(batch))
-        # a write adds exactly one delta folder; earlier ones are untouched
-        assert sorted(os.listdir(os.path.join(root, "delta")))[-1] == f"batch={b}"
-        if b == 2:
-            assert upsert.compact(spark, root) == 2
-    got = {r.k: r.v for r in upsert.read_table(spark, root).collect()}
-    assert got == rows
-    # an uncommitted (failed) attempt is never read
-    spark.createDataFrame([(0, -1)], "k int, v long").write.parquet(os.path.join(root, "delta", "batch=9"))
+        # a write adds exactly one folder; earlier ones are untouched
+        assert sorted(d for d in os.listdir(root) if d.startswith("batch="))[-1] == f"batch={b}"
     assert {r.k: r.v for r in upsert.read_table(spark, root).collect()} == rows
-    plan = upsert.read_table(spark, root)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan
+    plan = upsert.read_table(spark, root, upto=3)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch" in plan and "SortAggregate" not in plan
+
+
+def test_resolved_rows_are_whole_rows(spark, tmp_dir):
+    """Ties on the order column cannot mix columns of different rows; nulls lose."""
+    root = os.path.join(tmp_dir, "whole")
+    rows = [("a", 1, "x", 1.0), ("a", 1, "y", None), ("a", None, "z", 3.0)]
+    for b in range(2):
+        upsert.upsert(spark, root, spark.createDataFrame(rows, "k string, o int, v string, w double"), b, ["k"], order="o")
+    assert tuple(upsert.read_table(spark, root).first()) in {("a", 1, "x", 1.0), ("a", 1, "y", None)}
 
 
 def test_archive_splits_a_hot_hour(spark, tmp_dir):
@@ -139,23 +146,18 @@ def test_archive_splits_a_hot_hour(spark, tmp_dir):
     assert archive.read_archive(spark, root).count() == lines.count()
 
 
-def test_compaction_bounds_folders_and_markers(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "vac")
-    want = {}
-    for b in range(6):
-        batch = [(b % 3, b)]
-        upsert.upsert(spark, root, spark.createDataFrame(batch, "k int, v long"), b, ["k"])
-        want.update(dict(batch))
-        if b % 2:
-            upsert.compact(spark, root)
-    # bases at 1, 3, 5: deltas and markers up to 3 and the base at 1 are gone
-    deltas = sorted(d for d in os.listdir(os.path.join(root, "delta")) if d.startswith("batch="))
-    assert deltas == ["batch=4", "batch=5"]
-    assert sorted(f for f in os.listdir(os.path.join(root, "_commits")) if f.isdigit()) == ["4", "5"]
-    assert sorted(d for d in os.listdir(os.path.join(root, "base")) if d.startswith("v=")) == ["v=3", "v=5"]
-    assert {r.k: r.v for r in upsert.read_table(spark, root).collect()} == want
-    # a replay of a batch whose marker is gone is still a no-op
-    assert not upsert.upsert(spark, root, spark.createDataFrame([(0, -1)], "k int, v long"), 1, ["k"])
+def test_state_versions_keep_what_a_replay_needs(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "state")
+    assert versions.read_version(spark, root, "k int").count() == 0
+    for b in (0, 1, 4, 5):
+        versions.write_version(spark.createDataFrame([(b,)], "k int"), root, b)
+    assert versions.versions(spark, root) == [4, 5]
+    assert versions.read_version(spark, root, "k int").first()[0] == 5
+    assert versions.read_version(spark, root, "k int", before=5).first()[0] == 4
+    versions.write_version(spark.createDataFrame([(50,)], "k int"), root, 5)            # replay
+    assert versions.versions(spark, root) == [4, 5] and versions.read_version(spark, root, "k int").first()[0] == 50
+    os.remove(os.path.join(root, "version=5", "_SUCCESS"))                              # a write that did not end
+    assert versions.read_version(spark, root, "k int").first()[0] == 4
 
 
 def test_order_column_wins_over_a_later_batch(spark, tmp_dir):
@@ -164,13 +166,3 @@ def test_order_column_wins_over_a_later_batch(spark, tmp_dir):
     for b, n in enumerate((5, 3)):
         upsert.upsert(spark, root, spark.createDataFrame([("a", 0, n)], "d string, s long, n long"), b, ["d", "s"], order="n")
     assert [tuple(r) for r in upsert.read_table(spark, root).collect()] == [("a", 0, 5)]
-    upsert.compact(spark, root)
-    assert [tuple(r) for r in upsert.read_table(spark, root).collect()] == [("a", 0, 5)]
-
-
-def test_latest_version_tracks_commits(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "lv")
-    assert upsert.latest_version(spark, root) is None
-    upsert.upsert(spark, root, spark.createDataFrame([(1, 1)], "k int, v int"), 4, ["k"])
-    upsert.upsert(spark, root, spark.createDataFrame([(1, 2)], "k int, v int"), 9, ["k"])
-    assert upsert.latest_version(spark, root) == 9

@@ -1,188 +1,74 @@
-"""Keyed upsert sink, merge-on-read, idempotent per micro-batch id.
+"""Keyed upsert on Parquet: a folder per micro-batch, resolved when read.
 
-Layout under ``root``:
+Every batch is reduced to one row per key and written to its own ``batch=<id>``
+partition with Spark's dynamic partition overwrite, so a replayed batch rewrites
+exactly its partition: ``foreachBatch``'s at-least-once replays apply once, and a
+write costs O(batch).  A read takes, per key, the row with the largest order
+column, else (and among equals) the newest batch.  The keys and the order column
+are column metadata of the Parquet schema, so the folder is an ordinary Parquet
+table.  Where a database is at hand, :mod:`.jdbc_upsert` keeps the resolved table
+itself; merging old folders is left to the platform's table maintenance.
 
-* ``delta/batch=<id>/``: one micro-batch, reduced to one row per key;
-* ``_commits/<id>``: written last, after the delta, to publish the batch;
-* ``base/v=<id>/`` + ``_bases/<id>``: an optional compacted table holding
-  every key as of batch ``<id>``;
-* ``_keys``: the key columns and, where rows of one key have one, the column
-  whose largest value wins; ``_owner``: the query that fills the table.
-
-A write costs O(batch), not O(table): the batch's rows are reduced per key
-(partial aggregation first) and written to their own folder.  Replaying a
-committed batch id is a no-op, and replaying an uncommitted one overwrites
-its folder.  So ``foreachBatch``'s at-least-once replays apply exactly once.
 Batches of a query with another checkpoint are refused (:mod:`.owner`).
-
-Reading resolves each key over the newest base and the committed deltas after
-it: the row with the largest order column, else (and among equals) the newest
-batch.  :func:`compact` folds everything into a new base; it is a job of its
-own, run now and then beside the stream, never inside it.  It also removes what
-no reader can need any more, commit markers included: a batch id up to the base
-is known to be committed, so the markers listed are those since the base before
-the last.
-
-A platform with a transactional table format has all of this; the sink is the
-least that keeps streams exactly-once without one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.sinks.owner import claim, hadoop_fs, query_id, read_text, write_text
+from tidewatch.sinks.append import append_batch
+from tidewatch.sinks.owner import claim, hadoop_fs, query_id
 
 BATCH = "batch"
+_ROLE = "upsert"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = hadoop_fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _markers(spark: SparkSession, folder: str) -> list[int]:
-    fs, p = hadoop_fs(spark, folder)
-    if not fs.exists(p):
-        return []
-    return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids applied to the table and still listed, ascending."""
-    return _markers(spark, f"{root.rstrip('/')}/_commits")
-
-
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    v = committed_versions(spark, root)
-    return v[-1] if v else None
+def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key in ``order``.  Spark limits the rank within every
+    task before the shuffle, so a hot key sends one row per task."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= 1).drop("_rank")
 
 
 def newest_per_key(batch: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
-    """One row per key: the row with the largest ``order`` (any row if None).
-
-    The row is kept whole (``max_by`` over a struct), so ties on ``order``
-    cannot mix columns of different rows.
-    """
-    keys = list(keys)
-    rest = [c for c in batch.columns if c not in keys]
-    if order is None or not rest:
-        return batch.dropDuplicates(keys)
-    packed = F.struct(*[F.col(c) for c in rest])
-    return batch.groupBy(*keys).agg(F.max_by(packed, F.col(order)).alias("_r")).select(
-        *keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    """One whole row per key: the row with the largest ``order`` (any row if None)."""
+    if order is None:
+        return batch.dropDuplicates(list(keys))
+    return first_per_key(batch, keys, [F.col(order).desc_nulls_last()])
 
 
 def resolve(rows: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
-    """One row per key of rows that hold at most one row per key and ``batch``:
-    the largest ``order`` wins, then the newest batch.  Drops ``batch``."""
-    keys = list(keys)
-    columns = [c for c in rows.columns if c != BATCH]
-    rest = [c for c in columns if c not in keys]
-    if not rest:
-        return rows.select(*keys).distinct()
-    rank = F.struct(F.col(order), F.col(BATCH)) if order else F.col(BATCH)
-    return rows.groupBy(*keys).agg(*[F.max_by(F.col(c), rank).alias(c) for c in rest]).select(*columns)
-
-
-def _stored_keys(spark: SparkSession, root: str) -> tuple[list[str], str | None]:
-    lines = (read_text(spark, f"{root}/_keys") or "").split("\n")
-    return [k for k in lines[0].split(",") if k], (lines[1] if len(lines) > 1 and lines[1] else None)
-
-
-def _read_resolved(spark: SparkSession, root: str, upto: int | None = None):
-    root = root.rstrip("/")
-    commits = [v for v in committed_versions(spark, root) if upto is None or v <= upto]
-    bases = [v for v in _markers(spark, f"{root}/_bases") if upto is None or v <= upto]
-    if not commits and not bases:
-        return None, None
-    base_v = bases[-1] if bases else None
-    parts = []
-    if base_v is not None:
-        parts.append(spark.read.parquet(f"{root}/base/v={base_v}").withColumn(BATCH, F.lit(base_v).cast("long")))
-    newer = [v for v in commits if base_v is None or v > base_v]
-    if newer:
-        deltas = (
-            spark.read.option("basePath", f"{root}/delta").parquet(f"{root}/delta")
-            .withColumn(BATCH, F.col(BATCH).cast("long"))
-            .where(F.col(BATCH).isin(newer))          # partition pruning: committed, after the base
-        )
-        parts.append(deltas)
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p, allowMissingColumns=True)
-    keys, order = _stored_keys(spark, root)
-    return resolve(rows, keys, order), max(commits[-1] if commits else -1, base_v if base_v is not None else -1)
-
-
-def read_table(spark: SparkSession, root: str, schema=None, upto: int | None = None) -> DataFrame | None:
-    """The table after every committed batch (up to id ``upto``), or ``None`` (or
-    an empty frame of ``schema``)."""
-    table, _ = _read_resolved(spark, root, upto)
-    if table is None:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return table
+    """One row per key of rows with a ``batch``: the largest ``order`` wins, then
+    the newest batch.  Drops ``batch``."""
+    ranks = ([F.col(order).desc_nulls_last()] if order else []) + [F.col(BATCH).desc()]
+    return first_per_key(rows, keys, ranks).drop(BATCH)
 
 
-def applied(spark: SparkSession, root: str, batch_id: int) -> bool:
-    root = root.rstrip("/")
-    if _exists(spark, f"{root}/_commits/{batch_id}"):
-        return True
-    bases = _markers(spark, f"{root}/_bases")
-    return bool(bases) and batch_id <= bases[-1]
+def upsert(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, keys: Sequence[str],
+           order: str | None = None, owner: str | None = None) -> None:
+    """Apply ``batch`` as batch ``batch_id``; applying it again changes nothing."""
+    claim(spark, root.rstrip("/"), owner)
+    role = {**({order: "order"} if order else {}), **{k: "key" for k in keys}}
+    marked = [F.col(c).alias(c, metadata={_ROLE: role[c]}) if c in role else F.col(c) for c in batch.columns]
+    append_batch(newest_per_key(batch, keys, order).select(*marked), batch_id, root)
 
 
-def upsert(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, keys: Sequence[str],
-           order: str | None = None, owner: str | None = None) -> bool:
-    """Apply ``batch`` as batch ``batch_id``; returns False if already applied."""
-    root = root.rstrip("/")
-    claim(spark, root, owner)
-    if applied(spark, root, batch_id):
-        return False
-    if not _exists(spark, f"{root}/_keys"):
-        write_text(spark, f"{root}/_keys", ",".join(keys) + "\n" + (order or ""))
-    newest_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{root}/delta/{BATCH}={int(batch_id)}")
-    write_text(spark, f"{root}/_commits/{batch_id}", "")
-    return True
-
-
-def compact(spark: SparkSession, root: str) -> int | None:
-    """Write the resolved table as a new base, remove what it supersedes, and
-    return its version.  A full rewrite: a maintenance job beside the stream."""
-    root = root.rstrip("/")
-    table, top = _read_resolved(spark, root)
-    if table is None or _exists(spark, f"{root}/_bases/{top}"):
-        return top
-    table.write.mode("overwrite").parquet(f"{root}/base/v={top}")
-    write_text(spark, f"{root}/_bases/{top}", "")
-    _remove_superseded(spark, root)
-    return top
-
-
-def _remove_superseded(spark: SparkSession, root: str) -> None:
-    """With bases ``... < prev < newest``, remove deltas and commit markers up to
-    ``prev`` and the bases before it: a reader that resolved against either of
-    the two still finds its files."""
-    bases = _markers(spark, f"{root}/_bases")
-    if len(bases) < 2:
-        return
-    cutoff = bases[-2]
-    for folder, prefix in (("delta", f"{BATCH}="), ("_commits", "")):
-        fs, p = hadoop_fs(spark, f"{root}/{folder}")
-        if not fs.exists(p):
-            continue
-        for st in fs.listStatus(p):
-            name = st.getPath().getName().removeprefix(prefix)
-            if name.isdigit() and int(name) <= cutoff:
-                fs.delete(st.getPath(), True)
-    for v in bases:
-        if v < cutoff:
-            for path in (f"{root}/base/v={v}", f"{root}/_bases/{v}"):
-                fs, p = hadoop_fs(spark, path)
-                fs.delete(p, True)
+def read_table(spark: SparkSession, root: str, schema=None, upto: int | None = None) -> DataFrame | None:
+    """The table after every batch (up to id ``upto``), or ``None`` (or an empty
+    frame of ``schema``) before the first."""
+    fs, path = hadoop_fs(spark, root)
+    if not fs.exists(path) or not any(s.getPath().getName().startswith(f"{BATCH}=") for s in fs.listStatus(path)):
+        return spark.createDataFrame([], schema) if schema is not None else None
+    rows = spark.read.parquet(root).withColumn(BATCH, F.col(BATCH).cast("long"))
+    if upto is not None:
+        rows = rows.where(F.col(BATCH) <= upto)             # partition pruning
+    roles = {f.name: f.metadata.get(_ROLE) for f in rows.schema.fields}
+    keys = [c for c, r in roles.items() if r == "key"]
+    order = next((c for c, r in roles.items() if r == "order"), None)
+    return resolve(rows, keys, order)
 
 
 def upsert_writer(root: str, keys: Sequence[str], order: str | None = None):
