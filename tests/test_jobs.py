@@ -11,7 +11,6 @@ from test_streaming import write_line_files
 from tidewatch.config import EVENTS
 from tidewatch.operators import cleaning, dedup, responses, streaks, windows
 from tidewatch.plans import jobs, pipelines
-from tidewatch.sinks.append import read_appended
 from tidewatch.sinks.owner import OtherQueryError
 from tidewatch.sinks.upsert import read_table
 from tidewatch.sources.files import text_stream
@@ -103,30 +102,6 @@ def test_every_branch_draws_its_own_noise(spark):
     assert drawn(jobs.window_input(r, p)) == w                         # a retried task draws the same
 
 
-def test_combined_stream_with_quarantine_and_console(spark, tmp_dir, capsys):
-    src = os.path.join(tmp_dir, "in")
-    rows = sample_lines()
-    write_line_files(src, [rows[:60] + BAD[:2], rows[60:120], rows[120:] + BAD[2:]])
-    roots = {k: os.path.join(tmp_dir, k) for k in ("histogram", "windows", "streaks", "quarantine")}
-    p = jobs.JobParams(streak_limit=2)
-    qs = jobs.start_combined_stream(line_readings_stream(spark, src, max_files_per_trigger=1), roots, p, os.path.join(tmp_dir, "ck"),
-                                    {"availableNow": True}, console=True, lines=text_stream(spark, src, 1))
-    assert len(qs) == 4
-    for q in qs:
-        q.awaitTermination()
-        assert q.exception() is None
-    batch = jobs.combined_job(lines_df(spark, rows + BAD), p)
-    assert rows_of(read_table(spark, roots["histogram"])) == rows_of(batch["histogram"])
-    closed = rows_of(read_appended(spark, roots["windows"]), "dataset_id", "win_start", "max_value", "min_value", "n")
-    assert len(closed) == 24 and set(closed) <= set(rows_of(batch["windows"], "dataset_id", "win_start", "max_value", "min_value", "n"))
-    want = rows_of(streaks.streak_table(batch["streaks"]), "device_id", "start_ms", "counts")
-    assert rows_of(read_table(spark, roots["streaks"]), "device_id", "start_ms", "counts") == want and want
-    assert rows_of(read_appended(spark, roots["quarantine"]), "line", "reason") == rows_of(batch["quarantine"], "line", "reason")
-    shown = capsys.readouterr().out
-    assert "winstart" in shown or "win_start" in shown
-    assert "cnt" in shown and "counts" in shown and "reason" in shown
-
-
 def test_a_new_checkpoint_on_an_old_folder_is_refused(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     write_line_files(src, [sample_lines()])

@@ -31,6 +31,9 @@ def keep_lines_containing(df: DataFrame, markers: Iterable[str] = config.ALLOW_M
     return df.where(contains_any(col, list(markers)))
 
 
+#: Outcome of a line that is a reading.
+READING = "reading"
+
 # -- parsing -----------------------------------------------------------------
 
 def _parsed(df: DataFrame, col: str, seq: Column | None) -> DataFrame:
@@ -98,26 +101,40 @@ def quarantine_lines(df: DataFrame, col: str = "value", seq: Column | None = Non
     return p.where(~_good(p) | F.col("line").isNull()).select("line", _reason().alias("reason"))
 
 
-def classify_lines(df: DataFrame, deny=config.DENY_MARKERS, allow=config.ALLOW_MARKERS, col: str = "value") -> DataFrame:
-    """Every line with its ``outcome``: ``filtered`` (the deny- or allow-list
-    leaves it out: housekeeping frames, other datasets), ``reading``, or why it
-    is no reading.  Lines in = readings + filtered + quarantined."""
+def classify_parsed(df: DataFrame, deny=config.DENY_MARKERS, allow=config.ALLOW_MARKERS, col: str = "value") -> DataFrame:
+    """Every line, parsed once, with its ``outcome``: ``filtered`` (the deny- or
+    allow-list leaves it out: housekeeping frames, other datasets), ``reading``,
+    or why it is no reading.  The reading columns hold for readings only."""
     parsed = _parsed(df, col, None)
     passed = contains_none("line", list(deny)) & contains_any("line", list(allow))
     outcome = (
         F.when(F.col("line").isNull(), F.lit("no text"))
         .when(~passed, F.lit("filtered"))
-        .when(_good(parsed), F.lit("reading"))
+        .when(_good(parsed), F.lit(READING))
         .otherwise(_reason())
     )
-    return parsed.select("line", outcome.alias("outcome"))
+    return parsed.select("line", "device_id", "dataset_id", "ts_ms", "value", "ts", "seq", outcome.alias("outcome"))
+
+
+def readings_of_lines(classified: DataFrame) -> DataFrame:
+    """The readings among the rows of :func:`classify_parsed`."""
+    return classified.where(F.col("outcome") == READING).select("device_id", "dataset_id", "ts_ms", "value", "ts", "seq")
+
+
+def quarantine_of_lines(classified: DataFrame) -> DataFrame:
+    """The lines among those rows that pass the lists (or are null) and are no readings."""
+    return classified.where(~F.col("outcome").isin(READING, "filtered")).select("line", F.col("outcome").alias("reason"))
+
+
+def classify_lines(df: DataFrame, deny=config.DENY_MARKERS, allow=config.ALLOW_MARKERS, col: str = "value") -> DataFrame:
+    """Every line with its ``outcome``.  Lines in = readings + filtered + quarantined."""
+    return classify_parsed(df, deny, allow, col).select("line", "outcome")
 
 
 def job_quarantine(df: DataFrame, deny=config.DENY_MARKERS, allow=config.ALLOW_MARKERS, col: str = "value") -> DataFrame:
     """The lines that pass the deny- and allow-list (or are null) and are no
     readings, with the reason: what a job must not lose."""
-    return classify_lines(df, deny, allow, col).where(~F.col("outcome").isin("reading", "filtered")).select(
-        "line", F.col("outcome").alias("reason"))
+    return quarantine_of_lines(classify_parsed(df, deny, allow, col))
 
 
 def lines_to_readings(df: DataFrame, deny=config.DENY_MARKERS, allow=config.ALLOW_MARKERS,

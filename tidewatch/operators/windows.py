@@ -62,50 +62,63 @@ def _direct_extremes(df: DataFrame, size: str, slide: str, cols: Cols) -> DataFr
     )
 
 
-def _pane_extremes(df: DataFrame, size_ms: int, slide_ms: int, cols: Cols, salt=None) -> DataFrame:
-    """Sliding extremes through panes (tumbling windows of gcd(size, slide)).
-
-    Each reading is aggregated once, into its pane, instead of being copied
-    into every window that covers it.  The pane table (datasets x panes) is
-    then fanned out to the size/slide windows covering each pane and merged:
-    max of maxima, min of minima, sum of counts.  A pane lies inside a window
-    exactly when its start does, so the result equals the direct form.
-    With ``salt`` the pane aggregate is also keyed by the salt, and the window
-    merge combines salts and panes in one step.  Arithmetic is in integer
-    microseconds.
+def pane_partials(df: DataFrame, size_ms: int, slide_ms: int, cols: Cols = READING_COLS, salt=None) -> DataFrame:
+    """Per (dataset, pane): ``_max``, ``_min``, ``_n`` of the readings.
+
+    A pane is a tumbling window of gcd(size, slide), named by its start in epoch
+    microseconds.  The partials merge: max of maxima, min of minima, sum of counts.
     """
     g = math.gcd(size_ms, slide_ms) * 1000
-    size_us, slide_us = size_ms * 1000, slide_ms * 1000
-    per_pane = -(-size_ms // slide_ms)                    # windows a pane can belong to
-    ts_type = df.schema[cols.ts].dataType
     us = F.unix_micros(F.col(cols.ts).cast("timestamp"))
     salt_cols = [salt.alias("_salt")] if salt is not None else []
-    panes = (
+    return (
         df.where(F.col(cols.ts).isNotNull())
         .select(F.col(cols.dataset).alias("dataset_id"), (us - F.pmod(us, _long(g))).alias("_pane"),
                 F.col(cols.value).alias("_v"), *salt_cols)
         .groupBy(*(["_salt"] if salt is not None else []), "dataset_id", "_pane")
         .agg(F.max("_v").alias("_max"), F.min("_v").alias("_min"), F.count(F.lit(1)).alias("_n"))
     )
-    latest = F.col("_pane") - F.pmod(F.col("_pane"), _long(slide_us))
-    fanned = (
+
+
+def last_window_start(pane, slide_ms: int):
+    """Start (epoch microseconds) of the last window that covers a pane or time."""
+    return pane - F.pmod(pane, _long(slide_ms * 1000))
+
+
+def panes_in_windows(panes: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
+    """Each pane once per window covering it, with the window's start ``_s``.  A
+    pane lies inside a window exactly when its start does.  Integer arithmetic."""
+    per_pane = -(-size_ms // slide_ms)                    # windows a pane can belong to
+    return (
         panes.select("*", F.explode(F.sequence(_long(0), _long(per_pane - 1))).alias("_j"))
-        .withColumn("_s", latest - F.col("_j") * _long(slide_us))
-        .where(F.col("_s") + _long(size_us) > F.col("_pane"))
+        .withColumn("_s", last_window_start(F.col("_pane"), slide_ms) - F.col("_j") * _long(slide_ms * 1000))
+        .where(F.col("_s") + _long(size_ms * 1000) > F.col("_pane"))
     )
 
+
+def windows_of_panes(panes: DataFrame, size_ms: int, slide_ms: int, ts_type=T.TimestampType()) -> DataFrame:
+    """Sliding-window extremes merged from pane partials."""
     def as_ts(c):
         t = F.timestamp_micros(c)
         return t.cast("timestamp_ntz") if isinstance(ts_type, T.TimestampNTZType) else t
 
     return (
-        fanned.groupBy("dataset_id", "_s")
+        panes_in_windows(panes, size_ms, slide_ms).groupBy("dataset_id", "_s")
         .agg(F.max("_max").alias("max_value"), F.min("_min").alias("min_value"), F.sum("_n").alias("n"))
         .select("dataset_id", as_ts(F.col("_s")).alias("win_start"),
-                as_ts(F.col("_s") + _long(size_us)).alias("win_end"), "max_value", "min_value", "n")
+                as_ts(F.col("_s") + _long(size_ms * 1000)).alias("win_end"), "max_value", "min_value", "n")
     )
 
 
+def _pane_extremes(df: DataFrame, size_ms: int, slide_ms: int, cols: Cols, salt=None) -> DataFrame:
+    """Sliding extremes through panes: each reading is aggregated once, into its
+    pane, instead of being copied into every window that covers it; the small pane
+    table is fanned out and merged.  With ``salt`` the pane aggregate is also keyed
+    by the salt, and the window merge combines salts and panes in one step."""
+    panes = pane_partials(df, size_ms, slide_ms, cols, salt)
+    return windows_of_panes(panes, size_ms, slide_ms, df.schema[cols.ts].dataType)
+
+
 def sliding_extremes(df: DataFrame, size: str = config.WINDOW_SIZE, slide: str = config.WINDOW_SLIDE,
                      cols: Cols = READING_COLS, panes: bool | None = None) -> DataFrame:
     """Per (dataset, window): max, min and count of values.

@@ -21,6 +21,7 @@ from tidewatch.sinks.append import append_writer
 from tidewatch.sinks.archive import archive_writer
 from tidewatch.sinks.outputs import console_writer, fan_out, kafka_writer, write_lines
 from tidewatch.sinks.upsert import upsert_writer
+from tidewatch.streaming.combined import Analyses, combined_writer
 from tidewatch.streaming.operators import stream_histogram, stream_sliding_extremes
 from tidewatch.streaming.readers import with_event_time
 from tidewatch.streaming.streaks import streak_writer, stream_rising_streaks
@@ -42,6 +43,7 @@ class JobParams:
     noise_windows: str = "none"
     noise_streaks: str = "none"
     delay: str = "0 seconds"       # watermark delay
+    idle_ms: int | None = None     # streams forget a device this long after its last reading (None: never)
     slices: int | None = None      # fixed range slices of the batch streak scan (default: the shuffle partitions)
 
     def noisy(self) -> "JobParams":
@@ -174,11 +176,11 @@ def start_streak_stream(readings: DataFrame, table_root: str, p: JobParams = Job
     """
     temp = streak_input(readings, p)
     upserts = upsert_writer(table_root, ["device_id", "start_ms"], order="counts")
-    writers = [lambda batch, batch_id: upserts(batch.drop("ts_ms"), batch_id)] + ([console_writer()] if console else [])
+    writers = [_without_time(upserts)] + ([console_writer()] if console else [])
     sink = writers[0] if len(writers) == 1 else fan_out(writers)
     if keyed_state:
         return _start(stream_rising_streaks(temp, p.streak_limit), "streaks", "append", [sink], False, checkpoint_root, trigger)
-    scan = streak_writer(f"{table_root.rstrip('/')}-state", sink, p.streak_limit, p.slices)
+    scan = streak_writer(f"{table_root.rstrip('/')}-state", sink, p.streak_limit, p.slices, p.idle_ms)
     return _start(temp, "streaks", "append", [scan], False, checkpoint_root, trigger)
 
 
@@ -195,22 +197,65 @@ def start_publish_stream(lines: DataFrame, servers: str, topic: str, archive_roo
     return _start(lines, "publish", "append", [publish(servers, topic), archive_writer(archive_root)], False, checkpoint_root, trigger)
 
 
-def start_combined_stream(readings: DataFrame, roots: dict[str, str], p: JobParams = JobParams(),
+def analyses(p: JobParams = JobParams(), mode: str = "append") -> Analyses:
+    """The three analyses of a job as the combined stream runs them."""
+    return Analyses(
+        histogram_input=lambda r: histogram_input(r, p), window_input=lambda r: window_input(r, p),
+        streak_input=lambda r: streak_input(r, p), bins=(p.bin_start, p.bin_step, p.bin_count), size=p.window_size, slide=p.window_slide,
+        lateness=p.delay, limit=p.streak_limit, mode=mode, slices=p.slices, idle_ms=p.idle_ms, deny=p.deny, allow=p.allow)
+
+
+def default_sinks(roots: dict[str, str], mode: str = "append") -> dict:
+    """Parquet sinks for the results that ``roots`` names."""
+    make = {
+        "histogram": lambda root: upsert_writer(root, ["bin"]),
+        "windows": lambda root: append_writer(root) if mode == "append" else upsert_writer(root, ["dataset_id", "win_start"]),
+        "streaks": lambda root: _without_time(upsert_writer(root, ["device_id", "start_ms"], order="counts")),
+        "changelog": append_writer, "late": append_writer, "quarantine": append_writer, "dashboard": lambda root: root,
+    }
+    return {name: make[name](root) for name, root in roots.items() if name != "state"}
+
+
+def _without_time(sink):
+    return lambda batch, batch_id: sink(batch.drop("ts_ms"), batch_id)
+
+
+def start_combined_stream(source: DataFrame, roots: dict[str, str], p: JobParams = JobParams(),
                           checkpoint_root: str | None = None, trigger: dict | None = None, console: bool = False,
-                          lines: DataFrame | None = None) -> list[StreamingQuery]:
-    """J1 streaming: the three analyses as three queries over one source
-    definition (each keeps its own offsets and state); wait on them with
-    ``spark.streams.awaitAnyTermination()``.  With the stream of ``lines`` that
-    the readings come from, and a ``quarantine`` root, a fourth keeps those that
-    are no readings."""
-    queries = [
-        start_histogram_stream(readings, roots["histogram"], p, checkpoint_root, trigger, console),
-        start_window_stream(readings, roots["windows"], p, checkpoint_root, trigger, console=console),
-        start_streak_stream(readings, roots["streaks"], p, checkpoint_root, trigger, console),
-    ]
-    if lines is not None and "quarantine" in roots:
-        queries.append(start_quarantine_stream(lines, roots["quarantine"], p, checkpoint_root, trigger, console))
-    return queries
+                          sinks: dict | None = None, mode: str = "append") -> StreamingQuery:
+    """J1 streaming: one query, one reader of the source.  Every micro-batch of
+    ``source`` (a stream of lines, or of readings without a watermark) is read and
+    parsed once; the three analyses take it from there with their carried partial
+    results (:mod:`tidewatch.streaming.combined`).
+
+    ``roots`` names the folders of the results wanted (see ``combined_writer``) and
+    of the carried ``state``; ``sinks`` replaces some of their sinks, for example by
+    database upserts.  ``p.delay`` is the allowed lateness of the windows.
+    """
+    chosen = {**default_sinks(roots, mode), **(sinks or {})}
+    if console:
+        show = console_writer()
+        chosen = {n: fan_out([s, show]) if callable(s) else s for n, s in chosen.items()}
+    state = roots.get("state") or state_path(source.sparkSession, "combined-state")
+    return _start(source, "combined", "append", [combined_writer(analyses(p, mode), chosen, state)], False, checkpoint_root, trigger)
+
+
+def start_changelog_stream(readings: DataFrame, root: str, p: JobParams = JobParams(), checkpoint_root: str | None = None,
+                           trigger: dict | None = None) -> StreamingQuery:
+    """A2 streaming: the updated bin count after every reading, appended once each."""
+    sinks = default_sinks({"changelog": root})
+    writer = combined_writer(analyses(p), sinks, f"{root.rstrip('/')}-state")
+    return _start(readings, "changelog", "append", [writer], False, checkpoint_root, trigger)
+
+
+def start_lateness_stream(readings: DataFrame, root: str, late_root: str, p: JobParams = JobParams(),
+                          checkpoint_root: str | None = None, trigger: dict | None = None, mode: str = "append") -> StreamingQuery:
+    """J3 streaming with its late readings kept (W4): a reading none of whose windows
+    is open any more goes to ``late_root`` instead of being dropped; every other one
+    is counted.  ``p.delay`` is the allowed lateness."""
+    sinks = default_sinks({"windows": root, "late": late_root}, mode)
+    writer = combined_writer(analyses(p, mode), sinks, f"{root.rstrip('/')}-state")
+    return _start(readings, "lateness", "append", [writer], False, checkpoint_root, trigger)
 
 
 def watermarked(readings: DataFrame, p: JobParams = JobParams()) -> DataFrame:

@@ -15,7 +15,7 @@ batch order, as an ascending source delivers them.
 That operator puts a device's rows of one micro-batch into one task.  Where a
 device may hold a large share of a batch, :func:`streak_writer` runs each
 micro-batch through the range-sliced scan of the batch operator instead, and
-carries the devices' states in an upsert table.
+carries the devices' states in a small state table, one row per device.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidewatch import config, schemas
 from tidewatch.operators.scan import advance_runs, not_null
 from tidewatch.operators.streaks import streak_counts
-from tidewatch.sinks.owner import query_id
-from tidewatch.sinks.upsert import read_table, upsert
+from tidewatch.sinks.owner import claim, query_id
+from tidewatch.sinks.upsert import first_per_key
+from tidewatch.sinks.versions import read_version, write_version
 from tidewatch.session import ship_package
 
 OUTPUT_SCHEMA = "device_id string, start_ms bigint, counts bigint, ts_ms bigint"
@@ -87,7 +88,7 @@ def stream_rising_streaks(readings: DataFrame, limit: int = config.STREAK_LIMIT,
 
 
 _BEFORE = -(1 << 62)        # stands before every timestamp: the row that carries a device's state in
-STATE_COLS = "device_id string, start_ms bigint, prev double, cnt bigint"
+RUN_STATE = "device_id string, start_ms bigint, prev double, cnt bigint, last_ms bigint"
 
 
 def advance_batch(batch: DataFrame, state: DataFrame | None, slices: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -113,28 +114,44 @@ def advance_batch(batch: DataFrame, state: DataFrame | None, slices: int | None
             .withColumn("start_ms", F.when(goes_on, F.col("_start")).otherwise(F.col("start_ms")))
             .drop("_start", "_cnt")
         )
-    # every copy of a device's last reading restarts the run, so the shortest count is that of the last copy
-    end = F.struct("ts_ms", "seq", -F.col("counts"))
-    after = counted.groupBy("device_id").agg(
-        F.max_by("start_ms", end).alias("start_ms"), F.max_by("value", end).alias("prev"), F.max_by("counts", end).alias("cnt"))
-    return counted, after
+    return counted, run_ends(counted)
 
 
-def streak_writer(state_root: str, sink, limit: int = config.STREAK_LIMIT, slices: int | None = None):
+def run_ends(counted: DataFrame) -> DataFrame:
+    """Every device's state after its last counted row.  Every copy of a device's
+    last reading restarts the run, so the shortest count is that of the last copy."""
+    last = first_per_key(counted, ["device_id"], [F.col("ts_ms").desc(), F.col("seq").desc(), F.col("counts").asc()])
+    return last.select("device_id", "start_ms", F.col("value").alias("prev"), F.col("counts").alias("cnt"), F.col("ts_ms").alias("last_ms"))
+
+
+def merged_runs(state: DataFrame, after: DataFrame, idle_ms: int | None = None) -> DataFrame:
+    """The state of all devices: ``after`` replaces its devices' rows.  With
+    ``idle_ms``, devices whose last reading is that much older than the newest one
+    are forgotten; their next reading starts a run."""
+    table = state.join(after.select("device_id"), "device_id", "left_anti").unionByName(after)
+    if idle_ms is None:
+        return table
+    newest = table.agg(F.max("last_ms").alias("_newest"))           # one row
+    return table.join(F.broadcast(newest), F.col("last_ms") >= F.col("_newest") - F.lit(idle_ms)).drop("_newest")
+
+
+def streak_writer(state_root: str, sink, limit: int = config.STREAK_LIMIT, slices: int | None = None, idle_ms: int | None = None):
     """``foreachBatch`` function: alerts of each micro-batch to ``sink`` (itself a
-    ``foreachBatch`` function), states to the upsert table at ``state_root``.
+    ``foreachBatch`` function), the devices' states to the state table at
+    ``state_root``.
 
-    The state is committed after the sink; a replayed batch reads the state as of
-    the batch before it, so it makes the same alerts again.
+    A batch reads the state as of the batch before it, one row per device, however
+    many batches there were; a replayed one therefore makes the same alerts again.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = read_table(spark, state_root, upto=batch_id - 1)
-        counted, after = advance_batch(batch, state, slices)
+        claim(spark, state_root, query_id(batch))
+        state = read_version(spark, state_root, RUN_STATE, before=batch_id)
+        counted, _ = advance_batch(batch, state, slices)
         counted = counted.persist()
         try:
             sink(counted.where(F.col("counts") >= limit).select("device_id", "start_ms", "counts", "ts_ms"), batch_id)
-            upsert(spark, state_root, after, batch_id, ["device_id"], owner=query_id(batch))
+            write_version(merged_runs(state, run_ends(counted), idle_ms), state_root, batch_id)
         finally:
             counted.unpersist()
     return write
