@@ -74,17 +74,16 @@ def test_real_vocabulary_round_trip_and_score(spark):
 # -- vector search ------------------------------------------------------------
 
 def brute_top(rows, step, k):
-    ok = {}
-    for i, v in sorted(((i, v) for i, v in rows if i is not None and v is not None), key=lambda r: r[0]):
-        if all(x is not None and math.isfinite(x) for x in v):
-            q = tuple(math.floor(64 * x) for x in v)
-            ok[i] = min(ok.get(i, (len(q), q)), (len(q), q), key=lambda d: (d[0], np.array(d[1], "<i4").tobytes()))
+    """Every row is a candidate, whatever its id; Python integers, cut to a long."""
+    ok = [(n, i, tuple(math.floor(64 * x) for x in v)) for n, (i, v) in enumerate(rows)
+          if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, (d, q) in ok.items():
-        if i % step == 0:
-            found = sorted((-sum(a * b for a, b in zip(q, c)), j) for j, (e, c) in ok.items() if j != i and e == d)[:k]
-            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(found)]
-    return sorted(out)
+    for n, i, q in ok:
+        if i is not None and i % step == 0:
+            scored = [(min(max(sum(a * b for a, b in zip(q, c)), -2 ** 63 + 1), 2 ** 63 - 1), j, m) for m, j, c in ok if m != n and len(c) == len(q)]
+            found = sorted(scored, key=lambda s: (-s[0], s[1] is None, s[1] or 0, s[2]))[:k]
+            out += [(i, r + 1, j, s) for r, (s, j, _) in enumerate(found)]
+    return sorted(out, key=repr)
 
 
 @pytest.mark.parametrize("shard,block", [(16, 4), (64, 1000), (1000, 7)])
@@ -93,10 +92,36 @@ def test_top_k_equals_brute_force(spark, shard, block):
     rows = [(i, [rnd.uniform(-1, 1) for _ in range(6)]) for i in range(300)]
     rows += [(300 + i, [0.5] * 6) for i in range(120)]                      # one very common vector
     rows += [(500, None), (501, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (505, [math.nan] * 6), (510, [math.inf] * 6), (None, [1.0] * 6), (520, []), (525, []),
-             (530, [1.0, 2.0]), (535, [3.0, -4.0]), (300, [0.5] * 6), (20, [0.1] * 6)]
+             (530, [1.0, 2.0]), (535, [3.0, -4.0]), (300, [0.5] * 6), (20, [0.1] * 6), (None, [0.4] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit(1)).withColumn("dim", F.lit("x"))
     got = vector_search.top_k(df, F.col("vec_id") % 5 == 0, 9, shard_rows=shard, block_rows=block).collect()
-    assert sorted(tuple(r) for r in got) == brute_top(rows, 5, 9)
+    assert sorted((tuple(r) for r in got), key=repr) == brute_top(rows, 5, 9)
+
+
+@pytest.mark.parametrize("size", [2.0 ** 21 - 1, 3.0e6, 2.0 ** 24, 2.0 ** 40, 1e30])
+def test_large_components_score_exactly(spark, size):
+    """Quantised components around 2**27 (where products leave the doubles' exact
+    range), beyond it, and so large that scores leave a long."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.uniform(-1, 1, 64) * size).tolist()) for i in range(120)] + [(200, [size] * 64), (201, [1.0] * 64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vector_search.top_k(df, F.col("vec_id") % 20 == 0, 20, shard_rows=32, block_rows=4).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_top(rows, 20, 20)
+
+
+def test_boxes_rule_out_shards_on_clustered_data(spark):
+    """Most (block, shard) pairs are dropped before vectors travel, and nothing is lost."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 8)) * 4
+    rows = [(i, (centres[i % 12] + 0.1 * rng.normal(size=8)).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = vector_search.Index(spark, df, "vec_id", "embedding", 64)
+    found = index.search(F.col("vec_id") % 20 == 0, 5, 16)
+    blocks = found.select("query").distinct().count() / 16
+    every = blocks * index.trees.count()
+    assert index.trees.count() >= 32 and 0 < index.pairs_met < 0.6 * every
+    got = vector_search.top_k(df, F.col("vec_id") % 20 == 0, 5, shard_rows=64, block_rows=16).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_top(rows, 20, 5)
 
 
 def test_top_k_few_and_no_rows(spark):
@@ -113,6 +138,7 @@ def test_tree_boxes_are_tight_and_prune():
         for (b, e), lo, hi in zip(spans, tree.lo[level], tree.hi[level]):
             assert (tree.rows[b:e].min(axis=0) == lo).all() and (tree.rows[b:e].max(axis=0) == hi).all()
     assert sorted(tree.ids.tolist()) == list(range(1000))
+    assert (tree.ids[np.argsort(tree.place)] == np.arange(1000)).all()
     back = vector_search.Tree.load(tree.dump())
     assert (back.rows == tree.rows).all() and len(back.spans) == len(tree.spans)
 
@@ -127,18 +153,47 @@ def pages(spark, rows):
 
 
 def brute_pages(rows):
+    """One record per row, repeated rows too."""
     last = {}
     for i, _, h in rows:
         if i is not None:
             last[h or ""] = max(i, last.get(h or "", i))
-    out = set()
+    out = []
     for i, _, h in rows:
         body = (h or "").encode()
         kind = i is not None and i < last[h or ""]
-        out.add((i, len(body), warc_zip.digest(body), "revisit" if kind else "response", last[h or ""] if kind else None))
+        out.append((i, len(body), warc_zip.digest(body), "revisit" if kind else "response", last[h or ""] if kind else None))
     return out
 
 
+def test_every_page_row_is_a_record(spark):
+    """Rows that share an id and a payload, at one address or at several, and rows without an id."""
+    rows = [(1, "http://a", "same"), (1, "http://b", "same"), (1, "http://b", "same"), (2, "http://c", "same"), (2, "http://d", "same"),
+            (3, "http://e", "other"), (None, "http://f", "same"), (None, "http://f", "same"), (3, None, None), (3, None, None)]
+    got = warc_zip.read_packages(spark, warc_zip.write_packages(pages(spark, rows)), keep_payload=True).collect()
+    assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], key=repr) == sorted(brute_pages(rows), key=repr)
+    assert sorted((r.page_id or 0, r.url or "") for r in got) == sorted((i or 0, u or "") for i, u, _ in rows)
+
+
+def test_batches_of_records_are_cut_by_bytes(spark, monkeypatch):
+    """Neighbours are read together and rows leave in batches of bounded size."""
+    monkeypatch.setattr(warc_zip, "READ_TOGETHER", 5000)
+    assert list(warc_zip._stretches(["p", "p", "p", "q", "q"], [0, 10, 30, 40, 42], [10, 10, 10, 2, 9000])) == [
+        ("p", 0, [10, 10]), ("p", 30, [10]), ("q", 40, [2]), ("q", 42, [9000])]
+    rows = [(i, None, "".join(chr(97 + (i * k) % 26) for k in range(900))) for i in range(60)]
+    packages = warc_zip.write_packages(pages(spark, rows))
+    listed = next(warc_zip._list_records(iter([_batch(packages.select("path").collect())])))
+    out = list(warc_zip._read_records(True)(iter([listed])))
+    assert len(out) > 3 and max(b.nbytes for b in out) < 9000
+    assert sum(b.num_rows for b in out) == listed.num_rows
+    assert sum(b.num_rows for b in warc_zip._read_records(False)(iter([listed]))) == listed.num_rows
+
+
+def _batch(rows):
+    import pyarrow as pa
+    return pa.RecordBatch.from_arrays([pa.array([r.path for r in rows])], names=["path"])
+
+
 def test_write_and_read_back(spark):
     rnd = random.Random(2)
     rows = [(i, f"http://x/{i}", " ".join(words(rnd, 50))) for i in range(60)]

@@ -39,6 +39,9 @@ MEMBER_BYTES, PACKAGE_BYTES = 16 << 20, 128 << 20
 INDEX = "indexes/index.cdx"
 #: Ranges of one package that are read in one task, about.
 READ_BYTES = 8 << 20
+#: Bytes of neighbouring records that are read at once, and of payloads in a batch
+#: of rows (a longer record goes alone); rows of a batch.
+READ_TOGETHER, BATCH_ROWS = 4 << 20, 4096
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2000-01-01T00:00:00Z"
 
@@ -248,34 +251,67 @@ def _list_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 names=["path", "begin", "bytes"])
 
 
+def _stretches(paths: list, begins: list, lengths: list) -> Iterator[tuple[str, int, list[int]]]:
+    """Records (sorted by package and place) that lie one behind the other, as
+    (package, begin, lengths), up to ``READ_TOGETHER`` bytes each."""
+    held: list[int] = []
+    path = begin = end = None
+    for p, b, n in zip(paths, begins, lengths):
+        if held and (p != path or b != end or end + n - begin > READ_TOGETHER):
+            yield path, begin, held
+            held = []
+        if not held:
+            path, begin = p, b
+        held.append(n)
+        end = b + n
+    if held:
+        yield path, begin, held
+
+
+def _parsed_record(path: str, data: bytes) -> tuple:
+    """(page, url, payload bytes, digest, kind, page referred to, payload)."""
+    headers, payload = parse_record(zlib.decompress(data, 31))
+    told = headers["warc-payload-digest"].removeprefix("sha1:")
+    kind = headers["warc-type"]
+    if kind == "response" and digest(payload) != told:
+        raise ValueError(f"a payload of {path} differs from its digest")
+    size = len(payload) if kind == "response" else int(headers["x-payload-length"])
+    return (_page(headers["warc-record-id"]), headers.get("warc-target-uri"), size, told, kind, _page(headers.get("warc-refers-to")),
+            payload if kind == "response" else None)
+
+
 def _read_records(keep_payload: bool):
+    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    used = len(names) - (not keep_payload)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names[:used])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, f = None, None
+        rows, size = [], 0
         for batch in batches:
-            rows, payloads = [], []
-            for path, begin, length in zip(*(c.to_pylist() for c in batch.columns)):
+            for path, begin, lengths in _stretches(*(c.to_pylist() for c in batch.columns)):
                 if path != held:
                     if f is not None:
                         f.close()
                     fs, name = pafs.FileSystem.from_uri(path)
                     held, f = path, fs.open_input_file(name)
-                f.seek(begin)
-                headers, payload = parse_record(zlib.decompress(f.read(length), 31))
-                told = headers["warc-payload-digest"].removeprefix("sha1:")
-                kind = headers["warc-type"]
-                if kind == "response" and digest(payload) != told:
-                    raise ValueError(f"a payload of {path} differs from its digest")
-                size = len(payload) if kind == "response" else int(headers["x-payload-length"])
-                rows.append((_page(headers["warc-record-id"]), headers.get("warc-target-uri"), size, told, kind, _page(headers.get("warc-refers-to"))))
-                payloads.append(payload.decode() if kind == "response" else None)
-            if not rows:
-                continue
-            ids, urls, sizes, told, kinds, refers = zip(*rows)
-            columns = [pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(sizes, pa.int64()), pa.array(told, pa.string()),
-                       pa.array(kinds, pa.string()), pa.array(refers, pa.int64())]
-            names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-            yield pa.RecordBatch.from_arrays(columns + ([pa.array(payloads, pa.string())] if keep_payload else []),
-                                             names=names + ["payload"] * keep_payload)
+                data = f.read_at(sum(lengths), begin)
+                at = 0
+                for n in lengths:
+                    row = _parsed_record(path, data[at:at + n])
+                    at += n
+                    if keep_payload:
+                        size += len(row[-1] or b"")
+                        row = (*row[:-1], row[-1].decode() if row[-1] is not None else None)
+                    rows.append(row[:used])
+                    if size >= READ_TOGETHER or len(rows) >= BATCH_ROWS:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+        if rows:
+            yield batch_of(rows)
         if f is not None:
             f.close()
     return run
@@ -295,8 +331,9 @@ def write_packages(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     Of equal payloads of at least ``least_bytes`` bytes, the page with the
     largest id is a response and the others revisit it; all other pages are
     responses.  Defined cases: a null payload is empty; a page without an id is
-    a response and never referred to; repeated rows of one id and payload are one
-    record; an empty table gives no package.
+    a response and never referred to; every row is a record, repeated rows of one
+    id and payload too (all of them responses if theirs is the largest id); an
+    empty table gives no package.
     """
     spark = ready(pages.sparkSession)
     folder = folder or state_path(spark, "llm", f"packages-{uuid.uuid4().hex}")
@@ -313,20 +350,15 @@ def write_packages(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
         .select("page_id", "key", "sha1", "payload_bytes", F.when(revisit, F.col("last")).alias("refers_to"))
         .groupBy("page_id", "key").agg(F.min("sha1").alias("sha1"), F.max("payload_bytes").cast("long").alias("payload_bytes"), F.max("refers_to").alias("refers_to"))
     )
+    # ``told`` has one row per (id, payload), so the join keeps every page row once
     body = keyed.select(F.col("page_id").alias("p"), F.col("key").alias("k"), "url", "html")
     joined = body.join(told, (F.col("k") == F.col("key")) & F.col("p").eqNullSafe(F.col("page_id")))
-    once = joined.dropDuplicates(["page_id", "key"]) if _may_repeat(told, pages) else joined
-    records = once.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("payload"), "payload_bytes", "sha1", "refers_to")
+    records = joined.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("payload"), "payload_bytes", "sha1", "refers_to")
     fs, root = pafs.FileSystem.from_uri(folder)
     fs.create_dir(root, recursive=True)
     return materialise(spark, records.mapInArrow(_write(folder), "path string, size long, n_records long"), "packages")
 
 
-def _may_repeat(told: DataFrame, pages: DataFrame) -> bool:
-    """Whether some (id, payload) occurs on several rows."""
-    return told.count() < pages.count()
-
-
 def read_packages(spark: SparkSession, packages: DataFrame, keep_payload: bool = False) -> DataFrame:
     """Records of the packages listed in ``path``: ``page_id``, ``url``,
     ``payload_bytes``, ``payload_digest``, ``record_type``, ``refers_to`` and,
