@@ -7,8 +7,9 @@ import pytest
 from fixtures import awkward, docs_frame, with_clashes, words
 from pyspark.sql import functions as F
 
+from tidewatch.llm import exact_dedup
 from tidewatch.llm.components import connected_components
-from tidewatch.llm.exact_dedup import exact_duplicates
+from tidewatch.llm.exact_dedup import exact_duplicates, name_by_sorting
 from tidewatch.llm.near_dedup import bands_for, near_duplicates, sketch_limit
 
 
@@ -159,11 +160,34 @@ def test_bands_miss_hardly_any_pair_at_the_threshold():
     assert bands_for(85) == (5, 24) and bands_for(80) == (5, 35)
 
 
-def test_hot_groups_are_spread(spark):
-    """Copies of one block of text span several partitions of the naming pass."""
-    from tidewatch.llm.exact_dedup import name_by_sorting
-    rows = spark.range(4000).select(F.lit(b"same").alias("block"), F.col("id").alias("key_a"), F.lit(0).alias("pos"))
+@pytest.mark.parametrize("distinct", [True, False])
+def test_hot_groups_are_spread(spark, monkeypatch, distinct):
+    """Copies of one block of text span the partitions of the naming pass, also
+    where the rows are copies of one row."""
+    key = F.col("id") if distinct else F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.lit(7).cast("long"))
+    rows = spark.range(0, 8000, 1, 4).select(F.lit(b"same").alias("block"), key.alias("key_a"), F.lit(0).alias("pos"))
+    written = []
+    keep = exact_dedup.materialise
+    monkeypatch.setattr(exact_dedup, "materialise", lambda *a: written.append(keep(*a)) or written[-1])
     named = name_by_sorting(spark, rows, "block", ["key_a", "pos"], "test")
-    assert named.select("name").distinct().count() == 1
-    files = named.where("edge IS NULL") if "edge" in named.columns else named
-    assert files.count() == 4000
+    assert named.select("name").distinct().count() == 1 and named.count() == 8000
+    # the naming pass writes a file per task
+    files = written[0].where("edge IS NULL").groupBy(F.input_file_name().alias("f")).count().collect()
+    assert sum(r["count"] for r in files) == 8000
+    assert len(files) == 8 and max(r["count"] for r in files) < 2 * 8000 / 8
+
+
+def test_a_repeated_row_is_written_out_by_several_tasks(spark, monkeypatch):
+    """Half of all rows are one row: its copies come from several tasks, one of them kept."""
+    monkeypatch.setattr(exact_dedup, "COPIES", 500)
+    rows = [(1, "the same text")] * 4000 + [(10 + i, f"text {i}") for i in range(4000)]
+    out = exact_duplicates(docs_frame(spark, rows)).withColumn("task", F.spark_partition_id()).collect()
+    mine = [r for r in out if r.doc_id == 1]
+    assert len(out) == 8000 and len(mine) == 4000 and sum(r.kept for r in mine) == 1 and {r.group_size for r in mine} == {4000}
+    copies = exact_dedup._copies(spark, spark.createDataFrame([(1, 4000), (2, 3)], "key_a long, copies long")).select("key_a", "copy", F.spark_partition_id().alias("t"))
+    got = copies.collect()
+    assert sorted((r.key_a, r.copy) for r in got) == [(1, k) for k in range(1, 4001)] + [(2, k) for k in range(1, 4)]
+    tasks = {}
+    for r in got:
+        tasks[r.t] = tasks.get(r.t, 0) + 1
+    assert len(tasks) >= 4 and max(tasks.values()) <= 2000

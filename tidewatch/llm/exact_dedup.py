@@ -8,8 +8,8 @@ pairs, never from a hash, so two documents share a name exactly if their
 normalised texts are equal.
 
 Sorting at scale: rows are range-partitioned on (hash of the block, row key,
-position), which spreads a block that a third of all rows share over a third of
-the partitions, then sorted by (hash, block) inside each partition and named by
+position, row number), which spreads a block that a third of all rows share over a
+third of the partitions, copies of one row included, then sorted by (hash, block) inside each partition and named by
 one pass in order.  Only the first and last hash of a partition can have blocks
 that go on in a neighbour; a table of at most a few rows per partition joins
 their names.  The text passes one shuffle; each pairing level moves 16 bytes a
@@ -36,6 +36,8 @@ IGNORED = b"\x20\x09\x0a\x0b\x0c\x0d"
 BLOCK_BYTES = 4096
 #: A name is partition * 2**40 + rank in the partition.
 _RANK_BITS = 40
+#: Copies of one row that a task writes out.
+COPIES = 1 << 16
 
 
 def _cut(block_bytes: int):
@@ -124,15 +126,15 @@ def name_by_sorting(spark: SparkSession, rows: DataFrame, block: str, spread: li
     """Add ``name``: an integer that rows share exactly if their ``block`` is equal.
 
     ``spread`` are columns that tell rows of one block apart, so that a hot
-    block spans partitions.  The result is written (and read) below the shared
+    block spans partitions; a row number does so where even they are equal.  The result is written (and read) below the shared
     checkpoint folder.
     """
     carried = [c for c in rows.columns if c != block]
     out = T.StructType([rows.schema[c] for c in carried] + [T.StructField("name", T.LongType()), T.StructField("edge", T.BinaryType())])
     out = T.StructType([T.StructField(f.name, f.dataType, True) for f in out])
     dealt = (
-        rows.select(*carried, F.col(block).alias("__block"), F.xxhash64(block).alias("__hash"))
-        .repartitionByRange(shuffle_partitions(spark), "__hash", *spread)
+        rows.select(*carried, F.col(block).alias("__block"), F.xxhash64(block).alias("__hash"), F.monotonically_increasing_id().alias("__turn"))
+        .repartitionByRange(shuffle_partitions(spark), "__hash", *spread, "__turn")
         .sortWithinPartitions("__hash", "__block")
     )
     named = materialise(spark, dealt.mapInArrow(_name_in_order(carried), out), label)
@@ -155,6 +157,20 @@ def _as_block(left: str, right: str) -> F.Column:
     return F.when(F.col(right).isNull(), eight(left)).otherwise(F.concat(eight(left), eight(right)))
 
 
+def _copies(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Each row as often as its ``copies`` says, numbered by ``copy`` from 1; a row
+    of many copies is dealt out to tasks in pieces first."""
+    def numbered(first, last):
+        return F.explode(F.sequence(first, last)).alias("copy")
+
+    few = rows.where(F.col("copies") <= COPIES).select("*", numbered(F.lit(1).cast("long"), F.col("copies")))
+    many = rows.where(F.col("copies") > COPIES).select(
+        "*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"), F.lit(COPIES).cast("long"))).alias("__from"))
+    dealt = many.repartition(shuffle_partitions(spark), "key_a", "__from")
+    return few.unionByName(dealt.select(
+        *rows.columns, numbered(F.col("__from"), F.least(F.col("copies"), F.col("__from") + COPIES - 1))))
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Groups of equal texts, one row per input row.
@@ -211,9 +227,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     best = rows.groupBy("n_blocks", "name").agg(F.min(mine).alias("best"), F.sum("copies").alias("size"), F.count(F.lit(1)).alias("n"))
     best = dealt_anew(best.where("n > 1").drop("n"))            # groups of several rows only
     return (
-        rows.join(best, ["n_blocks", "name"], "left")
+        _copies(spark, rows).join(best, ["n_blocks", "name"], "left")
         .withColumn("best", F.coalesce("best", mine))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         .select("key_a", "key_b", "doc_id", F.col("best.doc_id").alias("keep_id"), F.coalesce("size", "copies").alias("group_size"),
                 ((F.col("key_a") == F.col("best.key_a")) & (F.col("key_b") == F.col("best.key_b")) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
     )
