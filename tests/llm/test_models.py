@@ -1,5 +1,7 @@
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +114,77 @@ def test_toxic_words_are_learned_and_clean_text_left_alone(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def brute_log_ratio(texts, labels, least, probe):
+    """Mean log ratio of the two Kneser-Ney models per word, by dictionaries of words."""
+    cut = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    sample = [cut(t) for t in texts]
+    vocabulary = sorted({w for t in sample for w in t})
+    in_texts = {w: sum(w in t for t in sample) for w in vocabulary}
+    pairs = [[(a, b) for a, b in zip(["<s>", *t], t)] for t in sample]
+    kinds = {p for t in pairs for p in t}
+    pair_texts = {p: sum(p in t for t in pairs) for p in kinds}
+    ahead = {w: len({a for a, b in kinds if b == w}) for w in vocabulary}
+    often = {w for w in vocabulary if in_texts[w] >= least}
+    tokens = Counter(w for t in sample for w in t)
+    rare_mass = (1 + sum(n for w, n in tokens.items() if w not in often)) / (sum(tokens.values()) + 2)
+    rare = {w: max(ahead[w] - 0.75, 0) for w in vocabulary if w not in often}
+    unknown = max(0.75 * len(rare), 1.0)
+    unknown_p = rare_mass * unknown / (unknown + sum(rare.values()))
+    log = []
+    for y in (0, 1):
+        own = Counter(w for t, k in zip(sample, labels) if k == y for w in t if w in often)
+        total = max(1, sum(own.values()))
+        first = {w: max(own[w] - 0.75, 0) / total for w in often}
+        spare = 1 - sum(first.values())
+        unigram = {w: (1 - rare_mass) * (first[w] + spare * ahead[w] / sum(ahead[v] for v in often)) for w in often}
+        mine = Counter(p for t, k in zip(pairs, labels) if k == y for p in t)
+        before = Counter(a for t, k in zip(pairs, labels) if k == y for a, _ in t)
+        bigram = {(a, b): max(mine[a, b] - 0.75, 0) / max(1, before[a]) for a, b in kinds
+                  if pair_texts[a, b] >= least and b in often and (a in often or a == "<s>")}
+        weight = {a: 1 - sum(p for (v, _), p in bigram.items() if v == a) for a in [*often, "<s>"]}
+        words = cut(probe)
+        log.append([math.log(bigram.get((a, b), 0) + weight.get(a, 1.0) * unigram.get(b, unknown_p)) for a, b in zip(["<s>", *words], words)])
+    return sum(t - o for o, t in zip(*log)) / len(log[0])
+
+
+@pytest.mark.parametrize("least", [1, 2, 4])
+def test_kneser_ney_equals_brute_force(least):
+    rnd = random.Random(least)
+    pool = ["good", "bad", "fine", "evil", "day", "night", "a", "the", "sun", "rain"] + [f"rare{k}" for k in range(8)]
+    texts = [" ".join(rnd.choices(pool, [9, 1 + 8 * (k % 2), 9, 1 + 8 * (k % 2), 5, 5, 9, 9, 3, 3] + [0.3] * 8, k=rnd.randint(3, 14))) for k in range(30)]
+    labels = [k % 2 for k in range(30)]
+    model = toxicity._Counts(*toxicity.hashed_texts(texts), np.array(labels)).model(least)
+    for probe in texts[:6] + ["good unseen evil", "rare1 rare2 bad bad", "the"]:
+        got = model.comparisons(*toxicity.hashed_texts([probe]))[0, 0]
+        assert math.isclose(got, brute_log_ratio(texts, labels, least, probe), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_a_repeated_labelled_id_takes_one_place(spark):
+    """Half of all rows are one labelled id: the driver still gets one row per sampled id."""
+    rows = [(7, f"hot text number {k}") for k in range(4000)] + [(100 + k, f"word{k % 9} plain text {k}") for k in range(200)]
+    labels = spark.createDataFrame([(7, 1)] + [(100 + k, k % 2) for k in range(200)], "doc_id long, toxic int")
+    sample, total = toxicity.labelled_sample(docs_frame(spark, rows), labels, per_label=50)
+    assert len(sample) == 100 and total == {0: 100, 1: 101}
+    assert sum("hot text" in t for t, _ in sample) <= 1
+    everything, _ = toxicity.labelled_sample(docs_frame(spark, rows), labels, per_label=500)
+    assert len(everything) == 201 and [t for t, _ in everything if "hot" in t] == ["hot text number 0"]
+
+
+def test_long_labelled_texts_are_used_where_there_are_no_others(spark):
+    rnd = random.Random(3)
+    plain = [(k, " ".join(rnd.choices(["sun", "rain", "day"], k=20))) for k in range(20)]
+    toxic = [(100 + k, " ".join(rnd.choices(["scum", "vile", "day"], k=400 + k))) for k in range(20)]
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in plain + toxic], "doc_id long, toxic int")
+    docs = docs_frame(spark, plain + toxic)
+    sample, _ = toxicity.labelled_sample(docs, labels, per_label=30, sample_chars=500)
+    mine = sorted(len(t) for t, y in sample if y == 1)
+    assert sum(y == 0 for _, y in sample) == 20
+    assert mine == sorted(len(t) for _, t in toxic)[:len(mine)] and sum(mine) <= 30 * 500 < sum(mine) + 2 * mine[-1]
+    model = toxicity.fit_toxicity(docs, labels, per_label=30, sample_chars=500)
+    got = {r["row"]["doc_id"]: r["predicted"] for r in toxicity.with_toxicity(docs, model, ["doc_id"]).collect()}
+    assert got == {i: int(i >= 100) for i, _ in plain + toxic}
+
+
 def test_toxicity_awkward_rows(spark):
     docs = docs_frame(spark, awkward())
     nothing = toxicity.fit_toxicity(docs, spark.createDataFrame([(4, 1)], "doc_id long, toxic int"))

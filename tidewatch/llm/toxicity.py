@@ -8,9 +8,16 @@ both have seen of it and says little.  A text's score compares the two
 log-likelihoods, normalised by length; a logistic curve, fitted on sample texts
 that the counts have not seen, turns the comparison into 0 to 1.
 
-The model is fitted on a bounded sample: for each label the ``PER_LABEL``
-labelled rows of lowest id hash, of which those of at most ``SAMPLE_CHARS``
-characters are used.  Every text is scored whole.
+Three of the five comparisons look at words that speak strongly for toxicity alone
+(log ratio above ``STRONG``): their sum per word and per square root of the number of
+words, and the logarithm of the sum, which is not normalised by length.  A few such
+words in a long text would vanish in the whole text's mean.
+
+The model is fitted on a bounded sample of labelled documents, one text per id: for
+each label, ``PER_LABEL`` documents with texts of at most ``SAMPLE_CHARS`` characters,
+in the order of their ids' hashes; where there are fewer, the shortest longer ones
+follow, as long as the label's texts stay below ``PER_LABEL * SAMPLE_CHARS`` characters
+together.  Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -217,23 +224,51 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float] | None
     return model
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, training: Column | None = None, id_col: str = "doc_id",
+                    text_col: str = "text", label_col: str = "toxic", per_label: int = PER_LABEL,
+                    sample_chars: int = SAMPLE_CHARS) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """The bounded sample described above as (text, label), in the order of the ids'
+    hashes, and the number of labelled documents by label.
+
+    The driver receives at most ``per_label`` rows a label.  A document is an id with
+    a text; of an id's several rows the shortest text counts (ties: the smallest).
+    """
+    known = labels if training is None else labels.where(training)
+    known = known.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"))
+    known = known.where("__id IS NOT NULL AND __y IN (0, 1)").groupBy("__id").agg(F.max("__y").alias("__y"))
+    total = {r["__y"]: r["n"] for r in known.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__t")).where(F.col("__t").isNotNull())
+    # the size is settled per id before any row is ranked
+    sizes = texts.select("__id", F.length("__t").alias("__size")).groupBy("__id").agg(F.min("__size").alias("__size"))
+    ranked = known.join(sizes, "__id").withColumn("__h", F.xxhash64("__id")).withColumn(
+        "__over", F.when(F.col("__size") <= sample_chars, 0).otherwise(F.col("__size")))
+    keys = lowest_per_group(ranked, "__y", ["__over", "__h", "__id"], per_label).select("__id", "__y", "__size", "__over", "__h").collect()
+    room = {y: per_label * sample_chars for y in (0, 1)}
+    chosen = []
+    for r in sorted(keys, key=lambda r: (r["__over"], r["__h"], r["__id"])):
+        room[r["__y"]] -= r["__size"]
+        if room[r["__y"]] >= 0:
+            chosen.append((r["__id"], r["__y"], r["__size"]))
+    if not chosen:
+        return [], total
+    kind = known.schema["__id"].dataType.simpleString()
+    asked = docs.sparkSession.createDataFrame(chosen, f"__id {kind}, __y int, __size int")
+    # at most per_label keys a label; one row per id after the aggregate
+    found = texts.join(F.broadcast(asked), "__id").where(F.length("__t") == F.col("__size"))
+    rows = found.groupBy("__id", "__y").agg(F.min("__t").alias("__t")).orderBy(F.xxhash64("__id"), "__id").collect()
+    return [(r["__t"], r["__y"]) for r in rows], total
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column | None = None, id_col: str = "doc_id",
                  text_col: str = "text", label_col: str = "toxic", per_label: int = PER_LABEL,
                  sample_chars: int = SAMPLE_CHARS) -> ToxicityModel | None:
     """Fit on the bounded sample described above.  ``training`` filters labels by
     their id; an id with several labels takes the largest, null labels and ids
     are left out."""
-    known = labels if training is None else labels.where(training)
-    known = known.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"))
-    known = known.where("__id IS NOT NULL AND __y IN (0, 1)").groupBy("__id").agg(F.max("__y").alias("__y"))
-    keys = lowest_per_group(known.withColumn("__h", F.xxhash64("__id")), "__y", ["__h", "__id"], per_label).select("__id", "__y")
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__t")).where(F.length("__t") <= sample_chars)
-    # at most per_label keys a label
-    rows = texts.join(F.broadcast(keys), "__id").orderBy(F.xxhash64("__id"), "__id", "__t").collect()
-    total = {r["__y"]: r["n"] for r in known.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sample, total = labelled_sample(docs, labels, training, id_col, text_col, label_col, per_label, sample_chars)
     if len(total) < 2:
         return None
-    return fit([r["__t"] for r in rows], [r["__y"] for r in rows], (total[0], total[1]))
+    return fit([t for t, _ in sample], [y for _, y in sample], (total[0], total[1]))
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel | None, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -242,7 +277,9 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel | None, keep: list[str],
 
     Defined cases: null and empty texts get the score of a text without words;
     where nothing was learned (not both labels) every score is 0; every row is
-    returned once, whatever its id; an empty table gives an empty result.
+    returned once, whatever its id, and equal texts score alike; texts of any length
+    are scored whole; carried columns may have any name; an empty table gives an
+    empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)      # bounded by the sample
 
