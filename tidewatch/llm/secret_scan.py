@@ -5,8 +5,8 @@ Candidates are runs of at least ``LEAST`` key characters with a digit or a
 known prefix, values assigned to a name that speaks of credentials, and
 private-key blocks.  The forest sees length, character classes and their
 transitions, how much of the candidate is covered by dictionary words, the path
-around it and the words before it, and removes digests, identifiers, numbers,
-file names and the like.
+around it and the words before and after it, and removes digests, identifiers,
+numbers, file names and the like.
 
 It is trained from labelled findings (value, text before, text after, label).
 ``labelled_findings`` makes such findings by rule, from a fixed seed, with the
@@ -62,7 +62,12 @@ _RUN = re.compile(r"[A-Za-z0-9+/_\-]{%d,}={0,2}" % LEAST)
 _ASSIGNED = re.compile(r"(?i)(?:%s)[\"']?[ \t]*[:=][ \t]*[\"']?([^\s\"',;]{6,})" % _NAMES)
 #: Names that no other name is part of.
 _SHORTEST = [w for w in CREDENTIAL_WORDS if not any(v != w and v in w for v in CREDENTIAL_WORDS)]
-_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.{0,20000}?-----END [A-Z ]{0,40}PRIVATE KEY-----", re.S)
+#: From BEGIN to END, however far, but not over another BEGIN; where a block is cut
+#: short, its header lines and the runs of key characters that follow.
+_BLOCK = re.compile(
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:(?:(?!-----BEGIN ).)*?-----END [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:[ \t]*\r?\n[A-Za-z-]+: [^\n]*)*(?:\s*[A-Za-z0-9+/=]{16,})+)", re.S)
 _WORD = re.compile(r"[^\W\d_]+")
 _PARTS = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 _DIGIT = re.compile(r"\d")
@@ -108,10 +113,10 @@ def _kind(c: str) -> int:
 def features(value: str, before: str, after: str, dictionary: frozenset[str]) -> list[float]:
     """The forest's features of one candidate in its context."""
     n = len(value)
-    kinds = [_kind(c) for c in value[:512]]
+    kinds = [_kind(c) for c in value]
     share = [kinds.count(k) / len(kinds) for k in range(4)]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, len(kinds) - 1)
-    counts = Counter(value[:512])
+    counts = Counter(value)
     entropy = -sum(c / len(kinds) * math.log2(c / len(kinds)) for c in counts.values())
     letters = _parts(value)
     known = sum(len(w) for w in letters if len(w) > 2 and w in dictionary) / n
@@ -122,6 +127,7 @@ def features(value: str, before: str, after: str, dictionary: frozenset[str]) ->
     last = " ".join(words[-3:])
     near = tail.rstrip()[-1:]
     lead = tail[tail.rfind("\n") + 1:]
+    following = [w.lower() for w in _WORD.findall(after[:CONTEXT])][:3]
     path = max(value.count("/"), 0) + lead[-12:].count("/") + after[:4].count("/")
     return [
         min(n, 400), float(n % 8 == 0), *share, changes, entropy, entropy / math.log2(max(2, n)), known, longest / n, vowels,
@@ -131,6 +137,7 @@ def features(value: str, before: str, after: str, dictionary: frozenset[str]) ->
         float(any(w in last.split() for w in OTHER_WORDS)), float(near in ("=", ":") or lead.rstrip().endswith(("=\"", "='", ": \"", "= \""))),
         float(near in ("\"", "'")), float(path), float("." in (before[-1:] + after[:1])), float(value.startswith("-----BEGIN")),
         max(counts.values()) / len(kinds), float("-" in value or "_" in value),
+        float(any(w in CREDENTIAL_WORDS for w in following)), float(any(w in OTHER_WORDS for w in following)),
     ]
 
 
@@ -210,9 +217,14 @@ def labelled_findings(words: list[str], count: int = 3000, seed: int = 11) -> li
         return draw(hexa, 32, 64), some(1) + " "
 
     out = []
+    told = np.random.default_rng(seed + 1)
     for k in range(count):
         value, lead = secret() if k % 2 == 0 else ordinary()
-        out.append((value, some(8) + " " + lead, pick(['" ', " ", "\n", "; ", ". "]) + some(3), int(k % 2 == 0)))
+        after = pick(['" ', " ", "\n", "; ", ". "]) + some(3)
+        if told.integers(8) == 0:           # a word behind the finding says what it is
+            names = CREDENTIAL_WORDS[:4] if k % 2 == 0 else OTHER_WORDS[:8]
+            after = f' {["is the", "as", "("][told.integers(3)]} {names[told.integers(len(names))]} ' + after.strip()
+        out.append((value, some(8) + " " + lead, after, int(k % 2 == 0)))
     return out
 
 
@@ -327,7 +339,10 @@ def with_secrets(docs: DataFrame, model: SecretModel, keep: list[str], text_col:
     masked, null where there is none) and ``redacted_sha256`` of it.
 
     Defined cases: null and empty texts have no candidates; every other row is
-    returned once, whatever its id; an empty table gives an empty result.
+    returned once, whatever its id, and equal texts give equal findings; texts and
+    candidates of any length are read whole; candidates that overlap count once (the
+    first, then the longest); carried columns may have any name; an empty table gives
+    an empty result.
     """
     spark = ready(docs.sparkSession)
     shared = spark.sparkContext.broadcast(SecretModel(model.forest, model.dictionary))      # bounded by trees, depth and findings
