@@ -80,15 +80,20 @@ def fold(column: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % folds
 
 
-def lowest_per_group(rows: DataFrame, group: str, order: list[str], n: int, salts: int = 16) -> DataFrame:
+#: Tasks that rank a group, level by level: each passes on at most ``n`` rows, so no
+#: task ranks more than ``n`` rows for every 64 of the level before (or, at first, for
+#: every 4096th input partition).
+LEVELS = (4096, 64)
+
+
+def lowest_per_group(rows: DataFrame, group: str, order: list[str], n: int, levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """The ``n`` rows of lowest ``order`` in each group: first within each input
-    partition (Spark limits a rank before it shuffles), then within salts of
-    them, so that a hot group is not ranked in a single task."""
-    salted = Window.partitionBy(group, "__salt").orderBy(*order)
-    final = Window.partitionBy(group).orderBy(*order)
-    few = rows.withColumn("__salt", F.spark_partition_id() % salts)
-    for window in (salted, final):
-        few = few.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= n).drop("__n")
+    partition (Spark limits a rank before it shuffles), then within fewer and fewer
+    sets of partitions, so that a hot group is not ranked in a single task."""
+    few = rows.withColumn("__salt", F.spark_partition_id())
+    for keys in [(group, F.col("__salt") % salts) for salts in levels] + [(group,)]:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        few = few.withColumn("__rank", F.row_number().over(window)).where(F.col("__rank") <= n).drop("__rank")
     return few.drop("__salt")
 
 
