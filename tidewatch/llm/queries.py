@@ -168,6 +168,28 @@ ORACLE_SQL = {
                d.doc_id = s.keep_id AS kept, sha256(d.body) AS text_sha256
         FROM d JOIN s USING (body)
     """,
+    "op4_near_dedup": r"""
+        WITH RECURSIVE t AS (
+          SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+          FROM documents),
+        s AS (
+          SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+          FROM t),
+        u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        p AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS met, any_value(a.n) AS m, any_value(b.n) AS n
+          FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM p WHERE 100 * met >= 85 * (m + n - met)),
+        e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+        c AS (
+          SELECT doc_id, doc_id AS reached FROM s
+          UNION SELECT c.doc_id, e.y FROM c JOIN e ON e.x = c.reached),
+        m AS (SELECT doc_id, min(reached) AS component_id FROM c GROUP BY doc_id)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM s JOIN m USING (doc_id)
+    """,
     "op8_warc": """
         WITH p AS (
           SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
