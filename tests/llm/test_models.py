@@ -236,7 +236,7 @@ def test_model_is_a_distribution_and_beats_the_base(spark):
         rows.append((i, " ".join(chain[(at + k) % 4] for k in range(rnd.randint(5, 40)))))
     docs = docs_frame(spark, rows)
     model, counts = language_model.fit_language_model(docs, fold("doc_id", 7) != 2)
-    slots = np.random.default_rng(1).integers(0, language_model.SLOTS, (50, language_model.FEATURES))
+    slots = np.random.default_rng(1).integers(0, model.frequent.slots, (50, language_model.FEATURES))
     every = [language_model.class_scores(model.weights, model.bias, slots, np.full(50, k)) for k in range(language_model.CLASSES)]
     assert np.allclose(np.exp(every).sum(axis=0), 1, atol=1e-4)
     inside = {}
@@ -248,40 +248,107 @@ def test_model_is_a_distribution_and_beats_the_base(spark):
     assert held[0] > 0.6 * held[1]                       # log probabilities: nearer to 0
 
 
-def test_every_training_token_is_stepped_on_once(spark, monkeypatch):
-    """Also where copies of one text are most of the rows: each round gets its share of them."""
+def brute_scores(rows, training):
+    """The whole model by dictionaries and loops: counts, start weights, one gradient round, scores."""
+    lm = language_model
+    cut = lambda t: (t or "").encode().lower().split()
+    texts = [cut(t) for i, t in rows if training(i)]
+    counts = Counter(w for t in texts for w in t)
+
+    def named(w):
+        data, offsets = text_buffer(pa.array([w.decode()]))
+        h, starts, ends = word_hashes(data, offsets)
+        return int(h.view(np.int64)[0]), int(lm.tail_class(data, starts, ends)[0])
+
+    names = {w: named(w) for t in [t for _, t in rows] for w in cut(t)}
+    n = sum(counts.values()) + len(texts)
+    bits, context = lm.sizes(n)
+    order = sorted(counts, key=lambda w: (-counts[w], names[w][0]))[:context]
+    rank = {w: k for k, w in enumerate(order)}
+    kind = lambda w: 0 if w is None else 1 + rank[w] if rank.get(w, lm.HEAD) < lm.HEAD else names[w][1]
+    unit = lambda w: rank.get(w, context + names[w][1])
+    edge = context + lm.CLASSES
+
+    def tokens(words):
+        """(class, slots) of every token; the end is None."""
+        before = [edge] * 3
+        for w in [*words, None]:
+            one, two, three = before[-1], before[-2], before[-3]
+            values = (one, two, three, (one << 32) + two + (1 << 60))
+            yield kind(w), [(v * pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) % (1 << 64)) >> (64 - bits) for k, v in enumerate(values)]
+            before.append(unit(w) if w is not None else edge)
+
+    inside, kinds = Counter(), Counter()
+    for w, c in counts.items():
+        inside[kind(w)] += c
+        kinds[kind(w)] += 1
+    inside[0], kinds[0] = len(texts), int(bool(texts))
+    share = np.array([(inside[c] + 1) / (n + lm.CLASSES) for c in range(lm.CLASSES)])
+    seen = {}
+    for t in texts:
+        for c, slots in tokens(t):
+            for s in slots:
+                seen.setdefault(s, np.zeros(lm.CLASSES))[c] += 1
+    start = {s: (np.log((v + 20 * share) / (v.sum() + 20)) - np.log(share)) * 1.5 / 4 for s, v in seen.items()}
+
+    def probabilities(weights, slots):
+        z = np.exp(np.log(share) + sum(weights.get(s, np.zeros(lm.CLASSES)) for s in slots))
+        return z / z.sum()
+
+    expected = {s: np.zeros(lm.CLASSES) for s in seen}
+    for t in texts:
+        for _, slots in tokens(t):
+            p = probabilities(start, slots)
+            for s in slots:
+                expected[s] += p
+    weights = {}
+    for s, v in seen.items():
+        e = expected[s]
+        weights[s] = start[s] + np.clip(lm.RATE * (v - e) / (e * (1 - e / v.sum()) + 20 * share) / 4, -lm.STEP, lm.STEP)
+    out = []
+    for i, t in rows:
+        total = 0.0
+        for w, (c, slots) in zip([*cut(t), None], tokens(cut(t))):
+            total += math.log10(probabilities(weights, slots)[c])
+            if c > lm.HEAD:
+                total += math.log10((counts[w] + 1) / (inside[c] + kinds[c] + 1))
+        out.append((i, total, len(cut(t)) + 1))
+    return out
+
+
+def test_scores_equal_brute_force_however_rows_are_partitioned(spark):
     rnd = random.Random(12)
-    rows = awkward() + [(100 + i, "the hot text " * 20) for i in range(60)] + [(200 + i, " ".join(words(rnd, rnd.randint(1, 60)))) for i in range(30)]
-    rounds, summed = [], language_model.summed
+    rows = awkward() + [(100 + i, "the hot text " * 20) for i in range(20)] + [(200 + i, " ".join(words(rnd, rnd.randint(1, 60), "abcd"))) for i in range(60)]
+    crc = __import__("zlib").crc32
+    want = brute_scores(rows, lambda i: crc(("" if i is None else str(i)).encode()) % 7 != 2)
+    for parts in (1, 16):
+        docs = docs_frame(spark, rows).repartition(parts)
+        got = language_model.language_model_scores(docs, fold("doc_id", 7) != 2).collect()
+        assert len(got) == len(want)
+        key = lambda r: (r[0] is None, r[0] or 0, r[2], r[1])
+        for (i, s, n), (j, v, m) in zip(sorted(((r.doc_id, r.score, r.n_tokens) for r in got), key=key), sorted(want, key=key)):
+            assert (i, n) == (j, m) and abs(s - v) < 1e-4 * n
 
-    def spied(table, width, parts):
-        out = summed(table, width, parts)
-        if width == language_model.CLASSES + 1:
-            rounds.append(out[:, -1].sum() / language_model.FEATURES)
-        return out
 
-    monkeypatch.setattr(language_model, "summed", spied)
-    docs = docs_frame(spark, rows).repartition(3)
-    model, _ = language_model.fit_language_model(docs, fold("doc_id", 7) != 2)
-    assert len(rounds) == language_model.ROUNDS and sum(rounds) == model.tokens
-    rounds.clear()
-    hot, _ = language_model.fit_language_model(docs.where("doc_id BETWEEN 100 AND 159"))
-    assert sum(rounds) == hot.tokens and min(rounds) > 0.2 * hot.tokens
+def test_model_grows_with_the_training_tokens():
+    assert language_model.sizes(1000) == (13, 4096)
+    assert language_model.sizes(115_000_000) == (15, 8192)
+    assert language_model.sizes(7_000_000_000) == (18, 65_536)
+    many = np.unique(np.random.default_rng(2).integers(0, 1 << 63, 200_000).astype(np.uint64))
+    frequent = language_model.Vocabulary(many, 18, 1 << 18)
+    assert (frequent.rank(many) == np.arange(len(many))).all() and (frequent.rank(many + np.uint64(1 << 63)) == 1 << 18).all()
 
 
 def test_contexts_end_at_a_text(spark):
-    """A token's features do not depend on the texts before its own, and a picked
-    share of the tokens has the features that all of them have."""
+    """A token's features do not depend on the texts before its own."""
     rnd = random.Random(3)
     texts = [" ".join(words(rnd, rnd.randint(0, 9), "ab")) for _ in range(30)]
     h = np.unique(word_hashes(*text_buffer(pa.array(texts)))[0])[:50]
     frequent = language_model.Vocabulary(h)
-    assert (frequent.rank(h) == np.arange(len(h))).all() and (frequent.rank(h + np.uint64(1)) == language_model.CONTEXT_WORDS).all()
+    assert (frequent.rank(h) == np.arange(len(h))).all() and (frequent.rank(h + np.uint64(1)) == frequent.words).all()
     whole = language_model.read_tokens(*text_buffer(pa.array(texts)), frequent)
     alone = [language_model.read_tokens(*text_buffer(pa.array([t])), frequent) for t in texts]
     assert (whole[3] == np.concatenate([a[3] for a in alone])).all() and (whole[2] == np.concatenate([a[2] for a in alone])).all()
-    part = language_model.read_tokens(*text_buffer(pa.array(texts)), frequent, (3, 8))
-    assert (part[3] == whole[3][3::8]).all() and (part[2] == whole[2][3::8]).all()
 
 
 def test_language_model_without_training_rows(spark):
