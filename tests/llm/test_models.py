@@ -47,6 +47,50 @@ def test_kernel_equals_its_definition():
     assert abs(float(rows[0] @ rows[0]) - 1) < 1e-6
 
 
+def test_scores_equal_exact_kernel_ridge_regression():
+    """With every sample text a landmark, the Nyström scores are those of kernel ridge
+    regression with the kernel of its definition (shared n-gram slots, by sets)."""
+    rnd = random.Random(4)
+    texts = [" ".join(words(rnd, rnd.randint(2, 12), a)) for a in ("abcd", "cdef", "efgh") for _ in range(14)]
+    labels = [x for x in ("xx", "yy", "zz") for _ in range(14)][:40]
+    texts = texts[:40]
+
+    def grams(t):
+        b = t.lower().encode()
+        out = []
+        for n, slots in enumerate(language_id.SLOTS, 1):
+            codes = (int.from_bytes(b[i:i + n], "big") for i in range(len(b) - n + 1))
+            out.append({c if n == 1 else (c * 0x9E3779B1 % (1 << 32)) >> (32 - slots.bit_length() + 1) for c in codes})
+        return out
+
+    def kernel(a, b):
+        parts = [len(x & y) / math.sqrt(max(1, len(x)) * max(1, len(y))) for x, y in zip(a, b)]
+        return sum(parts) / len(parts)
+
+    sets = [grams(t) for t in texts]
+    gram = np.array([[kernel(a, b) for b in sets] for a in sets])
+    names = sorted(set(labels))
+    target = np.array([[1.0 if x == n else -1.0 for n in names] for x in labels])
+    weight = np.array([1 / labels.count(x) for x in labels])
+    # the ridge is a share of the mean eigenvalue of the weighted second moments
+    trace = (weight * np.diag(gram)).sum()
+    rank = int((np.linalg.eigvalsh(gram) > 1e-6 * np.linalg.eigvalsh(gram)[-1]).sum())
+    exact = np.linalg.solve(gram + language_id.RIDGE * trace / rank * np.diag(1 / weight), target)
+    model = language_id.fit(texts, labels, landmarks=len(texts))
+    probes = texts[:5] + [" ".join(words(rnd, 8, "defg")) for _ in range(10)] + ["q"]
+    want = np.array([[kernel(grams(p), s) for s in sets] for p in probes]) @ exact
+    assert np.allclose(model.scores([p.encode() for p in probes]), want, atol=2e-3)
+
+
+def test_language_accuracy_by_length(spark):
+    """Held-out texts are told apart at every length."""
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang", F.length("text").alias("n"))
+    got = queries.op9_language_id(spark, SF_ORACLE).join(docs, "doc_id").where("held_out AND lang IS NOT NULL AND lang_pred <> 'und'").collect()
+    for low, high in ((0, 300), (300, 1500), (1500, 6000), (6000, 1 << 30)):
+        some = [r.lang == r.lang_pred for r in got if low <= r.n < high]
+        assert not some or sum(some) >= 0.95 * len(some), (low, high, sum(some), len(some))
+
+
 def test_language_held_out_accuracy(spark):
     got = queries.op9_language_id(spark, SF_ORACLE).join(spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = got.where("held_out")

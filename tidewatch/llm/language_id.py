@@ -118,7 +118,11 @@ def with_language(docs: DataFrame, model: LanguageModel | None, keep: list[str],
     """``row`` (the columns in ``keep``), ``lang_pred`` and ``score`` (0 to 1).
 
     Defined cases: a null text, or one without a letter, is ``und`` with score
-    0; so is every text if nothing was learned (no labelled row).
+    0; so is every text if nothing was learned (no labelled row).  Of languages that
+    score alike the first by name is taken; equal texts get equal results, one per
+    row; texts of any length are scored whole (in a very long one most n-grams are
+    present, so the kernel tells less); carried columns may have any name; an empty
+    table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)      # slots x landmarks, fixed size
 

@@ -168,7 +168,9 @@ def with_pieces(docs: DataFrame, model_file: str, keep: list[str], text_col: str
 
     ``model_file`` is read on every executor.  Defined cases: null and empty
     texts have no pieces and score 0; every row is returned once, whatever its
-    id; an empty table gives an empty result.
+    id, and equal texts give equal pieces; of segmentations that score alike the
+    one whose last piece is shorter is taken; texts of any length are coded
+    whole; carried columns may have any name; an empty table gives an empty result.
     """
     def make():
         pieces = _fresh(model_file)()
