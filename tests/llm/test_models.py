@@ -24,6 +24,16 @@ def test_word_hashes_follow_the_word_rule():
     assert len({(w, x) for w, x in zip(want, h.tolist())}) == len(set(want))
 
 
+def test_words_whose_differences_cancel_have_hashes_of_their_own():
+    """Thue-Morse words and their complements, on which polynomials of single bytes
+    agree modulo 2**64 for any odd base."""
+    for n in (10, 11, 12):
+        bits = [bin(k).count("1") % 2 for k in range(1 << n)]
+        pair = ["".join("ab"[b] for b in bits), "".join("ab"[1 - b] for b in bits)]
+        h, _, _ = word_hashes(*text_buffer(pa.array(pair)))
+        assert len(set(h.tolist())) == 2
+
+
 def test_word_hashes_over_window_edges(monkeypatch):
     from tidewatch.llm import common
     rnd = random.Random(1)

@@ -31,11 +31,11 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Mask of white space and ASCII punctuation.
 PUNCTUATION = _SPACE.copy()
 PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
-#: A byte's digit in the polynomial: its value plus one, with A-Z as a-z.
-_PLAIN = np.arange(1, 257, dtype=np.uint64)
-_LOWER = _PLAIN.copy()
-_LOWER[65:91] += np.uint64(32)
+#: Bytes with A-Z as a-z.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += np.uint8(32)
 _powers = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+_digits: list[np.ndarray] = []
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -134,6 +134,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def _pair_digits() -> np.ndarray:
+    """The digit of a byte (low) after another (high; 0 at the start of a word)."""
+    if not _digits:
+        _digits.append(mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * _BASE) | np.uint64(1))
+    return _digits[0]
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash every word of the joined texts.
 
@@ -160,12 +167,18 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, break
     while i < len(starts):
         begin = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, begin + WINDOW_BYTES, side="right")))
-        digits = (_LOWER if lower else _PLAIN)[data[begin:ends[j - 1]]]
+        plain = data[begin:ends[j - 1]]
+        if lower:
+            plain = _LOWER[plain]
+        s, e = starts[i:j] - begin, ends[i:j] - begin
+        pairs = plain.astype(np.uint16)
+        pairs[1:] |= plain[:-1].astype(np.uint16) << np.uint16(8)
+        pairs[s] = plain[s]
+        digits = _pair_digits()[pairs]
         up, down = _power_tables(len(digits) + 1)
         digits *= up[:-1]
         sums = np.zeros(len(digits) + 1, np.uint64)
         np.cumsum(digits, out=sums[1:])
-        s, e = starts[i:j] - begin, ends[i:j] - begin
         out[i:j] = (sums[e] - sums[s]) * down[s]
         i = j
     return mix(out), starts, ends
