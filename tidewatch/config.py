@@ -101,6 +101,7 @@ class EventProfile:
     window_slide: str = "10 minutes"
     streak_limit: int = 3
     route_marker: str = "sign"
+    lateness: str = "3 hours"
 
 
 EVENTS = EventProfile()

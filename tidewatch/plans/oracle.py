@@ -74,6 +74,15 @@ latest AS (
   FROM upserts ORDER BY start_ms DESC, counts DESC, device_id ASC LIMIT 1
 )"""
 
+#: Where the table is cut into two batches, and what late readings make of them.
+MIDDLE = "m AS (SELECT (min(event_id) + max(event_id)) // 2 AS middle FROM events)"
+ARRIVALS = f"""{READINGS}, {MIDDLE},
+t0 AS (SELECT r.*, CASE WHEN seq < middle AND seq % 10 <> 3 THEN 0 ELSE 1 END AS turn FROM r, m),
+c AS (
+  SELECT max(us) FILTER (WHERE turn = 0) - {_ms(P.lateness) * 1000} AS closed, max(us) - {_ms(P.lateness) * 1000} AS closed_later FROM t0
+),
+a AS (SELECT t0.*, turn = 1 AND us // {SLIDE_US} * {SLIDE_US} + {SIZE_MS * 1000} <= c.closed AS late FROM t0, c)"""
+
 HIST = f"""hist AS (
   SELECT {BIN} AS bin, count(*) AS cnt FROM events
   WHERE event_type = '{P.temperature}' AND value IS NOT NULL GROUP BY 1
@@ -254,4 +263,39 @@ FROM events""",
     "upsert_final_state": """SELECT CAST(user_id AS VARCHAR) AS device_id, arg_max(value, event_id) AS value,
        max(event_id) AS seq
 FROM events GROUP BY 1""",
+    "changelog_resumed": f"""WITH {READINGS}, {MIDDLE},
+        b AS (
+          SELECT seq, {BIN} AS bin, CAST(row_number() OVER (PARTITION BY {BIN} ORDER BY ts_ms, seq) AS BIGINT) AS cnt
+          FROM r WHERE dataset_id = '{P.temperature}' AND value IS NOT NULL)
+        SELECT seq, bin, cnt FROM b, m WHERE seq >= middle""",
+    "streaks_resumed": f"""WITH {STREAKS}, {MIDDLE}
+        SELECT device_id, start_ms, CAST(cnt AS BIGINT) AS counts, ts_ms FROM h, m WHERE cnt >= {P.streak_limit} AND seq >= middle""",
+    "late_readings": f"WITH {ARRIVALS} SELECT seq, device_id, dataset_id, ts_ms, value FROM a WHERE late",
+    "closed_windows": f"""WITH {ARRIVALS},
+        x AS (SELECT dataset_id, us, value, turn, unnest(range({N_WIN})) AS k FROM a WHERE NOT late),
+        y AS (SELECT dataset_id, (us // {SLIDE_US} - k) * {SLIDE_US} AS s_us, value, turn FROM x),
+        z AS (SELECT y.* FROM y, c WHERE turn = 0 OR s_us + {SIZE_MS * 1000} > c.closed)
+        SELECT dataset_id, s_us // 1000 AS win_start_ms, s_us // 1000 + {SIZE_MS} AS win_end_ms,
+               strftime(make_timestamp(s_us), {FMT}) AS winstart,
+               max(value) AS max_value, min(value) AS min_value, count(*) AS n
+        FROM z, c WHERE s_us + {SIZE_MS * 1000} > c.closed AND s_us + {SIZE_MS * 1000} <= c.closed_later
+        GROUP BY dataset_id, s_us""",
+    "maintained_windows": f"""WITH {EXTREMES}
+        SELECT dataset_id, winstart, max_value AS value, CAST(rn AS BIGINT) AS rn FROM (
+          SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY s_us DESC) AS rn FROM ext) WHERE rn <= 5""",
+    "lines_round_trip": f"""WITH {READINGS}
+        SELECT 'dev-1' AS device_id, dataset_id, ts_ms, value FROM r
+        WHERE dataset_id IN ({", ".join(repr(x) for x in P.allow)}) AND value IS NOT NULL""",
+    "archive_round_trip": f"""WITH {READINGS}
+        SELECT strftime(make_timestamp(us), '%Y%m%d') AS day, strftime(make_timestamp(us), '%H') AS hour,
+               device_id || ',' || dataset_id || ',' || ts_ms || ',' || value AS value FROM r""",
+    "upsert_table": f"""WITH {READINGS}
+        SELECT device_id, arg_max(value, seq) AS value, max(seq) AS seq FROM r GROUP BY device_id""",
+    "append_table": f"""WITH {READINGS}, {MIDDLE},
+        x AS (SELECT dataset_id, us, value, CAST(seq >= middle AS BIGINT) AS batch, unnest(range({N_WIN})) AS k FROM r, m),
+        y AS (SELECT dataset_id, (us // {SLIDE_US} - k) * {SLIDE_US} AS s_us, value, batch FROM x)
+        SELECT dataset_id, s_us // 1000 AS win_start_ms, s_us // 1000 + {SIZE_MS} AS win_end_ms,
+               strftime(make_timestamp(s_us), {FMT}) AS winstart,
+               max(value) AS max_value, min(value) AS min_value, count(*) AS n, batch
+        FROM y GROUP BY dataset_id, s_us, batch""",
 }

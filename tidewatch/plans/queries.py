@@ -10,6 +10,7 @@ they compare exactly across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,15 @@ from tidewatch.functions.text import to_line
 from tidewatch.functions.timefmt import format_winstart, to_ts, ts_to_ms
 from tidewatch.operators import cleaning, dedup, histogram as hist_ops, responses, serving, windows
 from tidewatch.plans import pipelines
-from tidewatch.sinks.archive import archive_columns
+from tidewatch.session import state_path
+from tidewatch.sinks.append import append_batch, read_appended
+from tidewatch.sinks.archive import archive_columns, read_archive, write_archive
+from tidewatch.sinks.outputs import write_lines
+from tidewatch.sinks.upsert import read_table, upsert
+from tidewatch.sources.files import text_source
 from tidewatch.sources.tables import load_table, readings
+from tidewatch.streaming import maintained, partials
+from tidewatch.streaming.streaks import advance_batch
 
 P = EVENTS
 
@@ -184,6 +192,100 @@ def q_upsert_final_state(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.latest_per_device(readings(spark, sf)).select("device_id", "value", "seq")
 
 
+# -- micro-batches: what streams do with carried results, over the whole table in two batches ----------
+
+def _two_batches(spark: SparkSession, sf: str, delayed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """All readings in order of arrival, cut in the middle; ``delayed``: every tenth
+    of the first batch arrives with the second."""
+    r = readings(spark, sf)
+    low, high = r.agg(F.min("seq"), F.max("seq")).first()
+    first = F.col("seq") < F.lit(((low or 0) + (high or 0)) // 2)
+    if delayed:
+        first = first & (F.col("seq") % 10 != 3)
+    return r.where(first), r.where(~first)
+
+
+def q_changelog_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The second batch's changelog, going on from the first batch's counts."""
+    bins = (P.bin_start, P.bin_step, P.bin_count)
+    before, after = (cleaning.only_dataset(b, P.temperature) for b in _two_batches(spark, sf))
+    return partials.changelog(after, hist_ops.histogram(before, *bins), *bins).select("seq", "bin", "cnt")
+
+
+def q_streaks_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The second batch's streak alerts, going on from the devices' runs after the first."""
+    before, after = (cleaning.only_dataset(b, P.temperature) for b in _two_batches(spark, sf))
+    _, runs = advance_batch(before, None)
+    counted, _ = advance_batch(after, runs)
+    return counted.where(F.col("counts") >= P.streak_limit).select("device_id", "start_ms", "counts", "ts_ms")
+
+
+def _second_step(spark: SparkSession, sf: str, mode: str) -> partials.WindowStep:
+    before, after = _two_batches(spark, sf, delayed=True)
+    none = spark.createDataFrame([], partials.PANE_STATE)
+    step = partials.advance_windows(before, none, partials.NO_WATERMARK, P.window_size, P.window_slide, P.lateness, mode)
+    return partials.advance_windows(after, step.panes, step.watermark_us, P.window_size, P.window_slide, P.lateness, mode)
+
+
+def q_late_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings of the second batch all of whose windows were closed after the first."""
+    return _second_step(spark, sf, "append").late.select("seq", "device_id", "dataset_id", "ts_ms", "value")
+
+
+def q_closed_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """The windows that the second batch closes, late readings left out."""
+    return _extremes_out(_second_step(spark, sf, "append").results)
+
+
+def q_maintained_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest windows of each dataset, kept over two batches of changed windows."""
+    before, after = _two_batches(spark, sf)
+    none = spark.createDataFrame([], maintained.WINDOW_ROWS)
+    kept = maintained.newest_windows(none, pipelines.extremes(before, P), 5)
+    changed = windows.sliding_extremes(before.unionByName(after), P.window_size, P.window_slide)
+    kept = maintained.newest_windows(kept, changed, 5)
+    return serving.latest_windows(kept, 5).select("dataset_id", "winstart", "value", "rn")
+
+
+# -- sources and sinks: written below the shared checkpoint folder and read back ------------------------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return state_path(spark, "queries", f"{name}-{uuid.uuid4().hex}")
+
+
+def q_lines_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings written as lines, read as text and parsed again; the device comes from the request."""
+    path = _scratch(spark, "lines")
+    write_lines(readings(spark, sf), path)
+    back = cleaning.lines_to_readings(text_source(spark, path), P.deny, P.allow)
+    return cleaning.with_device_id(back, "dev-1").select("device_id", "dataset_id", "ts_ms", "value")
+
+
+def q_archive_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines archived by their own hour and read back."""
+    path = _scratch(spark, "archive")
+    write_archive(pipelines.event_lines(spark, sf, with_ts=True), path, time_col="ts")
+    return read_archive(spark, path).select("day", "hour", "value")
+
+
+def q_upsert_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest reading of each device as the upsert sink holds it after two batches,
+    the second applied twice."""
+    path = _scratch(spark, "upsert")
+    before, after = (b.select("device_id", "value", "seq") for b in _two_batches(spark, sf))
+    for batch_id, batch in ((0, before), (1, after), (1, after)):
+        upsert(spark, path, batch, batch_id, ["device_id"], order="seq")
+    return read_table(spark, path, "device_id string, value double, seq bigint")
+
+
+def q_append_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows appended by batch id, one batch replayed, and read back."""
+    path = _scratch(spark, "append")
+    for batch_id, batch in ((0, 0), (1, 1), (1, 1)):
+        append_batch(_extremes_out(pipelines.extremes(_two_batches(spark, sf)[batch], P)), batch_id, path)
+    return read_appended(spark, path).withColumn("batch", F.col("batch").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sliding_extremes": q_sliding_extremes,
     "salted_extremes": q_salted_extremes,
@@ -211,4 +313,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "uniform_noise": q_uniform_noise,
     "gaussian_noise": q_gaussian_noise,
     "upsert_final_state": q_upsert_final_state,
+    "changelog_resumed": q_changelog_resumed,
+    "streaks_resumed": q_streaks_resumed,
+    "late_readings": q_late_readings,
+    "closed_windows": q_closed_windows,
+    "maintained_windows": q_maintained_windows,
+    "lines_round_trip": q_lines_round_trip,
+    "archive_round_trip": q_archive_round_trip,
+    "upsert_table": q_upsert_table,
+    "append_table": q_append_table,
 }
