@@ -7,7 +7,9 @@ from fixtures import awkward, docs_frame, with_clashes, words
 import corpus_pipeline
 from conftest import SF_ORACLE, SF_SMALL
 from oracle_check import compare, duck
-from tidewatch.llm import queries, secret_scan
+from pyspark.sql import functions as F
+
+from tidewatch.llm import common, language_model, queries, secret_scan
 from tidewatch.llm.forest import train_forest
 
 
@@ -138,6 +140,46 @@ def test_the_dictionary_is_counted_over_all_documents(spark):
         assert tables[0] == tables[1] and len(tables[0]) == odd.count()
 
 
+def hot_rows():
+    rnd = random.Random(8)
+    plain = [(100 + i, " ".join(words(rnd, 12)) + (" password=b7db7aa4a5fcc78305 x" if i % 5 == 0 else "")) for i in range(1200)]
+    return plain + [(7, "the hot row with token = \"f33e61083db5dbdf4bd2369d2f80176e57f7fda2\" in it")] * 1500 + [(None, f"text {i}") for i in range(1100)] + [
+        (7, "another text")] * 3
+
+
+def test_hot_repeated_rows_stand_once_and_come_back(spark):
+    """Rows that make up more than a third of the table are collapsed before rows are dealt out, others are not."""
+    rows = hot_rows()
+    docs = docs_frame(spark, rows, "en").withColumn("source", F.lit("s")).repartition(4)
+    once = common.collapse_hot(docs, "doc_id", docs.columns)
+    counts = {r["doc_id"]: r["__copies"] for r in once.where("__copies > 1").collect()}
+    assert counts == {7: 3} or counts == {7: 1500}
+    assert once.count() == len(rows) - 1499 - 2
+    back = common.expand_copies(once)
+    assert back.columns == docs.columns and sorted(map(repr, back.collect())) == sorted(map(repr, docs.collect()))
+    big = common.expand_copies(spark.createDataFrame([(1, 150_000), (2, 1)], "k int, __copies long"))
+    assert {r["k"]: r["count"] for r in big.groupBy("k").count().collect()} == {1: 150_000, 2: 1}
+    assert common.collapse_hot(docs.limit(0), "doc_id", docs.columns).count() == 0
+
+
+def test_hot_repeated_rows_are_scanned_once(spark, monkeypatch):
+    """The largest chunk of the secret scan and of the language model stays near the others."""
+    monkeypatch.setattr(secret_scan, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(language_model, "CHUNK_BYTES", 20_000)
+    rows = hot_rows()
+    docs = docs_frame(spark, rows, "en").withColumn("source", F.lit("s"))
+    sizes = []
+    monkeypatch.setattr(secret_scan, "_scan_chunk", lambda *a, f=secret_scan._scan_chunk: sizes.append(a) or f(*a))
+    got = secret_scan.with_secrets(docs, secret_scan.fit_secrets(docs), ["doc_id"]).select("row.doc_id", F.size("secrets").alias("n")).collect()
+    assert len(got) == len(rows) and sizes
+    assert sum(r.n for r in got if r.doc_id == 7) == 1500 and sum(r.n for r in got if r.doc_id is None) == 0
+    scores = language_model.language_model_scores(docs).collect()
+    assert len(scores) == len(rows) and len({r.score for r in scores if r.doc_id == 7}) == 2
+    once = common.collapse_hot(docs.select("doc_id", "text"), "doc_id", ["doc_id", "text"])
+    chunks = once.groupBy(F.pmod(F.xxhash64("doc_id", "text"), F.lit(8))).count().collect()
+    assert max(r["count"] for r in chunks) < 2 * once.count() / 8
+
+
 # -- pipeline -----------------------------------------------------------------
 
 def test_pipeline_stages_on_awkward_rows(spark, tmp_dir):

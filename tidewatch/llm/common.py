@@ -80,6 +80,40 @@ def fold(column: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % folds
 
 
+#: Ids that are looked at as hot, at most, and copies that a hot row has at least.
+HOT_IDS, LEAST_COPIES = 10_000, 1000
+#: Copies that one step writes out.
+_PIECE = 1 << 16
+
+
+def collapse_hot(rows: DataFrame, row_id: str, columns: list[str]) -> DataFrame:
+    """``rows`` with ``__copies``: a row that repeats very often (equal in
+    ``columns``, of which ``row_id`` is one) stands once with the number of its
+    copies, all others stand as they are with 1.
+
+    Copies of a row hash alike, so dealing rows out by hash would put them all in one
+    task.  Ids on more than ``LEAST_COPIES`` rows and more than one row in
+    ``HOT_IDS`` are at most ``HOT_IDS`` many; only their rows are compared.
+    """
+    least = max(LEAST_COPIES, rows.count() // HOT_IDS)
+    ids = rows.groupBy(F.col(f"`{row_id}`").alias("__id")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > least).select("__id")
+    ids = materialise(rows.sparkSession, ids, "hot-ids")                 # at most HOT_IDS rows
+    if ids.isEmpty():
+        return rows.withColumn("__copies", F.lit(1).cast("long"))
+    hot = ids.select("__id", F.lit(True).alias("__hot"))
+    marked = rows.join(F.broadcast(hot), F.col(f"`{row_id}`").eqNullSafe(F.col("__id")), "left").drop("__id")
+    cold = marked.where(F.col("__hot").isNull()).drop("__hot").withColumn("__copies", F.lit(1).cast("long"))
+    counted = marked.where(F.col("__hot")).drop("__hot").groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    return cold.unionByName(counted.select(*[F.col(f"`{c}`") for c in rows.columns], "__copies"))
+
+
+def expand_copies(rows: DataFrame) -> DataFrame:
+    """Each row as often as ``__copies`` says, some at a time."""
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1, F.lit(_PIECE).cast("long"))).alias("__from")
+    size = F.least(F.lit(_PIECE).cast("long"), F.col("__copies") - F.col("__from")).cast("int")
+    return rows.select("*", first).select("*", F.explode(F.sequence(F.lit(1), size)).alias("__copy")).drop("__copies", "__from", "__copy")
+
+
 #: Tasks that rank a group, level by level: each passes on at most ``n`` rows, so no
 #: task ranks more than ``n`` rows for every 64 of the level before (or, at first, for
 #: every 4096th input partition).

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import lowest_per_group, materialise, mix, ready, slices, text_buffer, word_hashes, words_per_text
+from tidewatch.llm.common import collapse_hot, expand_copies, lowest_per_group, materialise, mix, ready, slices, text_buffer, word_hashes, words_per_text
 
 HEAD, TAILS = 31, 32
 CLASSES = 1 + HEAD + TAILS
@@ -373,7 +373,7 @@ def score_texts(model: LanguageModel, data: np.ndarray, offsets: np.ndarray, kno
 def _score(shared):
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         if texts.num_rows == 0:
-            return pa.table({"doc_id": texts["doc_id"], **{n: pa.array([], t) for n, t in (
+            return pa.table({"doc_id": texts["doc_id"], "__copies": texts["__copies"], **{n: pa.array([], t) for n, t in (
                 ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))}})
         known = words["word"].to_numpy().view(np.uint64)
         order = np.argsort(known)
@@ -382,7 +382,7 @@ def _score(shared):
         for batch in texts.combine_chunks().to_batches():
             for part in slices(batch, "text", 4 << 20):
                 got = score_texts(shared.value, *text_buffer(part.column(part.schema.names.index("text"))), known, counts)
-                out.append(pa.table({"doc_id": part.column(part.schema.names.index("doc_id")), **{k: pa.array(v) for k, v in got.items()}}))
+                out.append(pa.table({**{c: part.column(part.schema.names.index(c)) for c in ("doc_id", "__copies")}, **{k: pa.array(v) for k, v in got.items()}}))
         return pa.concat_tables(out)
     return run
 
@@ -404,11 +404,12 @@ def language_model_scores(docs: DataFrame, training: Column | None = None, id_co
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // CHUNK_BYTES))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
+    # copies of one row would all fall into one chunk
+    dealt = collapse_hot(rows, "doc_id", ["doc_id", "text"]).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
     asked = dealt.groupBy("chunk").applyInArrow(_distinct_words, "chunk long, word long")
     answered = asked.join(counts, "word").select("chunk", "word", "n")
     shared = spark.sparkContext.broadcast(model)
-    out = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()),
+    out = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("__copies", T.LongType()), T.StructField("n_tokens", T.LongType()),
                         T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
     scored = dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(_score(shared), out)
-    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    return expand_copies(scored).withColumn("train_tokens", F.lit(model.tokens).cast("long"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidewatch.llm.common import cuts, lowest_per_group, map_texts, materialise, ready
+from tidewatch.llm.common import collapse_hot, cuts, expand_copies, lowest_per_group, map_texts, materialise, ready
 from tidewatch.llm.forest import Forest, train_forest
 
 LEAST = 16
@@ -357,10 +357,14 @@ def with_secrets(docs: DataFrame, model: SecretModel, keep: list[str], text_col:
     # the text is carried beside the columns to keep, unless it is one of them
     inside = text_col in keep and docs.schema[text_col].dataType == T.StringType()
     chunk = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if _hashable(docs.schema[c].dataType)], text), F.lit(chunks))
-    carried = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
-    dealt = docs.select(chunk.alias("chunk"), carried, *([] if inside else [text.alias("text")]))
-    asked = docs.select(chunk.alias("chunk"), text.alias("text")).where(F.col("text").isNotNull()).mapInArrow(_asked_words, "chunk long, word string").distinct()
+    # copies of one row would all fall into one chunk
+    simple = all(_hashable(f.dataType) for f in docs.schema.fields)
+    once = collapse_hot(docs, keep[0], docs.columns) if simple and keep else docs.withColumn("__copies", F.lit(1).cast("long"))
+    carried = F.struct(*[F.col(f"`{c}`") for c in keep], "__copies").alias("row")
+    dealt = once.select(chunk.alias("chunk"), carried, *([] if inside else [text.alias("text")]))
+    asked = once.select(chunk.alias("chunk"), text.alias("text")).where(F.col("text").isNotNull()).mapInArrow(_asked_words, "chunk long, word string").distinct()
     answered = asked.join(model.words, "word").select("chunk", "word")
     schema = T.StructType([dealt.schema["row"], *fields])
-    return dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
+    scanned = dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
         _scan_chunk(shared, threshold, keep.index(text_col) if inside else None, [to_arrow_type(f.dataType) for f in fields], schema.names), schema)
+    return expand_copies(scanned.withColumn("__copies", F.col("row.__copies")).withColumn("row", F.col("row").dropFields("__copies")))
