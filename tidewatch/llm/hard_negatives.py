@@ -30,9 +30,12 @@ from pyspark.sql import types as T
 
 from tidewatch.llm.common import materialise, ready, shuffle_partitions
 
-#: Rows of a length bucket, of a pack of them, of a block of anchors; blocks that
-#: one task holds beside a pack.
-BUCKET_ROWS, PACK_ROWS, BLOCK_ROWS, SLICE_BLOCKS = 1024, 8192, 128, 64
+#: Rows of a length bucket, of a pack of them, of a block of anchors.
+BUCKET_ROWS, PACK_ROWS, BLOCK_ROWS = 1024, 8192, 128
+#: Packs that one task searches in turn, and blocks it holds beside them, about: an
+#: anchor's list goes from pack to pack, so a task returns no more for many packs than
+#: for one.
+TEAM_PACKS, SLICE_BLOCKS = 16, 64
 FOCUS = 4
 SLACK = 1e-6
 _MIN, _MAX = -(1 << 63), (1 << 63) - 1
@@ -247,19 +250,21 @@ def _blocked(table: pa.Table) -> pa.Table:
 def _meet(k: int, same: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, bool, np.int64))]
-        if left.num_rows:
-            pack = _load(left["payload"][0].as_py())
+        held: dict[int, list[Bucket]] = {}
+        for number, data in zip(left["pack"].to_pylist(), left["payload"].to_pylist()):
+            pack = _load(data)
             pack["vecs"] = pack["vecs"].astype(np.float64)
-            buckets = [Bucket(pack, b, b + BUCKET_ROWS) for b in range(0, len(pack["ids"]), BUCKET_ROWS)]
-            for data in right["anchors"].to_pylist():
-                block = _load(data)
-                vecs = block["vecs"].astype(np.float64)
-                ends = np.cumsum(block["sizes"])
-                for i, (size, end) in enumerate(zip(block["sizes"], ends)):
-                    anchor = {"vec": vecs[i], "norm": float(block["norms"][i]), "label": block["labels"][i], "number": block["numbers"][i],
-                              "k": k, **{c: block[c][end - size:end].tolist() for c in ("low", "high", "bounds")}}
-                    score, ids, nameless, numbers = mine(buckets, anchor, same)
-                    found.append((np.full(len(score), anchor["number"]), score, ids, nameless, numbers))
+            held[number] = [Bucket(pack, b, b + BUCKET_ROWS) for b in range(0, len(pack["ids"]), BUCKET_ROWS)]
+        for data, packs in zip(right["anchors"].to_pylist(), right["packs"].to_pylist()):
+            block = _load(data)
+            buckets = sorted((b for p in packs for b in held[p]), key=lambda b: -b.longest)
+            vecs = block["vecs"].astype(np.float64)
+            ends = np.cumsum(block["sizes"])
+            for i, (size, end) in enumerate(zip(block["sizes"], ends)):
+                anchor = {"vec": vecs[i], "norm": float(block["norms"][i]), "label": block["labels"][i], "number": block["numbers"][i],
+                          "k": k, **{c: block[c][end - size:end].tolist() for c in ("low", "high", "bounds")}}
+                score, ids, nameless, numbers = mine(buckets, anchor, same)
+                found.append((np.full(len(score), anchor["number"]), score, ids, nameless, numbers))
         anchors, score, ids, nameless, numbers = (np.concatenate(c) for c in zip(*found))
         return pa.table({"anchor": anchors, "score": score, "found_id": pa.array(ids, mask=nameless), "found": numbers})
     return run
@@ -275,6 +280,8 @@ class _Index:
         self.spark = spark
         self.packs = materialise(spark, _by_length(rows).mapInArrow(
             _packed(rows.columns), "pack long, dim int, labels array<long>, longest double, payload binary"), "packs")
+        # at least two tasks a core while packs are few
+        self.teams = max(1, min(self.packs.count(), max(-(-self.packs.count() // TEAM_PACKS), 2 * spark.sparkContext.defaultParallelism)))
 
     def pairs(self, anchors: DataFrame, same: bool) -> DataFrame:
         """(block, pack) whose lengths allow a wanted score, the pack of longest
@@ -294,11 +301,11 @@ class _Index:
 
     def meet(self, anchors: DataFrame, pairs: DataFrame, slices: int, k: int, same: bool) -> DataFrame:
         blocks = anchors.groupBy("unit").applyInArrow(_blocked, "block long, anchors binary")
-        dealt = pairs.select("block", "pack", F.pmod(F.xxhash64("block"), slices).alias("slice"))
-        left = dealt.select("pack", F.col("slice").alias("part")).distinct().join(
-            self.packs.select(F.col("pack").alias("place"), "payload"), F.col("pack") == F.col("place")).select("place", "part", "payload")
-        right = dealt.join(blocks, "block")
-        return left.groupBy("place", "part").cogroup(right.groupBy("pack", "slice")).applyInArrow(_meet(k, same), _FOUND)
+        dealt = pairs.select("block", "pack", F.pmod(F.xxhash64("pack"), self.teams).alias("team"), F.pmod(F.xxhash64("block"), slices).alias("slice"))
+        left = dealt.select(F.col("pack").alias("p"), F.col("team").alias("place"), F.col("slice").alias("part")).distinct().join(
+            self.packs.select("pack", "payload"), F.col("p") == F.col("pack")).select("place", "part", "pack", "payload")
+        right = dealt.groupBy("block", "team", "slice").agg(F.collect_list("pack").alias("packs")).join(blocks, "block")
+        return left.groupBy("place", "part").cogroup(right.groupBy("team", "slice")).applyInArrow(_meet(k, same), _FOUND)
 
     def search(self, anchors: DataFrame, slices: int, k: int, same: bool, label: str) -> DataFrame:
         """Rows among the ``k`` first of an anchor's windows: one meeting of each
