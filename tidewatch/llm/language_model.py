@@ -56,8 +56,8 @@ PRIOR = 20
 LARGEST, STEP = 15.0, 1.25
 #: Weight slots in one row of a sum, and rows summed in one group.
 _ROW_SLOTS, _FAN = 512, 32
-#: Tokens whose class probabilities are held at a time.
-_TOKENS = 4096
+#: Tokens whose expectations are summed at a time, and slots that are updated at a time.
+_SUMMED, _TOKENS = 1024, 4096
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 8 << 20
 _COUNT_BYTES = 12 << 20
@@ -183,15 +183,17 @@ def class_scores(weights: np.ndarray, bias: np.ndarray, slots: np.ndarray, kind:
 
 def add_expected(expected: np.ndarray, weights: np.ndarray, bias: np.ndarray, slots: np.ndarray) -> None:
     """Add to ``expected`` (slots x classes) how often the weights expect each class
-    with each slot of the tokens."""
-    for lo in range(0, len(slots), _TOKENS):
-        at = slots[lo:lo + _TOKENS]
-        share = class_probabilities(weights, bias, at)
+    with each slot of the tokens, some tokens at a time, as the caches hold them."""
+    # short keys sort by radix
+    keys = slots.astype(np.uint16 if len(weights) <= 1 << 16 else np.int32)
+    for lo in range(0, len(slots), _SUMMED):
+        share = class_probabilities(weights, bias, slots[lo:lo + _SUMMED])
         for k in range(FEATURES):
-            order = np.argsort(at[:, k], kind="stable")
-            sorted_slots = at[order, k]
-            heads = np.flatnonzero(np.concatenate([[True], sorted_slots[1:] != sorted_slots[:-1]]))
-            expected[sorted_slots[heads]] += np.add.reduceat(share[order], heads, axis=0)
+            key = keys[lo:lo + _SUMMED, k]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            expected[key[heads]] += np.add.reduceat(share[order], heads, axis=0)
 
 
 def _by_slots(shape: tuple[int, int], fill) -> np.ndarray:
@@ -261,7 +263,7 @@ def _expect(shared, frequent):
     """What the weights expect of (slot, class) over all tokens of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
-        expected = np.zeros(weights.shape)
+        expected = np.zeros(weights.shape, np.float32)
         for whole in batches:
             for batch in slices(whole, "text"):
                 _, _, _, slots, _ = read_tokens(*text_buffer(batch.column(0)), frequent.value)
