@@ -121,14 +121,18 @@ def _execute(connection, sql: str, *values) -> int:
 
 
 def _exists(connection, table: str) -> bool:
-    found = connection.getMetaData().getTables(None, None, "%", None)
-    try:
-        while found.next():
-            if found.getString("TABLE_NAME").lower() == table.split(".")[-1].lower():
-                return True
-        return False
-    finally:
-        found.close()
+    """Whether there is a table of that name, as given or in the case that the
+    database keeps unquoted names in."""
+    name = table.split(".")[-1]
+    for pattern in {name, name.upper(), name.lower()}:
+        found = connection.getMetaData().getTables(None, None, pattern, None)
+        try:
+            while found.next():
+                if found.getString("TABLE_NAME") == pattern:            # "_" stands for any character in a pattern
+                    return True
+        finally:
+            found.close()
+    return False
 
 
 def _noted(connection, t: Target) -> tuple[str, int] | None:
