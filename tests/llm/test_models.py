@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -384,6 +385,51 @@ def test_scores_equal_brute_force_however_rows_are_partitioned(spark):
             assert (i, n) == (j, m) and abs(s - v) < 1e-4 * n
 
 
+def test_expectations_are_summed_exactly_and_cheaply():
+    """Rare, frequent and neighbouring slots against plain sums; and well below the
+    time of sums stretch by stretch (``np.add.reduceat``), which took most of the round."""
+    rng = np.random.default_rng(8)
+    n, lm = 20_000, language_model
+    weights = rng.normal(size=(1 << 13, lm.CLASSES)).astype(np.float32)
+    bias = rng.normal(size=lm.CLASSES).astype(np.float32)
+    slots = np.minimum(rng.zipf(1.3, (n, lm.FEATURES)), len(weights)) - 1
+    slots[:, -1] = rng.integers(0, len(weights), n)
+
+    def plain(step=1024):
+        out = np.zeros(weights.shape, np.float32)
+        for lo in range(0, n, step):
+            share = lm.class_probabilities(weights, bias, slots[lo:lo + step])
+            for k in range(lm.FEATURES):
+                order = np.argsort(slots[lo:lo + step, k].astype(np.uint16), kind="stable")
+                key = slots[lo:lo + step, k][order]
+                heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                out[key[heads]] += np.add.reduceat(share[order], heads, axis=0)
+        return out
+
+    def ours():
+        out = np.zeros(weights.shape, np.float32)
+        lm.add_expected(out, weights, bias, slots)
+        return out
+
+    def seconds(f):
+        spent = []
+        for _ in range(5):
+            began = time.process_time()
+            f()
+            spent.append(time.process_time() - began)
+        return min(spent)
+
+    want = np.zeros(weights.shape)
+    share = lm.class_probabilities(weights, bias, slots)
+    for k in range(lm.FEATURES):
+        np.add.at(want, slots[:, k], share)
+    assert np.allclose(ours(), want, rtol=1e-4, atol=1e-4)
+    # the classes' probabilities themselves, too
+    z = np.exp(sum(weights[slots[:, k]].astype(float) for k in range(lm.FEATURES)) + bias)
+    assert np.allclose(share, z / z.sum(axis=1, keepdims=True), rtol=1e-4)
+    assert seconds(ours) < 0.8 * seconds(plain)
+
+
 def test_model_grows_with_the_training_tokens():
     assert language_model.sizes(1000) == (13, 4096)
     assert language_model.sizes(115_000_000) == (15, 8192)

@@ -57,7 +57,9 @@ LARGEST, STEP = 15.0, 1.25
 #: Weight slots in one row of a sum, and rows summed in one group.
 _ROW_SLOTS, _FAN = 512, 32
 #: Tokens whose expectations are summed at a time, and slots that are updated at a time.
-_SUMMED, _TOKENS = 1024, 4096
+_SUMMED, _TOKENS = 4096, 4096
+#: Rows of one slot that are added up one after the other; more are a matrix product.
+_FEW = 8
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 8 << 20
 _COUNT_BYTES = 12 << 20
@@ -155,18 +157,23 @@ def read_tokens(data: np.ndarray, offsets: np.ndarray, frequent: Vocabulary):
 
 
 def logits(weights: np.ndarray, bias: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    z = weights[slots[:, 0]]
+    z = np.take(weights, slots[:, 0], axis=0)
     for k in range(1, FEATURES):
-        z += weights[slots[:, k]]
+        z += np.take(weights, slots[:, k], axis=0)
     z += bias
     return z
 
 
+def _row_sums(z: np.ndarray) -> np.ndarray:
+    """The sum of each row; a product takes a fifth of the time of ``z.sum(axis=1)``."""
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
 def class_probabilities(weights: np.ndarray, bias: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Softmax over the classes; weights within ``LARGEST`` cannot overflow it."""
     z = logits(weights, bias, slots)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    z /= _row_sums(z)[:, None]
     return z
 
 
@@ -177,7 +184,26 @@ def class_scores(weights: np.ndarray, bias: np.ndarray, slots: np.ndarray, kind:
         z = logits(weights, bias, slots[lo:lo + step])
         own = z[np.arange(len(z)), kind[lo:lo + step]]
         np.exp(z, out=z)
-        out[lo:lo + step] = own - np.log(z.sum(axis=1))
+        out[lo:lo + step] = own - np.log(_row_sums(z))
+    return out
+
+
+def _segment_sums(rows: np.ndarray, order: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[order]`` over the stretches that begin at ``heads``: short
+    stretches are added up row by row, all of them at once, long ones by a product
+    with their indicator matrix."""
+    sizes = np.diff(np.append(heads, len(order)))
+    out = np.take(rows, order[heads], axis=0)
+    short = np.flatnonzero((sizes > 1) & (sizes <= _FEW))
+    for k in range(1, _FEW):
+        out[short] += np.take(rows, order[heads[short] + k], axis=0)
+        short = short[sizes[short] > k + 1]
+    long = np.flatnonzero(sizes > _FEW)
+    if len(long):
+        picked = order[np.repeat(sizes > _FEW, sizes)]
+        member = np.zeros((len(long), len(picked)), rows.dtype)
+        member[np.repeat(np.arange(len(long)), sizes[long]), np.arange(len(picked))] = 1
+        out[long] = member @ np.take(rows, picked, axis=0)
     return out
 
 
@@ -193,7 +219,7 @@ def add_expected(expected: np.ndarray, weights: np.ndarray, bias: np.ndarray, sl
             order = np.argsort(key, kind="stable")
             key = key[order]
             heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            expected[key[heads]] += np.add.reduceat(share[order], heads, axis=0)
+            expected[key[heads]] += _segment_sums(share, order, heads)
 
 
 def _by_slots(shape: tuple[int, int], fill) -> np.ndarray:
