@@ -58,7 +58,7 @@ LARGEST, STEP = 15.0, 1.25
 _ROW_SLOTS, _FAN = 512, 32
 #: Tokens whose expectations are summed at a time, and slots that are updated at a time.
 _SUMMED, _TOKENS = 4096, 4096
-#: Rows of one slot that are added up one after the other; more are a matrix product.
+#: Rows of a slot, at most, that are added up together with those of other slots.
 _FEW = 8
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 8 << 20
@@ -165,8 +165,9 @@ def logits(weights: np.ndarray, bias: np.ndarray, slots: np.ndarray) -> np.ndarr
 
 
 def _row_sums(z: np.ndarray) -> np.ndarray:
-    """The sum of each row; a product takes a fifth of the time of ``z.sum(axis=1)``."""
-    return z @ np.ones(z.shape[1], z.dtype)
+    """The sum of each row, in less time than ``z.sum(axis=1)`` (no matrix product,
+    whose library would start threads in every task)."""
+    return np.einsum("ij->i", z)
 
 
 def class_probabilities(weights: np.ndarray, bias: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -190,20 +191,15 @@ def class_scores(weights: np.ndarray, bias: np.ndarray, slots: np.ndarray, kind:
 
 def _segment_sums(rows: np.ndarray, order: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """Sums of ``rows[order]`` over the stretches that begin at ``heads``: short
-    stretches are added up row by row, all of them at once, long ones by a product
-    with their indicator matrix."""
+    stretches are added up row by row, all of them at once, long ones one by one."""
     sizes = np.diff(np.append(heads, len(order)))
     out = np.take(rows, order[heads], axis=0)
     short = np.flatnonzero((sizes > 1) & (sizes <= _FEW))
     for k in range(1, _FEW):
         out[short] += np.take(rows, order[heads[short] + k], axis=0)
         short = short[sizes[short] > k + 1]
-    long = np.flatnonzero(sizes > _FEW)
-    if len(long):
-        picked = order[np.repeat(sizes > _FEW, sizes)]
-        member = np.zeros((len(long), len(picked)), rows.dtype)
-        member[np.repeat(np.arange(len(long)), sizes[long]), np.arange(len(picked))] = 1
-        out[long] = member @ np.take(rows, picked, axis=0)
+    for k in np.flatnonzero(sizes > _FEW):
+        out[k] = np.take(rows, order[heads[k]:heads[k] + sizes[k]], axis=0).sum(axis=0)
     return out
 
 
