@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import load, row_keys
+from tidewatch.llm.common import FILE_ROWS, in_few_files, load, row_keys
 from tidewatch.llm.exact_dedup import exact_duplicates
 from tidewatch.llm.language_id import UNKNOWN, fit_languages, with_language
 from tidewatch.llm.near_dedup import near_duplicates
@@ -42,7 +42,8 @@ def _stay(docs: DataFrame, kept: DataFrame) -> DataFrame:
     that repeat an id and a text are one document."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_keys("doc_id", "text"))
     keys = ["key_a", "key_b"]
-    return whole.join(kept.select(*keys).distinct(), keys, "left_semi").dropDuplicates(keys).select("row.*")
+    stay = whole.join(kept.select(*keys).distinct(), keys, "left_semi").dropDuplicates(keys).select("row.*")
+    return in_few_files(stay, docs.count(), FILE_ROWS)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

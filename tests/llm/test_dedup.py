@@ -7,7 +7,7 @@ import pytest
 from fixtures import awkward, docs_frame, with_clashes, words
 from pyspark.sql import functions as F
 
-from tidewatch.llm import exact_dedup
+from tidewatch.llm import common, components, exact_dedup, near_dedup
 from tidewatch.llm.components import connected_components
 from tidewatch.llm.exact_dedup import exact_duplicates, name_by_sorting
 from tidewatch.llm.near_dedup import bands_for, near_duplicates, sketch_limit
@@ -177,6 +177,61 @@ def test_hot_groups_are_spread(spark, monkeypatch, distinct):
     assert len(files) == 8 and max(r["count"] for r in files) < 2 * 8000 / 8
 
 
+def test_small_tables_are_kept_in_few_files(spark, monkeypatch):
+    """Many shuffle partitions, as a cluster is set up for large tables, must not
+    make a file each of intermediates of a few rows; the groups stay the same."""
+    import corpus_pipeline
+
+    rnd = random.Random(5)
+    rows = []
+    for k in range(60):
+        text = words(rnd, 60)
+        for copy in range(rnd.randint(1, 4)):
+            some = list(text)
+            some[rnd.randrange(60)] = f"other{copy}"
+            rows.append((len(rows), " ".join(some if copy else text)))
+    rows += [(1000 + i, "a b c d e f g") for i in range(20)]
+    docs = docs_frame(spark, rows)
+    groups = lambda: {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(docs).collect()}
+    names = lambda: sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_duplicates(docs).collect())
+    want, want_names = groups(), names()
+    assert len(set(want.values())) < len(rows)
+    files = []
+    write = common.materialise
+
+    def counted(session, df, label):
+        out = write(session, df, label)
+        files.append((label, len(out.inputFiles())))
+        return out
+
+    for module in (components, exact_dedup, near_dedup):
+        monkeypatch.setattr(module, "materialise", counted)
+    own = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        assert groups() == want and names() == want_names
+        stay = corpus_pipeline._stay(docs, docs.where("doc_id < 9").select(*common.row_keys("doc_id", "text")))
+        assert stay.rdd.getNumPartitions() == 1 and sorted(r.doc_id for r in stay.collect()) == list(range(9))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {"classes", "buckets", "stars", "texts", "links", "edges", "labelled", "open", "lefts", "rights", "more-links", "placed",
+            "named-rows"} <= {label for label, _ in files}
+    assert [x for x in files if x[0] not in ("signatures", "blocks") and x[1] > 2] == []
+
+
+def test_large_tables_keep_their_partitions(spark):
+    rows = spark.range(0, 1000, 1, 8)
+    assert common.in_few_files(rows, 1000, 100).rdd.getNumPartitions() == 8
+    assert common.in_few_files(rows, 1000, 400).rdd.getNumPartitions() == 3
+    assert common.in_few_files(rows, 0, 400).rdd.getNumPartitions() == 1
+    assert common.dealt_in_few(rows, 1000, 100).rdd.getNumPartitions() == 8        # shuffle_partitions are 8
+    dealt = common.dealt_in_few(rows, 1000, 400)
+    assert dealt.rdd.getNumPartitions() == 3 and dealt.distinct().count() == 1000
+
+
 def test_a_repeated_row_is_written_out_by_several_tasks(spark, monkeypatch):
     """Half of all rows are one row: its copies come from several tasks, one of them kept."""
     monkeypatch.setattr(exact_dedup, "COPIES", 500)

@@ -50,6 +50,29 @@ def materialise(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows in a file at least, where there are more files than that: of rows that go
+#: with documents, and of short rows of numbers.
+FILE_ROWS, FILE_LINKS = 1 << 12, 1 << 16
+
+
+def in_few_files(df: DataFrame, rows: int, least: int) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in no more partitions than one per
+    ``least`` rows; a larger table keeps its partitions.
+
+    A task that writes a file starts a program or two for its access rights (Hadoop
+    does, on a local folder without its native library), so hundreds of files of a
+    few rows cost more than their rows.  The partitions are put together where they
+    are made: for a last step that is an aggregate or a light join."""
+    return df.coalesce(max(1, -(-rows // least)))
+
+
+def dealt_in_few(df: DataFrame, rows: int, least: int) -> DataFrame:
+    """``in_few_files`` for few rows that are costly to make: all tasks make them,
+    then they are shuffled."""
+    few = max(1, -(-rows // least))
+    return df.repartition(few) if few < shuffle_partitions(df.sparkSession) else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import dealt_anew, materialise, ready, row_keys, shuffle_partitions
+from tidewatch.llm.common import FILE_ROWS, dealt_anew, in_few_files, materialise, ready, row_keys, shuffle_partitions
 
 #: Bytes that equality ignores.
 IGNORED = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -222,7 +222,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if done is not None:
         rows = rows.join(done, ["key_a", "key_b"], "left").withColumn("name", F.coalesce("__top", "name")).drop("__top")
     # n_blocks fixes the level at which a name was given, so (n_blocks, name) is the identity
-    rows = materialise(spark, rows, "named-rows")
+    rows = materialise(spark, in_few_files(rows, named.where("pos = 0").count(), FILE_ROWS), "named-rows")
     mine = F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"), "doc_id", "key_a", "key_b")
     best = rows.groupBy("n_blocks", "name").agg(F.min(mine).alias("best"), F.sum("copies").alias("size"), F.count(F.lit(1)).alias("n"))
     best = dealt_anew(best.where("n > 1").drop("n"))            # groups of several rows only

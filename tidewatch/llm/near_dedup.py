@@ -37,7 +37,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import dealt_anew, materialise, mix, ready, row_keys, slices, text_buffer, word_hashes, words_per_text
+from tidewatch.llm.common import (
+    FILE_LINKS, FILE_ROWS, dealt_anew, dealt_in_few, in_few_files, materialise, mix, ready, row_keys, slices, text_buffer, word_hashes,
+    words_per_text)
 from tidewatch.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -304,12 +306,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         T.StructField("n_shingles", T.LongType()), T.StructField("set_hash", T.BinaryType()),
         T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))])
     signed = materialise(spark, keyed.mapInArrow(_signatures(words, percent), schema), "signatures")
+    n = signed.count()
 
     classes = signed.where("n_shingles > 0").groupBy("set_hash").agg(F.min("uid").alias("node"))
     # one row per class, with the row it comes from
-    members = materialise(spark, (
+    members = materialise(spark, in_few_files(
         signed.join(classes.select(F.col("node").alias("uid")), "uid", "left_semi")
-        .select(F.col("uid").alias("node"), "key_a", "key_b", "n_shingles", "bands", "sketch")), "classes")
+        .select(F.col("uid").alias("node"), "key_a", "key_b", "n_shingles", "bands", "sketch"), n, FILE_ROWS), "classes")
     edges = _links(spark, keyed, members, words, percent)
     component = connected_components(spark, edges)
 
@@ -318,7 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         signed.select("uid", "doc_id", "key_a", "key_b", "n_shingles", "set_hash")
         .join(of_class, "set_hash", "left").withColumn("comp", F.coalesce("comp", "uid"))
     )
-    placed = materialise(spark, placed, "placed")
+    placed = materialise(spark, in_few_files(placed, n, FILE_ROWS), "placed")
     mine = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "uid")
     best = placed.groupBy("comp").agg(F.min(mine).alias("best"), F.count(F.lit(1)).alias("n"))
     return placed.join(dealt_anew(best.where("n > 1").drop("n")), "comp", "left").withColumn("best", F.coalesce("best", mine)).select(
@@ -331,14 +334,16 @@ def _texts(spark: SparkSession, keyed: DataFrame, members: DataFrame, nodes: Dat
     wanted = nodes.join(members.select("node", "key_a", "key_b"), "node")
     found = keyed.select("key_a", "key_b", "text").join(wanted, ["key_a", "key_b"]).select("node", "text")
     # a repeated document row matches more than once, with the same text
-    return materialise(spark, found.dropDuplicates(["node"]), "texts")
+    return materialise(spark, in_few_files(found.dropDuplicates(["node"]), members.count(), FILE_ROWS), "texts")
 
 
 def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between classes that join every component (not all links)."""
     banded = members.select("node", F.explode("bands").alias("bucket"))
     centres = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    bucketed = materialise(spark, banded.join(dealt_anew(centres), "bucket"), "buckets")
+    n = members.count() * bands_for(percent)[1]
+    bucketed = materialise(spark, in_few_files(banded.join(dealt_anew(centres), "bucket"), n, FILE_LINKS), "buckets")
+    n = bucketed.count()
 
     # each class with its most promising low or high neighbour
     stars = (
@@ -352,9 +357,9 @@ def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int
         stars.join(left, "a").join(right, "b").where(_possible("n_a", "n_b", "s_a", "s_b", percent))
         .select("a", "b", _differing("s_a", "s_b").alias("differing"))
     )
-    best = materialise(spark, (
+    best = materialise(spark, in_few_files(
         judged.groupBy("b").agg(F.min(F.struct("differing", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "stars")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), members.count(), FILE_LINKS), "stars")
     # one reading of the texts serves both confirmations
     texts = _texts(spark, keyed, members, bucketed.select("node").distinct())
     proposed = (
@@ -362,7 +367,8 @@ def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int
         .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
     )
-    first = materialise(spark, proposed.mapInArrow(_confirm(words, percent), "a long, b long"), "links")
+    confirmed = proposed.mapInArrow(_confirm(words, percent), "a long, b long")
+    first = materialise(spark, dealt_in_few(confirmed, best.count(), FILE_LINKS), "links")
     comp = connected_components(spark, first)
 
     # buckets whose classes lie in several components
@@ -372,13 +378,14 @@ def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int
         .withColumn("low_comp", F.coalesce("low_comp", "low"))
         .select("bucket", "node", "comp", (F.col("comp") != F.col("low_comp")).alias("apart"))
     )
-    labelled = materialise(spark, labelled, "labelled")
+    labelled = materialise(spark, in_few_files(labelled, n, FILE_LINKS), "labelled")
     open_buckets = dealt_anew(labelled.where("apart").select("bucket").distinct())
     described = (
         labelled.join(open_buckets, "bucket", "left_semi")
         .join(members.select("node", "n_shingles", "sketch"), "node")
     )
-    described = materialise(spark, described, "open")
+    described = materialise(spark, in_few_files(described, n, FILE_LINKS), "open")
+    n = described.count()
     apart = described.where("apart").select(
         "bucket", F.col("node").alias("node_x"), F.col("comp").alias("comp_x"), F.col("n_shingles").alias("n_x"), F.col("sketch").alias("s_x"))
     others = described.select(
@@ -392,7 +399,7 @@ def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int
 
     lefts = matched(apart, others).select(*meet, F.col("node_x").alias("node"), F.col("comp_x").alias("comp"), F.col("n_x").alias("n"))
     rights = matched(others, apart).select(*meet, F.col("node_y").alias("node"), F.col("comp_y").alias("comp"), F.col("n_y").alias("n"))
-    lefts, rights = materialise(spark, lefts, "lefts"), materialise(spark, rights, "rights")
+    lefts, rights = (materialise(spark, dealt_in_few(side, n, FILE_LINKS), name) for side, name in ((lefts, "lefts"), (rights, "rights")))
 
     def parts(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy("bucket").agg(F.greatest(
@@ -414,4 +421,4 @@ def _links(spark: SparkSession, keyed: DataFrame, members: DataFrame, words: int
         .join(sets, "node")
     )
     second = blocks.groupBy("bucket", "i", "j").applyInArrow(_exact_blocks(percent), "a long, b long")
-    return first.unionByName(materialise(spark, second.distinct(), "more-links"))
+    return first.unionByName(materialise(spark, in_few_files(second.distinct(), n, FILE_LINKS), "more-links"))
